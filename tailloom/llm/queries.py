@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import packing
+from . import packing, simhash
 from .common import table
 
 
@@ -13,5 +14,10 @@ def op1_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bestfit_packing,)}
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+QUERIES = {f.__name__: f for f in (op1_bestfit_packing, op2_simhash_near_dedup)}
 ORACLE_SQL: dict[str, str] = {}
