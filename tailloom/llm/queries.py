@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, simhash
+from . import packing, simhash, suffixes
 from .common import table
 
 
@@ -19,5 +19,9 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_bestfit_packing, op2_simhash_near_dedup)}
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.kept_digests(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_bestfit_packing, op2_simhash_near_dedup, op5_suffix_dedup)}
 ORACLE_SQL: dict[str, str] = {}
