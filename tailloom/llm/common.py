@@ -35,7 +35,13 @@ def scratch(spark: SparkSession) -> str:
 def written(df: DataFrame, codec: str = "zstd") -> DataFrame:
     """df, computed once into a table of the shared folder: cuts lineage and survives lost executors."""
     spark, path = df.sparkSession, scratch(df.sparkSession)
-    df.write.option("compression", codec).parquet(path)
+    clean = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"  # nothing reads the shuffles again
+    before = spark.conf.get(clean, None)
+    spark.conf.set(clean, "true")
+    try:
+        df.write.option("compression", codec).parquet(path)
+    finally:
+        spark.conf.unset(clean) if before is None else spark.conf.set(clean, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -13,10 +13,11 @@ are one record: (gram, hash of its whole span, document, position).
    a multikey sort.  All but the first of a span's records are repeats in whole;
    first records of a gram with several spans go on, since parts may be equal.
 2. For those the windows themselves are the suffixes: sampled splitters
-   (``repartitionByRange``) range-partition them by their leading bytes and a
-   hash of the rest, buckets sort locally by multikey sort, and equal
-   neighbours are repeats.  Equal keys share a bucket, so runs never cross a
-   boundary.
+   (``repartitionByRange``) range-partition them by their leading token (the
+   gram, for the spans of grams with few spans, which travel whole; the leading
+   bytes and a hash of the rest, for single windows of the others), buckets sort
+   locally by multikey sort, and equal neighbours are repeats.  Equal keys share
+   a bucket, so runs never cross a boundary.
 3. Repeated stretches are joined to their documents and merged.
 
 Each task first combines its own records: repeats of a span, or of a window,
@@ -44,8 +45,10 @@ from .common import arrow_rows, shuffle_width, small_batches, written
 LENGTH, GRAM = 100, 32
 #: Window starts handled at once: bounds memory for very long texts, and positions fit 20 bits.
 CHUNK = 1 << 19
+#: Spans of a gram up to which they are compared as they are; those of others go window by window.
+GROUP = 64
 #: Records that a task combines at once, and rows of a bucket, about.
-COMBINE, BUCKET = 1 << 20, 1 << 20
+COMBINE, BUCKET = 1 << 18, 1 << 18
 _LOW = np.int64(-(2**63))
 
 
@@ -150,20 +153,25 @@ def windows_by_anchor(text: bytes, length: int = LENGTH, gram: int = GRAM) -> It
 
 
 RECORD = "kind int, gram long, span long, doc long, tie int, pos long, n long"
-#: What a row is: a stretch of repeats, windows to compare one by one, or a record to compare.
-REPEAT, COMPARE, OPEN = 0, 1, 2
+#: What a row is: a stretch of repeats; windows to compare with few or with many other records; a
+#: record to compare, of a gram that has more spans in its task or not.
+REPEAT, FEW, MANY, OPEN, OPEN_MANY = range(5)
 _RECORD = pa.schema([("kind", pa.int32()), ("gram", pa.int64()), ("span", pa.int64()), ("doc", pa.int64()), ("tie", pa.int32()), ("pos", pa.int64()), ("n", pa.int64())])
 
 
-def _record_batch(kind: int, r: Records) -> pa.RecordBatch:
-    cols = [np.full(len(r), kind, np.int32), r.gram.view(np.int64), r.span.view(np.int64), r.doc, r.tie, r.pos, r.n]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], schema=_RECORD)
+def _batch(schema: pa.Schema, *columns: np.ndarray | pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], schema=schema)
 
 
-def _combine(r: Records, last: bool) -> Iterator[tuple[int, Records]]:
-    """Rows of a task (last: of all rows with these grams) by what is known of them."""
+def _record_batch(kind: np.ndarray | int, r: Records) -> pa.RecordBatch:
+    kinds = np.broadcast_to(np.int32(kind), len(r)).astype(np.int32)
+    return _batch(_RECORD, kinds, r.gram.view(np.int64), r.span.view(np.int64), r.doc, r.tie, r.pos, r.n)
+
+
+def _combine(r: Records, last: bool) -> Iterator[pa.RecordBatch]:
+    """What is known of a task's records; last: all records of their grams are here, but for those already told apart."""
     r, new, repeat = _firsts(r, "gram", "span")
-    yield REPEAT, r.take(repeat)
+    yield _record_batch(REPEAT, r.take(repeat))
     r = r.take(new)
     if not len(r):
         return
@@ -171,11 +179,12 @@ def _combine(r: Records, last: bool) -> Iterator[tuple[int, Records]]:
     group = np.cumsum(start) - 1
     size = np.bincount(group)[group]
     if last:
-        yield COMPARE, r.take(size > 1)
+        many = (np.bincount(group, weights=r.many)[group] > 0) | (size > GROUP)
+        shared = many | (size > 1)
+        yield _record_batch(np.where(many, MANY, FEW)[shared], r.take(shared))
         return
     place = np.arange(len(r)) - np.flatnonzero(start)[group]
-    yield COMPARE, r.take(place > 1)
-    yield OPEN, r.take(place <= 1)
+    yield _record_batch(np.where(place > 1, MANY, np.where(size > 2, OPEN_MANY, OPEN)), r)
 
 
 def _ranked(docs: DataFrame) -> DataFrame:
@@ -189,99 +198,133 @@ def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
         yield from zip(*(c.to_pylist() for c in batch.columns))
 
 
-def repeated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """doc, tie, pos, n: stretches of n starts of windows that also start earlier."""
-    small_batches(docs.sparkSession)
-    ranked = _ranked(docs)
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(shuffle_width(docs.sparkSession), 2 * total // (length - gram) // BUCKET)
-
-    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, count = [], 0
-
-        def flush():
-            for kind, found in _combine(Records.join(held), last=False) if held else ():
-                yield _record_batch(kind, found)
-
-        for doc, tie, text in _texts(batches):
-            for r in windows_by_anchor(text.encode(), length, gram):
-                r.columns |= {"doc": np.full(len(r), doc, np.int64), "tie": np.full(len(r), tie, np.int32)}
-                held.append(r)
-                count += len(r)
-                if count >= COMBINE:
-                    yield from flush()
-                    held, count = [], 0
-        yield from flush()
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = []
-        for batch in batches:
-            kind = batch.column(0).to_numpy()
-            if (kind != OPEN).any():
-                yield batch.filter(pa.array(kind != OPEN))
-            names = _RECORD.names[1:]
-            r = Records(**{n: c.to_numpy() for n, c in zip(names, batch.columns[1:])}).take(kind == OPEN)
+def _records(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
+    """Step 1 in a task: records of its texts, combined."""
+    held, count = [], 0
+    for doc, tie, text in _texts(batches):
+        for r in windows_by_anchor(text.encode(), length, gram):
+            r.columns |= {"doc": np.full(len(r), doc, np.int64), "tie": np.full(len(r), tie, np.int32)}
             held.append(r)
-        if held:
-            for kind, found in _combine(Records.join(held), last=True):
-                yield _record_batch(kind, found)
+            count += len(r)
+            if count >= COMBINE:
+                yield from _combine(Records.join(held), last=False)
+                held, count = [], 0
+    if held:
+        yield from _combine(Records.join(held), last=False)
+
+
+def _compare_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Step 1 in a bucket, which has all open records of its grams."""
+    held = []
+    for batch in batches:
+        kind = batch.column(0).to_numpy()
+        yield batch.filter(pa.array(kind < OPEN))
+        r = Records(**{n: c.to_numpy() for n, c in zip(_RECORD.names[1:], batch.columns[1:])}, many=kind == OPEN_MANY)
+        held.append(r.take(kind >= OPEN))
+    if held:
+        yield from _combine(Records.join(held), last=True)
 
-    opened = ranked.select("doc", "tie", "text").mapInArrow(records, RECORD)
-    known = written(opened.repartition(buckets, "gram").mapInArrow(compare, RECORD))
-    stretch = known.where(f"kind = {REPEAT}").select("doc", "tie", "pos", "n")
-    open_ = known.where(f"kind = {COMPARE}").groupBy("doc", "tie").agg(F.collect_list(F.struct("pos", "n")).alias("open"))
-    suffixes = written(open_.join(ranked, ["doc", "tie"]).select("doc", "tie", "text", "open").mapInArrow(lambda b: _suffixes(b, length), WINDOW))
-    own = suffixes.where("repeat").select("doc", "tie", "pos", F.lit(1).cast("long").alias("n"))
-    rest = suffixes.where("not repeat").select("lead", "rest", "doc", "tie", "pos")
-    width = max(shuffle_width(docs.sparkSession), rest.count() // BUCKET)
-    shared = rest.repartitionByRange(width, "lead", "rest").mapInArrow(_neighbours, "doc long, tie int, pos long, n long")
-    return stretch.union(own).union(shared)
 
+SUFFIX = "lead long, rest long, doc long, tie int, pos long, n long, span binary"
+_SUFFIX = pa.schema([("lead", pa.int64()), ("rest", pa.int64()), ("doc", pa.int64()), ("tie", pa.int32()), ("pos", pa.int64()), ("n", pa.int64()), ("span", pa.binary())])
+_STRETCH = pa.schema([("doc", pa.int64()), ("tie", pa.int32()), ("pos", pa.int64()), ("n", pa.int64())])
 
-WINDOW = "lead long, rest long, doc long, tie int, pos long, repeat boolean"
-_WINDOW = pa.schema([("lead", pa.int64()), ("rest", pa.int64()), ("doc", pa.int64()), ("tie", pa.int32()), ("pos", pa.int64()), ("repeat", pa.bool_())])
+
+def _windows(data: np.ndarray, pos: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Leading eight bytes, and hash, of the windows that start at pos."""
+    lead = np.zeros(len(pos), np.uint64)
+    for i in range(8):
+        lead = (lead << np.uint64(8)) | data[pos + i].astype(np.uint64)
+    return lead, _hashes(data, length, GRAM)[1][pos]
+
+
+def _stretches(r: Records) -> tuple[np.ndarray, ...]:
+    """doc, tie, pos and n of the runs of consecutive windows."""
+    order = np.lexsort((r.pos, r.tie, r.doc))
+    doc, tie, pos = r.doc[order], r.tie[order], r.pos[order]
+    new = np.ones(len(pos), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (tie[1:] != tie[:-1]) | (pos[1:] > pos[:-1] + 1)
+    start = np.flatnonzero(new)
+    end = np.append(start[1:], len(pos)) - 1
+    return doc[start], tie[start], pos[start], (pos[end] - pos[start] + 1 if len(pos) else pos)
 
 
 def _suffixes(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Windows to compare, with their leading bytes and a hash of the whole; the task's own repeats are told apart."""
-    held, count = [], 0
+    """Step 2 in a task: spans of records with few partners, single windows of those with many (combined).
+
+    A row with n = 0 is a single window, one with n > 0 and no span is a stretch of repeats.
+    """
+    held, count, spans = [], 0, []
 
     def flush():
         if held:
             r, new, repeat = _firsts(Records.join(held), "lead", "rest")
-            for at, what in ((repeat, True), (new, False)):
-                x = r.take(at)
-                cols = [x.lead.view(np.int64) ^ _LOW, x.rest.view(np.int64), x.doc, x.tie, x.pos, np.full(len(x), what)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], schema=_WINDOW)
-
-    for doc, tie, text, stretches in _texts(batches):
-        data = np.frombuffer(text.encode(), np.uint8)
-        wanted = np.zeros(len(data) - length + 1, bool)
-        for s in stretches:
-            wanted[s["pos"] : s["pos"] + s["n"]] = True
-        for begin in range(0, len(wanted), CHUNK):
-            pos = np.flatnonzero(wanted[begin : begin + CHUNK])
-            if not len(pos):
+            x = r.take(new)
+            yield _batch(_SUFFIX, x.lead.view(np.int64) ^ _LOW, x.rest.view(np.int64), x.doc, x.tie, x.pos, np.zeros(len(x), np.int64), pa.nulls(len(x), pa.binary()))
+            doc, tie, pos, n = _stretches(r.take(repeat))
+            yield _batch(_SUFFIX, doc, pos, doc, tie, pos, n, pa.nulls(len(doc), pa.binary()))
+
+    for doc, tie, text, opened in _texts(batches):
+        raw = text.encode()
+        for s in opened:
+            pos, n = s["pos"], s["n"]
+            span = raw[pos : pos + n + length - 1]
+            if s["kind"] == FEW:
+                spans.append((s["gram"], 0, doc, tie, pos, n, span))
                 continue
-            part = data[begin : begin + CHUNK + length - 1]
-            _, windows = _hashes(part, length, GRAM)
-            lead = np.zeros(len(pos), np.uint64)
-            for i in range(8):
-                lead = (lead << np.uint64(8)) | part[pos + i].astype(np.uint64)
-            held.append(Records(lead=lead, rest=windows[pos], pos=pos + begin, doc=np.full(len(pos), doc, np.int64), tie=np.full(len(pos), tie, np.int32)))
-            count += len(pos)
-            if count >= COMBINE:
-                yield from flush()
-                held, count = [], 0
+            lead, rest = _windows(np.frombuffer(span, np.uint8), np.arange(n), length)
+            held.append(Records(lead=lead, rest=rest, pos=pos + np.arange(n), doc=np.full(n, doc, np.int64), tie=np.full(n, tie, np.int32)))
+            count += n
+        if count >= COMBINE:
+            yield from flush()
+            held, count = [], 0
+        if len(spans) > 8192:
+            yield from arrow_rows(_SUFFIX, spans)
+            spans = []
     yield from flush()
+    yield from arrow_rows(_SUFFIX, spans)
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held = [Records(**{n: c.to_numpy() for n, c in zip(b.schema.names, b.columns)}) for b in batches]
+def _neighbours(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """Step 2 in a bucket: sort its windows, and tell those that follow an equal one."""
+    held = []
+    for batch in batches:
+        single = batch.column("n").to_numpy() == 0
+        r = Records(**{n: batch.column(n).to_numpy() for n in ("lead", "rest", "doc", "tie", "pos")}).take(single)
+        held.append(Records(**r.columns | {"lead": (r.lead ^ _LOW).view(np.uint64), "rest": r.rest.view(np.uint64)}))
+        whole = batch.filter(pa.array(~single))
+        if not whole.num_rows:
+            continue
+        # the spans are hashed as one text, and only windows within a span are taken
+        n = whole.column("n").to_numpy()
+        size = n + length - 1
+        first = np.cumsum(size) - size
+        k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        data = np.frombuffer(b"".join(whole.column("span").to_pylist()), np.uint8)
+        lead, rest = _windows(data, np.repeat(first, n) + k, length)
+        of = {c: np.repeat(whole.column(c).to_numpy(), n) for c in ("doc", "tie", "pos")}
+        held.append(Records(lead=lead, rest=rest, doc=of["doc"], tie=of["tie"], pos=of["pos"] + k))
     if held:
         r, _, repeat = _firsts(Records.join(held), "lead", "rest")
-        r = r.take(repeat)
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (r.doc, r.tie, r.pos, np.ones(len(r), np.int64))], ["doc", "tie", "pos", "n"])
+        yield _batch(_STRETCH, *_stretches(r.take(repeat)))
+
+
+def repeated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """doc, tie, pos, n: stretches of n starts of windows that also start earlier."""
+    small_batches(docs.sparkSession)
+    ranked, width = _ranked(docs), shuffle_width(docs.sparkSession)
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(width, 2 * total // (length - gram) // BUCKET)
+    opened = ranked.select("doc", "tie", "text").mapInArrow(lambda b: _records(b, length, gram), RECORD)
+    known = written(opened.repartition(buckets, "gram").mapInArrow(_compare_records, RECORD))
+    of_doc = known.where(f"kind > {REPEAT}").groupBy("doc", "tie").agg(F.collect_list(F.struct("kind", "gram", "pos", "n")).alias("open"))
+    shared = of_doc.join(ranked, ["doc", "tie"]).select("doc", "tie", "text", "open")
+    suffixes = written(shared.mapInArrow(lambda b: _suffixes(b, length), SUFFIX))
+    to_sort = suffixes.where("n = 0 or span is not null")
+    windows = to_sort.agg(F.sum(F.greatest("n", F.lit(1)))).first()[0] or 0
+    sorted_ = to_sort.repartitionByRange(max(width, windows // BUCKET), "lead", "rest").mapInArrow(lambda b: _neighbours(b, length), "doc long, tie int, pos long, n long")
+    whole = known.where(f"kind = {REPEAT}").select("doc", "tie", "pos", "n")
+    return whole.union(suffixes.where("n > 0 and span is null").select("doc", "tie", "pos", "n")).union(sorted_)
 
 
 def kept_bytes(data: bytes, stretches: list[dict], length: int = LENGTH) -> tuple[bytes, int]:
