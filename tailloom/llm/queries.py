@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, simhash, suffixes
+from . import media, packing, pieces, simhash, suffixes
 from .common import table
 
 
@@ -23,5 +23,15 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.kept_digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bestfit_packing, op2_simhash_near_dedup, op5_suffix_dedup)}
+def op7_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.document_media(table(spark, sf_dir, "documents"))
+
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = pieces.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    ids = F.concat_ws(" ", F.col("ids").cast("array<string>"))
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_bestfit_packing, op2_simhash_near_dedup, op5_suffix_dedup, op7_media_columns, op8_sentencepiece)}
 ORACLE_SQL: dict[str, str] = {}
