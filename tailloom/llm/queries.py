@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import media, packing, pieces, simhash, suffixes
+from . import extraction, media, packing, pieces, simhash, suffixes, warc
 from .common import table
 
 
@@ -33,5 +33,13 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bestfit_packing, op2_simhash_near_dedup, op5_suffix_dedup, op7_media_columns, op8_sentencepiece)}
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op1_bestfit_packing, op2_simhash_near_dedup, op5_suffix_dedup, op7_media_columns, op8_sentencepiece, op9_warc, op10_html_extraction)}
 ORACLE_SQL: dict[str, str] = {}
