@@ -316,7 +316,8 @@ def repeated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFra
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(width, 2 * total // (length - gram) // BUCKET)
     opened = ranked.select("doc", "tie", "text").mapInArrow(lambda b: _records(b, length, gram), RECORD)
-    known = written(opened.repartition(buckets, "gram").mapInArrow(_compare_records, RECORD))
+    route = F.when(F.col("kind") >= OPEN, F.col("gram")).otherwise(F.xxhash64("doc", "pos"))  # closed rows only pass through
+    known = written(opened.repartition(buckets, route).mapInArrow(_compare_records, RECORD))
     of_doc = known.where(f"kind > {REPEAT}").groupBy("doc", "tie").agg(F.collect_list(F.struct("kind", "gram", "pos", "n")).alias("open"))
     shared = of_doc.join(ranked, ["doc", "tie"]).select("doc", "tie", "text", "open")
     suffixes = written(shared.mapInArrow(lambda b: _suffixes(b, length), SUFFIX))
