@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import extraction, langid, media, neighbours, packing, pieces, simhash, suffixes, warc
+from . import extraction, langid, licences, media, neighbours, packing, pieces, simhash, suffixes, warc
 from .common import table
 
 
@@ -19,6 +19,10 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -49,5 +53,5 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bestfit_packing, op2_simhash_near_dedup, op4_language_id, op5_suffix_dedup, op6_nearest_neighbours, op7_media_columns, op8_sentencepiece, op9_warc, op10_html_extraction)}
+QUERIES = {f.__name__: f for f in (op1_bestfit_packing, op2_simhash_near_dedup, op3_licence_scan, op4_language_id, op5_suffix_dedup, op6_nearest_neighbours, op7_media_columns, op8_sentencepiece, op9_warc, op10_html_extraction)}
 ORACLE_SQL: dict[str, str] = {}
