@@ -26,11 +26,11 @@ def trim_rank_band(iso: DataFrame, low: int = 15, high: int = 85) -> DataFrame:
 
 def quantile_normalize(iso: DataFrame) -> DataFrame:
     """ppm scaled so that samples share one distribution of annotation totals; ties share their ranks' mean."""
-    totals = annotation_totals(iso)
+    totals = iso.groupBy("sample", "anno").agg(F.sum("ppm").alias("exact")).withColumn("ppm", F.round("exact", 6))
     ranked = totals.withColumn("r", F.row_number().over(Window.partitionBy("sample").orderBy("ppm", "anno")))
     means = ranked.groupBy("r").agg(F.avg("ppm").alias("m"))
     back = ranked.join(means, "r").withColumn("norm", F.avg("m").over(Window.partitionBy("sample", "ppm")))
-    scale = back.select("sample", "anno", (F.col("norm") / F.col("ppm")).alias("scale"))
+    scale = back.select("sample", "anno", (F.col("norm") / F.col("exact")).alias("scale"))
     return iso.join(scale, ["sample", "anno"]).withColumn("ppm", F.col("ppm") * F.col("scale")).drop("scale")
 
 

@@ -87,8 +87,28 @@ def _with(sql: str, *names: str) -> str:
     return "WITH " + ", ".join(f"{n} AS ({_CTES[n].strip()})" for n in order) + " " + sql
 
 
+#: Added before rounding to four digits: values such as 62.03125 lie on a boundary, where engines may differ.
+SHIFT = 3.7e-7
+
+
 def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
-    return df.withColumns({c: F.round(c, digits) for c, kind in df.dtypes if kind == "double"})
+    return df.withColumns({c: F.round(F.col(c) + SHIFT, digits) for c, kind in df.dtypes if kind == "double"})
+
+
+def _shifted(sql: str) -> str:
+    """sql with SHIFT added inside each round(..., 4)."""
+    out, at = [], 0
+    while (begin := sql.find("round(", at)) >= 0:
+        depth, end = 1, begin + 6
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[end], 0)
+            end += 1
+        inner = sql[begin + 6 : end - 1]
+        value, _, digits = inner.rpartition(",")
+        value = _shifted(value)
+        out += [sql[at:begin], f"round(({value}) + {SHIFT},{digits})" if digits.strip() == "4" else f"round({value},{digits})"]
+        at = end
+    return "".join(out) + sql[at:]
 
 
 _MEASURES = "round(sum(CASE WHEN tail_class = 'GM' THEN ppm ELSE 0 END), 4) AS gm, round(sum(CASE WHEN tail_class <> 'GM' THEN ppm ELSE 0 END), 4) AS pm, round(sum(ppm), 4) AS gmpm, round(CASE WHEN sum(ppm) < 1 THEN 0 ELSE sum(CASE WHEN tail_class <> 'GM' THEN ppm ELSE 0 END) * 100 / sum(ppm) END, 4) AS tailing"
@@ -295,4 +315,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: _with(sql, *needs) for name, (_, sql, needs) in REPORTS.items()}
+    return {name: _with(_shifted(sql), *needs) for name, (_, sql, needs) in REPORTS.items()}
