@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, scratch, small_batches
+from .common import arrow_rows, scratch, small_batches, written
 
 VERSION = b"WARC/1.1"
 SEGMENT_BYTES, CHUNK_BYTES, DEDUP_BYTES = 1 << 15, 1 << 13, 100
@@ -112,8 +112,10 @@ def write(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYTES, dedup
     html = F.coalesce("html", F.lit(""))
     long = F.octet_length(html) >= dedup_bytes
     pages = pages.select("page_id", "url", html.alias("html"), F.when(long, F.sha2(html, 256)).alias("digest"))
-    # only digests that occur more than once: few rows
+    # only digests that occur more than once; written, so that Spark knows their size and need not shuffle
+    # the pages where it is under the broadcast threshold
     firsts = pages.where(F.col("digest").isNotNull()).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
+    firsts = written(firsts)
     origin = F.when(F.col("first") == F.col("page_id"), F.lit(None)).otherwise(F.col("first"))
     with_origin = pages.join(firsts, "digest", "left").select("page_id", "url", "html", origin.alias("origin"))
     schema = pa.schema([("record", pa.binary())])
