@@ -33,11 +33,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shuffle_width, small_batches, written
+from .common import small_batches, written
 
 TABLES, HASHES, SAMPLE, SAMPLE_QUERIES, TARGET = 4, 8, 4000, 100, 0.96
 #: Entries of a bucket part, and of a part of the index that one task searches.
-BUCKET, PART = 20_000, 20_000
+BUCKET, PART = 4_000, 4_000
 _PROBES = (10, 20, 40, 80, 120, 160, 240, 320, 480, 640, 960, 1280, 1920, 2560, 3840, 6561)
 
 
@@ -174,7 +174,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     entries = written(entries.select(F.element_at("ids", 1).alias("near"), "ids", "v"))
     sample = entries.orderBy(F.xxhash64("near")).select("v").limit(SAMPLE).collect()
     asked = written(valid.where(is_query).select(F.col("vec_id").alias("query_id"), "v").distinct().join(entries.select(F.col("near").alias("cid"), "v"), "v").select("query_id", "cid"))
-    queries = entries.join(asked.select(F.col("cid").alias("near")).distinct(), "near").select(F.col("near").alias("cid"), "v")
+    queries = written(entries.join(asked.select(F.col("cid").alias("near")).distinct(), "near").select(F.col("near").alias("cid"), "v"))
     if not sample:
         empty = "query_id long, rank int, vec_id long, score double"
         return spark.createDataFrame([], empty)
@@ -192,8 +192,6 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
 
 def _probe(entries: DataFrame, queries: DataFrame, hashing, k: int) -> DataFrame:
     """The k + 1 nearest entries to each query in each part of the index that it visits."""
-    width = shuffle_width(entries.sparkSession)
-
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             codes = hashing.value.codes(_matrix(batch.column("v")))
@@ -211,7 +209,7 @@ def _probe(entries: DataFrame, queries: DataFrame, hashing, k: int) -> DataFrame
     placed = entries.mapInArrow(index, "bucket long, near long, ids array<long>, v array<double>")
     sizes = placed.groupBy("bucket").agg(F.count("*").alias("n"))
     hot = written(sizes.where(F.col("n") > BUCKET).select("bucket", F.ceil(F.col("n") / BUCKET).cast("int").alias("parts")))
-    parts = max(width, TABLES * entries.count() // PART)
+    parts = max(1, TABLES * entries.count() // PART)
     salted = placed.join(hot, "bucket", "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64("near"), F.col("parts")).cast("int"), F.lit(0)))
     where = F.pmod(F.xxhash64("bucket", "salt"), F.lit(parts)).alias("part")
     left = salted.select(where, "bucket", "near", "ids", "v")
@@ -225,7 +223,7 @@ def _all(entries: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """The k + 1 nearest entries to each query in each block, over all blocks."""
     parts = max(1, entries.count() // PART)
     left = entries.select(F.pmod(F.xxhash64("near"), F.lit(parts)).alias("part"), F.lit(0).cast("long").alias("bucket"), "near", "ids", "v")
-    right = queries.select(F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).cast("long").alias("part"), "cid", F.array(F.lit(0).cast("long")).alias("buckets"), "v")
+    right = queries.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part"), "cid", F.array(F.lit(0).cast("long")).alias("buckets"), "v")
     return left.groupBy("part").cogroup(right.groupBy("part")).applyInArrow(lambda a, b: _search(a, b, k), _FOUND)
 
 
