@@ -362,6 +362,25 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return joined.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
+def strip_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """docs with repeats removed from text; a character that a removed stretch cuts goes with it."""
+    found = repeated(docs, length).groupBy("doc", "tie").agg(F.collect_list(F.struct("pos", "n")).alias("_gone"))
+    names, at = docs.columns, docs.columns.index("text")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = zip(batch.column(at).to_pylist(), batch.column("_gone").to_pylist())
+            texts = [t and (kept_bytes(t.encode(), gone, length)[0].decode("utf-8", "ignore") if gone else t) for t, gone in pairs]
+            columns = list(batch.columns[:-1])
+            columns[at] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    text = F.coalesce("text", F.lit(""))
+    keyed = docs.withColumn("doc", F.coalesce("doc_id", F.lit(int(_LOW)))).withColumn("tie", F.hash(text))
+    return keyed.join(found, ["doc", "tie"], "left").select(*names, "_gone").mapInArrow(cut, kinds)
+
+
 def kept_digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """As remove_repeats, with the SHA-256 of the remaining bytes in their place."""
     return remove_repeats(docs, length).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
