@@ -4,7 +4,7 @@ from tailloom.llm import queries
 
 def test_stages(spark):
     """Each stage on a fixture: what it must drop goes, clean documents stay, columns hold."""
-    clean = [(i, " ".join(f"{w}{i}" for w in "the quick brown fox jumps over the lazy dog again".split()) * 3, "en", "s", 0) for i in range(10, 16)]
+    clean = [(i, " ".join(f"{w}{i}x{k}" for k in range(3) for w in "the quick brown fox jumps over the lazy dog again".split()), "en", "s", 0) for i in range(10, 16)]
     passage = " ".join(f"word{i}" for i in range(60))
     rows = [*clean, (1, None, "en", "s", 0), (2, "12 34 !!", "en", "s", 0), (30, clean[0][1], "en", "s", 0), (40, "first " + passage, "en", "s", 0), (41, passage + " second, and words of its own for this one", "en", "s", 0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
