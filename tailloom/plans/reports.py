@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import classify_tail
-from ..operators import counting, intervals, profiles, tags as tag_ops
+from ..operators import counting, differential, intervals, profiles, sequences, tags as tag_ops, views
 from . import adapters
 
 #: Tags under so many parts per million are left out of the reports.
@@ -50,6 +50,16 @@ class Base:
     def totals(self) -> DataFrame:
         return profiles.annotation_totals(self.iso())
 
+    def folds(self) -> DataFrame:
+        return differential.with_p(profiles.pairwise_fold(self.totals()))
+
+    def tails(self) -> DataFrame:
+        """annotated, with tail_class and read_len."""
+        return self.annotated().withColumns({"tail_class": classify_tail(F.col("tail")), "read_len": F.col("gm_len")})
+
+    def genome(self) -> DataFrame:
+        return self.view(adapters.GENOME)
+
     def alignments(self) -> DataFrame:
         return self.view(adapters.ALIGNMENTS)
 
@@ -58,6 +68,7 @@ _CTES = {
     "alignments": adapters.ALIGNMENTS,
     "variants": adapters.VARIANTS,
     "features": adapters.FEATURES,
+    "genome": adapters.GENOME,
     "tags0": adapters.TAGS,
     "tags": "SELECT t.*, CAST(reads AS DOUBLE) / nh AS weight, (CAST(reads AS DOUBLE) / nh) * 1e6 / sum(CAST(reads AS DOUBLE) / nh) OVER (PARTITION BY sample) AS ppm FROM tags0 t",
     "hits0": "SELECT t.*, f.db_idx, f.f_start, f.f_end, f.biotype, f.name FROM tags t JOIN features f ON t.chrom = f.chrom AND t.strand = f.strand AND t.t_start - 1 < f.f_end AND t.t_end - 1 > f.f_start",
@@ -117,6 +128,12 @@ _PRE = "regexp_replace(anno, '-[35]p$', '')"
 _ARM = "regexp_extract(anno, '-([35]p)$', 1)"
 _FOLDS = "SELECT n.anno, s1, s2, coalesce(x.ppm, 0) AS x, coalesce(y.ppm, 0) AS y, (coalesce(x.ppm, 0) + 1) / (coalesce(y.ppm, 0) + 1) AS fold FROM (SELECT a.sample AS s1, b.sample AS s2 FROM (SELECT DISTINCT sample FROM totals) a, (SELECT DISTINCT sample FROM totals) b WHERE a.sample <> b.sample) p CROSS JOIN (SELECT DISTINCT anno FROM totals) n LEFT JOIN totals x ON x.anno = n.anno AND x.sample = s1 LEFT JOIN totals y ON y.anno = n.anno AND y.sample = s2 WHERE coalesce(x.ppm, 0) > 0 OR coalesce(y.ppm, 0) > 0"
 
+_SHARES = ", ".join(f"sum(CASE WHEN tail_class = '{k}' THEN ppm ELSE 0 END) AS t_{k.lower()}" for k in ("A", "C", "G", "U", "Other", "GM"))
+_AVERAGES = ", ".join(f"round(avg(t_{k} / t), 4) AS {k}" for k in ("a", "c", "g", "u", "other", "gm"))
+_ISLANDS = "SELECT *, sum(new) OVER (PARTITION BY {by} ORDER BY t_start, t_end) AS island FROM (SELECT *, CASE WHEN coalesce(max(t_end) OVER (PARTITION BY {by} ORDER BY t_start, t_end ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) < t_start THEN 1 ELSE 0 END AS new FROM (SELECT {by}, t_start, t_end, sum(ppm) AS ppm FROM {rows} GROUP BY ALL) x) y"
+_XY = "SELECT anno, sum(CASE WHEN sample = 'AF' THEN ppm ELSE 0 END) AS x, sum(CASE WHEN sample = 'RF' THEN ppm ELSE 0 END) AS y FROM totals WHERE sample IN ('AF', 'RF') GROUP BY anno"
+_SEQUENCE = "CASE WHEN strand = '-' THEN reverse(translate({s}, 'ACGT', 'TGCA')) ELSE {s} END"
+
 _ENDS = "SELECT a.sample, a.anno, sum(p * abs(e - mode)) / sum(p) AS h FROM (SELECT *, first_value(e) OVER (PARTITION BY sample, anno ORDER BY p DESC, e) AS mode FROM (SELECT sample, anno, CASE WHEN (strand = '+') = {five} THEN t_start ELSE t_end END AS e, round(sum(ppm), 6) AS p FROM annotated GROUP BY ALL) x) a GROUP BY a.sample, a.anno"
 
 Build = Callable[[Base], DataFrame]
@@ -303,15 +320,111 @@ REPORTS: dict[str, tuple[Build, str, tuple[str, ...]]] = {
         "SELECT datasets, count(*) AS n FROM (SELECT anno, string_agg(DISTINCT sample, ',' ORDER BY sample) AS datasets FROM totals WHERE ppm > 500 GROUP BY anno) x GROUP BY datasets",
         ("totals",),
     ),
+    "two_sample_table": (lambda b: views.two_sample_table(b.totals(), "AF", "RF"), f"SELECT anno, round(x, 4) AS x, round(y, 4) AS y FROM ({_XY}) t", ("totals",)),
+    "difference_histogram": (
+        lambda b: views.difference_histogram(views.two_sample_table(b.totals(), "AF", "RF")),
+        f"SELECT CAST(least(CASE WHEN hi > lo THEN floor((d - lo) * 10 / (hi - lo)) ELSE 0 END, 9) AS INT) AS bin, side, count(*) AS n FROM (SELECT *, min(d) OVER () AS lo, max(d) OVER () AS hi FROM (SELECT abs(x - y) AS d, CAST(sign(x - y) AS INT) AS side FROM ({_XY}) t) u WHERE d > 0) v GROUP BY ALL",
+        ("totals",),
+    ),
+    "merge_regions": (
+        lambda b: views.merge_regions(b.tags().join(b.hits().select("tag_id"), "tag_id", "left_anti")),
+        f"SELECT sample, chrom, min(t_start) AS m_start, max(t_end) AS m_end, round(sum(ppm), 4) AS ppm FROM ({_ISLANDS.format(by='sample, chrom', rows='(SELECT * FROM tags t WHERE NOT EXISTS (SELECT 1 FROM hits h WHERE h.tag_id = t.tag_id)) z')}) i GROUP BY sample, chrom, island",
+        ("hits",),
+    ),
+    "pileup_segments": (
+        lambda b: views.pileup_segments(b.annotated()),
+        f"SELECT anno, chrom, strand, s_start, s_end, round(ppm, 4) AS ppm FROM (SELECT *, row_number() OVER (PARTITION BY anno ORDER BY ppm DESC, chrom, strand, s_start, s_end) AS r FROM (SELECT anno, chrom, strand, min(t_start) AS s_start, max(t_end) AS s_end, round(sum(ppm), 6) AS ppm FROM ({_ISLANDS.format(by='anno, chrom, strand', rows='annotated')}) i GROUP BY anno, chrom, strand, island) g) k WHERE r = 1",
+        ("annotated",),
+    ),
+    "pileup_seeds": (
+        lambda b: views.pileup_seeds(b.tails()),
+        "SELECT anno, chrom, strand, t_start - first AS distance, round(sum(CASE WHEN tail_class = 'GM' THEN ppm ELSE 0 END), 4) AS gm, round(sum(CASE WHEN tail_class <> 'GM' THEN ppm ELSE 0 END), 4) AS pm, count(*) AS n, max(read_len) AS longest FROM (SELECT *, min(t_start) OVER (PARTITION BY anno, chrom, strand) AS first FROM annotated) x GROUP BY anno, chrom, strand, t_start - first",
+        ("annotated",),
+    ),
+    "seed_length_matrix": (
+        lambda b: views.seed_length_matrix(b.iso()),
+        f"SELECT mir, arm, seed, read_len, round(sum(CASE WHEN tail_class = 'GM' THEN ppm ELSE 0 END), 4) AS gm, round(sum(CASE WHEN tail_class <> 'GM' THEN ppm ELSE 0 END), 4) AS pm, round(sum(ppm), 4) AS gmpm FROM (SELECT *, {_PRE} AS mir, {_ARM} AS arm FROM iso) x WHERE arm <> '' GROUP BY GROUPING SETS ((mir, arm, seed, read_len), (mir, arm, seed), (mir, arm, read_len))",
+        ("iso",),
+    ),
+    "seed_heatmap": (
+        lambda b: views.seed_heatmap(b.iso()),
+        "SELECT seed, bin, round(sum(p) / max(members), 4) AS value, (min({'v': -p, 'a': anno})).a AS top FROM (SELECT seed, anno, round(sum(ppm), 6) AS p FROM iso GROUP BY ALL) c JOIN (SELECT anno, bin, count(*) OVER (PARTITION BY bin) AS members FROM (SELECT anno, CAST((row_number() OVER (ORDER BY anno) - 1) // 5 AS INT) AS bin FROM (SELECT DISTINCT anno FROM iso) d) e) n USING (anno) GROUP BY seed, bin",
+        ("iso",),
+    ),
+    "seed_slices": (lambda b: views.seed_slices(b.iso(), 50.0), "SELECT sample, seed, anno, round(sum(ppm), 4) AS ppm FROM iso GROUP BY sample, seed, anno HAVING sum(ppm) >= 50", ("iso",)),
+    "length_view": (
+        lambda b: views.scale_to_max(b.iso().groupBy("sample", "anno").agg(F.sum("ppm").alias("ppm")), "ppm", "sample"),
+        "SELECT sample, anno, round(sum(ppm), 4) AS ppm, round(sum(ppm) * 100 / max(sum(ppm)) OVER (PARTITION BY sample), 4) AS scaled FROM iso GROUP BY sample, anno",
+        ("iso",),
+    ),
+    "tail_scatter": (
+        lambda b: views.tail_scatter(b.iso(), "A", 10.0, "5p"),
+        f"SELECT sample, anno, round(log2(sum(ppm)), 4) AS x, round(sum(CASE WHEN tail_class = 'A' THEN ppm ELSE 0 END) / sum(ppm), 4) AS y FROM iso WHERE {_ARM} = '5p' GROUP BY sample, anno HAVING sum(ppm) >= 10",
+        ("iso",),
+    ),
+    "rank_annotations": (
+        lambda b: views.rank_annotations(b.totals(), merge_arms=True),
+        f"SELECT sample, anno, round(ppm, 4) AS ppm, CAST(row_number() OVER (PARTITION BY sample ORDER BY ppm DESC, anno DESC) AS INT) AS rank FROM (SELECT sample, {_PRE} AS anno, round(sum(ppm), 6) AS ppm FROM totals GROUP BY ALL) x",
+        ("totals",),
+    ),
+    "stacked_cumulative": (
+        lambda b: views.stacked_cumulative(profiles.positional_composition(b.tags())),
+        "SELECT sample, slot, nt, round(share, 4) AS share, round(sum(share) OVER (PARTITION BY sample, slot ORDER BY nt), 4) AS top FROM (SELECT sample, slot, nt, sum(ppm) / sum(sum(ppm)) OVER (PARTITION BY sample, slot) AS share FROM (SELECT sample, ppm, CAST(slot AS INT) AS slot, translate(substring(seq, CAST(slot AS INT) + 1, 1), 'T', 'U') AS nt FROM tags, range(8) s(slot)) x GROUP BY sample, slot, nt) y",
+        ("tags",),
+    ),
+    "ranked_bin_composition": (
+        lambda b: views.ranked_bin_composition(b.iso()),
+        f"SELECT sample, CAST((r - 1) // 10 AS INT) AS bin, {_AVERAGES} FROM (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY t, anno) AS r FROM (SELECT sample, anno, round(sum(ppm), 6) AS t, {_SHARES} FROM iso GROUP BY sample, anno) x WHERE t > 0) y GROUP BY ALL",
+        ("iso",),
+    ),
+    "token_view_seed": (lambda b: views.token_view(b.iso(), "Seed"), "SELECT sample, seed, tail_class, read_len, round(sum(ppm), 4) AS ppm FROM iso GROUP BY sample, seed, tail_class, read_len", ("iso",)),
+    "token_view_arm": (lambda b: views.token_view(b.iso(), "5p"), f"SELECT sample, biotype, anno, seed, tail_class, read_len, round(ppm, 4) AS ppm FROM iso WHERE {_ARM} = '5p'", ("iso",)),
+    "filter_value_matrix": (
+        lambda b: views.filter_value_matrix(b.totals(), 100.0, 3000.0),
+        "SELECT anno, round(sum(ppm), 4) AS total FROM totals GROUP BY anno HAVING max(ppm) > 100 AND (min(ppm) < 3000 OR count(*) < (SELECT count(DISTINCT sample) FROM totals))",
+        ("totals",),
+    ),
+    "length_tables_merged": (
+        lambda b: views.length_tables_merged(b.iso()),
+        f"SELECT {_PRE} AS mir, {_ARM} AS arm, sample, round(sum(CASE WHEN tail_class = 'GM' THEN ppm ELSE 0 END), 4) AS gm, round(sum(CASE WHEN tail_class <> 'GM' THEN ppm ELSE 0 END), 4) AS pm, round(sum(ppm), 4) AS gmpm FROM iso WHERE {_ARM} <> '' GROUP BY ALL",
+        ("iso",),
+    ),
+    "map_names": (
+        lambda b: views.map_names(b.hits(), "miRNA", "mirtron"),
+        "SELECT DISTINCT a.name AS source, b.name AS target FROM hits a JOIN hits b ON a.tag_id = b.tag_id WHERE a.biotype = 'miRNA' AND b.biotype = 'mirtron'",
+        ("hits",),
+    ),
+    "preference_semi_join": (
+        lambda b: b.totals().join(profiles.preference_sets(profiles.pairwise_fold(b.totals()), 1.2).select("anno"), "anno", "left_semi"),
+        f"SELECT sample, anno, round(ppm, 4) AS ppm FROM totals WHERE anno IN (SELECT anno FROM ({_FOLDS}) f GROUP BY anno, s1 HAVING count(*) FILTER (WHERE fold >= 1.2) = (SELECT count(DISTINCT sample) - 1 FROM totals) OR count(*) FILTER (WHERE fold <= 1 / 1.2) = (SELECT count(DISTINCT sample) - 1 FROM totals))",
+        ("totals",),
+    ),
+    "read_sequence": (
+        lambda b: sequences.extract_sequence(b.tags().withColumn("at", F.col("t_start") - 1), b.genome(), "at", "gm_len", adapters.CHUNK, "tail").select("tag_id", "sequence"),
+        f"SELECT tag_id, {_SEQUENCE.format(s=f'substring(chunk, CAST((t_start - 1) % {adapters.CHUNK} + 1 AS INT), gm_len)')} || tail AS sequence FROM tags0 t JOIN genome g ON g.chrom = t.chrom AND g.chunk_id = (t_start - 1) // {adapters.CHUNK}",
+        ("tags0", "genome"),
+    ),
+    "precursor_sequences": (
+        lambda b: sequences.extract_sequence(b.features().where(F.col("biotype").isin("miRNA", "mirtron")).withColumn("bases", F.col("f_end") - F.col("f_start")), b.genome(), "f_start", "bases", adapters.CHUNK).select("name", "f_start", "f_end", "sequence"),
+        f"SELECT name, f_start, f_end, {_SEQUENCE.format(s=f'substring(chunk, CAST(f_start % {adapters.CHUNK} + 1 AS INT), CAST(f_end - f_start AS INT))')} AS sequence FROM features f JOIN genome g ON g.chrom = f.chrom AND g.chunk_id = f_start // {adapters.CHUNK} WHERE biotype IN ('miRNA', 'mirtron')",
+        ("features", "genome"),
+    ),
     "top_k": (
         lambda b: b.iso().groupBy("anno").agg(F.round(F.sum("ppm"), 4).alias("total")).orderBy(F.desc("total"), F.desc("anno")).limit(20),
         "SELECT anno, round(sum(ppm), 4) AS total FROM iso GROUP BY anno ORDER BY total DESC, anno DESC LIMIT 20",
         ("iso",),
     ),
 }
+#: Queries that SQL can't express: an incomplete beta function.
+UNSQL: dict[str, Build] = {
+    "pairwise_differential": lambda b: b.folds(),
+    "differential_filter": lambda b: views.filter_fold_pvalue(b.folds(), 0.2, 0.9),
+    "volcano_points": lambda b: views.volcano_points(b.folds()),
+}
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: (lambda spark, sf_dir, build=build: rounded(build(Base(spark, sf_dir)))) for name, (build, _, _) in REPORTS.items()}
+    return {name: (lambda spark, sf_dir, build=build: rounded(build(Base(spark, sf_dir)))) for name, build in ({n: r[0] for n, r in REPORTS.items()} | UNSQL).items()}
 
 
 def oracle_sql() -> dict[str, str]:

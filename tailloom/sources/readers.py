@@ -114,3 +114,23 @@ def read_wide_report(spark: SparkSession, path: str) -> DataFrame:
     wide = spark.read.options(sep="\t", header=True).csv(path)
     first, *samples = wide.columns
     return wide.unpivot(first, samples, "sample", "value").select(F.col(first).alias("anno"), "sample", F.col("value").cast("double").alias("value"))
+
+
+def read_genome(spark: SparkSession, path: str, size: int = 1 << 16, beyond: int = 128) -> DataFrame:
+    """chrom, chunk_id and chunk of FASTA files: ``size`` bases, and ``beyond`` of the next chunk.
+
+    A chromosome is read as one row, so it must have under 2 GB of text; its chunks are many rows.
+    """
+    raw = spark.read.option("lineSep", ">").text(path).where(F.length("value") > 0).select(F.split("value", "\n", 2).alias("l"))
+    seq = raw.select(F.regexp_extract(F.col("l")[0], r"^\S+", 0).alias("chrom"), F.upper(F.regexp_replace(F.col("l")[1], r"\s", "")).alias("seq")).where("seq <> ''")
+    chunks = seq.withColumn("chunk_id", F.explode(F.sequence(F.lit(0), F.floor((F.length("seq") - 1) / size).cast("int"))))
+    return chunks.select("chrom", F.col("chunk_id").cast("long"), F.substring(F.col("seq"), F.col("chunk_id") * size + 1, F.lit(size + beyond)).alias("chunk"))
+
+
+def read_targets(spark: SparkSession, path: str, species: str = "hsa", least_pct: float | None = None) -> DataFrame:
+    """transcript, gene, seed, mir and pct of target predictions of a species, with pct at least ``least_pct`` if given."""
+    f = F.split("value", "\t")
+    pct = F.expr("try_cast(split(value, '\t')[16] AS double)")
+    rows = spark.read.text(path).where(F.col("value").startswith("ENST") & (F.size(f) > 16))
+    rows = rows.select(f[0].alias("transcript"), f[1].alias("gene"), f[2].alias("seed"), f[13].alias("mir"), pct.alias("pct")).where(F.col("mir").startswith(species))
+    return rows if least_pct is None else rows.where(F.col("pct") >= least_pct)
