@@ -34,6 +34,24 @@ def quantile_normalize(iso: DataFrame) -> DataFrame:
     return iso.join(scale, ["sample", "anno"]).withColumn("ppm", F.col("ppm") * F.col("scale")).drop("scale")
 
 
+def tmm_normalize(totals: DataFrame, m_trim: float = 30.0, a_trim: float = 5.0, trim_mean: float = 1.0) -> DataFrame:
+    """ppm scaled by each sample's trimmed mean of log ratios to a uniform reference, which comes as column tmm.
+
+    Values at 0 take no part.  Both trims (per cent at each end) go by rank; the log ratio and the mean log level
+    against a uniform reference rise with the value alone, so that one order serves both.  tmm is null, and so is
+    the scaled value, where the weighted mean is not over 0 (a sample of one annotation, for instance).
+    """
+    w = Window.partitionBy("sample")
+    ranked = totals.where("ppm > 0").withColumns({"i": F.row_number().over(w.orderBy("ppm", "anno")) - 1, "n": F.count("*").over(w), "whole": F.sum("ppm").over(w)})
+    cut = F.col("n") * max(m_trim, a_trim) / 100
+    kept = (F.col("i") >= cut) & (F.col("i") <= F.col("n") - cut)
+    ratio = F.when(F.col("n") > 1, F.log2(F.col("ppm") / F.col("whole")) / F.log2(1 / F.col("n")))
+    weight = (F.col("whole") - F.col("ppm")) / (F.col("whole") * F.col("ppm")) + (F.col("n") - 1) / (F.col("n") * trim_mean)
+    mean = F.sum(F.when(kept, weight * ratio)).over(w) / F.nullif(F.sum(F.when(kept, weight)).over(w), F.lit(0.0))
+    scaled = ranked.withColumn("tmm", F.sqrt(F.when(mean > 0, mean)))
+    return scaled.select("sample", "anno", (F.col("ppm") * 1e6 / (F.col("whole") * F.col("tmm"))).alias("ppm"), "tmm")
+
+
 def normalized_expression(iso: DataFrame) -> DataFrame:
     """Totals by annotation (seed null) and by isoform."""
     return iso.groupingSets([["sample", "anno"], ["sample", "anno", "seed"]], "sample", "anno", "seed").agg(F.sum("ppm").alias("ppm"))
@@ -93,6 +111,37 @@ def arm_difference(iso: DataFrame) -> DataFrame:
     return best.groupBy("mir").agg(F.sum("t").alias("total"), F.when(F.count_distinct("arm") > 1, "Y").otherwise("N").alias("is_diff"))
 
 
+def arm_report(iso: DataFrame) -> DataFrame:
+    """arm_difference with the samples and their dominant arms, each joined by colons in order of samples."""
+    arms = iso.where(arm_of(F.col("anno")).isin("5p", "3p")).groupBy(precursor_of(F.col("anno")).alias("anno"), "sample", arm_of(F.col("anno")).alias("arm")).agg(F.round(F.sum("ppm"), 6).alias("ppm"))
+    best = arms.groupBy("anno", "sample").agg(F.min(F.struct((-F.col("ppm")).alias("v"), "arm")).getField("arm").alias("arm"), F.sum("ppm").alias("t"))
+    held = F.array_sort(F.collect_list(F.struct("sample", "arm")))  # as long as the list of samples
+    by = best.groupBy("anno").agg(F.sum("t").alias("total"), F.when(F.count_distinct("arm") > 1, "Y").otherwise("N").alias("diff"), held.alias("h"))
+    return by.select("anno", "total", "diff", F.array_join("h.sample", ":").alias("samples"), F.array_join("h.arm", ":").alias("info"))
+
+
+def filter_difference_rows(report: DataFrame, mode: str, min_len_diff: int = 0, fold: float = 0.0, max_expr: float = 0.0, min_expr: float = 0.0) -> DataFrame:
+    """Rows of a difference report (anno, total, diff, samples, info; the last two joined by colons) in limits; 0 sets none.
+
+    Arm: one row (anno, sample, arm) for each arm that only one sample of a flagged annotation has.  Length: a
+    difference from ``min_len_diff`` up.  Loading: a rise from ``fold`` up, or a value at most ``fold`` if it isn't
+    over 0; the annotation is split into name and seed, and the samples in two columns.
+    """
+    rows = report.where(F.col("total") >= min_expr) if min_expr else report
+    rows = rows.where(F.col("total") <= max_expr) if max_expr else rows
+    if mode == "Arm":
+        arms, samples = F.split("info", ":"), F.split("samples", ":")
+        each = rows.where("diff = 'Y'").select("anno", arms.alias("arms"), F.explode(F.arrays_zip(samples.alias("sample"), arms.alias("arm"))).alias("z"))
+        return each.where(F.size(F.filter("arms", lambda a: a == F.col("z.arm"))) == 1).select("anno", "z.sample", "z.arm")
+    if mode == "Length":
+        return (rows.where(F.col("diff") >= min_len_diff) if min_len_diff else rows).select("anno", "diff", "samples", "info")
+    if mode != "Loading":
+        raise ValueError(f"unknown mode {mode!r}")
+    rows = rows.where(F.when(F.col("diff") > 0, F.col("diff") >= fold).otherwise(F.col("diff") <= fold)) if fold else rows
+    name, of = F.split("anno", "_"), F.split("samples", ":")
+    return rows.select(F.get(name, F.lit(0)).alias("anno"), F.get(name, F.lit(1)).alias("seed"), "diff", F.get(of, F.lit(0)).alias("sample1"), F.get(of, F.lit(1)).alias("sample2"))
+
+
 def boxplot_stats(totals: DataFrame) -> DataFrame:
     """Least, quartiles (element at floor((n-1)q)) and largest of the values over 0, by sample."""
     w = Window.partitionBy("sample")

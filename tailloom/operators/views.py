@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import arm_of, gm, of_tail, pm, precursor_of
+from ..functions.columns import arm_of, gm, guarded_log, of_tail, pm, precursor_of
 
 
 def two_sample_table(totals: DataFrame, first: str, second: str) -> DataFrame:
@@ -145,3 +145,30 @@ def volcano_points(rows: DataFrame, floor: float = 0.0) -> DataFrame:
     """log2 of the fold and -log10 of p, of rows with a total over ``floor``."""
     negative: Column = -F.log10(F.greatest(F.col("p"), F.lit(1e-300)))
     return rows.where(F.col("total") > floor).select("anno", "s1", "s2", F.log2("fold").alias("log2_fold"), negative.alias("log10_p"))
+
+
+def differential_bars(filtered: DataFrame, lengths: DataFrame, k: int, mode: str = "ppm", measure: str = "gmpm") -> DataFrame:
+    """A measure by length and sample of the ``k`` filtered annotations (anno, total) with the largest totals.
+
+    mode gives ppm, its log2 (0 where there is none), or its per cent of the samples' sum at that length.
+    """
+    top = filtered.select("anno", "total").orderBy(F.desc("total"), "anno").limit(k)
+    rows = lengths.select("anno", "read_len", "sample", F.col(measure).alias("value")).join(F.broadcast(top.select("anno")), "anno", "left_semi")  # k rows
+    if mode == "log2":
+        return rows.withColumn("value", guarded_log(F.col("value"), 2.0))
+    if mode == "percent":
+        whole = F.sum("value").over(Window.partitionBy("anno", "read_len"))
+        return rows.withColumn("value", F.when(whole > 0, F.col("value") * 100 / whole).otherwise(0.0))
+    return rows
+
+
+def head_tail_n(rows: DataFrame, value: str, n: int, by: list[str], ties: list[str]) -> DataFrame:
+    """The n lowest and the n highest rows of each group, each once; ties go by other columns.
+
+    Each end is a ranked limit, which Spark also applies before the shuffle.
+    """
+    ends = []
+    for way in (F.asc, F.desc):
+        order = [way(value), *map(way, ties)]
+        ends.append(rows.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("_r") <= n).drop("_r"))
+    return ends[0].union(ends[1]).dropDuplicates([*by, value, *ties])

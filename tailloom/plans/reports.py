@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import classify_tail
-from ..operators import counting, differential, intervals, profiles, sequences, tags as tag_ops, views
+from ..functions.columns import classify_tail, precursor_of
+from ..operators import counting, differential, folding, intervals, profiles, regions, sequences, tags as tag_ops, targets, views
 from . import adapters
 
 #: Tags under so many parts per million are left out of the reports.
@@ -57,6 +57,28 @@ class Base:
         """annotated, with tail_class and read_len."""
         return self.annotated().withColumns({"tail_class": classify_tail(F.col("tail")), "read_len": F.col("gm_len")})
 
+    def iso_totals(self) -> DataFrame:
+        """totals by isoform, as name_seed."""
+        return profiles.annotation_totals(self.iso().withColumn("anno", F.concat_ws("_", "anno", "seed")))
+
+    def mir_hits(self) -> DataFrame:
+        """Hits of miRNAs and mirtrons, with mir and whether the tag also hits a repeat."""
+        hits = self.hits()
+        flags = counting.label_rules(hits, [("rmsk", True, "exact")])
+        kept = hits.where(F.col("biotype").isin("miRNA", "mirtron") & (F.col("ppm") >= FLOOR))
+        return kept.withColumn("mir", precursor_of(F.col("name"))).join(flags, "tag_id")
+
+    def predictions(self) -> DataFrame:
+        return targets.join_targets(self.view(adapters.TARGETS), self.totals().select(F.col("anno").alias("mir"), "anno"))
+
+    def folded(self) -> DataFrame:
+        digits = F.transform(F.split("entropy", ""), lambda x: x.cast("double"))
+        return self.view(adapters.FOLDS).select("name", F.col("pre_start").alias("start"), F.col("pre_end").alias("end"), digits.alias("entropy"))
+
+    def precursor_reads(self) -> DataFrame:
+        named = self.prime().where(F.col("biotype").isin("miRNA", "mirtron")).select("tag_id", F.col("name").alias("anno"))
+        return self.tags().where(F.col("ppm") >= FLOOR).join(named, "tag_id")
+
     def genome(self) -> DataFrame:
         return self.view(adapters.GENOME)
 
@@ -78,9 +100,15 @@ _CTES = {
     "annotated": f"SELECT t.*, p.biotype, p.name AS anno, translate(substring(t.seq, 2, 7), 'T', 'U') AS seed, t.gm_len AS read_len, CASE WHEN tail = '' THEN 'GM' WHEN tail = 'A' THEN 'A' WHEN tail = 'C' THEN 'C' WHEN tail = 'G' THEN 'G' WHEN tail = 'TT' THEN 'U' ELSE 'Other' END AS tail_class FROM tags t JOIN prime p ON t.tag_id = p.tag_id WHERE t.ppm >= {FLOOR}",
     "iso": "SELECT sample, biotype, anno, seed, tail_class, read_len, sum(ppm) AS ppm FROM annotated GROUP BY ALL",
     "counts": "SELECT sample, biotype, tail_class, read_len, sum(ppm) AS ppm FROM annotated GROUP BY ALL",
+    "targets": adapters.TARGETS,
+    "folds": adapters.FOLDS,
+    "isototals": "SELECT sample, anno || '_' || seed AS anno, round(sum(ppm), 6) AS ppm FROM iso GROUP BY ALL",
+    "mirhits": f"SELECT *, regexp_replace(name, '-[35]p$', '') AS mir FROM (SELECT *, bool_or(biotype = 'rmsk') OVER (PARTITION BY tag_id) AS is_flagged FROM hits) x WHERE biotype IN ('miRNA', 'mirtron') AND ppm >= {FLOOR}",
+    "predictions": "SELECT DISTINCT mir AS anno, translate(seed, 'U', 'T') AS seed, gene, pct FROM targets WHERE mir IN (SELECT anno FROM totals)",
+    "folded": "SELECT a.*, pre_start, pre_end, entropy, CASE WHEN strand = '-' THEN pre_end + 1 - t_end ELSE t_start - pre_start - 1 END AS place FROM annotated a JOIN folds f ON f.name = regexp_replace(a.anno, '-[35]p$', '') WHERE biotype IN ('miRNA', 'mirtron') AND t_start >= pre_start + 1 AND t_end <= pre_end + 1",
     "totals": "SELECT sample, anno, round(sum(ppm), 6) AS ppm FROM iso GROUP BY ALL",
 }
-_NEEDS = {"tags": ["tags0"], "hits0": ["tags", "features"], "hits": ["hits0"], "ranked": ["hits"], "prime": ["ranked"], "annotated": ["tags", "prime"], "iso": ["annotated"], "counts": ["annotated"], "totals": ["iso"]}
+_NEEDS = {"tags": ["tags0"], "hits0": ["tags", "features"], "hits": ["hits0"], "ranked": ["hits"], "prime": ["ranked"], "annotated": ["tags", "prime"], "iso": ["annotated"], "counts": ["annotated"], "totals": ["iso"], "isototals": ["iso"], "mirhits": ["hits"], "predictions": ["targets", "totals"], "folded": ["annotated", "folds"]}
 
 
 def _with(sql: str, *names: str) -> str:
@@ -136,6 +164,27 @@ _SEQUENCE = "CASE WHEN strand = '-' THEN reverse(translate({s}, 'ACGT', 'TGCA'))
 
 _ENDS = "SELECT a.sample, a.anno, sum(p * abs(e - mode)) / sum(p) AS h FROM (SELECT *, first_value(e) OVER (PARTITION BY sample, anno ORDER BY p DESC, e) AS mode FROM (SELECT sample, anno, CASE WHEN (strand = '+') = {five} THEN t_start ELSE t_end END AS e, round(sum(ppm), 6) AS p FROM annotated GROUP BY ALL) x) a GROUP BY a.sample, a.anno"
 
+_PREFERENCES = f"SELECT anno, sample, kind FROM (SELECT anno, s1 AS sample, CASE WHEN count(*) FILTER (WHERE fold >= 1.2) = (SELECT count(DISTINCT sample) - 1 FROM totals) THEN 'UniLike' WHEN count(*) FILTER (WHERE fold <= 1 / 1.2) = (SELECT count(DISTINCT sample) - 1 FROM totals) THEN 'DisLike' END AS kind FROM ({_FOLDS}) f GROUP BY anno, s1) x WHERE kind IS NOT NULL"
+#: Longest cluster that regions with a gap between them may come to share.
+MERGE = 2000
+_CLEAR = "(SELECT * FROM tags t WHERE NOT EXISTS (SELECT 1 FROM hits h WHERE h.tag_id = t.tag_id)) z"
+_WALK = (
+    f"WITH RECURSIVE isles AS (SELECT sample, chrom, island, min(t_start) AS i_start, (min({{'s': t_start, 'e': t_end}})).e AS first_end, max(t_end) AS i_end, sum(ppm) AS ppm FROM ({_ISLANDS.format(by='sample, chrom', rows=_CLEAR)}) i GROUP BY sample, chrom, island), "
+    f"walk AS (SELECT *, i_start AS head FROM isles WHERE island = 1 UNION ALL SELECT i.*, CASE WHEN i.first_end - w.head > {MERGE} THEN i.i_start ELSE w.head END FROM walk w JOIN isles i ON i.sample = w.sample AND i.chrom = w.chrom AND i.island = w.island + 1) "
+    "SELECT sample, chrom, min(i_start) AS m_start, max(i_end) AS m_end, round(sum(ppm), 4) AS ppm FROM walk GROUP BY sample, chrom, head"
+)
+
+
+def _under(at: str, n: int) -> str:
+    """Mean of n digits of entropy from a place, moved back from the end."""
+    return "(" + " + ".join(f"CAST(substring(entropy, CAST(least({at}, length(entropy) - {n}) AS INT) + {i}, 1) AS DOUBLE)" for i in range(1, n + 1)) + f") / {n}"
+
+
+_KEPT = "FROM (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY ppm, anno) - 1 AS i, count(*) OVER (PARTITION BY sample) AS n, sum(ppm) OVER (PARTITION BY sample) AS whole FROM totals WHERE ppm > 0) x"
+_TMM = f"SELECT *, i >= n * 30.0 / 100 AND i <= n - n * 30.0 / 100 AS kept, log2(ppm / whole) / log2(1.0 / n) AS m, (whole - ppm) / (whole * ppm) + CAST(n - 1 AS DOUBLE) / n AS w {_KEPT}"
+_REGION = "SELECT *, greatest(min(t_start) OVER k - 10, 1) AS r_start, max(t_end) OVER k + 10 AS r_end FROM mirhits WINDOW k AS (PARTITION BY mir, chrom, strand, f_start)"
+_PLACE = ["mir", "chrom", "strand", "f_start"]
+
 Build = Callable[[Base], DataFrame]
 #: name: (query, SQL, the common table expressions that the SQL reads)
 REPORTS: dict[str, tuple[Build, str, tuple[str, ...]]] = {
@@ -259,7 +308,7 @@ REPORTS: dict[str, tuple[Build, str, tuple[str, ...]]] = {
     "pairwise_fold": (lambda b: profiles.pairwise_fold(b.totals()), f"SELECT anno, s1, s2, round(x, 4) AS x, round(y, 4) AS y, round(fold, 4) AS fold, round(x + y, 4) AS total FROM ({_FOLDS}) f", ("totals",)),
     "preference_sets": (
         lambda b: profiles.preference_sets(profiles.pairwise_fold(b.totals()), 1.2),
-        f"SELECT anno, sample, kind FROM (SELECT anno, s1 AS sample, CASE WHEN count(*) FILTER (WHERE fold >= 1.2) = (SELECT count(DISTINCT sample) - 1 FROM totals) THEN 'UniLike' WHEN count(*) FILTER (WHERE fold <= 1 / 1.2) = (SELECT count(DISTINCT sample) - 1 FROM totals) THEN 'DisLike' END AS kind FROM ({_FOLDS}) f GROUP BY anno, s1) x WHERE kind IS NOT NULL",
+        _PREFERENCES,
         ("totals",),
     ),
     "loading_difference": (
@@ -409,14 +458,73 @@ REPORTS: dict[str, tuple[Build, str, tuple[str, ...]]] = {
         f"SELECT name, f_start, f_end, {_SEQUENCE.format(s=f'substring(chunk, CAST(f_start % {adapters.CHUNK} + 1 AS INT), CAST(f_end - f_start AS INT))')} AS sequence FROM features f JOIN genome g ON g.chrom = f.chrom AND g.chunk_id = f_start // {adapters.CHUNK} WHERE biotype IN ('miRNA', 'mirtron')",
         ("features", "genome"),
     ),
+    "join_targets": (lambda b: b.predictions(), "SELECT anno, seed, gene, round(pct, 4) AS pct FROM predictions", ("predictions",)),
+    "preference_targets": (
+        lambda b: targets.preference_targets(profiles.preference_sets(profiles.pairwise_fold(b.iso_totals()), 1.2), b.predictions()),
+        f"SELECT DISTINCT sample, kind, gene, round(pct, 4) AS pct FROM ({_PREFERENCES.replace('totals', 'isototals')}) p JOIN predictions t ON p.anno = t.anno || '_' || translate(t.seed, 'T', 'U')",
+        ("isototals", "predictions"),
+    ),
+    "join_fold": (
+        lambda b: folding.join_fold(b.precursor_reads(), b.folded()).select("tag_id", "anno", "pre_start", "pre_end", "offset"),
+        "SELECT tag_id, anno, pre_start, pre_end, place AS offset FROM folded",
+        ("folded",),
+    ),
+    "fold_entropy": (
+        lambda b: folding.fold_entropy(b.precursor_reads(), b.folded()),
+        f"SELECT sample, anno, round(avg(w5), 4) AS e5, round(avg(wm), 4) AS mid, round(avg(w3), 4) AS e3, round(avg(CASE WHEN tail <> '' THEN w3 END), 4) AS tail3 FROM (SELECT *, {_under('place', 8)} AS w5, {_under('place + 8', 4)} AS wm, {_under('place + 1 + gm_len - 8', 8)} AS w3 FROM folded) x GROUP BY sample, anno",
+        ("folded",),
+    ),
+    "tmm_normalize": (
+        lambda b: profiles.tmm_normalize(b.totals()),
+        f"SELECT sample, anno, round(ppm * 1e6 / (whole * tmm), 4) AS ppm, round(tmm, 4) AS tmm FROM (SELECT *, sqrt(sum(w * m) FILTER (WHERE kept) OVER (PARTITION BY sample) / sum(w) FILTER (WHERE kept) OVER (PARTITION BY sample)) AS tmm FROM ({_TMM}) y) z",
+        ("totals",),
+    ),
+    "merge_regions_bounded": (
+        lambda b: regions.merge_regions(b.tags().join(b.hits().select("tag_id"), "tag_id", "left_anti"), MERGE),
+        f"SELECT * FROM ({_WALK}) r",
+        ("hits",),
+    ),
+    "region_pileup": (
+        lambda b: regions.region_pileup(b.mir_hits(), _PLACE),
+        f"SELECT mir, chrom, strand, f_start, r_start, r_end, tag_id, sample, CASE WHEN strand = '-' THEN r_end - t_end ELSE t_start - r_start END AS offset, gm_len AS read_len, round(ppm, 4) AS ppm, is_flagged, right(name, 2) AS arm, translate(substring(seq, 2, 7), 'T', 'U') AS seed, CASE WHEN tail = '' THEN '.' ELSE translate(tail, 'T', 'U') END AS tail, mismatch_pos FROM ({_REGION}) x",
+        ("mirhits",),
+    ),
+    "region_sequences": (
+        lambda b: sequences.extract_sequence(
+            regions.region_extents(b.mir_hits(), _PLACE).withColumns({"at": F.col("r_start") - 1, "bases": F.col("r_end") - F.col("r_start")}), b.genome(), "at", "bases", adapters.CHUNK
+        ).select(*_PLACE, "r_start", "r_end", "sequence"),
+        f"SELECT mir, r.chrom, strand, f_start, r_start, r_end, {_SEQUENCE.format(s=f'substring(chunk, CAST((r_start - 1) % {adapters.CHUNK} + 1 AS INT), CAST(r_end - r_start AS INT))')} AS sequence FROM (SELECT DISTINCT mir, chrom, strand, f_start, r_start, r_end FROM ({_REGION}) x) r JOIN genome g ON g.chrom = r.chrom AND g.chunk_id = (r_start - 1) // {adapters.CHUNK}",
+        ("mirhits", "genome"),
+    ),
+    "differential_bars": (
+        lambda b: views.differential_bars(profiles.pairwise_fold(b.totals()).where("s1 = 'AF' AND s2 = 'RF' AND abs(log2(fold)) >= 0.2"), counting.length_tables(b.iso()), 20, "percent"),
+        f"SELECT anno, read_len, sample, round(sum(ppm) * 100 / sum(sum(ppm)) OVER (PARTITION BY anno, read_len), 4) AS value FROM iso WHERE anno IN (SELECT anno FROM ({_FOLDS}) f WHERE s1 = 'AF' AND s2 = 'RF' AND abs(log2(fold)) >= 0.2 ORDER BY x + y DESC, anno LIMIT 20) GROUP BY anno, read_len, sample",
+        ("totals",),
+    ),
+    "head_tail_n": (
+        lambda b: views.head_tail_n(b.totals(), "ppm", 5, ["sample"], ["anno"]),
+        "SELECT sample, anno, round(ppm, 4) AS ppm FROM (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY ppm, anno) AS lo, row_number() OVER (PARTITION BY sample ORDER BY ppm DESC, anno DESC) AS hi FROM totals) x WHERE lo <= 5 OR hi <= 5",
+        ("totals",),
+    ),
+    "filter_difference_arm": (
+        lambda b: profiles.filter_difference_rows(profiles.arm_report(b.iso()), "Arm", min_expr=10.0),
+        f"SELECT anno, sample, arm FROM (SELECT *, sum(t) OVER (PARTITION BY anno) AS total, count(*) OVER (PARTITION BY anno) AS n, count(*) OVER (PARTITION BY anno, arm) AS held FROM (SELECT anno, sample, arm, sum(p) OVER (PARTITION BY anno, sample) AS t, row_number() OVER (PARTITION BY anno, sample ORDER BY p DESC, arm) AS r FROM (SELECT {_PRE} AS anno, sample, {_ARM} AS arm, round(sum(ppm), 6) AS p FROM iso WHERE {_ARM} <> '' GROUP BY {_PRE}, sample, {_ARM}) y) x WHERE r = 1) z WHERE held = 1 AND n > 1 AND total >= 10",
+        ("iso",),
+    ),
+    "filter_difference_loading": (
+        lambda b: profiles.filter_difference_rows(profiles.loading_difference(b.iso_totals()).select("anno", "total", "diff", F.concat_ws(":", "max_sample", "min_sample").alias("samples"), F.lit("").alias("info")), "Loading", fold=0.5, min_expr=20.0),
+        "SELECT split_part(anno, '_', 1) AS anno, split_part(anno, '_', 2) AS seed, round(diff, 4) AS diff, sample1, sample2 FROM (SELECT anno, sum(ppm) AS total, (max(ppm) - greatest(min(ppm), 1e-6)) / greatest(min(ppm), 1e-6) AS diff, (min({'v': -ppm, 's': sample})).s AS sample1, (min({'v': ppm, 's': sample})).s AS sample2 FROM isototals GROUP BY anno) x WHERE total >= 20 AND CASE WHEN diff > 0 THEN diff >= 0.5 ELSE diff <= 0.5 END",
+        ("isototals",),
+    ),
     "top_k": (
         lambda b: b.iso().groupBy("anno").agg(F.round(F.sum("ppm"), 4).alias("total")).orderBy(F.desc("total"), F.desc("anno")).limit(20),
         "SELECT anno, round(sum(ppm), 4) AS total FROM iso GROUP BY anno ORDER BY total DESC, anno DESC LIMIT 20",
         ("iso",),
     ),
 }
-#: Queries that SQL can't express: an incomplete beta function.
+#: Queries that SQL can't express: an incomplete beta function, and chaining of strings.
 UNSQL: dict[str, Build] = {
+    "seed_chain": lambda b: regions.seed_chain(b.iso()),
     "pairwise_differential": lambda b: b.folds(),
     "differential_filter": lambda b: views.filter_fold_pvalue(b.folds(), 0.2, 0.9),
     "volcano_points": lambda b: views.volcano_points(b.folds()),
