@@ -1,10 +1,13 @@
+import os
 import sys
 from pathlib import Path
 
 import pytest
 from pyspark.sql import SparkSession
 
-sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+REPO = str(Path(__file__).resolve().parent.parent)
+sys.path.insert(0, REPO)
+os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [REPO, os.environ.get("PYTHONPATH")]))  # for Python workers
 
 
 @pytest.fixture(scope="session")
