@@ -1,5 +1,5 @@
 import corpus_pipeline
-from tailloom.llm import queries
+from tailloom.llm import queries, shingles, simhash
 
 
 def test_stages(spark):
@@ -24,3 +24,19 @@ def test_stages(spark):
 def test_names():
     assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 11)]
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
+
+
+def _documents(spark, rows):
+    return spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+
+
+def test_edited_copies_go(spark):
+    """Copies of a long text with a few words changed, over three bits of fingerprint away, are near duplicates; half-equal texts aren't."""
+    words = [f"w{i * 7919 % 5003}" for i in range(300)]
+    edited = [" ".join("new" if i % 100 == 50 + k else w for i, w in enumerate(words)) for k in range(6)]
+    half = " ".join(words[:150] + [f"v{i}" for i in range(150)])
+    prints = [simhash.fingerprint(t) for t in (" ".join(words), *edited)]
+    assert any((prints[0] ^ p).bit_count() > 3 for p in prints)
+    assert shingles.jaccard(shingles.shingles(edited[0]), shingles.shingles(edited[1])) > corpus_pipeline.SIMILARITY
+    docs = _documents(spark, [(1, " ".join(words)), *enumerate(edited, 2), (9, half)])
+    assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()} == {1, 9}
