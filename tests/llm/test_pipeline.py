@@ -40,3 +40,11 @@ def test_edited_copies_go(spark):
     assert shingles.jaccard(shingles.shingles(edited[0]), shingles.shingles(edited[1])) > corpus_pipeline.SIMILARITY
     docs = _documents(spark, [(1, " ".join(words)), *enumerate(edited, 2), (9, half)])
     assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()} == {1, 9}
+
+
+def test_one_row_of_each_group_stays(spark):
+    """Rows without a doc_id and different texts that share one stay; of copies, the one with the smallest doc_id does."""
+    text = [" ".join(f"t{k}x{i}" for i in range(30)) for k in range(5)]
+    docs = _documents(spark, [(None, text[0]), (None, text[1]), (None, text[1]), (5, text[2]), (5, text[3]), (7, text[4]), (6, text[4]), (None, text[4])])
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()]
+    assert sorted(kept, key=str) == sorted([(None, text[0]), (None, text[1]), (5, text[2]), (5, text[3]), (6, text[4])], key=str)
