@@ -3,11 +3,13 @@
 Every text node of a page has a path of block tags from the root.  For each path
 the text length and the punctuation per node are taken over the page, smoothed
 along the page by a Gaussian window, and fused into one score; nodes of paths
-over a threshold are content nodes.  The element that holds most of the content
-nodes' text is the main element (an article or main element, where the page has
-one that holds any text), and its blocks, but for those in regions that the page
-itself marks as menus, headers, footers, side columns, notices, adverts, forms or
-comments, and for lists of links off the content paths, are the main text.
+over a threshold are content nodes.  All article and main elements that hold any
+text are the main region, where the page has one.  Elsewhere it is the element
+that holds most of the content nodes' text, with the content nodes and headings in
+the lowest element that holds all content nodes, and headings that come before it
+directly under an element around it.  Its blocks, but for those in regions that the
+page itself marks as menus, headers, footers, side columns, notices, adverts, forms
+or comments, and for lists of links off the content paths, are the main text.
 
 Defined results: null html counts as empty; a page without content gives an
 empty text; character references are decoded, white space within a block is one
@@ -30,9 +32,10 @@ from .common import arrow_rows, small_batches
 
 #: Width of the smoothing window (nodes), and the share of the scores' deviation that makes a content path.
 SMOOTH, THRESHOLD = 2.0, 0.5
-#: Share of the content text that the main element holds at least.
+#: Share of the content text that the main element of a page without article or main holds at least.
 MAIN_SHARE = 0.6
 
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 # What HTML says of its elements, and words by which pages mark regions.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
@@ -188,23 +191,39 @@ def main_text(page: str | None) -> str:
         mass[elements[i].parent] += mass[i]
         held[elements[i].parent] += held[i]
     named = [i for i, e in enumerate(elements) if e.tag in ("article", "main") and held[i] and not elements[e.parent].article]
+    region = 0  # the lowest element that holds all content nodes
     if named:
-        largest = max(held[i] for i in named)
-        roots = {i for i in named if held[i] >= largest * 0.2}
+        roots = set(named)
     else:
-        main, moved = 0, True
-        while moved:
-            inner = [i for i, e in enumerate(elements) if e.parent == main and mass[i] >= MAIN_SHARE * mass[0] and mass[i]]
-            moved = bool(inner) and elements[inner[0]].tag not in ("p", "li", "td", "pre", "h1", "h2", "h3", "h4", "h5", "h6")
-            main = inner[0] if moved else main
-        roots = {main}
-    inside = [i in roots for i in range(len(elements))]
+        region = _descend(elements, mass, 1.0)
+        roots = {_descend(elements, mass, MAIN_SHARE)}
+    inside, held_in = ([i in top for i in range(len(elements))] for top in (roots, {region} if not named else set()))
     for i, e in enumerate(elements[1:], 1):
         inside[i] |= inside[e.parent]
-    out = [t for (b, t), good, share in zip(kept, content, link) if inside[b.element] and (share < 0.5 or good and elements[b.element].article)]
+        held_in[i] |= held_in[e.parent]
+    above = set()
+    while not named and region:
+        above.add(region := elements[region].parent)
+    first = next((k for k, (b, _) in enumerate(kept) if held_in[b.element]), 0)
+    out = []
+    for k, ((b, t), good, share) in enumerate(zip(kept, content, link)):
+        e = elements[b.element]
+        heading = e.tag in HEADINGS and (held_in[b.element] or e.parent in above and k < first)
+        if share < 0.5 and (inside[b.element] or good and held_in[b.element] or heading and not named) or good and inside[b.element] and e.article:
+            out.append(t)
     return "\n\n".join(out)
 
 
+def _descend(elements: list[Element], mass: np.ndarray, share: float) -> int:
+    """The lowest element, above single blocks, under which each step down holds that share of all the content."""
+    main = 0
+    while True:
+        inner = next((i for i, e in enumerate(elements) if e.parent == main and mass[i] >= share * mass[0] and mass[i]), None)
+        if inner is None or elements[inner].tag in ("p", "li", "td", "pre", *HEADINGS):
+            return main
+        main = inner
+
+
 EXTRACTED = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
 

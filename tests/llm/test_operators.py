@@ -218,6 +218,17 @@ def test_extraction(spark):
     assert extraction.extract(pages.limit(0)).count() == 0
 
 
+def test_extraction_whole_pages():
+    """Headings beside the body, all of an article in two sections, and short articles beside a long one stay."""
+    long = "A sentence of the text, with commas, and more of it; so it goes on. "
+    body = "".join(f"<p>{long * 3}</p>" for _ in range(4))
+    assert extraction.main_text(f"<div id=post><h1>T</h1><div class=body>{body}</div></div>").startswith("T\n\nA sentence")
+    two = extraction.main_text(f"<body><div id=post><section>{body}</section><section><p>Second part, {long * 3}</p><p>{long * 3}</p></section></div></body>")
+    assert "Second part" in two and two.count("\n\n") == 5
+    articles = extraction.main_text(f"<article>{body}</article><article><p>Short note.</p></article>")
+    assert articles.endswith("Short note.")
+
+
 def test_language_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = langid.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out and lang is not null").collect()
