@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from .common import arrow_rows, scratch, small_batches, written
 
 VERSION = b"WARC/1.1"
-SEGMENT_BYTES, CHUNK_BYTES, DEDUP_BYTES = 1 << 15, 1 << 13, 100
+SEGMENT_BYTES, CHUNK_BYTES, DEDUP_BYTES = 1 << 12, 1 << 13, 100
 _DATE = "2020-01-01T00:00:00Z"
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 

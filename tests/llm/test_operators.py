@@ -194,6 +194,11 @@ def test_warc(spark):
     assert warc.round_trip(pages.limit(0)).count() == 0
 
 
+def test_warc_segments_of_usual_pages():
+    """A page of a few KB is cut into segments by default."""
+    assert [r.split(b"\r\n")[1] for r in warc.records_of(1, "u", "z" * 6000, None, "n")] == [b"WARC-Type: response", b"WARC-Type: continuation"]
+
+
 def test_warc_errors():
     block = warc.chunked(b"abc")
     assert warc.dechunked(block) == b"abc"
