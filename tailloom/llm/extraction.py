@@ -1,26 +1,33 @@
 """Main text of web pages by tag-path ratios.
 
-Every text node of a page has a path of block tags from the root.  For each path
-the text length and the punctuation per node are taken over the page, smoothed
-along the page by a Gaussian window, and fused into one score; nodes of paths
-over a threshold are content nodes.  All article and main elements that hold any
-text are the main region, where the page has one.  Elsewhere it is the element
-that holds most of the content nodes' text, with the content nodes and headings in
-the lowest element that holds all content nodes, and headings that come before it
-directly under an element around it.  Its blocks, but for those in regions that the
-page itself marks as menus, headers, footers, side columns, notices, adverts, forms
-or comments, and for lists of links off the content paths, are the main text.
+Every text block of a page has a path of block elements from the root (tag and
+class, digits left out).  For each path the text length outside links and the
+punctuation are taken per block over the whole page and fused into one ratio.
+Ratios are smoothed over the tree of paths: an element's ratio is the mean of the
+blocks below it, weighted by their length, and passes down to paths in it, a little
+less with each step, so that the short headings, items and cells of an article
+share its score; it passes down from the element that holds the content and from
+those inside it, never from elements around it, and not to blocks made of links.
+A heading has the score of what follows it.  Blocks of paths over a threshold are
+the main text.  ``path_scores`` gives these scores, and nothing else adds a block.
+
+Marks of the page only remove: regions marked as menus, headers, footers, side
+columns, notices, adverts, forms or comments, and, where article and main elements
+hold at least half of the content, all that is outside them.  Words that may also name a
+part of an article (WEAK) count outside article and main only.
 
 Defined results: null html counts as empty; a page without content gives an
 empty text; character references are decoded, white space within a block is one
 space, blocks are joined in page order by two line ends; repeated rows give equal
-results; other columns are ignored.
+results; other columns are ignored.  Pages of any length, nested to any depth or
+badly formed take time in proportion to their length.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -30,45 +37,43 @@ from pyspark.sql import DataFrame
 
 from .common import arrow_rows, small_batches
 
-#: Width of the smoothing window (nodes), and the share of the scores' deviation that makes a content path.
-SMOOTH, THRESHOLD = 2.0, 0.5
-#: Share of the content text that the main element of a page without article or main holds at least.
-MAIN_SHARE = 0.6
+#: Share of the mean score (weighted by length) that makes a content path; what is left of a score one step down the
+#: tree; share of the content that the element passing its score down holds; link share that makes a block of links.
+THRESHOLD, STEP, HOLDS, LINKS = 0.4, 0.9, 0.8, 0.5
+#: Ends of tags that are looked for within an unfinished quotation.
+LOOK = 16
 
 HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 # What HTML says of its elements, and words by which pages mark regions.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
-RAW = "script style textarea title noscript template iframe object svg math canvas audio video select xmp"
-NEVER = frozenset(f"{RAW} head nav aside footer form button dialog menu fieldset datalist".split())
+RAW = frozenset("script style textarea title noscript template iframe object svg math canvas audio video select xmp".split())
+NEVER = RAW | frozenset("head nav aside footer form button dialog menu fieldset datalist".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
-WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising adsense adbox adslot sponsor sponsored promo promotion "
-    "nav navbar navigation menu breadcrumb breadcrumbs pagination pager toc toolbar sitemap "
-    "sidebar aside widget widgets rail related recommended recommendations trending popular "
-    "footer masthead topbar notice notices cookie cookies consent gdpr banner popup modal overlay alert "
-    "newsletter subscribe subscription signup login share sharing social comment comments commentlist respond replies reply disqus "
+STRONG = frozenset(
+    "ad ads advert adverts advertisement advertising adsense adbox adslot sponsored "
+    "nav navbar navigation menu breadcrumb breadcrumbs pagination pager sidebar footer masthead topbar "
+    "cookie cookies consent gdpr notice notices newsletter comment comments commentlist respond replies disqus".split()
+)
+WEAK = frozenset(
+    "sponsor promo promotion toc toolbar sitemap aside widget widgets rail related recommended recommendations trending popular "
+    "banner popup modal overlay alert subscribe subscription signup login share sharing social reply "
     "form search skip hidden copyright legal disclaimer".split()
 )
-MARKS_IN_ARTICLE = frozenset("comment comments commentlist respond replies reply disqus ad ads advert adverts advertisement sponsored".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "option": {"select"}}
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|"
-    r"<(?P<raw>" + "|".join(RAW.split()) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)|"
-    r"<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*)>",
-    re.S | re.I,
-)
-_ATTR = re.compile(r"""([^\s"'=<>/]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_ATTR = re.compile(r"""(?<![^\s"'/])([^\s"'=<>/]++)\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
 _PUNCTUATION = re.compile(r"[.,;:!?…。、，！？；：]")
+_RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW}
 
 
 @dataclass
 class Element:
     tag: str
     parent: int
-    path: str
+    path: int  # number of its path
     hidden: bool
     article: bool
 
@@ -80,13 +85,22 @@ class Block:
     linked: int = 0
 
 
-def _hidden(tag: str, attrs: str, in_article: bool) -> bool:
+@dataclass
+class Page:
+    """Block elements, texts by the innermost block element, the tree of paths (each one's parent, all parents first), and which are of html or body."""
+
+    elements: list[Element]
+    blocks: list[Block]
+    up: list[int]
+    outer: set[int]
+
+
+def _hidden(tag: str, of: dict[str, str], attrs: str, in_article: bool) -> bool:
     """Whether the page marks an element as no part of its main text."""
     if tag in NEVER or tag == "header" and not in_article:
         return True
     if not attrs:
         return False
-    of = {k.lower(): a or b or c for k, a, b, c in _ATTR.findall(attrs)}
     if of.get("role", "").lower() in ROLES or of.get("aria-hidden", "").lower() == "true" or re.search(r"(?:^|\s)hidden(?:\s|$)", attrs.lower()):
         return True
     if re.search(r"display\s*:\s*none", of.get("style", ""), re.I):
@@ -94,13 +108,63 @@ def _hidden(tag: str, attrs: str, in_article: bool) -> bool:
     if tag in ("html", "body", "main"):
         return False
     words = set(re.findall(r"[a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", f"{of.get('class', '')} {of.get('id', '')}").lower()))
-    return bool(words & (MARKS_IN_ARTICLE if tag == "article" else WORDS))
-
-
-def parse(page: str) -> tuple[list[Element], list[Block]]:
-    """Block elements of a page, and its texts by the innermost block element."""
-    elements = [Element("", -1, "", False, False)]
+    return bool(words & STRONG) or not in_article and tag != "article" and bool(words & WEAK)
+
+
+class _Scanner:
+    """Tags of a page, in time proportional to its length."""
+
+    def __init__(self, page: str):
+        self.page, self.last = page, page.rfind(">")
+
+    def tag_end(self, at: int) -> int:
+        """Where the tag that begins at a place ends: at the first > outside quotations, if there is one near."""
+        page, first, quote = self.page, self.page.find(">", at), ""
+        end = first
+        for _ in range(LOOK):
+            for c in re.findall("[\"']", page[at:end]):
+                quote = "" if c == quote else quote or c
+            if not quote:
+                return end
+            at = end
+            end = page.find(">", end + 1) if end < self.last else -1
+            if end < 0:
+                break
+        return first
+
+    def tags(self) -> Iterator[tuple[int, int, str, bool, str]]:
+        """(begin, end, name, whether an end tag, attributes); comments and raw elements have no name or their own."""
+        page, at = self.page, 0
+        while 0 <= (at := page.find("<", at)) < self.last:
+            if page.startswith("<!--", at):
+                end = page.find("-->", at + 4)
+                end = len(page) if end < 0 else end + 3
+                yield at, end, "", False, ""
+            elif page[at + 1] in "!?":
+                end = page.find(">", at) + 1
+                yield at, end, "", False, ""
+            else:
+                closing = page[at + 1] == "/"
+                name = _NAME.match(page, at + 1 + closing)
+                if not name:
+                    at += 1
+                    continue
+                # the name ends where the first > is, at the latest
+                end = self.tag_end(name.end()) + 1
+                tag, attrs = name[0].lower(), page[name.end() : end - 1]
+                if tag in RAW and not closing and not (attrs.endswith("/") and tag in ("svg", "math")):
+                    last = _RAW_END[tag].search(page, end)
+                    end = last.end() if last else len(page)
+                yield at, end, tag, closing, attrs
+            at = end
+
+
+def parse(page: str) -> Page:
+    """Elements, blocks and paths of a page."""
+    elements = [Element("", -1, 0, False, False)]
+    up, paths, outer = [-1], {}, {0}
     stack, blocks, now, linked = [0], [], None, False
+    places: dict[str, list[int]] = {}  # where each tag is open on the stack
 
     def text(raw: str) -> None:
         nonlocal now
@@ -113,115 +177,145 @@ def parse(page: str) -> tuple[list[Element], list[Block]]:
         now.text.append(raw)
         now.linked += len(raw) * linked
 
+    def close(depth: int) -> None:
+        while len(stack) > depth:
+            places[elements[stack.pop()].tag].pop()
+
     at = 0
-    for m in _TOKEN.finditer(page):
-        text(page[at : m.start()])
-        at = m.end()
-        tag = (m["tag"] or "").lower()
-        if not tag:
-            if m["raw"] and m["raw"].lower() not in ("svg", "math", "canvas"):
-                now = None
+    for begin, end, tag, closing, attrs in _Scanner(page).tags():
+        text(page[at:begin])
+        at = end
+        if not tag or tag in INLINE and tag != "a" or tag in VOID and tag not in ("hr", "br"):
             continue
-        if tag == "br":
+        if tag in RAW:
+            if tag not in ("svg", "math", "canvas"):
+                now = None
+        elif tag == "br":
             text("\n")
         elif tag == "a":
-            linked = not m["end"]
-        elif tag in INLINE or tag in VOID and tag != "hr":
-            continue
-        elif m["end"]:
-            now, linked = None, False
-            for depth in range(len(stack) - 1, 0, -1):
-                if elements[stack[depth]].tag == tag:
-                    del stack[depth:]
-                    break
+            linked = not closing
         else:
             now, linked = None, False
+            if closing:
+                if places.get(tag):
+                    close(places[tag][-1])
+                continue
             if tag == "hr":
                 continue
-            closes, scope = CLOSES.get(tag, {"p"}), SCOPE.get(tag, set())
-            for depth in range(len(stack) - 1, 0, -1):
-                open_ = elements[stack[depth]].tag
-                if open_ in closes:
-                    del stack[depth:]
-                    if tag not in CLOSES:
-                        break
-                elif open_ in scope or tag not in CLOSES:
-                    break
-            up = elements[stack[-1]]
-            hidden = up.hidden or _hidden(tag, m["attrs"], up.article)
-            elements.append(Element(tag, stack[-1], f"{up.path}/{tag}", hidden, up.article or tag in ("article", "main")))
+            if tag in CLOSES:
+                scope = max((p[-1] for t in SCOPE[tag] if (p := places.get(t))), default=0)
+                open_ = [p[i] for t in CLOSES[tag] if (p := places.get(t)) and (i := bisect_right(p, scope)) < len(p)]
+                if open_:
+                    close(min(open_))
+            elif elements[stack[-1]].tag == "p":
+                close(len(stack) - 1)
+            around = elements[stack[-1]]
+            of = {k.lower(): a or b or c for k, a, b, c in _ATTR.findall(attrs)} if "=" in attrs else {}
+            label = (around.path, tag, re.sub(r"\d+", "", of.get("class", "")))
+            path = paths.setdefault(label, len(up))
+            if path == len(up):
+                up.append(around.path)
+                if tag in ("html", "body"):
+                    outer.add(path)
+            hidden = around.hidden or _hidden(tag, of, attrs, around.article)
+            elements.append(Element(tag, stack[-1], path, hidden, around.article or tag in ("article", "main")))
+            places.setdefault(tag, []).append(len(stack))
             stack.append(len(elements) - 1)
     text(page[at:])
-    return elements, blocks
-
-
-def path_scores(paths: list[str], chars: np.ndarray, marks: np.ndarray) -> np.ndarray:
-    """For each node the fused, smoothed tag-path ratios of its path."""
-    at = {p: i for i, p in enumerate(dict.fromkeys(paths))}
-    path = np.array([at[p] for p in paths])
-    n = np.bincount(path)
-    ratios = np.stack([np.bincount(path, chars) / n, np.bincount(path, marks) / n])[:, path]
-    reach = int(3 * SMOOTH)
-    weight = np.exp(-(np.arange(-reach, reach + 1) ** 2) / (2 * SMOOTH**2))
-    total = np.convolve(np.ones(len(path)), weight, "same") if len(path) > reach else None
-    if total is not None and len(path) >= len(weight):
-        ratios = np.stack([np.convolve(r, weight, "same") / total for r in ratios])
-        # back to paths, so that a path is kept or dropped as a whole
-        ratios = np.stack([(np.bincount(path, r) / n)[path] for r in ratios])
-    return np.sqrt(ratios[0] * (1 + ratios[1]))
+    return Page(elements, blocks, up, outer)
+
+
+def _below(up: list[int], values: np.ndarray) -> np.ndarray:
+    """Sums of values over the paths below each path and its own."""
+    total = values.astype(float)
+    for i in range(len(up) - 1, 0, -1):
+        total[up[i]] += total[i]
+    return total
+
+
+def path_ratios(path: np.ndarray, n_paths: int, chars: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """For each path its text length and punctuation per block, fused."""
+    n = np.maximum(1, np.bincount(path, minlength=n_paths))
+    return np.bincount(path, chars, n_paths) / n * (1 + np.bincount(path, marks, n_paths) / n)
+
+
+def path_scores(path: np.ndarray, up: list[int], chars: np.ndarray, marks: np.ndarray, linked: np.ndarray, outer: set[int], roots: set[int], heading: np.ndarray) -> np.ndarray:
+    """For each block the smoothed and fused tag-path ratios of its path.
+
+    ``up`` gives each path's parent, ``linked`` the characters in links, ``outer`` the paths of
+    the page, html and body, ``roots`` the paths of elements that pass their score
+    down in any case (article and main), ``heading`` whether a block is a heading that what follows is beside or below.
+    """
+    free = np.maximum(0.0, chars - linked)
+    ratio = path_ratios(path, len(up), free, marks)
+    size = np.bincount(path, free, len(up))
+    total = _below(up, size)
+    mean = _below(up, size * ratio) / np.maximum(1e-9, total)
+    content = size * (ratio >= THRESHOLD * mean[0])
+    mass = _below(up, content)
+    givers, flat = set(roots), False
+    if not givers:
+        inner: dict[int, list[int]] = {}
+        for i in range(1, len(up)):
+            inner.setdefault(up[i], []).append(i)
+        at = 0
+        while (best := max(inner.get(at, ()), key=lambda i: mass[i], default=0)) and best in inner and mass[best] >= HOLDS * mass[0] > 0 and total[best] > size[best]:
+            at = best
+        # html and body hold everything, which is no evidence
+        flat = at in outer
+        if not flat:
+            givers = {at}
+    links = linked > LINKS * chars
+    given = np.zeros(len(up))
+    inside = np.zeros(len(up), bool)
+    for i in range(1, len(up)):
+        inside[i] = inside[up[i]] or i in givers
+        if inside[i]:
+            given[i] = max(mean[i], STEP * given[up[i]])
+    score = np.where(links, ratio[path], np.maximum(ratio, given)[path])
+    if flat and len(score) > 2:  # what lies between contents belongs to them
+        before, after = np.maximum.accumulate(score), np.maximum.accumulate(score[::-1])[::-1]
+        score = np.where(links, score, np.maximum(score, STEP * np.minimum(before, after)))
+    for k in np.flatnonzero(heading)[::-1]:
+        if k + 1 < len(score):
+            score[k] = max(score[k], STEP * score[k + 1])
+    return score
+
+
+def _leading_headings(elements: list[Element], of: list[int]) -> np.ndarray:
+    """Which blocks are headings beside or around which the next block lies."""
+    found = np.zeros(len(of), bool)
+    for k, (i, j) in enumerate(zip(of, of[1:])):
+        if elements[i].tag in HEADINGS:
+            around, j = elements[i].parent, elements[j].parent
+            while j > around:  # elements are numbered in page order
+                j = elements[j].parent
+            found[k] = j == around
+    return found
 
 
 def main_text(page: str | None) -> str:
     """The main text of a page."""
-    elements, blocks = parse(page or "")
-    kept = [(b, text) for b in blocks if not elements[b.element].hidden and (text := " ".join("".join(b.text).split()))]
+    parsed = parse(page or "")
+    elements = parsed.elements
+    kept = [(b, text) for b in parsed.blocks if not elements[b.element].hidden and (text := " ".join("".join(b.text).split()))]
     if not kept:
         return ""
-    chars = np.array([len(t) for _, t in kept], float)
-    marks = np.array([len(_PUNCTUATION.findall(t)) for _, t in kept], float)
-    link = np.array([b.linked for b, _ in kept]) / np.array([max(1, sum(map(len, b.text))) for b, _ in kept])
-    scores = path_scores([elements[b.element].path for b, _ in kept], chars, marks)
-    content = scores >= THRESHOLD * scores.std()
-    mass = np.zeros(len(elements))
-    held = np.zeros(len(elements))
-    for (b, _), size, good in zip(kept, chars, content):
-        mass[b.element] += size * good
-        held[b.element] += size
-    for i in range(len(elements) - 1, 0, -1):
-        mass[elements[i].parent] += mass[i]
-        held[elements[i].parent] += held[i]
-    named = [i for i, e in enumerate(elements) if e.tag in ("article", "main") and held[i] and not elements[e.parent].article]
-    region = 0  # the lowest element that holds all content nodes
-    if named:
-        roots = set(named)
-    else:
-        region = _descend(elements, mass, 1.0)
-        roots = {_descend(elements, mass, MAIN_SHARE)}
-    inside, held_in = ([i in top for i in range(len(elements))] for top in (roots, {region} if not named else set()))
-    for i, e in enumerate(elements[1:], 1):
-        inside[i] |= inside[e.parent]
-        held_in[i] |= held_in[e.parent]
-    above = set()
-    while not named and region:
-        above.add(region := elements[region].parent)
-    first = next((k for k, (b, _) in enumerate(kept) if held_in[b.element]), 0)
-    out = []
-    for k, ((b, t), good, share) in enumerate(zip(kept, content, link)):
-        e = elements[b.element]
-        heading = e.tag in HEADINGS and (held_in[b.element] or e.parent in above and k < first)
-        if share < 0.5 and (inside[b.element] or good and held_in[b.element] or heading and not named) or good and inside[b.element] and e.article:
-            out.append(t)
-    return "\n\n".join(out)
-
-
-def _descend(elements: list[Element], mass: np.ndarray, share: float) -> int:
-    """The lowest element, above single blocks, under which each step down holds that share of all the content."""
-    main = 0
-    while True:
-        inner = next((i for i, e in enumerate(elements) if e.parent == main and mass[i] >= share * mass[0] and mass[i]), None)
-        if inner is None or elements[inner].tag in ("p", "li", "td", "pre", *HEADINGS):
-            return main
-        main = inner
+    marked = np.array([elements[b.element].article for b, _ in kept])
+
+    def measured(of: list[tuple[Block, str]], roots: set[int]) -> tuple[np.ndarray, np.ndarray]:
+        path = np.array([elements[b.element].path for b, _ in of])
+        chars = np.array([len(t) for _, t in of], float)
+        marks = np.array([len(_PUNCTUATION.findall(t)) for _, t in of], float)
+        linked = np.array([min(len(t), b.linked) for b, t in of], float)
+        scores = path_scores(path, parsed.up, chars, marks, linked, parsed.outer, roots, _leading_headings(elements, [b.element for b, _ in of]))
+        return scores >= THRESHOLD * (scores @ chars / chars.sum()), chars
+
+    content, chars = measured(kept, set())
+    if marked.any() and chars[content & marked].sum() >= 0.5 * chars[content].sum():
+        kept = [k for k, m in zip(kept, marked) if m]
+        content, _ = measured(kept, {e.path for e in elements if e.article and not elements[e.parent].article})
+    return "\n\n".join(t for (_, t), good in zip(kept, content) if good)
 
 
 EXTRACTED = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -234,6 +235,58 @@ def test_extraction_whole_pages():
     assert articles.endswith("Short note.")
 
 
+def test_scores_decide(monkeypatch):
+    """On pages with and without article, and without any mark, other scores give another text."""
+    sentence = "A sentence of the text, with commas, and more of it; so it goes on. "
+    body = "".join(f"<p>{sentence * n}</p>" for n in (3, 1, 4, 2))
+    short = "<h2>Part</h2><ul><li>one<li>two</ul><table><tr><td>a<td>b</table><div class=legal>Held for all.</div><div class=search-history>No finds.</div>"
+    menu = "<div class=x><ul>" + "".join(f"<li><a href=/{w}>{w}</a>" for w in ("home", "news", "about")) + "</ul></div>"
+    links = "<ul>" + "<li><a href=/>More of it</a>" * 4 + "</ul>"
+    inside = ["T", *(" ".join((sentence * n).split()) for n in (3, 1, 4, 2)), "Part", "one", "two", "a", "b", "Held for all.", "No finds."]
+    bare = inside[:-2]  # such classes are marks outside article and main
+    pages = {
+        f"<body>{menu}<article><h1>T</h1>{body}{short}{links}</article><div class=changed>Last changed today.</div></body>": inside,
+        f"<body>{menu}<div><h1>T</h1>{body}{short}{links}</div><div class=changed>Last changed today.</div></body>": bare,
+        f"<body>{menu}<div id=post><h1>T</h1><div class=body>{body}{short}</div></div><div class=changed>Last changed today.</div></body>": bare,
+    }
+    for page, want in pages.items():
+        assert extraction.main_text(page).split("\n\n") == want
+    monkeypatch.setattr(extraction, "path_scores", lambda path, *_: np.ones(len(path)))
+    for page, want in pages.items():
+        assert extraction.main_text(page).split("\n\n") != want
+    monkeypatch.undo()
+    rng = np.random.default_rng(1)
+    monkeypatch.setattr(extraction, "path_scores", lambda path, *_: rng.random(max(path) + 1)[path] ** 4)
+    for page, want in pages.items():
+        assert extraction.main_text(page).split("\n\n") != want
+
+
+def test_marks_only_remove(monkeypatch):
+    """Whatever is marked, the text is some of what the page has without marks, in its order."""
+    monkeypatch.setattr(extraction, "_hidden", lambda *_: False)
+    monkeypatch.setattr(extraction, "RAW", frozenset({"script", "title"}))
+    bare = extraction.main_text(PAGE).split("\n\n")
+    monkeypatch.undo()
+    marked = extraction.main_text(PAGE).split("\n\n")
+    assert [t for t in bare if t in marked] == marked
+
+
+@pytest.mark.parametrize("page", ["<a " * 340_000, "<div>" * 200_000 + "x", '<a ">"' * 20_000, "<li>" + "<div>" * 4000 + "<li>x" * 50_000, "<!--" * 250_000, "<p " + "a" * 10**6 + ">x", "<div>" * 90_000 + "</x>" * 90_000, "<" * 10**6, "<div><h2>a</h2>" * 30_000])
+def test_extraction_of_bad_pages(page):
+    """Pages of up to 1 MB that are badly formed or deeply nested take seconds."""
+    began = time.process_time()
+    extraction.main_text(page)
+    assert time.process_time() - began < 10
+
+
+def test_extraction_edges():
+    of = extraction.main_text
+    assert of("<article><p>x <a title='a > b' href=y>y</a> z</article>") == "x y z"
+    assert of("<div><p>a<svg/>b <script>no</script>c<!-- d --> e &eacute;</div>") == "abc e é"
+    assert of("<table><tr><td>a<td>b<tr><td>c</table>") == "a\n\nb\n\nc"
+    assert of("<article><p>Long text, of the article.</p><div class=sidebar>no</div><div class='comment-list'>no, never</div></article>") == "Long text, of the article."
+
+
 def test_language_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = langid.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out and lang is not null").collect()
