@@ -185,12 +185,9 @@ def parse(page: str) -> Page:
     for begin, end, tag, closing, attrs in _Scanner(page).tags():
         text(page[at:begin])
         at = end
-        if not tag or tag in INLINE and tag != "a" or tag in VOID and tag not in ("hr", "br"):
+        if not tag or tag in RAW or tag in INLINE and tag != "a" or tag in VOID and tag not in ("hr", "br"):
             continue
-        if tag in RAW:
-            if tag not in ("svg", "math", "canvas"):
-                now = None
-        elif tag == "br":
+        if tag == "br":
             text("\n")
         elif tag == "a":
             linked = not closing

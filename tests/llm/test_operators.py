@@ -282,7 +282,7 @@ def test_extraction_of_bad_pages(page):
 def test_extraction_edges():
     of = extraction.main_text
     assert of("<article><p>x <a title='a > b' href=y>y</a> z</article>") == "x y z"
-    assert of("<div><p>a<svg/>b <script>no</script>c<!-- d --> e &eacute;</div>") == "abc e é"
+    assert of("<div><p>a<svg/>b <script>no</script>c<!-- d --> e &eacute;</div>") == "ab c e é"
     assert of("<table><tr><td>a<td>b<tr><td>c</table>") == "a\n\nb\n\nc"
     assert of("<article><p>Long text, of the article.</p><div class=sidebar>no</div><div class='comment-list'>no, never</div></article>") == "Long text, of the article."
 
