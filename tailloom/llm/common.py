@@ -17,15 +17,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Give Python workers batches of at most so many rows from here on."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def small_batches(spark: SparkSession) -> None:
+    """Give Python workers batches of at most BATCH_ROWS rows.
+
+    Queries run after they are built, so the setting stays; all operators share one bound, and a smaller one is left.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as make it unlike all columns of df."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
+def field_sql(df: DataFrame, *names: str) -> str:
+    """The schema of columns of df, as text."""
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema if f.name in names)
 
 
 def scratch(spark: SparkSession) -> str:
     """A new path in the folder that all executors share."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:  # a local session, as in tests
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tailloom-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir()

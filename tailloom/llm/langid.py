@@ -2,10 +2,11 @@
 
 Bytes are embedded, filters of several widths slide over fixed-length windows,
 each filter's largest response is kept, and a softmax layer gives languages.  The
-network is trained in numpy on a bounded sample of labelled texts (``docs`` rows,
-``chars`` characters of each from anywhere in the text).  A text is cut into
-windows from end to end, and its windows' probabilities are averaged by the
-number of bytes that belong to words.
+network is trained in numpy on a bounded sample of labelled rows (``SAMPLE_DOCS``
+documents, whose whole texts are cut into windows, and ``SAMPLE_WINDOWS`` of those
+windows, both by hash); part of the windows are shortened in training, so that short
+texts are learned too.  A text is cut into windows from end to end, and its windows'
+probabilities are averaged by the number of bytes that belong to words.
 
 Defined results: null text and text without letters are ``und`` with score 0;
 without labelled texts every prediction is ``und``; rows with a null label are
@@ -23,12 +24,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, small_batches
+from .common import field_sql, small_batches
 
 #: Bytes of a window, filter widths, filters of each width, embedding size.
 WINDOW, WIDTHS, FILTERS, EMBED = 128, (2, 3, 4), 16, 8
-#: Bounds of the training sample, and of its use.
-SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_WINDOWS, EPOCHS = 3000, 1500, 16000, 4
+#: Bounds of the training sample; steps of training at least and at most; share of windows that are shortened.
+SAMPLE_DOCS, SAMPLE_WINDOWS, STEPS, SHORTENED = 3000, 16000, (400, 1000), 0.25
 #: Windows in one matrix product.
 BLOCK = 256
 UNKNOWN = "und"
@@ -67,8 +68,22 @@ def probabilities(net: Network, block: np.ndarray) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
-def train(texts: list[str], labels: list[str], seed: int = 7) -> Network:
-    """A network for labelled texts, by Adam on cross entropy; classes weigh equally."""
+def shortened(rng: np.random.Generator, block: np.ndarray) -> np.ndarray:
+    """Windows of which a share keep only a short run of their bytes."""
+    block = block.copy()
+    for i in np.flatnonzero(rng.random(len(block)) < SHORTENED):
+        n = int((block[i] > 0).sum())
+        size = int(rng.integers(6, 49))
+        if size < n:
+            begin = int(rng.integers(0, n - size + 1))
+            run = block[i, begin : begin + size].copy()
+            block[i] = 0
+            block[i, :size] = run
+    return block
+
+
+def train(x: np.ndarray, labels: list[str], seed: int = 7) -> Network:
+    """A network for labelled windows, by Adam on cross entropy; classes weigh equally."""
     rng = np.random.default_rng(seed)
     languages = sorted(set(labels))
     width, total = max(WIDTHS), FILTERS * len(WIDTHS)
@@ -77,20 +92,18 @@ def train(texts: list[str], labels: list[str], seed: int = 7) -> Network:
         allowed[: w * EMBED, k * FILTERS : (k + 1) * FILTERS] = 1
     scale = np.float32(0.3)
     net = Network(languages, rng.normal(size=(256, EMBED)).astype(np.float32) * scale, rng.normal(size=allowed.shape).astype(np.float32) * scale * allowed, np.zeros(total, np.float32), rng.normal(size=(total, len(languages))).astype(np.float32) * scale, np.zeros(len(languages), np.float32))
-    cut = [windows(t) for t in texts]
-    x = np.concatenate(cut) if cut else np.zeros((0, WINDOW), np.uint8)
-    y = np.repeat([languages.index(a) for a in labels], [len(c) for c in cut]) if cut else np.zeros(0, int)
-    keep = np.flatnonzero((x > 0).sum(1) >= WINDOW // 4)
+    y = np.array([languages.index(a) for a in labels], np.int64)
+    keep = np.arange(len(y))
     if not len(keep):
         return net
     share = np.bincount(y[keep], minlength=len(languages))
-    chance = 1 / share[y[keep]]
+    chance = np.minimum(1, (x > 0).sum(1) / 32) / share[y]  # the short ends of texts count less
     params = [net.embed, net.filters, net.bias, net.out, net.out_bias]
     mean, var = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-    steps = max(1, min(SAMPLE_WINDOWS, len(keep)) * EPOCHS // 64)
+    steps = min(STEPS[1], max(STEPS[0], len(keep) // 16))
     for step in range(1, steps + 1):
         pick = rng.choice(keep, 64, p=chance / chance.sum())
-        grads = _gradients(net, x[pick], y[pick], allowed)
+        grads = _gradients(net, shortened(rng, x[pick]), y[pick], allowed)
         rate = 0.01 * (1 - step / (steps + 1))
         for p, g, m, v in zip(params, grads, mean, var):
             m += 0.1 * (g - m)
@@ -123,15 +136,27 @@ def _gradients(net: Network, block: np.ndarray, target: np.ndarray, allowed: np.
 
 def fit(docs: DataFrame, learn: Column, docs_bound: int = SAMPLE_DOCS) -> Network:
     """A network from a hash sample of at most so many of the labelled documents that learn admits."""
-    text = F.col("text")
-    start = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(F.lit(1), F.length(text) - SAMPLE_CHARS + 1)).cast("int") + 1
-    labelled = docs.where(learn & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.length(text) > 0))
+    small_batches(docs.sparkSession)
+    labelled = docs.where(learn & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.length("text") > 0))
     order = F.xxhash64("doc_id")
     bound = labelled.select(order.alias("h")).orderBy("h").limit(docs_bound).agg(F.max("h")).first()[0]
     if bound is None:
-        return train([], [])
-    rows = labelled.where(order <= bound).select(F.substring(text, start, F.lit(SAMPLE_CHARS)).alias("text"), "lang", order.alias("h")).orderBy("h", "text").limit(docs_bound).collect()
-    return train([r["text"] for r in rows], [r["lang"] for r in rows])
+        return train(np.zeros((0, WINDOW), np.uint8), [])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text, lang, h in zip(*(c.to_pylist() for c in batch.columns)):
+                data = windows(text)
+                data = data[((data >= 128) | (data | 32 >= 97) & (data | 32 <= 122)).any(1)]  # with a letter
+                for begin in range(0, len(data), 4096):
+                    part = [w.tobytes() for w in data[begin : begin + 4096]]
+                    n = len(part)
+                    yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()), pa.array([lang] * n, pa.string()), pa.array([h] * n, pa.int64()), pa.array(range(begin, begin + n), pa.int64())], ["window", "lang", "h", "k"])
+
+    cuts = labelled.where(order <= bound).select("text", "lang", order.alias("h")).mapInArrow(cut, "window binary, lang string, h long, k long")
+    rows = cuts.orderBy(F.xxhash64("h", "k", "window"), "lang").limit(SAMPLE_WINDOWS).select("window", "lang").collect()
+    x = np.frombuffer(b"".join(bytes(r["window"]) for r in rows), np.uint8).reshape(-1, WINDOW)
+    return train(x, [r["lang"] for r in rows])
 
 
 PREDICTED = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
@@ -166,18 +191,21 @@ def predict_texts(net: Network, texts: list[str | None]) -> list[tuple[str, floa
     return [(net.languages[best[k]], float(min(1.0, total[k, best[k]] / weight[k]))) if known[k] and weight[k] else (UNKNOWN, 0.0) for k in range(len(texts))]
 
 
-def predict(docs: DataFrame, net: Network) -> DataFrame:
-    """The columns of docs with lang_pred and score, from the text alone."""
+def predict(docs: DataFrame, net: Network, into: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The columns of docs with two more, named by into: the language and its score, from the text alone.
+
+    Columns of docs that have these names give way.
+    """
     small_batches(docs.sparkSession)
-    names, kinds = docs.columns, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    names = [c for c in docs.columns if c.lower() not in {x.lower() for x in into}]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = predict_texts(net, batch.column("text").to_pylist())
+            found = predict_texts(net, batch.column(names.index("text")).to_pylist())
             new = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *new], [*names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *new], [*names, *into])
 
-    return docs.mapInArrow(run, f"{kinds}, lang_pred string, score double")
+    return docs.select(*names).mapInArrow(run, f"{field_sql(docs, *names)}, `{into[0]}` string, `{into[1]}` double")
 
 
 def held_out() -> Column:

@@ -12,12 +12,14 @@ find their place by their rank among the rows of their length.
 Defined results: null text counts as empty; an empty document is one piece
 holding the end id only; no rows give no rows; repeated rows are packed each;
 a null doc_id is kept; columns of the input other than those named are dropped
-by ``cut_pieces`` and kept by ``pack``.
+by ``cut_pieces`` and kept by ``pack``, where columns sequence_id and offset of the
+input give way to the result's.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, shuffle_width, small_batches, written
+from .common import arrow_rows, field_sql, shuffle_width, small_batches, unused, written
 
 CAPACITY = 1024
 
@@ -36,9 +38,12 @@ Pattern = tuple[int, list[tuple[int, int]]]
 class ByteBpe:
     """Byte-level BPE of a ``tokenizers`` file, run by tiktoken, which gives equal ids several times faster.
 
-    Texts with a special token's string are left to the ``tokenizers`` library.
+    Texts with a special token's string, or with so long a run of white space that the pattern
+    may exhaust tiktoken's stack, are left to the ``tokenizers`` library.
     """
 
+    LONG_RUN = re.compile(r"(?<!\s)\s{2048}")
+
     def __init__(self, path: str):
         import tiktoken
         from tokenizers import Tokenizer
@@ -56,9 +61,13 @@ class ByteBpe:
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
-        if any(x in text for x in self._added):
-            return np.array(self._library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        return np.array(self._encode(text), "<u4").tobytes()
+        if not (any(x in text for x in self._added) or self.LONG_RUN.search(text)):
+            try:
+                return np.array(self._encode(text), "<u4").tobytes()
+            except BaseException as error:  # a panic of its regular expressions is no Exception
+                if type(error).__name__ != "PanicException":
+                    raise
+        return np.array(self._library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
 PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())])
@@ -206,31 +215,30 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     as the capacity, reaches the driver.
     """
     spark = pieces.sparkSession
-    names = pieces.columns
+    names = [c for c in pieces.columns if c.lower() not in ("sequence_id", "offset")]
+    part, rank, first, n = unused(pieces, "part", "rank", "first", "n")
     parts = 4 * shuffle_width(spark)
-    pieces = pieces.withColumn("_part", F.pmod(F.xxhash64(*names), F.lit(parts)).cast("int"))
-    by_part = pieces.groupBy("length", "_part").agg(F.count("*").alias("_n"))
-    counts = {int(r[0]): int(r[1]) for r in by_part.groupBy("length").agg(F.sum("_n")).collect()}
+    pieces = pieces.select(*names).withColumn(part, F.pmod(F.xxhash64(*names), F.lit(parts)).cast("int"))
+    by_part = pieces.groupBy("length", part).agg(F.count("*").alias(n))
+    counts = {int(r[0]): int(r[1]) for r in by_part.groupBy("length").agg(F.sum(n)).collect()}
     places = spark.sparkContext.broadcast(_places(plan_bins(counts, capacity)))
-    before = Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    first = by_part.select("length", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
-    within = Window.partitionBy("length", "_part").orderBy(*names)
-    ranked = pieces.withColumn("_rank", F.row_number().over(within) - 1).join(first, ["length", "_part"])
-    ranked = ranked.select(*names, (F.col("_first") + F.col("_rank")).alias("_rank"))
+    before = Window.partitionBy("length").orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    firsts = by_part.select("length", part, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(first))
+    within = Window.partitionBy("length", part).orderBy(*names)
+    ranked = pieces.withColumn(rank, F.row_number().over(within) - 1).join(firsts, ["length", part])
+    ranked = ranked.select(*names, F.col("length").cast("long").alias(n), (F.col(first) + F.col(rank)).cast("long").alias(rank))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, high = places.value, np.int64(1) << 40
         starts = at["length"] * high + at["rank"]
         for batch in batches:
-            length = batch.column("length").to_numpy(zero_copy_only=False).astype(np.int64)
-            rank = batch.column("_rank").to_numpy(zero_copy_only=False).astype(np.int64)
+            length, rank = (batch.column(i).to_numpy(zero_copy_only=False) for i in (-2, -1))
             i = np.searchsorted(starts, length * high + rank, "right") - 1
             k = rank - at["rank"][i]
             new = [at["bin"][i] + k // at["each"][i], at["offset"][i] + k % at["each"][i] * length]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *map(pa.array, new)], [*names, "sequence_id", "offset"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *map(pa.array, new)], [*names, "sequence_id", "offset"])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.select(*names).schema)
-    return ranked.mapInArrow(place, f"{kinds}, sequence_id long, offset long")
+    return ranked.mapInArrow(place, f"{field_sql(pieces, *names)}, sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 2) -> DataFrame:

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, shuffle_width, small_batches, written
+from .common import arrow_rows, field_sql, shuffle_width, small_batches, unused, written
 
 LENGTH, GRAM = 100, 32
 #: Window starts handled at once: bounds memory for very long texts, and positions fit 20 bits.
@@ -364,21 +364,21 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 def strip_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """docs with repeats removed from text; a character that a removed stretch cuts goes with it."""
-    found = repeated(docs, length).groupBy("doc", "tie").agg(F.collect_list(F.struct("pos", "n")).alias("_gone"))
+    found = repeated(docs, length).groupBy("doc", "tie").agg(F.collect_list(F.struct("pos", "n")).alias("gone"))
     names, at = docs.columns, docs.columns.index("text")
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    doc, tie, gone = unused(docs, "doc", "tie", "gone")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pairs = zip(batch.column(at).to_pylist(), batch.column("_gone").to_pylist())
+            pairs = zip(batch.column(at).to_pylist(), batch.column(-1).to_pylist())
             texts = [t and (kept_bytes(t.encode(), gone, length)[0].decode("utf-8", "ignore") if gone else t) for t, gone in pairs]
             columns = list(batch.columns[:-1])
             columns[at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names)
 
     text = F.coalesce("text", F.lit(""))
-    keyed = docs.withColumn("doc", F.coalesce("doc_id", F.lit(int(_LOW)))).withColumn("tie", F.hash(text))
-    return keyed.join(found, ["doc", "tie"], "left").select(*names, "_gone").mapInArrow(cut, kinds)
+    keyed = docs.withColumn(doc, F.coalesce("doc_id", F.lit(int(_LOW)))).withColumn(tie, F.hash(text))
+    return keyed.join(found.toDF(doc, tie, gone), [doc, tie], "left").select(*names, gone).mapInArrow(cut, field_sql(docs, *names))
 
 
 def kept_digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:

@@ -56,6 +56,23 @@ def test_packing(docs, empty):
     assert packing.pack_documents(empty, path).count() == 0
 
 
+@pytest.mark.parametrize("text", [" " * 1_000_000, "x" + "\n" * 600_000 + "y", " " * 2047 + "x" + "\t" * 2049])
+def test_long_white_space(text):
+    bpe = packing.ByteBpe(public_tokenizers.path("byte_bpe_50k.json"))
+    assert np.frombuffer(bpe.encode(text), "<u4").tolist() == bpe._library.encode(text, add_special_tokens=False).ids
+
+
+def test_pack_clashing_names(spark):
+    rows = [(i, 1 + i % 7, i, "a", 0.5, "b", 9) for i in range(40)]
+    pieces = spark.createDataFrame(rows, "doc_id int, length int, sequence_id int, part string, rank double, first string, n int").withColumn("offset", F.lit("x"))
+    packed = packing.pack(pieces, 10)
+    assert packed.columns == ["doc_id", "length", "part", "rank", "first", "n", "sequence_id", "offset"]
+    got = packed.collect()
+    assert sorted((r.doc_id, r.length, r.part, r.rank, r.first, r.n) for r in got) == sorted((d, n, p, k, f, m) for d, n, _, p, k, f, m in rows)
+    assert len({r.sequence_id for r in got}) == -(-sum(r[1] for r in rows) // 10)
+    assert len({(r.sequence_id, o) for r in got for o in range(r.offset, r.offset + r.length)}) == sum(r[1] for r in rows)
+
+
 def test_special_token_text():
     bpe = packing.ByteBpe(public_tokenizers.path("byte_bpe_50k.json"))
     for text in ("a<|endoftext|>b", " x  y\n\n z\t", "it's 3½ ² é"):
@@ -150,6 +167,14 @@ def test_suffixes(docs, empty):
     assert suffixes.remove_repeats(empty).count() == 0
 
 
+def test_strip_clashing_names(spark):
+    rows = [(1, PASSAGE, "a", 7, [1]), (2, "x " + PASSAGE, "b", 8, [2]), (None, None, "c", 9, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, doc string, tie int, gone array<int>")
+    got = suffixes.strip_repeats(docs)
+    assert got.columns == docs.columns and got.dtypes == docs.dtypes
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([(1, PASSAGE, "a", 7, [1]), (2, "x ", "b", 8, [2]), (None, None, "c", 9, None)], key=str)
+
+
 def test_suffixes_of_many_spans(spark, monkeypatch):
     """A passage in many contexts goes window by window, and gives the same result."""
     rng = random.Random(5)
@@ -300,6 +325,22 @@ def test_language_edges(docs, empty):
     assert langid.identify(empty.withColumn("lang", F.lit("a"))).count() == 0
 
 
+def test_language_short_texts(spark):
+    """Two words each, fewer bytes than any window has: learned and told apart."""
+    words = {"en": ["house water", "green tree", "little bird"], "de": ["haus wasser", "grüner baum", "kleiner vogel"]}
+    rows = [(i * 100 + k, text, lang) for i, (lang, texts) in enumerate(words.items()) for k, text in enumerate(texts * 7)]
+    net = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    assert np.mean([p[0] == r[2] for p, r in zip(langid.predict_texts(net, [r[1] for r in rows]), rows)]) > 0.9
+
+
+def test_language_clashing_names(spark):
+    rows = [(i, "the house and the water of the green tree", "en", "kept", 5) for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, Lang_Pred string, score int")
+    net = langid.fit(docs, F.lit(True))
+    assert langid.predict(docs, net).columns == ["doc_id", "text", "lang", "lang_pred", "score"]
+    assert {tuple(r)[3:5] + (r.p, round(r.s, 3)) for r in langid.predict(docs, net, ("p", "s")).collect()} == {("kept", 5, "en", 1.0)}
+
+
 def test_licences(spark, docs, empty):
     model = licences.fit()
     rows = [(1, "text\nReleased under the MIT License."), (2, "Licensed under the Apache License, Version 2.0.\nfoo"), (3, "All rights reserved."), (4, "You need a driving license to rent a car."), (5, None), (6, ""), (7, "Sie kommt mit uns."), (7, "a\n\nLicensed under CC BY-NC 4.0.")]

@@ -1,3 +1,6 @@
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tailloom.llm import queries, shingles, simhash
 
@@ -48,3 +51,31 @@ def test_one_row_of_each_group_stays(spark):
     docs = _documents(spark, [(None, text[0]), (None, text[1]), (None, text[1]), (5, text[2]), (5, text[3]), (7, text[4]), (6, text[4]), (None, text[4])])
     kept = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()]
     assert sorted(kept, key=str) == sorted([(None, text[0]), (None, text[1]), (5, text[2]), (5, text[3]), (6, text[4])], key=str)
+
+
+CLASHES = ["score", "lang_pred", "doc", "tie", "gone", "_gone", "_row", "row", "key", "fp", "part", "component", "bands", "sequence_id", "offset", "length"]
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stage_edges(spark, name):
+    """Clashing columns come through; null ids, shared ids, null, empty and very long texts, and empty tables don't crash."""
+    stage = dict(corpus_pipeline.STAGES)[name]
+    long = "The long text " + " " * 1_000_000 + " and its end, which is far away from the beginning of it."
+    rows = [(1, "A plain text of the usual kind, with its words.", "en"), (None, "Another one without an id, and with other words.", "en"), (None, "A third that has none, but is unlike the others too.", "en"), (5, "Two texts under one id, of which this is the first.", "en"), (5, "And here is that other text, with nothing in common.", "en"), (6, None, None), (7, "", None), (8, long, "en"), (9, "!!! 12", None)]
+    docs = spark.createDataFrame([(d, t, x, "s", 0) for d, t, x in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.select("*", *(F.concat(F.lit(c), F.col("doc_id").cast("string")).alias(c) for c in CLASHES))
+    got = stage(spark, docs, "")
+    found = got.collect()
+    worded = {(d, t) for d, t, x in rows if x}
+    if name == "packing":
+        assert {r.doc_id for r in found} == {d for d, *_ in rows}
+    else:
+        assert got.columns == docs.columns
+        texts = {(r.doc_id, r.text) for r in found}
+        if name == "repeated_passages":  # the run of spaces is a repeat within its text
+            worded = {(d, t) if t != long else (d, " ".join(long.split())) for d, t in worded}
+            assert texts == worded | {(9, "!!! 12")}
+        else:
+            assert worded <= texts <= {(d, t) for d, t, _ in rows}
+        assert all(r[c] == (None if r.doc_id is None else f"{c}{r.doc_id}") for r in found for c in CLASHES)
+    assert stage(spark, docs.limit(0), "").count() == 0
