@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import time
 import zlib
 
@@ -341,20 +342,61 @@ def test_language_clashing_names(spark):
     assert {tuple(r)[3:5] + (r.p, round(r.s, 3)) for r in langid.predict(docs, net, ("p", "s")).collect()} == {("kept", 5, "en", 1.0)}
 
 
-def test_licences(spark, docs, empty):
-    model = licences.fit()
-    rows = [(1, "text\nReleased under the MIT License."), (2, "Licensed under the Apache License, Version 2.0.\nfoo"), (3, "All rights reserved."), (4, "You need a driving license to rent a car."), (5, None), (6, ""), (7, "Sie kommt mit uns."), (7, "a\n\nLicensed under CC BY-NC 4.0.")]
+@pytest.fixture(scope="module")
+def licence_model():
+    return licences.fit()
+
+
+def naive_notices(model, text):
+    """(paragraph, family, probability, similarity) of a text's notices, from every paragraph."""
+    at, found = {g: i for i, g in enumerate(model.features)}, []
+    bodies = [b for b in re.split(r"\r?\n[ \t]*(?:\r?\n[ \t]*)+", (text or "").lower()) if b.strip(" \t\r\n")]
+    for n, body in enumerate(bodies):
+        grams = [g for g in licences.ngrams(body) if g in at]
+        p = licences._softmax((model.bias + sum((model.weights[at[g]] for g in grams), np.zeros(len(model.classes))))[None] / model.temperature)[0]
+        k = int(p.argmax())
+        if model.classes[k] == licences.OTHER:
+            continue
+        shares = [len(set(t) & set(grams)) / len(t) for f, t in model.templates if f == model.classes[k]]
+        sure = model.classes[k] != licences.UNKNOWN and p[k] >= model.threshold
+        found.append((n, model.classes[k] if sure else licences.UNKNOWN, round(float(p[k]), 4), round(max(shares, default=0.0), 4)))
+    return found
+
+
+def test_licences(spark, docs, empty, licence_model):
+    model, wrapped = licence_model, "Permission is hereby granted, free\nof charge, to any person obtaining\na copy of this software and associated documentation files"
+    rows = [(1, "text\n\nReleased under the MIT License."), (2, "Licensed under the Apache License, Version 2.0.\nfoo"), (3, "All rights reserved."), (4, "You need a driving license to rent a car."), (5, None), (6, ""), (7, "Sie kommt mit uns."), (7, "a\n\n \t\nLicensed under CC BY-NC 4.0."), (8, "\n\nb\r\n\r\n" + wrapped), (9, "See MIT_LICENSE"), (10, "Released under GPLv3."), (None, "Licensed under the Frobnitz Public License."), (11, LONG + "\n" + wrapped)]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("body", F.lit(1))
     found = licences.scan(df, model).collect()
-    assert {(r.doc_id, r.paragraph, r.family, r.confirmed) for r in found} == {(1, 1, "mit", True), (2, 0, "apache-2.0", True), (3, 0, "proprietary", True), (7, 2, "cc-by-nc", True)}
-    at = {g: i for i, g in enumerate(model.features)}
-    for r in found:  # brute force
-        text = dict(enumerate([t for d, t in rows if d == r.doc_id and t and len(t.split("\n")) > r.paragraph][-1].split("\n")))[r.paragraph]
-        z = model.bias + sum((model.weights[at[g]] for g in licences.ngrams(text) if g in at), np.zeros(len(model.classes)))
-        assert abs(licences._softmax(z[None] / model.temperature)[0].max() - r.probability) < 1e-5
+    got = {(r.doc_id, r.paragraph, r.family, r.confirmed) for r in found}
+    assert {(1, 1, "mit", True), (2, 0, "apache-2.0", True), (3, 0, "proprietary", True), (7, 1, "cc-by-nc", True), (8, 1, "mit", True), (9, 0, "mit", True), (10, 0, "gpl", True), (None, 0, "unknown", False), (11, 0, "mit", True)} == got
     assert licences.scan(docs, model).count() == 0 and licences.scan(empty, model).count() == 0
 
 
+def test_licences_equal_brute_force(spark, licence_model):
+    """Every paragraph of a table and many that are close to a notice: the gate loses none."""
+    docs = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
+    rng = random.Random(4)
+    words = [w for g in licence_model.features for w in g.split()]
+    docs += [(10**6 + i, " ".join(rng.choice(words) + rng.choice(["", "", ",", "_", ".5"]) for _ in range(rng.randint(1, 5)))) for i in range(2000)]
+    got = {}
+    for r in licences.scan(spark.createDataFrame(docs, "doc_id long, text string").repartition(4), licence_model).collect():
+        got.setdefault(r.doc_id, []).append((r.paragraph, r.family, round(r.probability, 4), round(r.similarity, 4)))
+    want = {d: n for d, t in docs if (n := naive_notices(licence_model, t))}
+    assert got.keys() == want.keys() and sum(map(len, got.values())) > 100
+    for d in want:
+        assert [x[:2] for x in sorted(got[d])] == [x[:2] for x in sorted(want[d])]
+        assert np.allclose([x[2:] for x in sorted(got[d])], [x[2:] for x in sorted(want[d])], atol=2e-4)
+
+
+@pytest.mark.parametrize("family", ["isc", "epl", "zlib", "busl"])
+def test_licence_of_no_known_family(family):
+    """Notices of a family that was left out of the training are unknown."""
+    model = licences.fit(families=[f for f in licences.NAMES if f != family])
+    found = [naive_notices(model, t) for t, _ in licences.notices([family])]
+    assert np.mean([bool(n) and n[0][1] == licences.UNKNOWN for n in found]) > 0.9
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(600, 16))
