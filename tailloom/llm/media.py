@@ -32,21 +32,27 @@ from .common import arrow_rows, small_batches, written
 
 WIDTH = 64
 SCHEME = "sha256:"
-_BREAKS = frozenset("address article aside blockquote body br dd div dl dt figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table td th tr ul".split())
+_BREAKS = frozenset("address article aside blockquote body br dd div dl dt figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table td th tr ul".split())
 _MEDIA = frozenset("img audio video source embed".split())
-_HIDDEN = frozenset("script style template noscript head".split())
+_HIDDEN = frozenset("script style template noscript head title".split())
+_IN_HEAD = frozenset("base link meta title style script noscript template".split())
 
 
 class _Sequence(HTMLParser):
-    """Texts and media references of a page in order; a figure's caption goes to its references."""
+    """Texts and media references of a page in order; a figure's caption goes to the references in the figure.
+
+    A caption before or after the references counts; a figcaption outside any figure is text.  A head
+    without an end tag ends where the body's content begins.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.items: list[dict] = []
         self._text: list[str] = []
-        self._hidden = 0
-        self._figure: int | None = None
+        self._hidden: list[str] = []
+        self._figures: list[dict] = []  # open figures, the innermost last: their first item and caption
         self._caption: list[str] | None = None
+        self._captioned: set[int] = set()  # items that have their figure's caption
 
     def _flush(self) -> None:
         text = " ".join("".join(self._text).split())
@@ -55,13 +61,18 @@ class _Sequence(HTMLParser):
         self._text = []
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        if self._hidden and self._hidden[-1] == "head" and tag not in _IN_HEAD:
+            self._hidden.pop()
         if tag in _HIDDEN:
-            self._hidden += 1
+            self._hidden.append(tag)
+        if self._hidden:
+            return
         if tag in _BREAKS:
             self._flush()
         if tag == "figure":
-            self._figure = len(self.items)
-        elif tag == "figcaption":
+            self._end_caption()
+            self._figures.append({"first": len(self.items), "caption": None})
+        elif tag == "figcaption" and self._figures:
             self._flush()
             self._caption = []
         elif tag in _MEDIA:
@@ -72,23 +83,43 @@ class _Sequence(HTMLParser):
             self.items.append({"position": len(self.items), "kind": "media", "text": None if digest else source, "digest": digest, "caption": of.get("alt")})
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in _HIDDEN:
-            self._hidden = max(0, self._hidden - 1)
-        if tag == "figcaption" and self._caption is not None:
-            caption, self._caption = " ".join("".join(self._caption).split()), None
-            for item in self.items[self._figure or 0 :]:
-                if item["kind"] == "media":
-                    item["caption"] = caption
+        if tag in self._hidden:
+            while self._hidden.pop() != tag:
+                pass
+            return
+        if self._hidden:
+            return
+        if tag == "figcaption":
+            self._end_caption()
         if tag in _BREAKS:
             self._flush()
-        if tag == "figure":
-            self._figure = None
+        if tag == "figure" and self._figures:
+            self._end_figure()
 
-    def handle_data(self, data: str) -> None:
+    def _end_caption(self) -> None:
         if self._caption is not None:
-            self._caption.append(data)
-        elif not self._hidden:
-            self._text.append(data)
+            self._figures[-1]["caption"], self._caption = " ".join("".join(self._caption).split()), None
+
+    def _end_figure(self) -> None:
+        """Give a figure's caption to its references, but for those of a figure inside that has its own."""
+        self._end_caption()
+        figure = self._figures.pop()
+        if figure["caption"] is not None:
+            for item in self.items[figure["first"] :]:
+                if item["kind"] == "media" and id(item) not in self._captioned:
+                    item["caption"] = figure["caption"]
+                    self._captioned.add(id(item))
+
+    def handle_data(self, data: str) -> None:
+        if self._hidden:
+            return
+        (self._text if self._caption is None else self._caption).append(data)
+
+    def close(self) -> None:
+        super().close()
+        while self._figures:
+            self._end_figure()
+        self._flush()
 
 
 def sequence(html: str | None) -> list[dict]:
@@ -96,7 +127,6 @@ def sequence(html: str | None) -> list[dict]:
     parser = _Sequence()
     parser.feed(html or "")
     parser.close()
-    parser._flush()
     return parser.items
 
 
@@ -132,7 +162,7 @@ def decode_pgm(media: bytes) -> np.ndarray:
 
 
 def store(payloads: DataFrame) -> DataFrame:
-    """digest, n_bytes and media of payloads (columns digest and data), written in the media format and read back."""
+    """digest, n_bytes and media of payloads (columns digest and data), one of each digest, written in the media format and read back."""
     small_batches(payloads.sparkSession)
     schema = pa.schema([("digest", pa.string()), ("n_bytes", pa.int64()), ("media", pa.binary())])
 
@@ -144,7 +174,7 @@ def store(payloads: DataFrame) -> DataFrame:
 
         yield from arrow_rows(schema, rows())
 
-    return written(payloads.select("digest", "data").mapInArrow(run, "digest string, n_bytes long, media binary"))
+    return written(payloads.groupBy("digest").agg(F.first("data").alias("data")).mapInArrow(run, "digest string, n_bytes long, media binary"))
 
 
 FEATURES = pa.schema([("digest", pa.string()), ("n_bytes", pa.int64()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string())])
@@ -162,7 +192,7 @@ def feature(samples: np.ndarray) -> str:
 
 
 def features(stored: DataFrame) -> DataFrame:
-    """Features of stored media, one row for each digest."""
+    """Features of stored media (a row for each digest)."""
     small_batches(stored.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,8 +205,7 @@ def features(stored: DataFrame) -> DataFrame:
 
         yield from arrow_rows(FEATURES, rows())
 
-    found = stored.select("digest", "n_bytes", "media").mapInArrow(run, FEATURES_SQL)
-    return found.groupBy("digest").agg(*(F.first(c).alias(c) for c in found.columns[1:]))
+    return stored.select("digest", "n_bytes", "media").mapInArrow(run, FEATURES_SQL)
 
 
 def resolve(sequences: DataFrame, media: DataFrame) -> DataFrame:

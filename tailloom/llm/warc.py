@@ -10,9 +10,11 @@ origin, orders them by segment number, verifies numbers and total length, and
 decodes the chunked framing.
 
 The writer ends a chunk within any text that looks like a record start, so the
-separator never occurs inside a record of its own.  A foreign archive's record
-that holds one is reported in ``error``, as are truncated records, missing
-segments and broken framing; nothing is dropped silently.
+separator never occurs inside a record of its own.  In a foreign archive (of WARC/1.0
+or 1.1, read by one separator each) a record that holds one is cut there: its first part
+and the rest are rows with an ``error``, as are truncated records, missing segments,
+continuations without an origin, records of another type and broken framing; nothing is
+dropped silently.
 
 Defined results: null html counts as empty; a null page_id is kept, never
 referred to, and a revisit if a payload's smallest page_id isn't null; wholly
@@ -143,17 +145,17 @@ def parse(raw: bytes) -> tuple:
     """Fields of a record from what follows its version line."""
     head, _, rest = raw.partition(b"\r\n\r\n")
     of = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in head.decode("utf-8", "replace").split("\r\n"))}
-    number = lambda name: int(of[name]) if of.get(name, "").lstrip("-").isdigit() else None
+    number = lambda name: int(of[name]) if re.fullmatch(r"-?\d{1,18}", of.get(name, "")) else None
     length = number("content-length")
     error = None if length is not None and rest[length:] == b"\r\n\r\n" else "content length"
     block = rest[: length or 0]
     return of.get("warc-type"), of.get("warc-record-id"), number("x-page-id"), of.get("warc-target-uri"), number("x-refers-to-page-id"), of.get("warc-payload-digest", "").rpartition(":")[2], number("warc-segment-number"), of.get("warc-segment-origin-id"), number("warc-segment-total-length"), block, error
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """Records of the archives under path."""
+def read(spark: SparkSession, path: str, version: str = VERSION.decode()) -> DataFrame:
+    """Records of the archives under path, whose records begin with that version line."""
     small_batches(spark)
-    lines = spark.read.option("lineSep", VERSION.decode() + "\r\n").text(path).where(F.length("value") > 0)
+    lines = spark.read.option("lineSep", version + "\r\n").text(path).where(F.length("value") > 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -182,16 +184,17 @@ def _payload(block: bytes) -> tuple[bytes, str | None]:
 
 
 def reassemble(records: DataFrame) -> DataFrame:
-    """A row for each response and revisit: type, page_id, url, refers_to, digest, payload, error.
+    """A row for each whole record and each group of segments: type, page_id, url, refers_to, digest, payload, error.
 
-    Only segmented records are shuffled; a group is one response's records.
+    Only segmented records are shuffled; a group is one response's records.  Continuations without a first
+    record are a row of type continuation with an error; so is any record that is neither response nor revisit.
     """
     small_batches(records.sparkSession)
     meta = ("type", "page_id", "url", "refers_to", "digest")
     whole = records.where("segment is null").select(*meta, F.lit(None).cast("long").alias("total"), F.array(F.struct(F.lit(1).alias("segment"), "block")).alias("segments"), "error")
     parts = records.where("segment is not null").groupBy(F.coalesce("origin", "id").alias("of"))
     first = lambda c: F.max(F.when(F.col("segment") == 1, F.col(c))).alias(c)
-    grouped = parts.agg(*map(first, meta), F.max("total").alias("total"), F.array_sort(F.collect_list(F.struct("segment", "block"))).alias("segments"), F.max("error").alias("error"))
+    grouped = parts.agg(F.coalesce(F.max(F.when(F.col("segment") == 1, F.col("type"))), F.lit("continuation")).alias("type"), *map(first, meta[1:]), F.max("total").alias("total"), F.array_sort(F.collect_list(F.struct("segment", "block"))).alias("segments"), F.max("error").alias("error"))
     parted = grouped.select(*meta, F.coalesce("total", F.lit(-1)).alias("total"), "segments", "error")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,6 +203,8 @@ def reassemble(records: DataFrame) -> DataFrame:
                 for type_, page_id, url, refers_to, digest, total, segments, error in zip(*(c.to_pylist() for c in batch.columns)):
                     block, wrong = (segments[0]["block"], None) if total is None else _whole(total, segments)
                     payload, broken = _payload(block) if type_ == "response" else (None, None)
+                    if type_ not in ("response", "revisit"):
+                        broken = "origin missing" if type_ == "continuation" else "record type"
                     if payload is not None and not (error or wrong or broken) and hashlib.sha256(payload).hexdigest() != digest:
                         broken = "digest"
                     yield type_, page_id, url, refers_to, digest, payload, error or wrong or broken
@@ -210,14 +215,18 @@ def reassemble(records: DataFrame) -> DataFrame:
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type, refers_to and error of every page, from archives written and read back."""
+    """page_id, payload_bytes, payload_digest, record_type, refers_to and error of every record, from archives written and read back.
+
+    The archives are parsed once.  A revisit's bytes are those of the response that it refers to.
+    """
     spark, path = pages.sparkSession, scratch(pages.sparkSession)
     write(pages, path)
     found = reassemble(read(spark, path)).withColumn("payload_bytes", F.octet_length("payload").cast("long"))
-    found = found.withColumn("payload_digest", F.sha2("payload", 256)).drop("payload")
-    responses = found.where("type = 'response'")
-    stored = responses.groupBy(F.col("page_id").alias("refers_to"), F.col("payload_digest").alias("digest")).agg(F.first("payload_bytes").alias("payload_bytes"))
-    revisits = found.where("type = 'revisit'").drop("payload_bytes", "payload_digest").join(stored, ["refers_to", "digest"], "left")
-    error = F.coalesce("error", F.when(F.col("payload_bytes").isNull(), "origin missing"))
-    columns = lambda df, digest, error: df.select("page_id", "payload_bytes", F.col(digest).alias("payload_digest"), F.col("type").alias("record_type"), "refers_to", error.alias("error"))
-    return columns(responses, "payload_digest", F.col("error")).union(columns(revisits, "digest", error))
+    found = written(found.withColumn("payload_digest", F.coalesce(F.sha2("payload", 256), "digest")).drop("payload", "url", "digest"))
+    revisits = found.where("type = 'revisit'").drop("payload_bytes")
+    origins = revisits.select(F.col("refers_to").alias("page_id"), "payload_digest").distinct()
+    stored = found.where("type = 'response'").join(origins, ["page_id", "payload_digest"]).groupBy("page_id", "payload_digest").agg(F.max("payload_bytes").alias("payload_bytes"))
+    revisits = revisits.join(stored.withColumnRenamed("page_id", "refers_to"), ["refers_to", "payload_digest"], "left")
+    columns = lambda df, error: df.select("page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to", error.alias("error"))
+    missing = F.coalesce("error", F.when(F.col("payload_bytes").isNull(), "origin missing"))
+    return columns(found.where("type is null or type <> 'revisit'"), F.col("error")).union(columns(revisits, missing))

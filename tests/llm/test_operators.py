@@ -209,6 +209,46 @@ def test_media(docs, empty):
     assert [(i["position"], i["kind"], i["text"], i["digest"], i["caption"]) for i in items] == [(0, "text", "a b", None, None), (1, "media", None, "00", "cap"), (2, "text", "tail", None, None), (3, "media", "u.png", None, None)]
 
 
+def test_media_columns(docs):
+    """Every output column against the bytes themselves."""
+    def want(text):
+        data = (text or "").encode()
+        payload = data.ljust(max(1, -(-len(data) // 64)) * 64, b"\0")
+        stored = b"P5\n64 %d\n255\n" % (len(payload) // 64) + payload
+        mean = sum(payload) / len(payload)
+        deviation = (sum((x - mean) ** 2 for x in payload) / len(payload)) ** 0.5
+        shares = ",".join(f"{sum(x >> 6 == k for x in payload) / len(payload):.4f}" for k in range(4))
+        feature = f"rows={len(payload) // 64};mean={mean:.4f};dev={deviation:.4f};shares={shares}"
+        return len(data), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(stored), hashlib.sha256(stored).hexdigest(), feature
+
+    rows = media.document_media(docs).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature").collect()
+    assert sorted(map(str, map(tuple, rows))) == sorted(str((d, *want(t))) for d, t, *_ in ROWS)
+
+
+def test_media_captions():
+    def of(html):
+        return [(i["kind"][0], i["text"] or i["digest"], i["caption"]) for i in media.sequence(html)]
+
+    assert of("<figure><figcaption>cap</figcaption><img src=sha256:1 alt=x><img src=sha256:2></figure><img src=sha256:3 alt=y>") == [("m", "1", "cap"), ("m", "2", "cap"), ("m", "3", "y")]
+    assert of("<img src=sha256:1 alt=x><figcaption>loose</figcaption>t") == [("m", "1", "x"), ("t", "loose", None), ("t", "t", None)]
+    assert of("<figure><img src=sha256:1><figure><img src=sha256:2><figcaption>in</figcaption></figure><figcaption>out</figcaption></figure>") == [("m", "1", "out"), ("m", "2", "in")]
+    assert of("<html><head><title>no</title><meta charset=x><body><p>yes<img src=u>") == [("t", "yes", None), ("m", "u", None)]
+    assert of("<head><style>x</style><p>yes</p><template><img src=u></template><script>z</script>tail") == [("t", "yes", None), ("t", "tail", None)]
+    assert of("<figure><img src=u><figcaption>open") == [("m", "u", "open")]
+    items = media.sequence("<p>a</p><img src=u><p>b</p>")
+    assert [i["position"] for i in items] == [0, 1, 2]
+
+
+def test_media_resolve(spark):
+    """Positions and captions stay with their references, copies of a payload are one row, unknown digests give nulls."""
+    stored = media.store(spark.createDataFrame([("aa", b"x"), ("aa", b"x"), ("bb", b"yy")], "digest string, data binary"))
+    assert sorted((r.digest, r.n_bytes) for r in stored.collect()) == [("aa", 1), ("bb", 2)]
+    pages = spark.createDataFrame([(1, "<img src=sha256:bb alt=p><p>t</p><img src=sha256:aa alt=q>"), (1, "<img src=sha256:cc>"), (2, None), (None, "<img src=sha256:aa>")], "page_id long, html string")
+    rows = media.resolve(media.interleave(pages), media.features(stored)).collect()
+    assert {(str(r.page_id), r.position, r.caption, r.digest, r.n_bytes) for r in rows} == {("1", 0, "p", "bb", 2), ("1", 2, "q", "aa", 1), ("1", 0, None, "cc", None), ("None", 0, None, "aa", 1)}
+    assert media.interleave(pages.limit(0)).count() == 0
+
+
 PAGES = [(1, "http://a", "x" * 120), (2, None, "x" * 120), (3, "u", None), (4, "u", ""), (5, "u", "y" * 99), (6, "u", "y" * 99), (7, "u", "é WARC/1.1\r\n " * 9000 + "WARC/1.1"), (None, "u", "x" * 120), (8, "u\r\nv", "é WARC/1.1\r\n " * 9000 + "WARC/1.1")]
 
 
@@ -221,6 +261,18 @@ def test_warc(spark):
     assert warc.round_trip(pages.limit(0)).count() == 0
 
 
+def test_warc_of_others(spark, tmp_path):
+    """WARC/1.0 is read; orphan continuations, other types, damaged and missing segments are rows with an error."""
+    made = [r for i in range(3) for r in warc.records_of(i, "u", "z" * 9000, None, f"n{i}")]
+    made = [r for r in made if not (b"<urn:page:n2>\r\nWARC-Date" in r and b"Type: response" in r)]
+    made.remove(next(r for r in made if b"<urn:page:n1:2>" in r))
+    made.append(warc._record({"WARC-Type": "warcinfo", "WARC-Record-ID": "<i>"}, b"software: x"))
+    (tmp_path / "a.warc").write_bytes(b"".join(r + b"\n" for r in made).replace(b"WARC/1.1\r\n", b"WARC/1.0\r\n"))
+    rows = warc.reassemble(warc.read(spark, str(tmp_path / "a.warc"), "WARC/1.0")).collect()
+    assert sorted((r.type, str(r.page_id), r.error) for r in rows if r.error) == [("continuation", "None", "segments missing"), ("response", "1", "segments missing"), ("warcinfo", "None", "record type")]
+    assert [(r.page_id, bytes(r.payload)) for r in rows if not r.error] == [(0, b"z" * 9000)]
+
+
 def test_warc_segments_of_usual_pages():
     """A page of a few KB is cut into segments by default."""
     assert [r.split(b"\r\n")[1] for r in warc.records_of(1, "u", "z" * 6000, None, "n")] == [b"WARC-Type: response", b"WARC-Type: continuation"]
