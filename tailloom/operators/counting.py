@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import arm_of, classify_tail, gm, of_tail, pm, precursor_of, seed, tailing
@@ -45,12 +45,42 @@ def biotype_statistics(hits: DataFrame) -> DataFrame:
 
 
 def isoform_counts(tags: DataFrame, prime: DataFrame, filter_ppm: float = 5.0) -> DataFrame:
-    """Sum of ppm by sample, annotation, seed, tail class and templated length, of tags from filter_ppm up."""
-    kept = tags.where(F.col("ppm") >= filter_ppm).select("tag_id", "sample", seed(F.col("seq")).alias("seed"), classify_tail(F.col("tail")).alias("tail_class"), F.col("gm_len").alias("read_len"), "ppm")
+    """Sum of ppm by sample, annotation, seed, tail class and templated length, of tags from filter_ppm up.
+
+    Where tags have a column seed_md (mismatches in the seed), seeds that differ by it are different.
+    """
+    kept = tags.where(F.col("ppm") >= filter_ppm).select("tag_id", "sample", marked_seed(tags).alias("seed"), classify_tail(F.col("tail")).alias("tail_class"), F.col("gm_len").alias("read_len"), "ppm")
     by = kept.join(prime.select("tag_id", "biotype", F.col("name").alias("anno")), "tag_id")
     return by.groupBy("sample", "biotype", "anno", "seed", "tail_class", "read_len").agg(F.sum("ppm").alias("ppm"))
 
 
+def marked_seed(tags: DataFrame) -> Column:
+    """Seed of tags (a column seq), and its mismatches (a column seed_md, if there is one) after a bar."""
+    if "seed_md" not in tags.columns:
+        return seed(F.col("seq"))
+    return F.concat(seed(F.col("seq")), F.when(F.col("seed_md") != "", F.concat(F.lit("|"), "seed_md")).otherwise(""))
+
+
+def flag_isoform(tags: DataFrame, prime: DataFrame, flags: DataFrame, filter_ppm: float = 5.0) -> DataFrame:
+    """sample, anno, seed and is_flagged: whether any of an isoform's tags is flagged (flags: tag_id and is_flagged)."""
+    kept = tags.where(F.col("ppm") >= filter_ppm).select("tag_id", "sample", marked_seed(tags).alias("seed"))
+    by = kept.join(prime.select("tag_id", F.col("name").alias("anno")), "tag_id").join(flags, "tag_id", "left")
+    return by.groupBy("sample", "anno", "seed").agg(F.max(F.coalesce("is_flagged", F.lit(False))).alias("is_flagged"))
+
+
+def densify(rows: DataFrame, keys: list[str], value: str = "ppm", fill: float = 1e-6) -> DataFrame:
+    """Every combination of the keys' values, with the value of its row, or fill where there is none.
+
+    For reports that need zeros: keys are samples, tail classes, annotations and lengths, all of few values but the
+    annotations, whose number the feature files bound.
+    """
+    grid = rows.select(keys[0]).distinct()
+    for key in keys[1:]:
+        grid = grid.crossJoin(rows.select(key).distinct())
+    sums = rows.groupBy(*keys).agg(F.sum(value).alias(value))
+    return grid.join(sums, keys, "left").withColumn(value, F.coalesce(value, F.lit(fill)))
+
+
 def biotype_counts(tags: DataFrame, prime: DataFrame, filter_ppm: float = 5.0) -> DataFrame:
     named = prime.select("tag_id", "biotype", F.col("biotype").alias("name"))
     return isoform_counts(tags, named, filter_ppm).groupBy("sample", "biotype", "tail_class", "read_len").agg(F.sum("ppm").alias("ppm"))

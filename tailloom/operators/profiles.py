@@ -82,19 +82,34 @@ def pairwise_fold(totals: DataFrame) -> DataFrame:
     return out.withColumn("fold", (F.col("x") + 1) / (F.col("y") + 1)).withColumn("total", F.col("x") + F.col("y"))
 
 
-def preference_sets(folds: DataFrame, fold: float = 2.0) -> DataFrame:
-    """Annotations whose fold against every other sample is at least ``fold`` (UniLike) or at most its inverse (DisLike)."""
+def preference_sets(folds: DataFrame, fold: float = 2.0, max_p: float | None = 0.05) -> DataFrame:
+    """Annotations whose fold against every other sample is at least ``fold`` (UniLike) or at most its inverse (DisLike).
+
+    Folds whose p (a column of folds, unless max_p is None) is over ``max_p`` count neither way.
+    """
     n = folds.select(F.count_distinct("s1").alias("n"))
-    by = folds.groupBy("anno", "s1").agg(F.count_if(F.col("fold") >= fold).alias("up"), F.count_if(F.col("fold") <= 1 / fold).alias("down"))
+    sure = F.lit(True) if max_p is None else F.col("p") <= max_p
+    by = folds.groupBy("anno", "s1").agg(F.count_if(sure & (F.col("fold") >= fold)).alias("up"), F.count_if(sure & (F.col("fold") <= 1 / fold)).alias("down"))
     kind = F.when(F.col("up") == F.col("n") - 1, "UniLike").when(F.col("down") == F.col("n") - 1, "DisLike")
     return by.crossJoin(F.broadcast(n)).select("anno", F.col("s1").alias("sample"), kind.alias("kind")).where("kind is not null")
 
 
 def loading_difference(totals: DataFrame) -> DataFrame:
-    """(max - min) / min over samples, with the samples; ties go to the first sample."""
-    by = totals.groupBy("anno").agg(F.sum("ppm").alias("total"), F.min(F.struct((-F.col("ppm")).alias("v"), "sample")).alias("hi"), F.min(F.struct(F.col("ppm").alias("v"), "sample")).alias("lo"))
+    """(max - min) / min over all samples, with the samples; ties go to the first sample.
+
+    A sample that lacks an annotation has 0 of it, and the least value counts as 1e-6 at least.  The difference is
+    negative if any third sample lies as far above the least as the least itself, or above a least of 0.
+    """
+    samples = totals.agg(F.array_sort(F.collect_set("sample")).alias("samples"))  # one row, as long as the list of samples
+    by = totals.groupBy("anno").agg(F.sum("ppm").alias("total"), F.map_from_entries(F.collect_list(F.struct("sample", "ppm"))).alias("v"))
+    value = lambda s: F.coalesce(F.try_element_at("v", s), F.lit(0.0))
+    by = by.crossJoin(F.broadcast(samples)).select("anno", "total", F.transform("samples", lambda s: F.struct(value(s).alias("v"), s.alias("sample"))).alias("held"))
+    high = F.array_min(F.transform("held", lambda x: F.struct((-x["v"]).alias("v"), x["sample"].alias("sample"))))
+    by = by.select("anno", "total", "held", high.alias("hi"), F.array_min("held").alias("lo"))
+    third = lambda x: ~x["sample"].isin(F.col("hi.sample"), F.col("lo.sample")) & F.when(F.col("lo.v") > 0, x["v"] >= 2 * F.col("lo.v")).otherwise(x["v"] > 0)
     low = F.greatest(F.col("lo.v"), F.lit(1e-6))
-    return by.select("anno", "total", ((-F.col("hi.v") - low) / low).alias("diff"), F.col("hi.sample").alias("max_sample"), F.col("lo.sample").alias("min_sample"))
+    diff = (-F.col("hi.v") - low) / low * F.when(F.exists("held", third), -1).otherwise(1)
+    return by.select("anno", "total", F.when(F.col("total") > 0, diff).otherwise(0.0).alias("diff"), F.col("hi.sample").alias("max_sample"), F.col("lo.sample").alias("min_sample"))
 
 
 def length_difference(iso: DataFrame) -> DataFrame:

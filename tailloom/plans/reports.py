@@ -11,8 +11,9 @@ from ..functions.columns import classify_tail, precursor_of
 from ..operators import counting, differential, folding, intervals, profiles, regions, sequences, tags as tag_ops, targets, views
 from . import adapters
 
-#: Tags under so many parts per million are left out of the reports.
-FLOOR = 1.0
+#: Tags under so many parts per million are left out of the reports.  The views' tags are single rows, whose ppm falls as
+#: tables grow, so the reports take all of them; ``isoform_counts_floor`` shows the floor.
+FLOOR = 0.0
 SLOTS = {"gene": "miRNA", "mirtron": "mirtron", "trna": "tRNA", "linc": "lincRNA", "rmsk": "rmsk"}
 
 
@@ -26,7 +27,10 @@ class Base:
         return adapters.view(self.spark, self.sf_dir, sql)
 
     def tags(self) -> DataFrame:
-        return tag_ops.normalize_ppm(self.view(adapters.TAGS))
+        inside = F.col("mismatch_pos").between(1, 7)
+        base = F.substring("seq", F.col("mismatch_pos") + 1, F.lit(1))
+        marked = F.when(inside, F.concat((F.col("mismatch_pos") - 1).cast("string"), base)).otherwise("")
+        return tag_ops.normalize_ppm(self.view(adapters.TAGS).withColumn("seed_md", marked))
 
     def features(self) -> DataFrame:
         return self.view(adapters.FEATURES)
@@ -98,7 +102,7 @@ _CTES = {
     "ranked": "SELECT *, CASE biotype WHEN 'miRNA' THEN 1 WHEN 'mirtron' THEN 2 WHEN 'tRNA' THEN 3 WHEN 'lincRNA' THEN 4 END AS rk FROM hits",
     "prime": "SELECT tag_id, biotype, name FROM (SELECT *, min(rk) OVER (PARTITION BY tag_id) AS best FROM ranked WHERE rk IS NOT NULL) x WHERE rk = best",
     "annotated": f"SELECT t.*, p.biotype, p.name AS anno, translate(substring(t.seq, 2, 7), 'T', 'U') AS seed, t.gm_len AS read_len, CASE WHEN tail = '' THEN 'GM' WHEN tail = 'A' THEN 'A' WHEN tail = 'C' THEN 'C' WHEN tail = 'G' THEN 'G' WHEN tail = 'TT' THEN 'U' ELSE 'Other' END AS tail_class FROM tags t JOIN prime p ON t.tag_id = p.tag_id WHERE t.ppm >= {FLOOR}",
-    "iso": "SELECT sample, biotype, anno, seed, tail_class, read_len, sum(ppm) AS ppm FROM annotated GROUP BY ALL",
+    "iso": "SELECT sample, biotype, anno, seed || CASE WHEN mismatch_pos BETWEEN 1 AND 7 THEN '|' || CAST(mismatch_pos - 1 AS VARCHAR) || substring(seq, mismatch_pos + 1, 1) ELSE '' END AS seed, tail_class, read_len, sum(ppm) AS ppm FROM annotated GROUP BY ALL",
     "counts": "SELECT sample, biotype, tail_class, read_len, sum(ppm) AS ppm FROM annotated GROUP BY ALL",
     "targets": adapters.TARGETS,
     "folds": adapters.FOLDS,
@@ -165,6 +169,9 @@ _SEQUENCE = "CASE WHEN strand = '-' THEN reverse(translate({s}, 'ACGT', 'TGCA'))
 _ENDS = "SELECT a.sample, a.anno, sum(p * abs(e - mode)) / sum(p) AS h FROM (SELECT *, first_value(e) OVER (PARTITION BY sample, anno ORDER BY p DESC, e) AS mode FROM (SELECT sample, anno, CASE WHEN (strand = '+') = {five} THEN t_start ELSE t_end END AS e, round(sum(ppm), 6) AS p FROM annotated GROUP BY ALL) x) a GROUP BY a.sample, a.anno"
 
 _PREFERENCES = f"SELECT anno, sample, kind FROM (SELECT anno, s1 AS sample, CASE WHEN count(*) FILTER (WHERE fold >= 1.2) = (SELECT count(DISTINCT sample) - 1 FROM totals) THEN 'UniLike' WHEN count(*) FILTER (WHERE fold <= 1 / 1.2) = (SELECT count(DISTINCT sample) - 1 FROM totals) THEN 'DisLike' END AS kind FROM ({_FOLDS}) f GROUP BY anno, s1) x WHERE kind IS NOT NULL"
+#: Every annotation has a row for each sample here, 0 where it is absent.
+_GRID = "SELECT a.anno, s.sample, coalesce(t.ppm, 0) AS ppm FROM (SELECT DISTINCT anno FROM {rows}) a CROSS JOIN (SELECT DISTINCT sample FROM {rows}) s LEFT JOIN {rows} t ON t.anno = a.anno AND t.sample = s.sample"
+_LOADING = f"SELECT anno, sum(ppm) AS total, (max(ppm) - greatest(min(ppm), 1e-6)) / greatest(min(ppm), 1e-6) * CASE WHEN bool_or(sample NOT IN (hi, lo) AND CASE WHEN low > 0 THEN ppm >= 2 * low ELSE ppm > 0 END) THEN -1 ELSE 1 END AS diff, any_value(hi) AS max_sample, any_value(lo) AS min_sample FROM (SELECT *, min(ppm) OVER (PARTITION BY anno) AS low, first_value(sample) OVER (PARTITION BY anno ORDER BY ppm DESC, sample) AS hi, first_value(sample) OVER (PARTITION BY anno ORDER BY ppm, sample) AS lo FROM ({_GRID}) g) y GROUP BY anno"
 #: Longest cluster that regions with a gap between them may come to share.
 MERGE = 2000
 _CLEAR = "(SELECT * FROM tags t WHERE NOT EXISTS (SELECT 1 FROM hits h WHERE h.tag_id = t.tag_id)) z"
@@ -247,6 +254,21 @@ REPORTS: dict[str, tuple[Build, str, tuple[str, ...]]] = {
     ),
     "biotype_statistics": (lambda b: counting.biotype_statistics(b.hits()), "SELECT sample, biotype, round(sum(weight) / count(*), 4) AS value FROM hits GROUP BY ALL", ("hits",)),
     "isoform_counts": (lambda b: b.iso(), "SELECT sample, biotype, anno, seed, tail_class, read_len, round(ppm, 4) AS ppm FROM iso", ("iso",)),
+    "isoform_counts_floor": (
+        lambda b: counting.isoform_counts(b.tags(), b.prime(), 15.0),
+        "SELECT sample, biotype, anno, seed || CASE WHEN mismatch_pos BETWEEN 1 AND 7 THEN '|' || CAST(mismatch_pos - 1 AS VARCHAR) || substring(seq, mismatch_pos + 1, 1) ELSE '' END AS seed, tail_class, read_len, round(sum(ppm), 4) AS ppm FROM annotated WHERE ppm >= 15 GROUP BY ALL",
+        ("annotated",),
+    ),
+    "flag_isoform": (
+        lambda b: counting.flag_isoform(b.tags(), b.prime(), counting.label_rules(b.hits(), [("rmsk", True, "exact")]), FLOOR),
+        "SELECT sample, anno, seed || CASE WHEN mismatch_pos BETWEEN 1 AND 7 THEN '|' || CAST(mismatch_pos - 1 AS VARCHAR) || substring(seq, mismatch_pos + 1, 1) ELSE '' END AS seed, bool_or(tag_id IN (SELECT tag_id FROM hits WHERE biotype = 'rmsk')) AS is_flagged FROM annotated GROUP BY ALL",
+        ("annotated", "hits"),
+    ),
+    "densify": (
+        lambda b: counting.densify(b.counts(), ["sample", "biotype", "tail_class", "read_len"]),
+        "SELECT a.sample, b.biotype, c.tail_class, d.read_len, round(coalesce(ppm, 1e-6), 4) AS ppm FROM (SELECT DISTINCT sample FROM counts) a CROSS JOIN (SELECT DISTINCT biotype FROM counts) b CROSS JOIN (SELECT DISTINCT tail_class FROM counts) c CROSS JOIN (SELECT DISTINCT read_len FROM counts) d LEFT JOIN counts x USING (sample, biotype, tail_class, read_len)",
+        ("counts",),
+    ),
     "biotype_counts": (lambda b: b.counts(), "SELECT sample, biotype, tail_class, read_len, round(ppm, 4) AS ppm FROM counts", ("counts",)),
     "dominant_isoform": (
         lambda b: counting.dominant_isoform(b.iso()),
@@ -307,13 +329,13 @@ REPORTS: dict[str, tuple[Build, str, tuple[str, ...]]] = {
     ),
     "pairwise_fold": (lambda b: profiles.pairwise_fold(b.totals()), f"SELECT anno, s1, s2, round(x, 4) AS x, round(y, 4) AS y, round(fold, 4) AS fold, round(x + y, 4) AS total FROM ({_FOLDS}) f", ("totals",)),
     "preference_sets": (
-        lambda b: profiles.preference_sets(profiles.pairwise_fold(b.totals()), 1.2),
+        lambda b: profiles.preference_sets(profiles.pairwise_fold(b.totals()), 1.2, None),
         _PREFERENCES,
         ("totals",),
     ),
     "loading_difference": (
         lambda b: profiles.loading_difference(b.totals()),
-        "SELECT anno, round(sum(ppm), 4) AS total, round((max(ppm) - greatest(min(ppm), 1e-6)) / greatest(min(ppm), 1e-6), 4) AS diff, (min({'v': -ppm, 's': sample})).s AS max_sample, (min({'v': ppm, 's': sample})).s AS min_sample FROM totals GROUP BY anno",
+        f"SELECT anno, round(total, 4) AS total, round(diff, 4) AS diff, max_sample, min_sample FROM ({_LOADING.format(rows='totals')}) d",
         ("totals",),
     ),
     "length_difference": (
@@ -444,7 +466,7 @@ REPORTS: dict[str, tuple[Build, str, tuple[str, ...]]] = {
         ("hits",),
     ),
     "preference_semi_join": (
-        lambda b: b.totals().join(profiles.preference_sets(profiles.pairwise_fold(b.totals()), 1.2).select("anno"), "anno", "left_semi"),
+        lambda b: b.totals().join(profiles.preference_sets(profiles.pairwise_fold(b.totals()), 1.2, None).select("anno"), "anno", "left_semi"),
         f"SELECT sample, anno, round(ppm, 4) AS ppm FROM totals WHERE anno IN (SELECT anno FROM ({_FOLDS}) f GROUP BY anno, s1 HAVING count(*) FILTER (WHERE fold >= 1.2) = (SELECT count(DISTINCT sample) - 1 FROM totals) OR count(*) FILTER (WHERE fold <= 1 / 1.2) = (SELECT count(DISTINCT sample) - 1 FROM totals))",
         ("totals",),
     ),
@@ -460,8 +482,8 @@ REPORTS: dict[str, tuple[Build, str, tuple[str, ...]]] = {
     ),
     "join_targets": (lambda b: b.predictions(), "SELECT anno, seed, gene, round(pct, 4) AS pct FROM predictions", ("predictions",)),
     "preference_targets": (
-        lambda b: targets.preference_targets(profiles.preference_sets(profiles.pairwise_fold(b.iso_totals()), 1.2), b.predictions()),
-        f"SELECT DISTINCT sample, kind, gene, round(pct, 4) AS pct FROM ({_PREFERENCES.replace('totals', 'isototals')}) p JOIN predictions t ON p.anno = t.anno || '_' || translate(t.seed, 'T', 'U')",
+        lambda b: targets.preference_targets(profiles.preference_sets(profiles.pairwise_fold(b.iso_totals()), 1.2, None), b.predictions()),
+        f"SELECT DISTINCT sample, kind, gene, round(pct, 4) AS pct FROM ({_PREFERENCES.replace('totals', 'isototals')}) p JOIN predictions t ON split_part(p.anno, '|', 1) = t.anno || '_' || translate(t.seed, 'T', 'U')",
         ("isototals", "predictions"),
     ),
     "join_fold": (
@@ -513,7 +535,7 @@ REPORTS: dict[str, tuple[Build, str, tuple[str, ...]]] = {
     ),
     "filter_difference_loading": (
         lambda b: profiles.filter_difference_rows(profiles.loading_difference(b.iso_totals()).select("anno", "total", "diff", F.concat_ws(":", "max_sample", "min_sample").alias("samples"), F.lit("").alias("info")), "Loading", fold=0.5, min_expr=20.0),
-        "SELECT split_part(anno, '_', 1) AS anno, split_part(anno, '_', 2) AS seed, round(diff, 4) AS diff, sample1, sample2 FROM (SELECT anno, sum(ppm) AS total, (max(ppm) - greatest(min(ppm), 1e-6)) / greatest(min(ppm), 1e-6) AS diff, (min({'v': -ppm, 's': sample})).s AS sample1, (min({'v': ppm, 's': sample})).s AS sample2 FROM isototals GROUP BY anno) x WHERE total >= 20 AND CASE WHEN diff > 0 THEN diff >= 0.5 ELSE diff <= 0.5 END",
+        f"SELECT split_part(anno, '_', 1) AS anno, split_part(anno, '_', 2) AS seed, round(diff, 4) AS diff, max_sample AS sample1, min_sample AS sample2 FROM ({_LOADING.format(rows='isototals')}) x WHERE total >= 20 AND CASE WHEN diff > 0 THEN diff >= 0.5 ELSE diff <= 0.5 END",
         ("isototals",),
     ),
     "top_k": (
@@ -526,6 +548,7 @@ REPORTS: dict[str, tuple[Build, str, tuple[str, ...]]] = {
 UNSQL: dict[str, Build] = {
     "seed_chain": lambda b: regions.seed_chain(b.iso()),
     "pairwise_differential": lambda b: b.folds(),
+    "preference_significant": lambda b: profiles.preference_sets(b.folds(), 1.2, 0.9),
     "differential_filter": lambda b: views.filter_fold_pvalue(b.folds(), 0.2, 0.9),
     "volcano_points": lambda b: views.volcano_points(b.folds()),
 }

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 FEATURE_SCHEMA = "chrom string, f_start long, f_end long, strand string, biotype string, name string"
@@ -17,15 +20,51 @@ def sample_of_path() -> Column:
 def read_fastq(spark: SparkSession, paths: str | list[str], min_len: int = 15, max_len: int = 30) -> DataFrame:
     """Reads of FASTQ files with four lines a record, within the length window and of ACGT only.
 
-    Records are split where a line end is followed by the next record's header, so large files are read
-    in parallel: '@' also starts some quality lines, which the '+' line two lines on tells apart.
+    Files are split at line ends before '@', so large ones are read in parallel.  '@' also starts some quality
+    lines: a part of three lines then lacks its quality, which is the next part, of one line.  Parts are put
+    together as they are read; only those at the ends of a file's blocks, two for each at most, are joined.
     """
-    raw = spark.read.option("lineSep", "\n@").text(paths).select(sample_of_path().alias("sample"), F.regexp_replace("value", r"^@|\n$", "").alias("v"))
-    lines = raw.withColumn("l", F.split("v", "\n")).where(F.size("l") >= 4)
-    reads = lines.select("sample", F.split(F.col("l")[0], " ")[0].alias("read_id"), F.col("l")[1].alias("seq"), F.col("l")[3].alias("qual"))
+    raw = spark.read.option("lineSep", "\n@").text(paths).select("_metadata.file_path", "_metadata.file_block_start", sample_of_path().alias("sample"), "value")
+    pieces = raw.mapInArrow(_stitch, "path string, block long, sample string, read_id string, seq string, qual string")
+    whole = pieces.where("read_id is not null and qual is not null").drop("path", "block")
+    after = Window.partitionBy("path").orderBy("block", F.col("read_id").isNotNull())
+    ends = pieces.where("read_id is null or qual is null").withColumn("next", F.struct(F.lead("read_id").over(after).alias("id"), F.lead("qual").over(after).alias("qual")))
+    joined = ends.where("qual is null and next.id is null and next.qual is not null").select("sample", "read_id", "seq", F.col("next.qual").alias("qual"))
+    reads = whole.union(joined)
     return reads.where(F.length("seq").between(min_len, max_len) & F.col("seq").rlike("^[ACGT]+$"))
 
 
+_PIECES = pa.schema([(c, pa.int64() if c == "block" else pa.string()) for c in ("path", "block", "sample", "read_id", "seq", "qual")])
+
+
+def _stitch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records from parts of files in order; one without its quality, or a quality alone, at the ends of a block."""
+    held: tuple | None = None
+    place = None
+    for batch in batches:
+        rows = []
+        for path, block, sample, value in zip(*(c.to_pylist() for c in batch.columns)):
+            if held and place != (path, block):
+                rows.append((*held, None))
+                held = None
+            first = place != (path, block)
+            place = path, block
+            lines = [x.rstrip("\r") for x in (value[1:] if first and block == 0 and value.startswith("@") else value).rstrip("\n").split("\n")]
+            if len(lines) >= 4:
+                rows.append((path, block, sample, lines[0].split(" ")[0], lines[1], lines[3]))
+            elif len(lines) == 3:
+                held = path, block, sample, lines[0].split(" ")[0], lines[1]
+            elif len(lines) == 1 and held:
+                rows.append((*held, "@" + lines[0]))
+                held = None
+            elif len(lines) == 1 and first:
+                rows.append((path, block, sample, None, None, "@" + lines[0]))
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _PIECES)], schema=_PIECES)
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((*held, None), _PIECES)], schema=_PIECES)
+
+
 def read_fasta_reads(spark: SparkSession, paths: str | list[str], min_len: int = 15, max_len: int = 30) -> DataFrame:
     """Reads of FASTA files, with qualities of 'I'."""
     raw = spark.read.option("lineSep", ">").text(paths).where(F.length("value") > 0).select(sample_of_path().alias("sample"), F.split("value", "\n", 2).alias("l"))

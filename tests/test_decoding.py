@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from tailloom.functions.columns import classify_tail, reverse_complement, seed
@@ -77,3 +79,19 @@ def test_bin_size_changes_nothing(spark):
     want = {(a.tag_id, b.name) for a in ts for b in fs if a.t_start - 1 < b.f_end and a.t_end - 1 > b.f_start}
     assert pairs == [want] * 3
     assert sum(intervals.annotate_intervals(t, f, size=8).groupBy("tag_id", "name").count().where("count > 1").count() for _ in range(1)) == 0
+
+
+def test_fastq_qualities_that_look_like_headers(spark, tmp_path):
+    """Reads whose quality begins with @ or +, over files cut into many blocks."""
+    rng = random.Random(2)
+    seqs = ["".join(rng.choices("ACGT", k=20)) for _ in range(400)]
+    quals = [rng.choice("@@+I") + "".join(rng.choices("@+I5", k=19)) for _ in seqs]
+    (tmp_path / "s1.fastq").write_text("".join(f"@r{i} x\n{s}\n+\n{q}\n" for i, (s, q) in enumerate(zip(seqs, quals))))
+    want = sorted((f"r{i}", s, q) for i, (s, q) in enumerate(zip(seqs, quals)))
+    for size in ("128m", "700", "97"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            got = readers.read_fastq(spark, str(tmp_path / "s1.fastq")).collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert sorted((r.read_id, r.seq, r.qual) for r in got) == want and {r["sample"] for r in got} == {"s1"}

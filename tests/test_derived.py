@@ -112,3 +112,17 @@ def test_report_writers(spark, tmp_path):
     assert [r.value.split("\t")[5:8] for r in spark.read.text(str(tmp_path / "cohort")).collect()] == [["p", "q", "Gene"], ["0/1", ".", "G1"]]
     writers.write_type_counts(spark.createDataFrame([("miRNA",), ("tRNA",), ("miRNA",)], "biotype string"), str(tmp_path / "types"))
     assert sorted(r.value for r in spark.read.text(str(tmp_path / "types")).collect()) == ["miRNA\t2", "tRNA\t1"]
+
+
+def test_preference_needs_significance(spark):
+    rows = [("m", a, b, f, p) for a, b, f, p in [("x", "y", 3.0, 0.01), ("x", "z", 4.0, 0.05), ("y", "x", 1 / 3, 0.01), ("y", "z", 3.0, 0.2), ("z", "x", 0.25, 0.05), ("z", "y", 0.3, 0.2)]]
+    folds = spark.createDataFrame(rows, "anno string, s1 string, s2 string, fold double, p double")
+    got = lambda **k: {(r.anno, r["sample"], r.kind) for r in profiles.preference_sets(folds, **k).collect()}
+    assert got() == {("m", "x", "UniLike")}
+    assert got(max_p=None) == {("m", "x", "UniLike"), ("m", "z", "DisLike")}
+
+
+def test_loading_difference_of_absent_samples(spark):
+    rows = [("a", "m", 10.0), ("b", "m", 5.0), ("c", "n", 4.0), ("a", "n", 3.0), ("b", "n", 2.0), ("a", "k", 2.0), ("b", "k", 2.0), ("c", "k", 2.0), ("a", "o", 8.0), ("b", "o", 2.0), ("c", "o", 4.0)]
+    got = {r.anno: (pytest.approx(r.diff), r.max_sample, r.min_sample) for r in profiles.loading_difference(spark.createDataFrame(rows, "sample string, anno string, ppm double")).collect()}
+    assert got == {"m": (-(10 - 1e-6) / 1e-6, "a", "c"), "n": (1.0, "c", "b"), "k": (0.0, "a", "a"), "o": (-3.0, "a", "b")}
