@@ -7,7 +7,11 @@ A full suffix array of a large corpus doesn't fit its cluster's disks, so the
 suffixes sorted are sampled by content.  In each window of ``length`` bytes the
 ``GRAM``-byte gram with the smallest hash is the window's anchor; equal windows
 have equal anchors at equal offsets.  Neighbouring windows with a common anchor
-are one record: (gram, hash of its whole span, document, position).
+are one record: (gram, two hashes of its whole span, document, position).
+
+Strings count as equal if two hashes of 64 bits each, made by different rules (a tree of
+mixes and a polynomial), are equal; carrying the bytes instead would take over 5 x the
+input.  Two different strings of 10^13 agree in both with a probability of about 10^-12.
 
 1. Records are dealt by gram and sorted by (gram, span, document, position) with
    a multikey sort.  All but the first of a span's records are repeats in whole;
@@ -75,6 +79,30 @@ def _hashes(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.nd
     return found[gram], _mix(whole[: len(data) - length + 1], whole[length - size :])
 
 
+#: An odd multiplier of the polynomial hash, and its inverse modulo 2^64.
+_ROOT = 0x9E3779B97F4A7C15
+
+
+def _powers_of(root: int, n: int) -> np.ndarray:
+    """The first n powers modulo 2^64."""
+    factors = np.full(n, root, np.uint64)
+    factors[:1] = 1
+    return np.cumprod(factors, dtype=np.uint64)
+
+
+_INVERSE = pow(_ROOT, -1, 2**64)
+_POWERS, _INVERSES = (_powers_of(x, CHUNK + LENGTH) for x in (_ROOT, _INVERSE))
+
+
+def _polynomials(data: np.ndarray, start: np.ndarray, size: np.ndarray | int) -> np.ndarray:
+    """A second hash, of size bytes from each start: sums of bytes by powers of an odd number, modulo 2^64."""
+    longer = len(data) > len(_POWERS)
+    powers, inverses = (_powers_of(_ROOT, len(data)), _powers_of(_INVERSE, len(data))) if longer else (_POWERS, _INVERSES)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[: len(data)], out=sums[1:])
+    return (sums[start + size] - sums[start]) * inverses[start]
+
+
 class Records:
     """Columns of records or windows, sortable as a whole."""
 
@@ -132,7 +160,7 @@ def _firsts(r: Records, *names: str) -> tuple[Records, np.ndarray, np.ndarray]:
 
 
 def windows_by_anchor(text: bytes, length: int = LENGTH, gram: int = GRAM) -> Iterator[Records]:
-    """Records of a text: gram, span, pos (first window), n (windows)."""
+    """Records of a text: gram, span and more (hashes), pos (first window), n (windows)."""
     data = np.frombuffer(text, np.uint8)
     width = length - gram + 1
     for begin in range(0, len(data) - length + 1, CHUNK):
@@ -149,14 +177,14 @@ def windows_by_anchor(text: bytes, length: int = LENGTH, gram: int = GRAM) -> It
         start = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
         n = np.diff([*start, len(anchor)])
         span = _mix(_mix(windows[start], windows[start + n - 1]), ((anchor[start] - start) * 1024 + n).astype(np.uint64))
-        yield Records(gram=grams[anchor[start]], span=span, pos=start + begin, n=n.astype(np.int64))
+        yield Records(gram=grams[anchor[start]], span=span, more=_polynomials(part, start, n + length - 1), pos=start + begin, n=n.astype(np.int64))
 
 
-RECORD = "kind int, gram long, span long, doc long, tie int, pos long, n long"
+RECORD = "kind int, gram long, span long, more long, doc long, tie long, pos long, n long"
 #: What a row is: a stretch of repeats; windows to compare with few or with many other records; a
 #: record to compare, of a gram that has more spans in its task or not.
 REPEAT, FEW, MANY, OPEN, OPEN_MANY = range(5)
-_RECORD = pa.schema([("kind", pa.int32()), ("gram", pa.int64()), ("span", pa.int64()), ("doc", pa.int64()), ("tie", pa.int32()), ("pos", pa.int64()), ("n", pa.int64())])
+_RECORD = pa.schema([("kind", pa.int32()), ("gram", pa.int64()), ("span", pa.int64()), ("more", pa.int64()), ("doc", pa.int64()), ("tie", pa.int64()), ("pos", pa.int64()), ("n", pa.int64())])
 
 
 def _batch(schema: pa.Schema, *columns: np.ndarray | pa.Array) -> pa.RecordBatch:
@@ -165,12 +193,12 @@ def _batch(schema: pa.Schema, *columns: np.ndarray | pa.Array) -> pa.RecordBatch
 
 def _record_batch(kind: np.ndarray | int, r: Records) -> pa.RecordBatch:
     kinds = np.broadcast_to(np.int32(kind), len(r)).astype(np.int32)
-    return _batch(_RECORD, kinds, r.gram.view(np.int64), r.span.view(np.int64), r.doc, r.tie, r.pos, r.n)
+    return _batch(_RECORD, kinds, r.gram.view(np.int64), r.span.view(np.int64), r.more.view(np.int64), r.doc, r.tie, r.pos, r.n)
 
 
 def _combine(r: Records, last: bool) -> Iterator[pa.RecordBatch]:
     """What is known of a task's records; last: all records of their grams are here, but for those already told apart."""
-    r, new, repeat = _firsts(r, "gram", "span")
+    r, new, repeat = _firsts(r, "gram", "span", "more")
     yield _record_batch(REPEAT, r.take(repeat))
     r = r.take(new)
     if not len(r):
@@ -190,7 +218,7 @@ def _combine(r: Records, last: bool) -> Iterator[pa.RecordBatch]:
 def _ranked(docs: DataFrame) -> DataFrame:
     """doc (never null), tie and text (never null)."""
     text = F.coalesce("text", F.lit(""))
-    return docs.select("doc_id", F.coalesce("doc_id", F.lit(int(_LOW))).alias("doc"), F.hash(text).alias("tie"), text.alias("text"))
+    return docs.select("doc_id", F.coalesce("doc_id", F.lit(int(_LOW))).alias("doc"), F.xxhash64(text).alias("tie"), text.alias("text"))
 
 
 def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
@@ -203,7 +231,7 @@ def _records(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Itera
     held, count = [], 0
     for doc, tie, text in _texts(batches):
         for r in windows_by_anchor(text.encode(), length, gram):
-            r.columns |= {"doc": np.full(len(r), doc, np.int64), "tie": np.full(len(r), tie, np.int32)}
+            r.columns |= {"doc": np.full(len(r), doc, np.int64), "tie": np.full(len(r), tie, np.int64)}
             held.append(r)
             count += len(r)
             if count >= COMBINE:
@@ -225,17 +253,17 @@ def _compare_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield from _combine(Records.join(held), last=True)
 
 
-SUFFIX = "lead long, rest long, doc long, tie int, pos long, n long, span binary"
-_SUFFIX = pa.schema([("lead", pa.int64()), ("rest", pa.int64()), ("doc", pa.int64()), ("tie", pa.int32()), ("pos", pa.int64()), ("n", pa.int64()), ("span", pa.binary())])
-_STRETCH = pa.schema([("doc", pa.int64()), ("tie", pa.int32()), ("pos", pa.int64()), ("n", pa.int64())])
+SUFFIX = "lead long, rest long, more long, doc long, tie long, pos long, n long, span binary"
+_SUFFIX = pa.schema([("lead", pa.int64()), ("rest", pa.int64()), ("more", pa.int64()), ("doc", pa.int64()), ("tie", pa.int64()), ("pos", pa.int64()), ("n", pa.int64()), ("span", pa.binary())])
+_STRETCH = pa.schema([("doc", pa.int64()), ("tie", pa.int64()), ("pos", pa.int64()), ("n", pa.int64())])
 
 
-def _windows(data: np.ndarray, pos: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Leading eight bytes, and hash, of the windows that start at pos."""
+def _windows(data: np.ndarray, pos: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Leading eight bytes, and two hashes, of the windows that start at pos."""
     lead = np.zeros(len(pos), np.uint64)
     for i in range(8):
         lead = (lead << np.uint64(8)) | data[pos + i].astype(np.uint64)
-    return lead, _hashes(data, length, GRAM)[1][pos]
+    return lead, _hashes(data, length, GRAM)[1][pos], _polynomials(data, pos, length)
 
 
 def _stretches(r: Records) -> tuple[np.ndarray, ...]:
@@ -258,11 +286,11 @@ def _suffixes(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Rec
 
     def flush():
         if held:
-            r, new, repeat = _firsts(Records.join(held), "lead", "rest")
+            r, new, repeat = _firsts(Records.join(held), "lead", "rest", "more")
             x = r.take(new)
-            yield _batch(_SUFFIX, x.lead.view(np.int64) ^ _LOW, x.rest.view(np.int64), x.doc, x.tie, x.pos, np.zeros(len(x), np.int64), pa.nulls(len(x), pa.binary()))
+            yield _batch(_SUFFIX, x.lead.view(np.int64) ^ _LOW, x.rest.view(np.int64), x.more.view(np.int64), x.doc, x.tie, x.pos, np.zeros(len(x), np.int64), pa.nulls(len(x), pa.binary()))
             doc, tie, pos, n = _stretches(r.take(repeat))
-            yield _batch(_SUFFIX, doc, pos, doc, tie, pos, n, pa.nulls(len(doc), pa.binary()))
+            yield _batch(_SUFFIX, doc, pos, pos, doc, tie, pos, n, pa.nulls(len(doc), pa.binary()))
 
     for doc, tie, text, opened in _texts(batches):
         raw = text.encode()
@@ -270,10 +298,10 @@ def _suffixes(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Rec
             pos, n = s["pos"], s["n"]
             span = raw[pos : pos + n + length - 1]
             if s["kind"] == FEW:
-                spans.append((s["gram"], 0, doc, tie, pos, n, span))
+                spans.append((s["gram"], 0, 0, doc, tie, pos, n, span))
                 continue
-            lead, rest = _windows(np.frombuffer(span, np.uint8), np.arange(n), length)
-            held.append(Records(lead=lead, rest=rest, pos=pos + np.arange(n), doc=np.full(n, doc, np.int64), tie=np.full(n, tie, np.int32)))
+            lead, rest, more = _windows(np.frombuffer(span, np.uint8), np.arange(n), length)
+            held.append(Records(lead=lead, rest=rest, more=more, pos=pos + np.arange(n), doc=np.full(n, doc, np.int64), tie=np.full(n, tie, np.int64)))
             count += n
         if count >= COMBINE:
             yield from flush()
@@ -290,8 +318,8 @@ def _neighbours(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.R
     held = []
     for batch in batches:
         single = batch.column("n").to_numpy() == 0
-        r = Records(**{n: batch.column(n).to_numpy() for n in ("lead", "rest", "doc", "tie", "pos")}).take(single)
-        held.append(Records(**r.columns | {"lead": (r.lead ^ _LOW).view(np.uint64), "rest": r.rest.view(np.uint64)}))
+        r = Records(**{n: batch.column(n).to_numpy() for n in ("lead", "rest", "more", "doc", "tie", "pos")}).take(single)
+        held.append(Records(**r.columns | {"lead": (r.lead ^ _LOW).view(np.uint64), "rest": r.rest.view(np.uint64), "more": r.more.view(np.uint64)}))
         whole = batch.filter(pa.array(~single))
         if not whole.num_rows:
             continue
@@ -301,11 +329,11 @@ def _neighbours(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.R
         first = np.cumsum(size) - size
         k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         data = np.frombuffer(b"".join(whole.column("span").to_pylist()), np.uint8)
-        lead, rest = _windows(data, np.repeat(first, n) + k, length)
+        lead, rest, more = _windows(data, np.repeat(first, n) + k, length)
         of = {c: np.repeat(whole.column(c).to_numpy(), n) for c in ("doc", "tie", "pos")}
-        held.append(Records(lead=lead, rest=rest, doc=of["doc"], tie=of["tie"], pos=of["pos"] + k))
+        held.append(Records(lead=lead, rest=rest, more=more, doc=of["doc"], tie=of["tie"], pos=of["pos"] + k))
     if held:
-        r, _, repeat = _firsts(Records.join(held), "lead", "rest")
+        r, _, repeat = _firsts(Records.join(held), "lead", "rest", "more")
         yield _batch(_STRETCH, *_stretches(r.take(repeat)))
 
 
@@ -323,7 +351,7 @@ def repeated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFra
     suffixes = written(shared.mapInArrow(lambda b: _suffixes(b, length), SUFFIX))
     to_sort = suffixes.where("n = 0 or span is not null")
     windows = to_sort.agg(F.sum(F.greatest("n", F.lit(1)))).first()[0] or 0
-    sorted_ = to_sort.repartitionByRange(max(width, windows // BUCKET), "lead", "rest").mapInArrow(lambda b: _neighbours(b, length), "doc long, tie int, pos long, n long")
+    sorted_ = to_sort.repartitionByRange(max(width, windows // BUCKET), "lead", "rest").mapInArrow(lambda b: _neighbours(b, length), "doc long, tie long, pos long, n long")
     whole = known.where(f"kind = {REPEAT}").select("doc", "tie", "pos", "n")
     return whole.union(suffixes.where("n > 0 and span is null").select("doc", "tie", "pos", "n")).union(sorted_)
 
@@ -377,7 +405,7 @@ def strip_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names)
 
     text = F.coalesce("text", F.lit(""))
-    keyed = docs.withColumn(doc, F.coalesce("doc_id", F.lit(int(_LOW)))).withColumn(tie, F.hash(text))
+    keyed = docs.withColumn(doc, F.coalesce("doc_id", F.lit(int(_LOW)))).withColumn(tie, F.xxhash64(text))
     return keyed.join(found.toDF(doc, tie, gone), [doc, tie], "left").select(*names, gone).mapInArrow(cut, field_sql(docs, *names))
 
 

@@ -7,6 +7,7 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -168,6 +169,34 @@ def test_suffixes(docs, empty):
     assert suffixes.remove_repeats(empty).count() == 0
 
 
+def test_suffixes_with_colliding_hashes(monkeypatch):
+    """One of the two hashes may collide everywhere: the result is the same, here in one process."""
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choices(["alpha", "beta", "gamma", "delta"], k=60)) + (PASSAGE[: 120 + i] if i % 3 == 0 else "")) for i in range(60)]
+    want = {d: v for (d, _), v in naive_repeats(rows, 100).items()}
+    mix = suffixes._mix
+    for weak in (lambda a, b: mix(a, b) & np.uint64(3), lambda a, b: np.zeros_like(b if isinstance(b, np.ndarray) else a)):
+        monkeypatch.setattr(suffixes, "_mix", weak)
+        known = []
+        held = []
+        for d, t in rows:
+            for r in suffixes.windows_by_anchor(t.encode()):
+                r.columns |= {"doc": np.full(len(r), d, np.int64), "tie": np.zeros(len(r), np.int64)}
+                held.append(r)
+        batch = pa.Table.from_batches(list(suffixes._combine(suffixes.Records.join(held), last=False)))
+        compared = pa.Table.from_batches(list(suffixes._compare_records(iter(batch.to_batches())))).to_pylist()
+        known = [(x["doc"], x["pos"], x["n"]) for x in compared if x["kind"] == suffixes.REPEAT]
+        texts = [(d, 0, t, [x for x in compared if x["doc"] == d and x["kind"] != suffixes.REPEAT]) for d, t in rows]
+        opened = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*((d, 0, t, o) for d, _, t, o in texts))], ["doc", "tie", "text", "open"])
+        found = pa.Table.from_batches(list(suffixes._suffixes(iter([opened]), 100))).to_pylist()
+        known += [(x["doc"], x["pos"], x["n"]) for x in found if x["n"] > 0 and x["span"] is None]
+        sort = pa.Table.from_pylist([x for x in found if x["n"] == 0 or x["span"] is not None], suffixes._SUFFIX)
+        known += [(x["doc"], x["pos"], x["n"]) for b in suffixes._neighbours(iter(sort.to_batches()), 100) for x in b.to_pylist()]
+        for d, t in rows:
+            kept, runs = suffixes.kept_bytes(t.encode(), [{"pos": p, "n": n} for e, p, n in known if e == d])
+            assert (len(t.encode()) - len(kept), runs, kept) == want[d]
+
+
 def test_strip_clashing_names(spark):
     rows = [(1, PASSAGE, "a", 7, [1]), (2, "x " + PASSAGE, "b", 8, [2]), (None, None, "c", 9, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, doc string, tie int, gone array<int>")
