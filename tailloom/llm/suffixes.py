@@ -52,7 +52,7 @@ CHUNK = 1 << 19
 #: Spans of a gram up to which they are compared as they are; those of others go window by window.
 GROUP = 64
 #: Records that a task combines at once, and rows of a bucket, about.
-COMBINE, BUCKET = 1 << 18, 1 << 18
+COMBINE, BUCKET = 1 << 18, 1 << 17
 _LOW = np.int64(-(2**63))
 
 

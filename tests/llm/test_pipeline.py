@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,3 +83,14 @@ def test_stage_edges(spark, name):
             assert worded <= texts <= {(d, t) for d, t, _ in rows}
         assert all(r[c] == (None if r.doc_id is None else f"{c}{r.doc_id}") for r in found for c in CLASHES)
     assert stage(spark, docs.limit(0), "").count() == 0
+
+
+def test_similarity_is_exact():
+    rng = random.Random(3)
+    for _ in range(300):
+        one = rng.choices("abcd", k=rng.randint(0, 30))
+        other = list(one)
+        for _ in range(rng.randint(0, 4)):
+            other.insert(rng.randint(0, len(other)), rng.choice("abcdE"))
+        x, y = " ".join(one), " ".join(other)
+        assert shingles.similarity(x, y) == shingles.jaccard(shingles.shingles(x), shingles.shingles(y))
