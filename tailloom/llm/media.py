@@ -162,7 +162,10 @@ def decode_pgm(media: bytes) -> np.ndarray:
 
 
 def store(payloads: DataFrame) -> DataFrame:
-    """digest, n_bytes and media of payloads (columns digest and data), one of each digest, written in the media format and read back."""
+    """digest, n_bytes and media of payloads (columns digest and data), written in the media format and read back.
+
+    Payloads aren't shuffled to find copies; ``features`` leaves one row of each digest.
+    """
     small_batches(payloads.sparkSession)
     schema = pa.schema([("digest", pa.string()), ("n_bytes", pa.int64()), ("media", pa.binary())])
 
@@ -174,7 +177,7 @@ def store(payloads: DataFrame) -> DataFrame:
 
         yield from arrow_rows(schema, rows())
 
-    return written(payloads.groupBy("digest").agg(F.first("data").alias("data")).mapInArrow(run, "digest string, n_bytes long, media binary"))
+    return written(payloads.select("digest", "data").mapInArrow(run, "digest string, n_bytes long, media binary"))
 
 
 FEATURES = pa.schema([("digest", pa.string()), ("n_bytes", pa.int64()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string())])
@@ -192,7 +195,7 @@ def feature(samples: np.ndarray) -> str:
 
 
 def features(stored: DataFrame) -> DataFrame:
-    """Features of stored media (a row for each digest)."""
+    """Features of stored media, one row for each digest."""
     small_batches(stored.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,7 +208,8 @@ def features(stored: DataFrame) -> DataFrame:
 
         yield from arrow_rows(FEATURES, rows())
 
-    return stored.select("digest", "n_bytes", "media").mapInArrow(run, FEATURES_SQL)
+    found = stored.select("digest", "n_bytes", "media").mapInArrow(run, FEATURES_SQL)
+    return found.groupBy("digest").agg(*(F.first(c).alias(c) for c in found.columns[1:]))
 
 
 def resolve(sequences: DataFrame, media: DataFrame) -> DataFrame:

@@ -271,7 +271,7 @@ def test_media_captions():
 def test_media_resolve(spark):
     """Positions and captions stay with their references, copies of a payload are one row, unknown digests give nulls."""
     stored = media.store(spark.createDataFrame([("aa", b"x"), ("aa", b"x"), ("bb", b"yy")], "digest string, data binary"))
-    assert sorted((r.digest, r.n_bytes) for r in stored.collect()) == [("aa", 1), ("bb", 2)]
+    assert sorted((r.digest, r.n_bytes) for r in media.features(stored).collect()) == [("aa", 1), ("bb", 2)]
     pages = spark.createDataFrame([(1, "<img src=sha256:bb alt=p><p>t</p><img src=sha256:aa alt=q>"), (1, "<img src=sha256:cc>"), (2, None), (None, "<img src=sha256:aa>")], "page_id long, html string")
     rows = media.resolve(media.interleave(pages), media.features(stored)).collect()
     assert {(str(r.page_id), r.position, r.caption, r.digest, r.n_bytes) for r in rows} == {("1", 0, "p", "bb", 2), ("1", 2, "q", "aa", 1), ("1", 0, None, "cc", None), ("None", 0, None, "aa", 1)}
