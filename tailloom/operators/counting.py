@@ -38,6 +38,38 @@ def prioritize_biotype(tags: DataFrame, hits: DataFrame, biotypes: list[str] = B
     return best.select("tag_id", "biotype", "name").union(none.select("tag_id", F.lit("un_annotated"), region))
 
 
+def ordered_hits(hits: DataFrame, biotypes: list[str] = BIOTYPES, keep_other: bool = False) -> DataFrame:
+    """tag_id, place, biotype and name of the hits that a tag keeps, in the order of its biotypes from place 1.
+
+    Those are the hits of the first biotype in the list; with keep_other those of all in the list, then of the others
+    by name.  mirbase hits are kept in any case, and come last.
+    """
+    listed = F.array_position(F.array(*map(F.lit, biotypes)), F.col("biotype"))
+    last = F.col("biotype") == "mirbase"
+    rank = F.when(last, len(biotypes) + 2).when(listed > 0, listed.cast("int")).otherwise(len(biotypes) + 1)
+    by = Window.partitionBy("tag_id")
+    rows = hits.withColumn("_rank", rank).where(F.lit(keep_other) | (F.col("_rank") != len(biotypes) + 1))
+    if not keep_other:
+        rows = rows.withColumn("_best", F.min("_rank").over(by)).where(last | (F.col("_rank") == F.col("_best")))
+    return rows.select("tag_id", F.dense_rank().over(by.orderBy("_rank", "biotype")).alias("place"), "biotype", "name")
+
+
+def match_biotype(rows: DataFrame, biotype: str) -> DataFrame:
+    """Rows of a biotype; miRNA_mirtron stands for both."""
+    return rows.where(F.col("biotype").isin("miRNA", "mirtron", biotype) if biotype == "miRNA_mirtron" else F.col("biotype") == biotype)
+
+
+def length_window(rows: DataFrame, min_len: int = 0, max_len: int = 0, length: str = "read_len") -> DataFrame:
+    """Rows of lengths from min_len to max_len; 0 leaves an end open."""
+    rows = rows.where(F.col(length) >= min_len) if min_len else rows
+    return rows.where(F.col(length) <= max_len) if max_len else rows
+
+
+def filter_arm(rows: DataFrame, arm: str, name: str = "anno") -> DataFrame:
+    """Rows whose name ends in an arm (5p or 3p)."""
+    return rows.where(arm_of(F.col(name)) == arm)
+
+
 def biotype_statistics(hits: DataFrame) -> DataFrame:
     """Sum of reads by sites of each biotype's hits over their number, by sample (hits carry their tags' columns)."""
     by = hits.where("biotype <> 'mirbase'").groupBy("sample", "biotype")
@@ -129,6 +161,30 @@ def length_tables(iso: DataFrame) -> DataFrame:
     return by.join(total, ["anno", "read_len"])
 
 
+#: Measures and the tail classes they sum: fixed values.
+MEASURES = {"GMPM": None, "GM": ["GM"], "PM": ["A", "C", "G", "U", "Other"], "A": ["A"], "C": ["C"], "G": ["G"], "U": ["U"], "Other": ["Other"]}
+
+
+def measure_table(iso: DataFrame, *keys: str) -> DataFrame:
+    """ppm by sample, keys and measure, without the rows that have none."""
+    part = lambda kinds: F.col("ppm") if kinds is None else F.when(F.col("tail_class").isin(kinds), F.col("ppm")).otherwise(0.0)
+    by = iso.groupBy("sample", *keys).agg(*(F.round(F.sum(part(kinds)), 6).alias(m) for m, kinds in MEASURES.items()))
+    long = by.select("sample", *keys, F.explode(F.array(*(F.struct(F.lit(m).alias("measure"), F.col(m).alias("ppm")) for m in MEASURES))).alias("x"))
+    return long.select("sample", *keys, "x.measure", "x.ppm").where("ppm > 0")
+
+
+def token_length_tables(iso: DataFrame) -> DataFrame:
+    """value of each of nine tokens (the measures, and the tailing in per cent) by annotation, length and sample."""
+    tokens = measure_table(iso, "anno", "read_len").withColumnsRenamed({"measure": "token", "ppm": "value"})
+    rate = token_table(iso, "anno", "read_len").where("tailing > 0")
+    return tokens.unionByName(rate.select("sample", "anno", "read_len", F.lit("Tailing").alias("token"), F.col("tailing").alias("value")))
+
+
+def seed_totals(iso: DataFrame) -> DataFrame:
+    """ppm of each seed in each sample, 0 where it is absent; seeds have seven bases, so the grid is bounded."""
+    return densify(iso.select("seed", "sample", "ppm"), ["seed", "sample"], fill=0.0)
+
+
 def biotype_length_table(counts: DataFrame) -> DataFrame:
     return token_table(counts, "biotype", "read_len")
 

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from .profiles import placed
+
 
 def incomplete_beta(a: np.ndarray, b: np.ndarray, x: np.ndarray, steps: int = 300) -> np.ndarray:
     """Regularised incomplete beta function by its continued fraction, for arrays with 0 < x < 1."""
@@ -48,3 +50,13 @@ def with_p(folds: DataFrame) -> DataFrame:
     """p of each row of pairwise folds, from x + 1 and y + 1."""
     x, y = F.col("x") + 1, F.col("y") + 1
     return folds.withColumn("p", fold_p(F.greatest(x, y), F.least(x, y)))
+
+
+def differential_summary(folds: DataFrame, totals: DataFrame, keys: tuple[str, ...] = ("anno",)) -> DataFrame:
+    """total over samples and the smallest p over pairs (rows of with_p) of each of the keys, with the place in their order.
+
+    That is by total from the largest, then p, then name from the last; see profiles.placed for its bound.
+    """
+    total = totals.groupBy(*keys).agg(F.round(F.sum("ppm"), 6).alias("total"))
+    rows = total.join(folds.groupBy(*keys).agg(F.min("p").alias("min_p")), list(keys))
+    return placed(rows, F.desc("total"), F.asc("min_p"), *(F.desc(k) for k in reversed(keys)))

@@ -7,6 +7,9 @@ grow with their own length only.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,10 +32,11 @@ def overlap_join(left: DataFrame, right: DataFrame, left_span: tuple[Column, Col
     if how == "inner":
         joined = a.join(b, [*keys, "_bin"]).where(meets & (F.col("_bin") == F.greatest("_llow", "_rlow")))
         return joined.drop("_bin", "_llow", "_rlow", "_ls", "_le", "_rs", "_re")
-    # an element may meet others in several bins: number the rows, find those with a partner, filter by them
-    row = a.withColumn("_row", F.xxhash64(*left.columns))
-    hit = row.join(b, [*keys, "_bin"]).where(meets).select("_row").distinct()
-    return left.withColumn("_row", F.xxhash64(*left.columns)).join(hit, "_row", how).drop("_row")
+    # an element may meet others in several bins: find the rows with a partner, filter by all their columns
+    row = a.select("*", *(F.col(c).alias(f"_of_{c}") for c in left.columns))
+    hit = row.join(b, [*keys, "_bin"]).where(meets).select(*(f"_of_{c}" for c in left.columns)).distinct()
+    same = reduce(and_, (left[c].eqNullSafe(hit[f"_of_{c}"]) for c in left.columns))
+    return left.join(hit, same, how)
 
 
 def annotate_intervals(tags: DataFrame, features: DataFrame, stranded: bool = True, size: int = BIN) -> DataFrame:
@@ -56,6 +60,22 @@ def exclude_overlapping(features: DataFrame, blockers: DataFrame, size: int = BI
     return overlap_join(features, b, (F.col("f_start"), F.col("f_end") + 1), (F.col("b_start"), F.col("b_end") + 1), ["chrom", "strand"], size, "left_anti")
 
 
+def retype_trna(features: DataFrame) -> DataFrame:
+    """Biotypes that contain tRNA become tRNA, and go before the name."""
+    of_trna = F.col("biotype").contains("tRNA")
+    name = F.when(of_trna, F.concat_ws("_", "biotype", "name")).otherwise(F.col("name"))
+    return features.withColumns({"name": name, "biotype": F.when(of_trna, "tRNA").otherwise(F.col("biotype"))})
+
+
+def assemble_features(genes: DataFrame, mirtrons: DataFrame, *others: DataFrame, size: int = BIN) -> DataFrame:
+    """One table of features: genes without the miRNAs that meet a mirtron, mirtrons and the others, tRNA retyped."""
+    is_mir = F.col("biotype").eqNullSafe("miRNA")
+    out = genes.where(~is_mir).unionByName(exclude_overlapping(genes.where(is_mir), mirtrons, size)).unionByName(mirtrons)
+    for other in others:
+        out = out.unionByName(other)
+    return retype_trna(out)
+
+
 def annotate_variants(variants: DataFrame, features: DataFrame, slots: dict[str, str], size: int = BIN) -> DataFrame:
     """Variants with a column for each slot: the name of the last feature of its biotype that they overlap, else '.'."""
     hits = overlap_join(variants, features.drop("strand"), (F.col("pos") - 1, F.col("pos") - 1 + F.length("ref")), (F.col("f_start"), F.col("f_end")), ["chrom"], size)

@@ -70,28 +70,28 @@ def sample_pairs(samples: DataFrame) -> DataFrame:
     return samples.select(F.col("sample").alias("s1")).join(samples.select(F.col("sample").alias("s2")), F.col("s1") < F.col("s2"))
 
 
-def pairwise_fold(totals: DataFrame) -> DataFrame:
-    """fold = (x+1)/(y+1) for each annotation and pair of samples, both ways; a missing value is 0."""
+def pairwise_fold(totals: DataFrame, keys: tuple[str, ...] = ("anno",)) -> DataFrame:
+    """fold = (x+1)/(y+1) for each annotation (or other keys) and pair of samples, both ways; a missing value is 0."""
     samples = totals.select("sample").distinct()
     pairs = sample_pairs(samples)
     both = pairs.union(pairs.select("s2", "s1"))
-    values = totals.groupBy("anno").agg(F.map_from_entries(F.collect_list(F.struct("sample", "ppm"))).alias("v"))  # as long as the list of samples
+    values = totals.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("sample", "ppm"))).alias("v"))  # as long as the list of samples
     out = values.crossJoin(F.broadcast(both))  # as many pairs as the samples give
     value = lambda s: F.coalesce(F.try_element_at("v", F.col(s)), F.lit(0.0))
-    out = out.select("anno", "s1", "s2", value("s1").alias("x"), value("s2").alias("y")).where("x > 0 or y > 0")
+    out = out.select(*keys, "s1", "s2", value("s1").alias("x"), value("s2").alias("y")).where("x > 0 or y > 0")
     return out.withColumn("fold", (F.col("x") + 1) / (F.col("y") + 1)).withColumn("total", F.col("x") + F.col("y"))
 
 
-def preference_sets(folds: DataFrame, fold: float = 2.0, max_p: float | None = 0.05) -> DataFrame:
+def preference_sets(folds: DataFrame, fold: float = 2.0, max_p: float | None = 0.05, keys: tuple[str, ...] = ("anno",)) -> DataFrame:
     """Annotations whose fold against every other sample is at least ``fold`` (UniLike) or at most its inverse (DisLike).
 
     Folds whose p (a column of folds, unless max_p is None) is over ``max_p`` count neither way.
     """
     n = folds.select(F.count_distinct("s1").alias("n"))
     sure = F.lit(True) if max_p is None else F.col("p") <= max_p
-    by = folds.groupBy("anno", "s1").agg(F.count_if(sure & (F.col("fold") >= fold)).alias("up"), F.count_if(sure & (F.col("fold") <= 1 / fold)).alias("down"))
+    by = folds.groupBy(*keys, "s1").agg(F.count_if(sure & (F.col("fold") >= fold)).alias("up"), F.count_if(sure & (F.col("fold") <= 1 / fold)).alias("down"))
     kind = F.when(F.col("up") == F.col("n") - 1, "UniLike").when(F.col("down") == F.col("n") - 1, "DisLike")
-    return by.crossJoin(F.broadcast(n)).select("anno", F.col("s1").alias("sample"), kind.alias("kind")).where("kind is not null")
+    return by.crossJoin(F.broadcast(n)).select(*keys, F.col("s1").alias("sample"), kind.alias("kind")).where("kind is not null")
 
 
 def loading_difference(totals: DataFrame) -> DataFrame:
@@ -119,6 +119,29 @@ def length_difference(iso: DataFrame) -> DataFrame:
     return modal.groupBy("anno").agg((F.max("len") - F.min("len")).alias("diff"), F.max("len").alias("len_max"), F.min("len").alias("len_min"))
 
 
+def length_difference_samples(iso: DataFrame) -> DataFrame:
+    """length_difference's diff, with the samples in order and the modal length of each, joined by commas."""
+    by = iso.groupBy("anno", "sample", "read_len").agg(F.round(F.sum("ppm"), 6).alias("ppm"))
+    modal = by.groupBy("anno", "sample").agg(F.min(F.struct((-F.col("ppm")).alias("v"), "read_len")).getField("read_len").alias("len"))
+    held = modal.groupBy("anno").agg((F.max("len") - F.min("len")).alias("diff"), F.array_sort(F.collect_list(F.struct("sample", "len"))).alias("held"))  # as long as the list of samples
+    return held.select("anno", "diff", F.array_join("held.sample", ",").alias("samples"), F.array_join(F.col("held.len").cast("array<string>"), ",").alias("lengths"))
+
+
+def placed(rows: DataFrame, *order: Column) -> DataFrame:
+    """rows with their place in an order, from 1: for reports of a row for each annotation, which the feature files bound."""
+    return rows.withColumn("place", F.row_number().over(Window.orderBy(*order)))
+
+
+def order_by_total(rows: DataFrame, name: str = "anno") -> DataFrame:
+    """Places by total, then name, both from the last."""
+    return placed(rows, F.desc("total"), F.desc(name))
+
+
+def order_difference(rows: DataFrame, name: str = "anno") -> DataFrame:
+    """Places by total from the largest, then name."""
+    return placed(rows, F.desc("total"), F.asc(name))
+
+
 def arm_difference(iso: DataFrame) -> DataFrame:
     """Dominant arm of each sample by precursor; Y where the arms differ."""
     arms = iso.where(arm_of(F.col("anno")).isin("5p", "3p")).groupBy(precursor_of(F.col("anno")).alias("mir"), "sample", arm_of(F.col("anno")).alias("arm")).agg(F.round(F.sum("ppm"), 6).alias("ppm"))

@@ -64,6 +64,11 @@ def region_pileup(reads: DataFrame, by: list[str], extend: int = 10, anchor: tup
     return out.orderBy(*by, "offset", F.desc("read_len"), F.desc("ppm"), "tag_id")
 
 
+def region_expression(reads: DataFrame, by: list[str]) -> DataFrame:
+    """Sum of ppm of each region's reads, by sample."""
+    return reads.groupBy("sample", *by).agg(F.sum("ppm").alias("ppm"))
+
+
 def chain(seeds: list[str], most: int = 6, least: int = 3) -> str:
     """One reference of seeds, the first of which begins it.
 

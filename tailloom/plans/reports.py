@@ -54,6 +54,22 @@ class Base:
     def totals(self) -> DataFrame:
         return profiles.annotation_totals(self.iso())
 
+    def measures(self) -> DataFrame:
+        return counting.measure_table(self.iso(), "anno")
+
+    def measure_folds(self) -> DataFrame:
+        return profiles.pairwise_fold(self.measures(), ("measure", "anno"))
+
+    def assembled(self) -> DataFrame:
+        """Features as if from files of their own; tRNAs have another biotype, which the assembly sets right."""
+        f = self.features().select("chrom", "f_start", "f_end", "strand", "biotype", "name")
+        trna = f.where("biotype = 'tRNA'").withColumn("biotype", F.lit("Mt_tRNA"))
+        return intervals.assemble_features(f.where("biotype IN ('miRNA', 'lincRNA')"), f.where("biotype = 'mirtron'"), f.where("biotype = 'rmsk'"), trna)
+
+    def other_hits(self) -> DataFrame:
+        """Hits whose repeats stand for mirbase."""
+        return self.hits().withColumn("biotype", F.when(F.col("biotype") == "rmsk", "mirbase").otherwise(F.col("biotype")))
+
     def folds(self) -> DataFrame:
         return differential.with_p(profiles.pairwise_fold(self.totals()))
 
@@ -169,6 +185,10 @@ _SEQUENCE = "CASE WHEN strand = '-' THEN reverse(translate({s}, 'ACGT', 'TGCA'))
 _ENDS = "SELECT a.sample, a.anno, sum(p * abs(e - mode)) / sum(p) AS h FROM (SELECT *, first_value(e) OVER (PARTITION BY sample, anno ORDER BY p DESC, e) AS mode FROM (SELECT sample, anno, CASE WHEN (strand = '+') = {five} THEN t_start ELSE t_end END AS e, round(sum(ppm), 6) AS p FROM annotated GROUP BY ALL) x) a GROUP BY a.sample, a.anno"
 
 _PREFERENCES = f"SELECT anno, sample, kind FROM (SELECT anno, s1 AS sample, CASE WHEN count(*) FILTER (WHERE fold >= 1.2) = (SELECT count(DISTINCT sample) - 1 FROM totals) THEN 'UniLike' WHEN count(*) FILTER (WHERE fold <= 1 / 1.2) = (SELECT count(DISTINCT sample) - 1 FROM totals) THEN 'DisLike' END AS kind FROM ({_FOLDS}) f GROUP BY anno, s1) x WHERE kind IS NOT NULL"
+_WHEN = {"GMPM": "TRUE", "GM": "tail_class = 'GM'", "PM": "tail_class <> 'GM'", **{k: f"tail_class = '{k}'" for k in ("A", "C", "G", "U", "Other")}}
+_BY_MEASURE = " UNION ALL ".join(f"SELECT '{m}' AS measure, sample, {{keys}}, round(sum(ppm), 6) AS ppm FROM iso WHERE {test} GROUP BY ALL HAVING round(sum(ppm), 6) > 0" for m, test in _WHEN.items())
+_MEASURE_FOLDS = f"SELECT n.measure, n.anno, s1, s2, coalesce(x.ppm, 0) AS x, coalesce(y.ppm, 0) AS y, (coalesce(x.ppm, 0) + 1) / (coalesce(y.ppm, 0) + 1) AS fold FROM (SELECT a.sample AS s1, b.sample AS s2 FROM (SELECT DISTINCT sample FROM iso) a, (SELECT DISTINCT sample FROM iso) b WHERE a.sample <> b.sample) p CROSS JOIN (SELECT DISTINCT measure, anno FROM ({_BY_MEASURE.format(keys='anno')}) m) n LEFT JOIN ({_BY_MEASURE.format(keys='anno')}) x ON x.measure = n.measure AND x.anno = n.anno AND x.sample = s1 LEFT JOIN ({_BY_MEASURE.format(keys='anno')}) y ON y.measure = n.measure AND y.anno = n.anno AND y.sample = s2 WHERE coalesce(x.ppm, 0) > 0 OR coalesce(y.ppm, 0) > 0"
+_ASSEMBLED = "SELECT chrom, f_start, f_end, strand, biotype, CASE WHEN biotype = 'tRNA' THEN 'Mt_tRNA_' || name ELSE name END AS name FROM features f WHERE biotype <> 'miRNA' OR NOT EXISTS (SELECT 1 FROM features m WHERE m.biotype = 'mirtron' AND m.chrom = f.chrom AND m.strand = f.strand AND f.f_start <= m.f_end AND f.f_end >= m.f_start)"
 #: Every annotation has a row for each sample here, 0 where it is absent.
 _GRID = "SELECT a.anno, s.sample, coalesce(t.ppm, 0) AS ppm FROM (SELECT DISTINCT anno FROM {rows}) a CROSS JOIN (SELECT DISTINCT sample FROM {rows}) s LEFT JOIN {rows} t ON t.anno = a.anno AND t.sample = s.sample"
 _LOADING = f"SELECT anno, sum(ppm) AS total, (max(ppm) - greatest(min(ppm), 1e-6)) / greatest(min(ppm), 1e-6) * CASE WHEN bool_or(sample NOT IN (hi, lo) AND CASE WHEN low > 0 THEN ppm >= 2 * low ELSE ppm > 0 END) THEN -1 ELSE 1 END AS diff, any_value(hi) AS max_sample, any_value(lo) AS min_sample FROM (SELECT *, min(ppm) OVER (PARTITION BY anno) AS low, first_value(sample) OVER (PARTITION BY anno ORDER BY ppm DESC, sample) AS hi, first_value(sample) OVER (PARTITION BY anno ORDER BY ppm, sample) AS lo FROM ({_GRID}) g) y GROUP BY anno"
@@ -543,6 +563,73 @@ REPORTS: dict[str, tuple[Build, str, tuple[str, ...]]] = {
         "SELECT anno, round(sum(ppm), 4) AS total FROM iso GROUP BY anno ORDER BY total DESC, anno DESC LIMIT 20",
         ("iso",),
     ),
+    "assemble_features": (lambda b: b.assembled(), _ASSEMBLED, ("features",)),
+    "assembled_type_counts": (lambda b: b.assembled().groupBy("biotype").agg(F.count("*").alias("n")), f"SELECT biotype, count(*) AS n FROM ({_ASSEMBLED}) a GROUP BY biotype", ("features",)),
+    "ordered_hits": (
+        lambda b: counting.ordered_hits(b.other_hits()),
+        "SELECT tag_id, dense_rank() OVER (PARTITION BY tag_id ORDER BY k) AS place, biotype, name FROM (SELECT tag_id, name, CASE WHEN biotype = 'rmsk' THEN 'mirbase' ELSE biotype END AS biotype, coalesce(rk, 9) AS k, min(coalesce(rk, 9)) OVER (PARTITION BY tag_id) AS best FROM ranked) x WHERE k IN (best, 9)",
+        ("ranked",),
+    ),
+    "ordered_hits_others": (
+        lambda b: counting.ordered_hits(b.other_hits(), ["tRNA", "miRNA"], keep_other=True),
+        "SELECT tag_id, dense_rank() OVER (PARTITION BY tag_id ORDER BY k) AS place, biotype, name FROM (SELECT tag_id, name, CASE WHEN biotype = 'rmsk' THEN 'mirbase' ELSE biotype END AS biotype, CASE biotype WHEN 'tRNA' THEN 1 WHEN 'miRNA' THEN 2 WHEN 'lincRNA' THEN 3 WHEN 'mirtron' THEN 4 ELSE 5 END AS k FROM hits) x",
+        ("hits",),
+    ),
+    "match_biotype": (
+        lambda b: counting.match_biotype(b.counts(), "miRNA_mirtron"),
+        "SELECT sample, biotype, tail_class, read_len, round(ppm, 4) AS ppm FROM counts WHERE biotype IN ('miRNA', 'mirtron')",
+        ("counts",),
+    ),
+    "length_window": (
+        lambda b: counting.length_window(b.iso(), 20, 23).groupBy("sample", "anno").agg(F.sum("ppm").alias("ppm")),
+        "SELECT sample, anno, round(sum(ppm), 4) AS ppm FROM iso WHERE read_len BETWEEN 20 AND 23 GROUP BY ALL",
+        ("iso",),
+    ),
+    "filter_arm": (
+        lambda b: counting.filter_arm(b.totals(), "5p"),
+        "SELECT sample, anno, round(ppm, 4) AS ppm FROM totals WHERE anno LIKE '%-5p'",
+        ("totals",),
+    ),
+    "token_length_tables": (
+        lambda b: counting.token_length_tables(b.iso()),
+        f"SELECT measure AS token, sample, anno, read_len, round(ppm, 4) AS value FROM ({_BY_MEASURE.format(keys='anno, read_len')}) m UNION ALL SELECT 'Tailing', sample, anno, read_len, round(sum(CASE WHEN tail_class <> 'GM' THEN ppm ELSE 0 END) * 100 / sum(ppm), 4) AS value FROM iso GROUP BY ALL HAVING sum(ppm) >= 1 AND sum(CASE WHEN tail_class <> 'GM' THEN ppm ELSE 0 END) > 0",
+        ("iso",),
+    ),
+    "seed_totals": (
+        lambda b: counting.seed_totals(b.iso()),
+        "SELECT a.seed, s.sample, round(coalesce(t.ppm, 0), 4) AS ppm FROM (SELECT DISTINCT seed FROM iso) a CROSS JOIN (SELECT DISTINCT sample FROM iso) s LEFT JOIN (SELECT seed, sample, sum(ppm) AS ppm FROM iso GROUP BY ALL) t ON t.seed = a.seed AND t.sample = s.sample",
+        ("iso",),
+    ),
+    "measure_folds": (
+        lambda b: b.measure_folds(),
+        f"SELECT measure, anno, s1, s2, round(x, 4) AS x, round(y, 4) AS y, round(fold, 4) AS fold, round(x + y, 4) AS total FROM ({_MEASURE_FOLDS}) f",
+        ("iso",),
+    ),
+    "measure_preferences": (
+        lambda b: profiles.preference_sets(b.measure_folds(), 1.2, None, ("measure", "anno")),
+        f"SELECT measure, anno, sample, kind FROM (SELECT measure, anno, s1 AS sample, CASE WHEN count(*) FILTER (WHERE fold >= 1.2) = (SELECT count(DISTINCT sample) - 1 FROM iso) THEN 'UniLike' WHEN count(*) FILTER (WHERE fold <= 1 / 1.2) = (SELECT count(DISTINCT sample) - 1 FROM iso) THEN 'DisLike' END AS kind FROM ({_MEASURE_FOLDS}) f GROUP BY measure, anno, s1) x WHERE kind IS NOT NULL",
+        ("iso",),
+    ),
+    "length_difference_samples": (
+        lambda b: profiles.length_difference_samples(b.iso()),
+        "SELECT anno, max(len) - min(len) AS diff, string_agg(sample, ',' ORDER BY sample) AS samples, string_agg(CAST(len AS VARCHAR), ',' ORDER BY sample) AS lengths FROM (SELECT anno, sample, read_len AS len, row_number() OVER (PARTITION BY anno, sample ORDER BY round(sum(ppm), 6) DESC, read_len) AS r FROM iso GROUP BY anno, sample, read_len) x WHERE r = 1 GROUP BY anno",
+        ("iso",),
+    ),
+    "order_by_total": (
+        lambda b: profiles.order_by_total(b.totals().groupBy("anno").agg(F.round(F.sum("ppm"), 6).alias("total"))),
+        "SELECT anno, round(t, 4) AS total, row_number() OVER (ORDER BY t DESC, anno DESC) AS place FROM (SELECT anno, round(sum(ppm), 6) AS t FROM totals GROUP BY anno) x",
+        ("totals",),
+    ),
+    "order_difference": (
+        lambda b: profiles.order_difference(profiles.loading_difference(b.totals()).withColumn("total", F.round("total", 6))),
+        f"SELECT anno, round(t, 4) AS total, round(diff, 4) AS diff, max_sample, min_sample, row_number() OVER (ORDER BY t DESC, anno) AS place FROM (SELECT *, round(total, 6) AS t FROM ({_LOADING.format(rows='totals')}) y) x",
+        ("totals",),
+    ),
+    "region_expression": (
+        lambda b: regions.region_expression(b.mir_hits(), _PLACE),
+        "SELECT sample, mir, chrom, strand, f_start, round(sum(ppm), 4) AS ppm FROM mirhits GROUP BY ALL",
+        ("mirhits",),
+    ),
 }
 #: Queries that SQL can't express: an incomplete beta function, and chaining of strings.
 UNSQL: dict[str, Build] = {
@@ -551,6 +638,7 @@ UNSQL: dict[str, Build] = {
     "preference_significant": lambda b: profiles.preference_sets(b.folds(), 1.2, 0.9),
     "differential_filter": lambda b: views.filter_fold_pvalue(b.folds(), 0.2, 0.9),
     "volcano_points": lambda b: views.volcano_points(b.folds()),
+    "differential_summary": lambda b: differential.differential_summary(differential.with_p(b.measure_folds()), b.measures(), ("measure", "anno")),
 }
 
 

@@ -155,6 +155,11 @@ def read_wide_report(spark: SparkSession, path: str) -> DataFrame:
     return wide.unpivot(first, samples, "sample", "value").select(F.col(first).alias("anno"), "sample", F.col("value").cast("double").alias("value"))
 
 
+def read_tags(spark: SparkSession, path: str) -> DataFrame:
+    """Tags that write_tags has written; a filter on sample reads the folders of those samples alone."""
+    return spark.read.parquet(path)
+
+
 def read_genome(spark: SparkSession, path: str, size: int = 1 << 16, beyond: int = 128) -> DataFrame:
     """chrom, chunk_id and chunk of FASTA files: ``size`` bases, and ``beyond`` of the next chunk.
 
