@@ -61,8 +61,9 @@ class Base:
         return profiles.pairwise_fold(self.measures(), ("measure", "anno"))
 
     def assembled(self) -> DataFrame:
-        """Features as if from files of their own; tRNAs have another biotype, which the assembly sets right."""
-        f = self.features().select("chrom", "f_start", "f_end", "strand", "biotype", "name")
+        """Features as if from files of their own; mirtrons are longer, so that some meet miRNAs, and tRNAs have another biotype."""
+        end = F.when(F.col("biotype") == "mirtron", F.col("f_end") + 300).otherwise(F.col("f_end"))
+        f = self.features().select("chrom", "f_start", end.alias("f_end"), "strand", "biotype", "name")
         trna = f.where("biotype = 'tRNA'").withColumn("biotype", F.lit("Mt_tRNA"))
         return intervals.assemble_features(f.where("biotype IN ('miRNA', 'lincRNA')"), f.where("biotype = 'mirtron'"), f.where("biotype = 'rmsk'"), trna)
 
@@ -188,7 +189,7 @@ _PREFERENCES = f"SELECT anno, sample, kind FROM (SELECT anno, s1 AS sample, CASE
 _WHEN = {"GMPM": "TRUE", "GM": "tail_class = 'GM'", "PM": "tail_class <> 'GM'", **{k: f"tail_class = '{k}'" for k in ("A", "C", "G", "U", "Other")}}
 _BY_MEASURE = " UNION ALL ".join(f"SELECT '{m}' AS measure, sample, {{keys}}, round(sum(ppm), 6) AS ppm FROM iso WHERE {test} GROUP BY ALL HAVING round(sum(ppm), 6) > 0" for m, test in _WHEN.items())
 _MEASURE_FOLDS = f"SELECT n.measure, n.anno, s1, s2, coalesce(x.ppm, 0) AS x, coalesce(y.ppm, 0) AS y, (coalesce(x.ppm, 0) + 1) / (coalesce(y.ppm, 0) + 1) AS fold FROM (SELECT a.sample AS s1, b.sample AS s2 FROM (SELECT DISTINCT sample FROM iso) a, (SELECT DISTINCT sample FROM iso) b WHERE a.sample <> b.sample) p CROSS JOIN (SELECT DISTINCT measure, anno FROM ({_BY_MEASURE.format(keys='anno')}) m) n LEFT JOIN ({_BY_MEASURE.format(keys='anno')}) x ON x.measure = n.measure AND x.anno = n.anno AND x.sample = s1 LEFT JOIN ({_BY_MEASURE.format(keys='anno')}) y ON y.measure = n.measure AND y.anno = n.anno AND y.sample = s2 WHERE coalesce(x.ppm, 0) > 0 OR coalesce(y.ppm, 0) > 0"
-_ASSEMBLED = "SELECT chrom, f_start, f_end, strand, biotype, CASE WHEN biotype = 'tRNA' THEN 'Mt_tRNA_' || name ELSE name END AS name FROM features f WHERE biotype <> 'miRNA' OR NOT EXISTS (SELECT 1 FROM features m WHERE m.biotype = 'mirtron' AND m.chrom = f.chrom AND m.strand = f.strand AND f.f_start <= m.f_end AND f.f_end >= m.f_start)"
+_ASSEMBLED = "SELECT chrom, f_start, CASE WHEN biotype = 'mirtron' THEN f_end + 300 ELSE f_end END AS f_end, strand, biotype, CASE WHEN biotype = 'tRNA' THEN 'Mt_tRNA_' || name ELSE name END AS name FROM features f WHERE biotype <> 'miRNA' OR NOT EXISTS (SELECT 1 FROM features m WHERE m.biotype = 'mirtron' AND m.chrom = f.chrom AND m.strand = f.strand AND f.f_start <= m.f_end + 300 AND f.f_end >= m.f_start)"
 #: Every annotation has a row for each sample here, 0 where it is absent.
 _GRID = "SELECT a.anno, s.sample, coalesce(t.ppm, 0) AS ppm FROM (SELECT DISTINCT anno FROM {rows}) a CROSS JOIN (SELECT DISTINCT sample FROM {rows}) s LEFT JOIN {rows} t ON t.anno = a.anno AND t.sample = s.sample"
 _LOADING = f"SELECT anno, sum(ppm) AS total, (max(ppm) - greatest(min(ppm), 1e-6)) / greatest(min(ppm), 1e-6) * CASE WHEN bool_or(sample NOT IN (hi, lo) AND CASE WHEN low > 0 THEN ppm >= 2 * low ELSE ppm > 0 END) THEN -1 ELSE 1 END AS diff, any_value(hi) AS max_sample, any_value(lo) AS min_sample FROM (SELECT *, min(ppm) OVER (PARTITION BY anno) AS low, first_value(sample) OVER (PARTITION BY anno ORDER BY ppm DESC, sample) AS hi, first_value(sample) OVER (PARTITION BY anno ORDER BY ppm, sample) AS lo FROM ({_GRID}) g) y GROUP BY anno"
