@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import extraction, langid, licences, media, neighbours, packing, pieces, simhash, suffixes, warc
+from . import extraction, fim, langid, licences, media, neighbours, packing, pieces, simhash, suffixes, warc
 from .common import table
 
 
@@ -53,5 +53,23 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bestfit_packing, op2_simhash_near_dedup, op3_licence_scan, op4_language_id, op5_suffix_dedup, op6_nearest_neighbours, op7_media_columns, op8_sentencepiece, op9_warc, op10_html_extraction)}
-ORACLE_SQL: dict[str, str] = {}
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = fim.restore(fim.transform(table(spark, sf_dir, "documents")))
+    digests = (F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256") for c in ("output", "restored"))
+    return moved.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+QUERIES = {f.__name__: f for f in (op1_bestfit_packing, op2_simhash_near_dedup, op3_licence_scan, op4_language_id, op5_suffix_dedup, op6_nearest_neighbours, op7_media_columns, op8_sentencepiece, op9_warc, op10_html_extraction, op11_fill_in_middle)}
+
+_DRAWS = ", ".join(f"CAST('0x' || substr(h, {i * 8 + 1}, 8) AS BIGINT) AS h{i + 1}" for i in range(4))
+ORACLE_SQL: dict[str, str] = {
+    "op11_fill_in_middle": f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+drawn AS (SELECT doc_id, t, n, {_DRAWS} FROM texts),
+cuts AS (SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+parts AS (SELECT doc_id, t, n, form, a, b, substr(t, 1, a) AS p, substr(t, a + 1, b - a) AS m, substr(t, b + 1) AS s FROM cuts)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM parts"""
+}
