@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import extraction, fim, langid, licences, media, neighbours, packing, pieces, simhash, suffixes, warc
+from . import extraction, fim, langid, licences, media, neighbours, ngramjoin, packing, pieces, simhash, suffixes, warc, whitening
 from .common import table
 
 
@@ -59,7 +59,16 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return moved.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
 
 
-QUERIES = {f.__name__: f for f in (op1_bestfit_packing, op2_simhash_near_dedup, op3_licence_scan, op4_language_id, op5_suffix_dedup, op6_nearest_neighbours, op7_media_columns, op8_sentencepiece, op9_warc, op10_html_extraction, op11_fill_in_middle)}
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))  # null where it takes more than 63 bits
+
+
+def op13_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_bestfit_packing, op2_simhash_near_dedup, op3_licence_scan, op4_language_id, op5_suffix_dedup, op6_nearest_neighbours, op7_media_columns, op8_sentencepiece, op9_warc, op10_html_extraction, op11_fill_in_middle, op12_embedding_whitening, op13_ngram_jaccard_join)}
 
 _DRAWS = ", ".join(f"CAST('0x' || substr(h, {i * 8 + 1}, 8) AS BIGINT) AS h{i + 1}" for i in range(4))
 ORACLE_SQL: dict[str, str] = {
