@@ -9,19 +9,28 @@ what links connect, and a class's links are found without listing all of them.
    last.  Linked sets share one of the first n - ceil(share * n / 100) + 1 of
    their n shingles, so a bucket for each shingle that several sets have there
    holds every link.  Of buckets with the same members one stays.
-3. Each set goes to one of its buckets, whole.  There a signature tree finds the
-   links, and what they connect is one label.
-4. Buckets whose members have several labels are searched again, for links
-   between labels only, by signatures; pairs that these can't rule out are
-   compared by their whole sets.  A large bucket is searched in blocks: all rows
-   once, and those outside its most frequent label in each block too.
-
-A signature tree's leaves are sets by size; each holds a bitmap of its shingles.
-A node holds the OR of the bitmaps below it, the range of their sizes and the most
-shingles that any of them lost to shared bits.  Common bits plus such losses bound
-the overlap of any two sets below two nodes; a pair of nodes goes once the bound or
-the sizes rule a link out.  Two trees of bitmaps of one width are searched at once,
+3. In each bucket a signature tree finds the pairs that may link, and the bucket
+   gives a forest of what these connect.  Over all buckets they connect clusters;
+   every link is inside one.
+4. Each set goes whole to its cluster, where a signature tree finds the pairs that
+   may link by all of their shingles.  Those whose ends aren't connected yet are compared, and the
+   cluster gives a forest of links.
+
+So no step gives more rows than it has members of buckets or clusters, however many
+pairs these hold.  Large buckets and clusters are searched in blocks, each pair of blocks in a
+group of its own.
+
+A signature tree's leaves are sets by size; each holds a bitmap of the shingles at
+the front of its order.  A node holds the OR of the bitmaps below it, the range of
+their sizes and the most shingles that any of them lost to shared bits.  Of linked
+sets, the one whose front ends first has at most ceil(share * n / 100) - 1 shingles
+behind it, so common bits, plus such losses, plus these bound the overlap of any two
+sets below two nodes; a pair of nodes goes once the bound or the sizes rule a link
+out.  Bits are in the order of the shingles, so that two leaves are also compared up to
+where the first of their fronts ends: what one has there and the other lacks is
+no part of the overlap.  Two trees of bitmaps of one width are searched at once,
 from the roots down.
+Only sets in clusters are needed whole; they are made again from their texts.
 
 Defined results: null and empty texts, and texts without words, have an empty set
 and link with nothing; a text of fewer words than a shingle is one shingle;
@@ -34,7 +43,7 @@ equal by chance.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -43,16 +52,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_rows, field_sql, small_batches, written
-from .simhash import components
+from .simhash import Forest, components
 
 WORDS, SHARE = 5, 80
 #: A shingle is frequent if it is in one of so many rows of some CHUNK of shingles; at most FREQUENT of them are told apart, which only sets their order.
 ONE_IN, CHUNK, FREQUENT = 1000, 1 << 21, 1 << 16
-#: Sets that a bucket is searched with whole (step 3), and rows of a block of signatures (step 4).
-WHOLE, BLOCK = 512, 4096
-#: Bits of a bitmap for each shingle (then up to a power of two), children of a node, and 64-bit words compared at once.
-BITS, FANOUT, AT_ONCE = 4, 8, 1 << 20
+#: Sets of a block in step 3, and shingles of a block in step 4, about.
+BLOCK, WHOLE = 1024, 1 << 20
+#: Bits of a bitmap for each shingle of a set (then up to a power of two), of which the front needs a part, children of a node, and 64-bit words compared at once.
+BITS, FANOUT, AT_ONCE = 8, 8, 1 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_RANDOM = np.random.default_rng(13).integers(0, 2**64, 1 << 16, dtype=np.uint64)
+_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8).astype(np.int64)
+_SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -60,16 +72,29 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def word_hashes(text: bytes) -> np.ndarray:
+    """A hash of each lower-cased word: the sum of a random number for each of its bytes and their places."""
+    raw = np.frombuffer(text, np.uint8)
+    inside = ~_SPACE[raw]
+    at = np.flatnonzero(inside)
+    if not len(at):
+        return np.zeros(0, np.uint64)
+    first = np.flatnonzero(np.diff(at, prepend=-2) > 1)  # of each word, among the bytes of words
+    lengths = np.diff(first, append=len(at))
+    place = np.arange(len(at)) - np.repeat(first, lengths)
+    values = _RANDOM[(place & 0xFF) << 8 | _LOWER[raw[at]]]
+    if lengths.max() > 256:
+        values = values * (2 * (place >> 8).astype(np.uint64) + np.uint64(1))
+    return _mixed(np.add.reduceat(values, first) + lengths.astype(np.uint64))
+
+
 def shingle_set(text: bytes | None, words: int = WORDS) -> np.ndarray:
     """The sorted distinct hashes of a text's shingles."""
-    from xxhash import xxh64_intdigest
-
-    found = (text or b"").lower().split()
-    if not found:
-        return np.zeros(0, np.uint64)
-    hashes = np.fromiter(map(xxh64_intdigest, found), np.uint64, len(found))
-    k = min(words, len(found))
-    n = len(found) - k + 1
+    hashes = word_hashes(text or b"")
+    if not len(hashes):
+        return hashes
+    k = min(words, len(hashes))
+    n = len(hashes) - k + 1
     grams = np.full(n, k, np.uint64)
     for i in range(k):
         grams = _mixed(grams * _MIX + hashes[i : i + n])
@@ -81,43 +106,78 @@ def needed(one: np.ndarray | int, other: np.ndarray | int, share: int) -> np.nda
     return -(-share * (one + other) // (100 + share))
 
 
+def needed_in_front(low: tuple, high: tuple, share: int) -> np.ndarray | int:
+    """The least number of shingles that linked sets share in their fronts, of sizes from low to high."""
+    behind = -(-share * np.maximum(*high) // 100) - 1
+    return np.maximum(1, needed(*low, share) - behind)
+
+
 def linked(one: np.ndarray, other: np.ndarray, share: int) -> bool:
     both = len(np.intersect1d(one, other, assume_unique=True))
     return both >= needed(len(one), len(other), share) and both > 0
 
 
-def prefix(tokens: np.ndarray, frequent: np.ndarray, counts: np.ndarray, share: int) -> np.ndarray:
-    """The first tokens of a set in the order of all tokens, as many as hold one of every link."""
+def prefix(tokens: np.ndarray, frequent: np.ndarray, counts: np.ndarray, share: int) -> tuple[np.ndarray, int]:
+    """The first tokens of a set in the order of all tokens (its front), as many as hold one of every link, and how many of these aren't frequent."""
     n = len(tokens) + share * len(tokens) // -100 + 1
     at = np.minimum(np.searchsorted(frequent, tokens), max(len(frequent) - 1, 0))
     often = frequent[at] == tokens if len(frequent) else np.zeros(len(tokens), bool)
     rare = tokens[~often]
     if len(rare) >= n:
-        return rare[:n]
+        return rare[:n], len(rare[:n])
     last = tokens[often][np.argsort(counts[at[often]], kind="stable")]
-    return np.concatenate([rare, last])[:n]
+    return np.concatenate([rare, last])[:n], len(rare)
 
 
-def bitmap(tokens: np.ndarray) -> np.ndarray:
-    """A bit for each token, by its last bits, in 64-bit words."""
-    width = max(64, 1 << (BITS * len(tokens) - 1).bit_length())
-    bits = np.zeros(width, bool)
-    bits[tokens & np.uint64(width - 1)] = True
-    return np.packbits(bits, bitorder="little").view(np.uint64)
+class Signature(NamedTuple):
+    """size of a set, length of its front, width: bits for all tokens that aren't frequent, by their first bits, of which map has those of the front (in 64-bit words), and end: bits before it have all such tokens of the set."""
 
+    size: int
+    length: int
+    width: int
+    end: int
+    map: np.ndarray
 
-class SignatureTree:
-    """Sets by size under nodes of OR-combined bitmaps of one width."""
 
-    def __init__(self, sizes: np.ndarray, maps: np.ndarray, share: int):
-        self.order = np.lexsort((maps[:, 0], sizes))
-        n, m = sizes[self.order], maps[self.order]
-        self.share, self.levels = share, [(m, n, n, n - np.bitwise_count(m).sum(1, dtype=np.int64))]
-        while len(n) > FANOUT:
+def signature(size: int, front: np.ndarray, rare: int) -> Signature:
+    log = max(6, (BITS * size - 1).bit_length())
+    at = (front[:rare] >> np.uint64(64 - log)).astype(np.int64)
+    bits = np.zeros(-(-(int(at[-1]) + 1) // 64) * 64 if rare else 64, bool)
+    bits[at] = True
+    return Signature(size, len(front), 1 << log, int(at[-1]) if rare == len(front) else 1 << log, np.packbits(bits, bitorder="little").view(np.uint64))
+
+
+def halved(of: Signature) -> Signature:
+    """A signature of half the width: bits by twos."""
+    bits = np.unpackbits(of.map.view(np.uint8), bitorder="little").reshape(-1, 2).any(1)
+    whole = np.concatenate([bits, np.zeros(-len(bits) % 64, bool)])
+    return of._replace(width=of.width // 2, end=of.end // 2, map=np.packbits(whole, bitorder="little").view(np.uint64))
+
+
+class SignatureTree:
+    """Signatures of one width by size, under nodes of OR-combined bitmaps."""
+
+    def __init__(self, found: list[Signature], share: int):
+        m = np.zeros((len(found), max(len(f.map) for f in found)), np.uint64)
+        for row, f in zip(m, found):
+            row[: len(f.map)] = f.map
+        n, length, end = (np.array([getattr(f, c) for f in found]) for c in ("size", "length", "end"))
+        self.order = np.lexsort((m[:, 0], n))
+        m, n, self.end = m[self.order], n[self.order], end[self.order]
+        self.share, self.levels = share, [(m, n, n, length[self.order] - np.bitwise_count(m).sum(1, dtype=np.int64))]
+        while len(self.levels[-1][0]) > FANOUT:
             m, low, high, lost = self.levels[-1]
             starts = np.arange(0, len(m), FANOUT)
-            n = np.minimum.reduceat(low, starts)
-            self.levels.append((np.bitwise_or.reduceat(m, starts, axis=0), n, np.maximum.reduceat(high, starts), np.maximum.reduceat(lost, starts)))
+            self.levels.append((np.bitwise_or.reduceat(m, starts, axis=0), np.minimum.reduceat(low, starts), np.maximum.reduceat(high, starts), np.maximum.reduceat(lost, starts)))
+
+    def beside(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Whether leaves may link by what one has and the other lacks, up to where the first of their fronts ends."""
+        m, n, *_ = self.levels[0]
+        end = np.minimum(self.end[x], self.end[y])[:, None] - 64 * np.arange(m.shape[1])
+        inside = np.where(end >= 64, ~np.uint64(0), (np.uint64(1) << np.clip(end, 0, 63).astype(np.uint64)) - np.uint64(1))
+        need = needed(n[x], n[y], self.share)
+        lacks = lambda p, q: np.bitwise_count(m[p] & ~m[q] & inside).sum(1, dtype=np.int64)
+        return (lacks(x, y) <= n[x] - need) & (lacks(y, x) <= n[y] - need)
 
     def spans(self, labels: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         """The least and largest label below each node of each level."""
@@ -129,10 +189,8 @@ class SignatureTree:
 
     def pairs(self, labels: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Pairs (numbers of sets) of different labels that may link; labels may be joined between steps."""
-        top = len(self.levels) - 1
-        x, y = np.triu_indices(len(self.levels[top][0]))
-        todo = [(top, x, y)]
-        spans, at = self.spans(labels), labels.copy()
+        top, spans, at = len(self.levels) - 1, self.spans(labels), labels.copy()
+        todo = [(top, *np.triu_indices(len(self.levels[top][0])))]
         while todo:
             depth, x, y = todo.pop()
             step = max(16, AT_ONCE // self.levels[depth][0].shape[1])
@@ -146,12 +204,14 @@ class SignatureTree:
             keep &= (100 * high[x] >= self.share * low[y]) & (100 * high[y] >= self.share * low[x])
             x, y = x[keep], y[keep]
             most = np.bitwise_count(maps[x] & maps[y]).sum(1, dtype=np.int64) + np.minimum(lost[x], lost[y])
-            keep = np.minimum(most, np.minimum(high[x], high[y])) >= needed(low[x], low[y], self.share)
+            keep = most >= needed_in_front((low[x], low[y]), (high[x], high[y]), self.share)
             x, y = x[keep], y[keep]
             if not len(x):
                 continue
             if depth == 0:
-                yield self.order[x], self.order[y]
+                keep = self.beside(x, y)
+                if keep.any():
+                    yield self.order[x[keep]], self.order[y[keep]]
                 continue
             below = len(self.levels[depth - 1][0])
             i, j = np.divmod(np.arange(FANOUT * FANOUT), FANOUT)
@@ -160,40 +220,49 @@ class SignatureTree:
             todo.append((depth - 1, x[keep], y[keep]))
 
 
-def may_link(sizes: np.ndarray, maps: list[np.ndarray], labels: np.ndarray, share: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of different labels that may link, through a tree for each width of bitmaps with those of twice the width folded.
+def may_link(found: list[Signature], labels: np.ndarray, share: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (numbers of sets) of different labels that may link; labels may be joined between steps.
 
-    Widths of linked sets are equal or differ by a factor of two, as a width is a power of two and shares are over half.
+    There is a tree for each width of bitmaps, with those of twice the width halved: a width is a power of two, and
+    linked sets' sizes differ by less than a factor of two.
     """
-    widths = np.array([len(m) for m in maps])
+    widths = np.array([f.width for f in found])
     for width in np.unique(widths).tolist():
         own = widths == width
         held = np.flatnonzero(own | (widths == 2 * width))
         if len(held) < 2:
             continue
-        rows = np.stack([maps[i] if len(maps[i]) == width else maps[i][:width] | maps[i][width:] for i in held])
         here = labels[held]
-        for x, y in SignatureTree(sizes[held], rows, share).pairs(here):
+        for x, y in SignatureTree([found[i] if own[i] else halved(found[i]) for i in held], share).pairs(here):
             x, y = held[x], held[y]
             keep = (own[x] | own[y]) & (labels[x] != labels[y])
             if keep.any():
                 yield x[keep], y[keep]
-            here[:] = labels[held]
+                here[:] = labels[held]
+
+
+def may_connect(found: list[Signature], share: int) -> np.ndarray:
+    """For each set the first set that pairs that may link connect it with."""
+    forest, labels = Forest(len(found)), np.arange(len(found))
+    for x, y in may_link(found, labels, share):
+        forest.link(x, y)
+        labels[:] = forest.roots()
+    return labels
 
 
-def forest(sets: list[np.ndarray], share: int) -> list[tuple[int, int]]:
+def links(sets: list[np.ndarray], share: int) -> list[tuple[int, int]]:
     """Links (numbers of sets) that connect the sets as all their links do."""
-    labels, found = np.arange(len(sets)), []
-    for x, y in may_link(np.array([len(s) for s in sets]), [bitmap(s) for s in sets], labels, share):
+    labels, kept = np.arange(len(sets)), []
+    for x, y in may_link([signature(len(s), s, len(s)) for s in sets], labels, share):
         for i, j in zip(x.tolist(), y.tolist()):
             if labels[i] != labels[j] and linked(sets[i], sets[j], share):
-                found.append((i, j))
+                kept.append((i, j))
                 labels[labels == labels[j]] = labels[i]
-    return found
+    return kept
 
 
 def in_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[list]]:
-    """The columns after the first keys ones, as lists, of each run of rows equal in those."""
+    """The columns, as lists, of each run of rows equal in the first ones."""
     at, held = None, []
     for batch in batches:
         columns = [c.to_pylist() for c in batch.columns[:keys]]
@@ -202,7 +271,7 @@ def in_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[lis
                 yield list(zip(*held))
                 held = []
             at = key
-            held.append(tuple(c[i].as_py() for c in batch.columns[keys:]))
+            held.append((*key, *(c[i].as_py() for c in batch.columns[keys:])))
     if held:
         yield list(zip(*held))
 
@@ -251,22 +320,24 @@ def text_key() -> Column:
 
 
 def prepared(docs: DataFrame, keep: list[str], words: int, share: int, often: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """The kept columns of docs, uid, text_key, n_shingles, set_key and prefix, written."""
+    """The kept columns of docs, uid, text_key, n_shingles, set_key, and the front of the set (prefix, and rare of its tokens), written."""
     frequent = docs.sparkSession.sparkContext.broadcast(often)
     source = docs.select(*keep, F.monotonically_increasing_id().alias("uid"), text_key().alias("text_key"), F.col("text").cast("binary").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, keys, first = [], [], []
+            n, keys, first, rare = [], [], [], []
             for text in batch.columns[-1]:
                 tokens = shingle_set(text.as_py(), words)
                 n.append(len(tokens))
                 keys.append(hashlib.md5(tokens.tobytes()).digest() if len(tokens) else None)
-                first.append(prefix(tokens, *frequent.value, share).view(np.int64))
-            columns = [pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(first, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=[*batch.schema.names[:-1], "n_shingles", "set_key", "prefix"])
+                front, k = prefix(tokens, *frequent.value, share)
+                first.append(front.view(np.int64))
+                rare.append(k)
+            columns = [pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(rare, pa.int64()), pa.array(first, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=[*batch.schema.names[:-1], "n_shingles", "set_key", "rare", "prefix"])
 
-    schema = field_sql(source, *keep, "uid", "text_key") + ", n_shingles long, set_key binary, prefix array<long>"
+    schema = field_sql(source, *keep, "uid", "text_key") + ", n_shingles long, set_key binary, rare long, prefix array<long>"
     return written(source.mapInArrow(run, schema))
 
 
@@ -300,39 +371,62 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return written(found.mapInArrow(run, "set_id long, size long, tokens binary"))
 
 
-def links_within(rows: DataFrame, share: int) -> DataFrame:
-    """Links (a, b) that connect the sets of each (token, part) of rows (token, part, set_id, tokens)."""
+PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def _signatures(*columns: list) -> list[Signature]:
+    return [Signature(*row[:-1], _tokens(row[-1])) for row in zip(*columns)]
+
+
+SIGNATURE = "size long, length long, width long, end long, map binary"
+
+
+def in_blocks(rows: DataFrame, by: str, parts: Column) -> DataFrame:
+    """rows with first and second: the pairs of blocks of their group (a long) that each row is in; parts says how many blocks that has."""
+    dealt = rows.withColumn("_parts", parts.cast("int")).withColumn("_part", F.pmod(F.xxhash64("set_id"), "_parts").cast("int"))
+    other = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    return other.withColumns({"first": F.least("_part", "_other"), "second": F.greatest("_part", "_other")}).drop("_parts", "_part", "_other").repartition(by, "first", "second").sortWithinPartitions(by, "first", "second")
+
+
+def connected(members: DataFrame, fronts: DataFrame, share: int) -> DataFrame:
+    """Edges (a, b) that connect the sets as the pairs that may link do, from members (token, n, set_id) of buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found() -> Iterator[tuple]:
-            for ids, tokens in in_groups(batches, 2):
-                if len(ids) > 1:
-                    yield from ((ids[i], ids[j]) for i, j in forest([_tokens(t) for t in tokens], share))
+            for _, _, _, ids, *columns in in_groups(batches, 3):
+                for i, root in enumerate(may_connect(_signatures(*columns), share).tolist() if len(ids) > 1 else []):
+                    if i != root:
+                        yield ids[root], ids[i]
 
-        return arrow_rows(pa.schema([("a", pa.int64()), ("b", pa.int64())]), found())
+        return arrow_rows(PAIRS, found())
 
-    dealt = rows.select("token", "part", "set_id", "tokens").repartition("token", "part").sortWithinPartitions("token", "part")
-    return dealt.mapInArrow(run, "a long, b long")
+    rows = members.join(fronts, "set_id").select("token", "n", "set_id", "size", "length", "width", "end", "map")
+    dealt = in_blocks(rows, "token", F.ceil(F.col("n") / BLOCK))
+    return dealt.select("token", "first", "second", "set_id", "size", "length", "width", "end", "map").mapInArrow(run, "a long, b long").distinct()
 
 
-def pairs_between(rows: DataFrame, share: int) -> DataFrame:
-    """Pairs (a, b) of sets of different labels that may link, from the groups (token, part, guests) of rows with set_id, label, size and map."""
+def links_within(clusters: DataFrame, docs: DataFrame, sets: DataFrame, words: int, share: int) -> DataFrame:
+    """Links (a, b) that connect the sets of each cluster (set_id, cluster) as all their links do."""
+    held = whole_sets(docs, clusters.join(sets, "set_id"), words)
+    sizes = clusters.join(held.select("set_id", "size"), "set_id").groupBy("cluster").agg(F.sum("size").alias("whole"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found() -> Iterator[tuple]:
-            for ids, labels, sizes, maps in in_groups(batches, 3):
-                for x, y in may_link(np.array(sizes), [_tokens(m) for m in maps], np.array(labels), share):
-                    yield from ((min(ids[i], ids[j]), max(ids[i], ids[j])) for i, j in zip(x.tolist(), y.tolist()))
+            for _, _, _, ids, tokens in in_groups(batches, 3):
+                if len(ids) > 1:
+                    yield from ((ids[i], ids[j]) for i, j in links([_tokens(t) for t in tokens], share))
 
-        return arrow_rows(pa.schema([("a", pa.int64()), ("b", pa.int64())]), found())
+        return arrow_rows(PAIRS, found())
 
-    keys = ["token", "part", "guests"]
-    dealt = rows.select(*keys, "set_id", "label", "size", "map").repartition(*keys).sortWithinPartitions(*keys)
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    rows = clusters.join(sizes, "cluster").join(held, "set_id").select("cluster", "set_id", "tokens", "whole")
+    dealt = in_blocks(rows, "cluster", F.ceil(F.col("whole") / WHOLE))
+    return dealt.select("cluster", "first", "second", "set_id", "tokens").mapInArrow(run, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, held: DataFrame, share: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets link."""
+def confirmed(pairs: DataFrame, docs: DataFrame, sets: DataFrame, words: int, share: int) -> DataFrame:
+    """The pairs (a, b) of set_ids whose whole sets link, written."""
+    wanted = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct().join(sets, "set_id")
+    held = whole_sets(docs, wanted, words)
     left, right = held.select(F.col("set_id").alias("a"), F.col("tokens").alias("one")), held.select(F.col("set_id").alias("b"), F.col("tokens").alias("other"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -340,68 +434,41 @@ def confirmed(pairs: DataFrame, held: DataFrame, share: int) -> DataFrame:
             keep = [linked(_tokens(x.as_py()), _tokens(y.as_py()), share) for x, y in zip(batch.column(2), batch.column(3))]
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[:2]], names=["a", "b"])
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "one", "other").mapInArrow(run, "a long, b long")
-
-
-def blocks(rows: DataFrame) -> DataFrame:
-    """rows (token, set_id, label) of buckets with several labels, with the part and guests of each group that searches them.
-
-    A bucket of more than BLOCK rows has parts; rows outside its most frequent label are guests in all parts, in turn.
-    """
-    by_label = rows.groupBy("token", "label").agg(F.count("*").alias("n"))
-    of = by_label.groupBy("token").agg(F.count("*").alias("labels"), F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("most")).where("labels > 1")
-    parts, turns = F.ceil(F.col("n") / BLOCK).cast("int"), F.greatest(F.ceil((F.col("n") - F.col("most.n")) / BLOCK), F.lit(1)).cast("int")
-    placed = rows.join(of.select("token", F.col("most.label").alias("usual"), parts.alias("parts"), turns.alias("turns")), "token")
-    home = placed.withColumn("part", F.pmod(F.xxhash64("set_id"), "parts").cast("int"))
-    home = home.withColumn("guests", F.explode(F.when(F.col("parts") > 1, F.sequence(F.lit(0), F.col("turns") - 1)).otherwise(F.array(F.lit(0)))))
-    guests = placed.where("parts > 1 and label <> usual").withColumn("guests", F.pmod(F.xxhash64("set_id", F.lit(1)), "turns").cast("int"))
-    guests = guests.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    columns = ["token", "part", "guests", "set_id", "label"]
-    return home.select(columns).union(guests.select(columns))
+    return written(pairs.join(left, "a").join(right, "b").select("a", "b", "one", "other").mapInArrow(run, "a long, b long"))
 
 
 def classes(docs: DataFrame, keep: list[str], words: int = WORDS, share: int = SHARE, known: DataFrame | None = None) -> Classes:
-    """The classes of docs by links; known may give pairs (a, b) of text_key, which are compared first."""
-    if not 50 < share <= 100:
-        raise ValueError("share is a per cent over 50")
+    """The classes of docs by links; known may give pairs (a, b) of text_key, which are compared too."""
+    if not 70 <= share <= 100:
+        raise ValueError("share is a per cent from 70")
     small_batches(docs.sparkSession)
     often = frequent_shingles(docs, words)
     rows = prepared(docs, keep, words, share, often)
     k = F.xxhash64("set_key").alias("k")
-    whole = rows.where("set_key is not null").groupBy("set_key").agg(F.min("uid").alias("set_id"), F.min("text_key").alias("text_key"), F.first("prefix").alias("prefix"))
-    near = written(buckets(whole.select(k, "prefix"), often[0]))
-    sets = written(rows.where("set_key is not null").groupBy("set_key").agg(F.min("uid").alias("set_id"), F.min("text_key").alias("text_key")))
-    members = near.join(sets.select(k, "set_id"), "k").select("token", "n", "set_id")
-    wanted = members.select("set_id")
+    by_set = rows.where("set_key is not null").groupBy("set_key")
+    near = written(buckets(by_set.agg(F.first("prefix").alias("prefix")).select(k, "prefix"), often[0]))
+    sets = written(by_set.agg(F.min("uid").alias("set_id"), F.min("text_key").alias("text_key")))
+    members = written(near.join(sets.select(k, "set_id"), "k").select("token", "n", "set_id"))
+    fronts = rows.select(F.col("uid").alias("set_id"), F.col("n_shingles").alias("size"), "rare", "prefix").join(members.select("set_id").distinct(), "set_id")
+    fronts = written(fronts.mapInArrow(_signed, f"set_id long, {SIGNATURE}"))
+    clusters = written(components(connected(members, fronts, share)).toDF("set_id", "cluster"))
+    found = written(links_within(clusters, docs, sets, words, share))
     if known is not None:
         of_text = rows.where("set_key is not null").select("text_key", "set_key").distinct().join(sets.select("set_key", "set_id"), "set_key").select("text_key", "set_id")
         known = known.join(of_text.toDF("a", "x"), "a").join(of_text.toDF("b", "y"), "b").where("x <> y")
         known = written(known.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-        wanted = wanted.union(known.select("a")).union(known.select("b"))
-    held = whole_sets(docs, wanted.distinct().join(sets, "set_id"), words)
-    # each set whole into one bucket: the largest of those searched whole, or else the smallest
-    fits = F.when(F.col("n") <= WHOLE, F.col("n")).otherwise(-F.col("n"))
-    chosen = members.groupBy("set_id").agg(F.max(F.struct(fits.alias("fits"), "token", "n")).alias("to")).select("set_id", "to.token", "to.n")
-    chosen = chosen.withColumn("part", F.pmod(F.xxhash64("set_id"), F.ceil(F.col("n") / WHOLE)))
-    first = links_within(chosen.join(held, "set_id"), share)
-    if known is not None:
-        first = first.union(confirmed(known, held, share))
-    first = written(first)
-    labels = components(first)
-    labelled = members.join(labels.toDF("set_id", "label"), "set_id", "left").select("token", "set_id", F.coalesce("label", "set_id").alias("label"))
-    placed = written(blocks(written(labelled)))
-    maps = held.mapInArrow(_maps, "set_id long, size long, map binary")
-    pairs = written(pairs_between(placed.join(maps, "set_id"), share))
-    second = written(confirmed(pairs, held, share))
-    groups = components(first.union(second)).toDF("set_id", "class_id")
+        found = found.union(confirmed(known, docs, sets, words, share))
+    groups = components(found).toDF("set_id", "class_id")
     found = sets.join(groups, "set_id", "left").select("set_key", "set_id", F.coalesce("class_id", "set_id").alias("class_id"))
     return Classes(rows.select(*keep, "text_key", "n_shingles", "set_key"), written(found))
 
 
-def _maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        maps = [bitmap(_tokens(x.as_py())).tobytes() for x in batch.column(2)]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(maps, pa.binary())], names=["set_id", "size", "map"])
+        ids, sizes, rare = (c.to_pylist() for c in batch.columns[:3])
+        found = [signature(n, np.asarray(x.values).view(np.uint64), r) for n, r, x in zip(sizes, rare, batch.column(3))]
+        columns = [*(pa.array([getattr(f, c) for f in found], pa.int64()) for c in ("size", "length", "width", "end")), pa.array([f.map.tobytes() for f in found], pa.binary())]
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *columns], names=["set_id", "size", "length", "width", "end", "map"])
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, share: int = SHARE) -> DataFrame:

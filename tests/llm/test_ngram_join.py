@@ -62,7 +62,7 @@ def frame(spark, rows):
     return spark.createDataFrame([(d, t, "c", 0) for d, t in rows], "doc_id long, text string, set_id string, n int").repartition(5)
 
 
-@pytest.mark.parametrize("seed,whole,block", [(1, 512, 4096), (2, 4, 6)])
+@pytest.mark.parametrize("seed,whole,block", [(1, 1 << 20, 1024), (2, 900, 6)])
 def test_join_equals_all_pairs(spark, monkeypatch, seed, whole, block):
     monkeypatch.setattr(ngramjoin, "WHOLE", whole)
     monkeypatch.setattr(ngramjoin, "BLOCK", block)
@@ -118,21 +118,40 @@ def test_trees_rule_out_no_link(monkeypatch, fanout, at_once):
             change = rng.integers(0, len(one), max(1, len(one) // rng.integers(5, 30)))
             other[change] = rng.integers(0, 2**64, len(change), dtype=np.uint64)
             sets.append(np.unique(other))
+    none = np.zeros(0, np.uint64)
+    found = [ngramjoin.signature(len(s), *ngramjoin.prefix(s, none, none, 80)) for s in sets]
     want = {(i, j) for i in range(len(sets)) for j in range(i) if ngramjoin.linked(sets[i], sets[j], 80)}
-    labels = np.arange(len(sets))
-    found = set()
-    for x, y in ngramjoin.may_link(np.array([len(s) for s in sets]), [ngramjoin.bitmap(s) for s in sets], labels, 80):
-        found |= {(max(i, j), min(i, j)) for i, j in zip(x.tolist(), y.tolist())}
-    assert want <= found and len(found) < len(sets) ** 2 / 10
-    links = ngramjoin.forest(sets, 80)
-    assert set(map(lambda p: (max(p), min(p)), links)) <= want
-    # what the spanning links connect is what all links connect
+    pairs = set()
+    for x, y in ngramjoin.may_link(found, np.arange(len(sets)), 80):
+        pairs |= {(max(i, j), min(i, j)) for i, j in zip(x.tolist(), y.tolist())}
+    assert want <= pairs and len(pairs) < len(sets) ** 2 / 20
+    # pairs of one label are left out
+    labels = np.arange(len(sets)) // 4
+    for x, y in ngramjoin.may_link(found, labels, 80):
+        assert (labels[x] != labels[y]).all()
+
     def classes(pairs):
         label = list(range(len(sets)))
         for i, j in pairs:
             label = [label[i] if x == label[j] else x for x in label]
         return [label.index(x) for x in label]
-    assert classes(links) == classes(want)
+
+    assert classes(ngramjoin.links(sets, 80)) == classes(want)
+    assert classes(enumerate(ngramjoin.may_connect(found, 80).tolist())) == classes(pairs)
+
+
+def test_signatures_of_frequent_tokens():
+    """Frequent tokens come last and have no bits; the rest of such a set is all in its front."""
+    rng = np.random.default_rng(8)
+    tokens = np.unique(rng.integers(0, 2**64, 100, dtype=np.uint64))
+    frequent, counts = tokens[5:].copy(), np.arange(95)[::-1].copy()
+    front, rare = ngramjoin.prefix(tokens, frequent, counts, 80)
+    assert rare == 5 and len(front) == 21 and front[:5].tolist() == tokens[:5].tolist() and front[5:].tolist() == tokens[::-1][:16].tolist()
+    of = ngramjoin.signature(100, front, rare)
+    assert of.end == of.width == 1024 and np.bitwise_count(of.map).sum() <= 5
+    half = ngramjoin.halved(of)
+    bits = lambda s: set(np.flatnonzero(np.unpackbits(s.map.view(np.uint8), bitorder="little")).tolist())
+    assert bits(half) == {b // 2 for b in bits(of)} and half.width == 512
 
 
 def test_prefixes_share_a_shingle():
@@ -144,4 +163,16 @@ def test_prefixes_share_a_shingle():
         one = np.sort(np.array(rng.sample(tokens.tolist(), rng.randint(1, 60)), np.uint64))
         other = np.unique(np.concatenate([one[rng.randint(0, max(1, len(one) // 8)) :], np.array(rng.sample(tokens.tolist(), 3), np.uint64)]))
         if ngramjoin.linked(one, other, 80):
-            assert set(ngramjoin.prefix(one, frequent, counts, 80).tolist()) & set(ngramjoin.prefix(other, frequent, counts, 80).tolist())
+            assert set(ngramjoin.prefix(one, frequent, counts, 80)[0].tolist()) & set(ngramjoin.prefix(other, frequent, counts, 80)[0].tolist())
+
+
+def test_word_hashes():
+    """Words are as bytes.split and lower give them; equal words, and no others, have equal hashes."""
+    rng = random.Random(9)
+    long = "x" * 300
+    texts = ["", " ", "a", "A b a", "ab ba a\tb\x0bc\x1cd", "é É \u00a0 \u2003", long + " " + long[:-1] + " " + long + "y", "".join(rng.choices("aAbB é\n\r", k=3000))]
+    for text in texts:
+        words = text.encode().lower().split()
+        hashes = ngramjoin.word_hashes(text.encode()).tolist()
+        assert len(hashes) == len(words)
+        assert len(set(zip(words, hashes))) == len(set(words)) == len(set(hashes))
