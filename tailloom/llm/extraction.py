@@ -13,8 +13,11 @@ the main text.  ``path_scores`` gives these scores, and nothing else adds a bloc
 
 Marks of the page only remove: regions marked as menus, headers, footers, side
 columns, notices, adverts, forms or comments, and, where article and main elements
-hold at least half of the content, all that is outside them.  Words that may also name a
-part of an article (WEAK) count outside article and main only.
+hold at least half of the content, all that is outside them.  An element is marked for certain
+by its kind, its role, or a class or id of nothing but such words (``comment-list``).  A class
+with other words in it (``menu-design``), or a word that may also name a part of an article
+(WEAK, outside article and main only), leaves it to the ratios: the element goes
+if its paths' are under the threshold.  Lists of links in article and main stay.
 
 Defined results: null html counts as empty; a page without content gives an
 empty text; character references are decoded, white space within a block is one
@@ -60,6 +63,8 @@ WEAK = frozenset(
     "banner popup modal overlay alert subscribe subscription signup login share sharing social reply "
     "form search skip hidden copyright legal disclaimer".split()
 )
+#: Words that say where or in what a marked region is, but not what it is.
+PLACING = frozenset("list lists section area box wrapper wrap container inner outer item items top bottom left right primary secondary main site page global header widget unit slot banner holder".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "option": {"select"}}
 
@@ -75,6 +80,7 @@ class Element:
     parent: int
     path: int  # number of its path
     hidden: bool
+    soft: int  # outermost element around it, or itself, whose mark the ratios decide on; else -1
     article: bool
 
 
@@ -95,20 +101,27 @@ class Page:
     outer: set[int]
 
 
-def _hidden(tag: str, of: dict[str, str], attrs: str, in_article: bool) -> bool:
-    """Whether the page marks an element as no part of its main text."""
+NOT, MAYBE, CERTAIN = 0, 1, 2
+
+
+def _marked(tag: str, of: dict[str, str], attrs: str, in_article: bool) -> int:
+    """Whether the page marks an element as no part of its main text: NOT, MAYBE or CERTAIN."""
     if tag in NEVER or tag == "header" and not in_article:
-        return True
+        return CERTAIN
     if not attrs:
-        return False
+        return NOT
     if of.get("role", "").lower() in ROLES or of.get("aria-hidden", "").lower() == "true" or re.search(r"(?:^|\s)hidden(?:\s|$)", attrs.lower()):
-        return True
+        return CERTAIN
     if re.search(r"display\s*:\s*none", of.get("style", ""), re.I):
-        return True
+        return CERTAIN
     if tag in ("html", "body", "main"):
-        return False
-    words = set(re.findall(r"[a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", f"{of.get('class', '')} {of.get('id', '')}").lower()))
-    return bool(words & STRONG) or not in_article and tag != "article" and bool(words & WEAK)
+        return NOT
+    names = re.sub(r"(?<=[a-z])(?=[A-Z])", "-", f"{of.get('class', '')} {of.get('id', '')}").lower().split()
+    words = [set(re.findall(r"[a-z]+", name)) for name in names]
+    if any(w & STRONG and w <= STRONG | PLACING for w in words):
+        return CERTAIN
+    weak = not in_article and tag != "article"
+    return MAYBE if any(w & STRONG or weak and w & WEAK for w in words) else NOT
 
 
 class _Scanner:
@@ -161,7 +174,7 @@ class _Scanner:
 
 def parse(page: str) -> Page:
     """Elements, blocks and paths of a page."""
-    elements = [Element("", -1, 0, False, False)]
+    elements = [Element("", -1, 0, False, -1, False)]
     up, paths, outer = [-1], {}, {0}
     stack, blocks, now, linked = [0], [], None, False
     places: dict[str, list[int]] = {}  # where each tag is open on the stack
@@ -214,8 +227,9 @@ def parse(page: str) -> Page:
                 up.append(around.path)
                 if tag in ("html", "body"):
                     outer.add(path)
-            hidden = around.hidden or _hidden(tag, of, attrs, around.article)
-            elements.append(Element(tag, stack[-1], path, hidden, around.article or tag in ("article", "main")))
+            mark = _marked(tag, of, attrs, around.article)
+            soft = around.soft if around.soft >= 0 or mark != MAYBE else len(elements)
+            elements.append(Element(tag, stack[-1], path, around.hidden or mark == CERTAIN, soft, around.article or tag in ("article", "main")))
             places.setdefault(tag, []).append(len(stack))
             stack.append(len(elements) - 1)
     text(page[at:])
@@ -236,12 +250,13 @@ def path_ratios(path: np.ndarray, n_paths: int, chars: np.ndarray, marks: np.nda
     return np.bincount(path, chars, n_paths) / n * (1 + np.bincount(path, marks, n_paths) / n)
 
 
-def path_scores(path: np.ndarray, up: list[int], chars: np.ndarray, marks: np.ndarray, linked: np.ndarray, outer: set[int], roots: set[int], heading: np.ndarray) -> np.ndarray:
+def path_scores(path: np.ndarray, up: list[int], chars: np.ndarray, marks: np.ndarray, linked: np.ndarray, outer: set[int], roots: set[int], heading: np.ndarray, alone: np.ndarray) -> np.ndarray:
     """For each block the smoothed and fused tag-path ratios of its path.
 
     ``up`` gives each path's parent, ``linked`` the characters in links, ``outer`` the paths of
     the page, html and body, ``roots`` the paths of elements that pass their score
-    down in any case (article and main), ``heading`` whether a block is a heading that what follows is beside or below.
+    down in any case (article and main), ``heading`` whether a block is a heading that what follows is beside or below,
+    ``alone`` whether its element holds nothing else.
     """
     free = np.maximum(0.0, chars - linked)
     ratio = path_ratios(path, len(up), free, marks)
@@ -269,7 +284,11 @@ def path_scores(path: np.ndarray, up: list[int], chars: np.ndarray, marks: np.nd
         inside[i] = inside[up[i]] or i in givers
         if inside[i]:
             given[i] = max(mean[i], STEP * given[up[i]])
-    score = np.where(links, ratio[path], np.maximum(ratio, given)[path])
+    # what holds the content passes its score to what it holds; another element of its path that holds only text has its own
+    bare = np.zeros(len(path), bool) if roots else alone & np.isin(path, list(givers))
+    if roots:
+        links &= ~inside[path]
+    score = np.where(links | bare, ratio[path], np.maximum(ratio, given)[path])
     if flat and len(score) > 2:  # what lies between contents belongs to them
         before, after = np.maximum.accumulate(score), np.maximum.accumulate(score[::-1])[::-1]
         score = np.where(links, score, np.maximum(score, STEP * np.minimum(before, after)))
@@ -291,6 +310,14 @@ def _leading_headings(elements: list[Element], of: list[int]) -> np.ndarray:
     return found
 
 
+def _alone(elements: list[Element], of: list[int]) -> np.ndarray:
+    """Which blocks are all that their element holds."""
+    held = np.bincount(of, minlength=len(elements))
+    for i in range(len(elements) - 1, 0, -1):
+        held[elements[i].parent] += held[i]
+    return held[of] == 1
+
+
 def main_text(page: str | None) -> str:
     """The main text of a page."""
     parsed = parse(page or "")
@@ -298,16 +325,25 @@ def main_text(page: str | None) -> str:
     kept = [(b, text) for b in parsed.blocks if not elements[b.element].hidden and (text := " ".join("".join(b.text).split()))]
     if not kept:
         return ""
-    marked = np.array([elements[b.element].article for b, _ in kept])
 
     def measured(of: list[tuple[Block, str]], roots: set[int]) -> tuple[np.ndarray, np.ndarray]:
-        path = np.array([elements[b.element].path for b, _ in of])
+        inner = [b.element for b, _ in of]
+        path = np.array([elements[i].path for i in inner])
         chars = np.array([len(t) for _, t in of], float)
         marks = np.array([len(_PUNCTUATION.findall(t)) for _, t in of], float)
         linked = np.array([min(len(t), b.linked) for b, t in of], float)
-        scores = path_scores(path, parsed.up, chars, marks, linked, parsed.outer, roots, _leading_headings(elements, [b.element for b, _ in of]))
+        scores = path_scores(path, parsed.up, chars, marks, linked, parsed.outer, roots, _leading_headings(elements, inner), _alone(elements, inner))
         return scores >= THRESHOLD * (scores @ chars / chars.sum()), chars
 
+    soft = np.array([elements[b.element].soft for b, _ in kept])
+    if (soft >= 0).any():
+        path = np.array([elements[b.element].path for b, _ in kept])
+        chars = np.array([max(0, len(t) - b.linked) for b, t in kept], float)
+        ratio = path_ratios(path, len(parsed.up), chars, np.array([len(_PUNCTUATION.findall(t)) for _, t in kept], float))[path]
+        of_mark = np.bincount(soft + 1, chars * ratio) / np.maximum(1e-9, np.bincount(soft + 1, chars))
+        stays = (soft < 0) | (of_mark >= THRESHOLD * (chars * ratio).sum() / max(1e-9, chars.sum()))[soft + 1]
+        kept = [k for k, s in zip(kept, stays) if s] or kept
+    marked = np.array([elements[b.element].article for b, _ in kept])
     content, chars = measured(kept, set())
     if marked.any() and chars[content & marked].sum() >= 0.5 * chars[content].sum():
         kept = [k for k, m in zip(kept, marked) if m]
