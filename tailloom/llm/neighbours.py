@@ -11,8 +11,9 @@ A bounded sample (``SAMPLE`` vectors) sets w and the number of probes, which is
 the least that reaches ``TARGET`` recall within the sample; every vector is
 indexed.  Equal vectors are one entry with their k + 1 smallest ids, which is all
 that a top k can use.  Buckets over ``BUCKET`` entries are dealt to several
-parts, and queries visit all of a bucket's parts.  Queries that find fewer than k
-candidates are searched exactly, in blocks.
+parts, and queries visit all of a bucket's parts.  A task holds one part of the
+index and one block of at most about ``ASKING`` queries, however many visit the
+part.  Queries that find fewer than k candidates are searched exactly, in blocks.
 
 Defined results: vectors that are null, zero, of another length than most, or
 that hold null or non-finite components take no part, nor do null ids; fewer than
@@ -36,8 +37,9 @@ from pyspark.sql import functions as F
 from .common import small_batches, written
 
 TABLES, HASHES, SAMPLE, SAMPLE_QUERIES, TARGET = 4, 8, 4000, 100, 0.96
-#: Entries of a bucket part, and of a part of the index that one task searches.
-BUCKET, PART = 4_000, 4_000
+#: Entries of a bucket part, and of a part of the index that one task searches; past so many parts they are larger, up to LARGE, so that
+#: queries are copied to fewer of them; queries of a block.
+BUCKET, PART, PARTS, LARGE, ASKING = 4_000, 4_000, 200, 32_768, 32_768
 _PROBES = (10, 20, 40, 80, 120, 160, 240, 320, 480, 640, 960, 1280, 1920, 2560, 3840, 6561)
 
 
@@ -190,6 +192,19 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     return _top(found.join(few, "cid", "left_anti").union(rest), asked, k).drop("cid")
 
 
+def _parts(rows: int) -> int:
+    return max(1, min(rows // PART, max(PARTS, rows // LARGE)))
+
+
+def _paired(left: DataFrame, right: DataFrame, queries: int, k: int) -> DataFrame:
+    """What the rows of each part find: index rows (left) meet each block of the queries (right) of their part in a task of its own."""
+    blocks = max(1, -(-queries // ASKING))
+    left = left.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    right = right.withColumn("block", F.pmod(F.xxhash64("cid", F.lit(7)), F.lit(blocks)).cast("int"))
+    keys = ["part", "block"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(lambda a, b: _search(a, b, k), _FOUND)
+
+
 def _probe(entries: DataFrame, queries: DataFrame, hashing, k: int) -> DataFrame:
     """The k + 1 nearest entries to each query in each part of the index that it visits."""
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,22 +224,22 @@ def _probe(entries: DataFrame, queries: DataFrame, hashing, k: int) -> DataFrame
     placed = entries.mapInArrow(index, "bucket long, near long, ids array<long>, v array<double>")
     sizes = placed.groupBy("bucket").agg(F.count("*").alias("n"))
     hot = written(sizes.where(F.col("n") > BUCKET).select("bucket", F.ceil(F.col("n") / BUCKET).cast("int").alias("parts")))
-    parts = max(1, TABLES * entries.count() // PART)
+    parts = _parts(TABLES * entries.count())
     salted = placed.join(hot, "bucket", "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64("near"), F.col("parts")).cast("int"), F.lit(0)))
     where = F.pmod(F.xxhash64("bucket", "salt"), F.lit(parts)).alias("part")
     left = salted.select(where, "bucket", "near", "ids", "v")
     visits = queries.mapInArrow(visit, "bucket long, cid long").join(hot, "bucket", "left")
     visits = visits.withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("parts") - 1, F.lit(0)))))
     right = visits.select(where, "cid", "bucket").groupBy("part", "cid").agg(F.collect_set("bucket").alias("buckets")).join(queries, "cid")
-    return left.groupBy("part").cogroup(right.groupBy("part")).applyInArrow(lambda a, b: _search(a, b, k), _FOUND)
+    return _paired(left, right, queries.count(), k)
 
 
 def _all(entries: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """The k + 1 nearest entries to each query in each block, over all blocks."""
-    parts = max(1, entries.count() // PART)
+    parts = _parts(entries.count())
     left = entries.select(F.pmod(F.xxhash64("near"), F.lit(parts)).alias("part"), F.lit(0).cast("long").alias("bucket"), "near", "ids", "v")
     right = queries.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part"), "cid", F.array(F.lit(0).cast("long")).alias("buckets"), "v")
-    return left.groupBy("part").cogroup(right.groupBy("part")).applyInArrow(lambda a, b: _search(a, b, k), _FOUND)
+    return _paired(left, right, queries.count(), k)
 
 
 def _top(found: DataFrame, asked: DataFrame, k: int) -> DataFrame:
