@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import arm_of, classify_tail, gm, of_tail, pm, precursor_of, seed, tailing
+from ..functions.columns import arm_of, classify_tail, gm, of_tail, pm, precursor_of, seed, tailing, to_rna
 
 BIOTYPES = ["miRNA", "mirtron", "tRNA", "lincRNA"]
 
@@ -71,9 +71,27 @@ def filter_arm(rows: DataFrame, arm: str, name: str = "anno") -> DataFrame:
 
 
 def biotype_statistics(hits: DataFrame) -> DataFrame:
-    """Sum of reads by sites of each biotype's hits over their number, by sample (hits carry their tags' columns)."""
-    by = hits.where("biotype <> 'mirbase'").groupBy("sample", "biotype")
-    return by.agg((F.sum(F.col("reads") / F.col("nh")) / F.count("*")).alias("value"))
+    """Sum of reads by sites of each biotype's hits over their number, by sample (hits carry their tags' columns).
+
+    A sample's row Total is the sum over its biotypes, and rows of sample Total are sums over samples.
+    """
+    by = hits.where("biotype <> 'mirbase'").groupBy("sample", "biotype").agg((F.sum(F.col("reads") / F.col("nh")) / F.count("*")).alias("value"))
+    summed = by.cube("sample", "biotype").agg(F.sum("value").alias("value"))
+    return summed.fillna("Total", ["sample", "biotype"])
+
+
+def prime_hits(hits: DataFrame, biotypes: list[str] = BIOTYPES) -> DataFrame:
+    """Hits of each tag's first biotype in the list, with the tag's columns, and the name as anno: one pass over the hits."""
+    rank = F.array_position(F.array(*map(F.lit, biotypes)), F.col("biotype"))
+    ranked = hits.withColumn("_rank", rank).where("_rank > 0")
+    best = ranked.withColumn("_best", F.min("_rank").over(Window.partitionBy("tag_id"))).where("_rank = _best")
+    return best.drop("_rank", "_best").withColumnRenamed("name", "anno")
+
+
+def isoform_facts(annotated: DataFrame) -> DataFrame:
+    """Sum of ppm by sample, biotype, annotation, seed, tail class and templated length, of tags with biotype and anno."""
+    rows = annotated.select("sample", "biotype", "anno", marked_seed(annotated).alias("seed"), classify_tail(F.col("tail")).alias("tail_class"), F.col("gm_len").alias("read_len"), "ppm")
+    return rows.groupBy("sample", "biotype", "anno", "seed", "tail_class", "read_len").agg(F.sum("ppm").alias("ppm"))
 
 
 def isoform_counts(tags: DataFrame, prime: DataFrame, filter_ppm: float = 5.0) -> DataFrame:
@@ -81,25 +99,41 @@ def isoform_counts(tags: DataFrame, prime: DataFrame, filter_ppm: float = 5.0) -
 
     Where tags have a column seed_md (mismatches in the seed), seeds that differ by it are different.
     """
-    kept = tags.where(F.col("ppm") >= filter_ppm).select("tag_id", "sample", marked_seed(tags).alias("seed"), classify_tail(F.col("tail")).alias("tail_class"), F.col("gm_len").alias("read_len"), "ppm")
-    by = kept.join(prime.select("tag_id", "biotype", F.col("name").alias("anno")), "tag_id")
-    return by.groupBy("sample", "biotype", "anno", "seed", "tail_class", "read_len").agg(F.sum("ppm").alias("ppm"))
+    named = prime.select("tag_id", "biotype", F.col("name").alias("anno"))
+    return isoform_facts(tags.where(F.col("ppm") >= filter_ppm).join(named, "tag_id"))
 
 
 def marked_seed(tags: DataFrame) -> Column:
     """Seed of tags (a column seq), and its mismatches (a column seed_md, if there is one) after a bar."""
     if "seed_md" not in tags.columns:
         return seed(F.col("seq"))
-    return F.concat(seed(F.col("seq")), F.when(F.col("seed_md") != "", F.concat(F.lit("|"), "seed_md")).otherwise(""))
+    return F.concat(seed(F.col("seq")), F.when(F.col("seed_md") != "", F.concat(F.lit("|"), to_rna(F.col("seed_md")))).otherwise(""))
 
 
-def flag_isoform(tags: DataFrame, prime: DataFrame, flags: DataFrame, filter_ppm: float = 5.0) -> DataFrame:
+def flag_isoform(annotated: DataFrame, flags: DataFrame) -> DataFrame:
     """sample, anno, seed and is_flagged: whether any of an isoform's tags is flagged (flags: tag_id and is_flagged)."""
-    kept = tags.where(F.col("ppm") >= filter_ppm).select("tag_id", "sample", marked_seed(tags).alias("seed"))
-    by = kept.join(prime.select("tag_id", F.col("name").alias("anno")), "tag_id").join(flags, "tag_id", "left")
+    by = annotated.select("tag_id", "sample", "anno", marked_seed(annotated).alias("seed")).join(flags, "tag_id", "left")
     return by.groupBy("sample", "anno", "seed").agg(F.max(F.coalesce("is_flagged", F.lit(False))).alias("is_flagged"))
 
 
+def isoform_marks(iso: DataFrame, flagged: DataFrame) -> DataFrame:
+    """sample, anno, seed and mark: ! for a flagged isoform, then * for the dominant one; isoforms without a mark have no row."""
+    of = lambda rows, mark: rows.select("sample", "anno", "seed", F.lit(mark).alias("mark"))
+    each = of(flagged.where("is_flagged"), "!").union(of(dominant_isoform(iso), "*"))
+    has = lambda mark: F.when(F.max(F.col("mark") == mark), mark).otherwise("")
+    return each.groupBy("sample", "anno", "seed").agg(F.concat(has("!"), has("*")).alias("mark"))
+
+
+def labelled(table: DataFrame, marks: DataFrame, wide: bool = False) -> DataFrame:
+    """Adds label to rows of sample, anno and seed: anno_seed and its mark in the row's sample; of the first sample in a wide table."""
+    keys = ["sample", "anno", "seed"]
+    if wide:
+        first = table.agg(F.min("sample").alias("sample"))  # one row
+        marks, keys = marks.join(F.broadcast(first), "sample", "left_semi").drop("sample"), keys[1:]
+    found = table.join(marks, keys, "left")
+    return found.withColumn("label", F.concat("anno", F.lit("_"), "seed", F.coalesce("mark", F.lit("")))).drop("mark")
+
+
 def densify(rows: DataFrame, keys: list[str], value: str = "ppm", fill: float = 1e-6) -> DataFrame:
     """Every combination of the keys' values, with the value of its row, or fill where there is none.
 
@@ -148,10 +182,16 @@ def tail_breakdown(iso: DataFrame, *keys: str) -> DataFrame:
     return out.withColumn("gmpm", F.col("gm") + F.col("pm")).withColumn("tailing", tailing(F.col("gm"), F.col("pm")))
 
 
-def length_distribution(iso: DataFrame) -> DataFrame:
-    """ppm of each tail class by sample, annotation and length, with totals over annotations (anno = All)."""
-    by = iso.rollup("sample", "read_len", "anno").agg(*(of_tail(k).alias(k.lower()) for k in ("A", "C", "G", "U", "Other", "GM")))
-    return by.where("sample is not null and read_len is not null").fillna("All", ["anno"])
+def length_distribution(iso: DataFrame, *level: str, trimmed: DataFrame | None = None) -> DataFrame:
+    """ppm of each tail class by sample, annotation (and level) and length, with totals over annotations.
+
+    Those are All, and with trimmed (rows of iso that a trim keeps) Alltrim, of these rows.
+    """
+    classes = [of_tail(k).alias(k.lower()) for k in ("A", "C", "G", "U", "Other", "GM")]
+    by = iso.groupBy("sample", "read_len", "anno", *level).agg(*classes)
+    whole = lambda rows, name: rows.groupBy("sample", "read_len").agg(*classes).withColumns({"anno": F.lit(name)} | {c: F.lit("") for c in level})
+    found = by.unionByName(whole(iso, "All"))
+    return found if trimmed is None else found.unionByName(whole(trimmed, "Alltrim"))
 
 
 def length_tables(iso: DataFrame) -> DataFrame:

@@ -2,26 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import arm_of, precursor_of
+from ..functions.columns import TAIL_CLASSES, arm_of, classify_tail, precursor_of, to_rna
+from .regions import islands
+from .sequences import extract_sequence
+from .tags import tagged_places
 
 
 def annotation_totals(iso: DataFrame) -> DataFrame:
     return iso.groupBy("sample", "anno").agg(F.round(F.sum("ppm"), 6).alias("ppm"))
 
 
-def trim_rank_band(iso: DataFrame, low: int = 15, high: int = 85) -> DataFrame:
-    """Annotations whose rank by total is in the band (per cent, integer arithmetic), without those equal to the least.
+def trim_rank_band(iso: DataFrame, low: int = 15, high: int = 85, keys: tuple[str, ...] = ("anno",)) -> DataFrame:
+    """Annotations (or isoforms, by keys) whose rank by total is in the band (per cent, integer arithmetic), without those equal to the least.
 
-    The rank is over all annotations, of which there are as many as the feature files name.
+    The rank is over all annotations, of which there are as many as the feature files name (and 4 ** 7 seeds of each at most).
     """
-    total = iso.groupBy("anno").agg(F.round(F.sum("ppm"), 6).alias("t"))
-    order = total.withColumn("n", F.count("*").over(Window.partitionBy())).withColumn("r", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("t", "anno")))
+    total = iso.groupBy(*keys).agg(F.round(F.sum("ppm"), 6).alias("t"))
+    order = total.withColumn("n", F.count("*").over(Window.partitionBy())).withColumn("r", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("t", *keys)))
     least = F.min("t").over(Window.partitionBy())
     kept = order.withColumn("least", least).where(f"r > n * {low} div 100 and r <= n * {high} div 100 and t > least")
-    return iso.join(kept.select("anno"), "anno", "left_semi")
+    return iso.join(kept.select(*keys), list(keys), "left_semi")
 
 
 def quantile_normalize(iso: DataFrame) -> DataFrame:
@@ -65,6 +68,15 @@ def rank_sum(ranked: DataFrame) -> DataFrame:
     return ranked.groupBy("anno").agg(F.sum("rank").alias("rank_sum"))
 
 
+def rank_sum_tokens(table: DataFrame, *keys: str) -> DataFrame:
+    """token, keys, rank_sum and place of the four tokens of a token table by sample and keys: places by the sum of ranks, then keys, from the last."""
+    tokens = F.explode(F.array(*(F.struct(F.lit(t).alias("token"), F.round(t, 6).alias("value")) for t in ("gmpm", "gm", "pm", "tailing")))).alias("x")
+    each = table.select("sample", *keys, tokens).select("sample", *keys, "x.token", "x.value")
+    ranked = each.withColumn("rank", F.row_number().over(Window.partitionBy("token", "sample").orderBy("value", *keys)))
+    summed = ranked.groupBy("token", *keys).agg(F.sum("rank").alias("rank_sum"))
+    return summed.withColumn("place", F.row_number().over(Window.partitionBy("token").orderBy(F.desc("rank_sum"), *map(F.desc, keys))))
+
+
 def sample_pairs(samples: DataFrame) -> DataFrame:
     """All unordered pairs of samples, of which there are few."""
     return samples.select(F.col("sample").alias("s1")).join(samples.select(F.col("sample").alias("s2")), F.col("s1") < F.col("s2"))
@@ -180,12 +192,12 @@ def filter_difference_rows(report: DataFrame, mode: str, min_len_diff: int = 0,
     return rows.select(F.get(name, F.lit(0)).alias("anno"), F.get(name, F.lit(1)).alias("seed"), "diff", F.get(of, F.lit(0)).alias("sample1"), F.get(of, F.lit(1)).alias("sample2"))
 
 
-def boxplot_stats(totals: DataFrame) -> DataFrame:
-    """Least, quartiles (element at floor((n-1)q)) and largest of the values over 0, by sample."""
+def boxplot_stats(totals: DataFrame, trim: float = 0.0) -> DataFrame:
+    """Quartiles (element at floor((n-1)q)) of the values over 0, by sample, and those at the rates ``trim`` and 1 - trim (the least and the largest)."""
     w = Window.partitionBy("sample")
     ranked = totals.where("ppm > 0").withColumn("r", F.row_number().over(w.orderBy("ppm", "anno"))).withColumn("n", F.count("*").over(w))
     at = lambda q: F.max(F.when(F.col("r") == F.floor((F.col("n") - 1) * q) + 1, F.col("ppm")))
-    return ranked.groupBy("sample").agg(F.min("ppm").alias("lo"), at(0.25).alias("q1"), at(0.5).alias("q2"), at(0.75).alias("q3"), F.max("ppm").alias("hi"))
+    return ranked.groupBy("sample").agg(at(trim).alias("lo"), at(0.25).alias("q1"), at(0.5).alias("q2"), at(0.75).alias("q3"), at(1 - trim).alias("hi"))
 
 
 def loading_trend(totals: DataFrame) -> DataFrame:
@@ -193,24 +205,48 @@ def loading_trend(totals: DataFrame) -> DataFrame:
 
 
 def end_heterogeneity(annotated: DataFrame) -> DataFrame:
-    """ppm-weighted distance of 5' and 3' ends from the modal ends (most ppm, lowest coordinate), by sample and annotation."""
-    plus = F.col("strand") == "+"
-    rows = annotated.select("sample", "anno", "ppm", F.when(plus, F.col("t_start")).otherwise(F.col("t_end")).alias("e5"), F.when(plus, F.col("t_end")).otherwise(F.col("t_start")).alias("e3"))
-    out = None
-    for end in ("e5", "e3"):
-        by = rows.groupBy("sample", "anno", F.col(end).alias("e")).agg(F.round(F.sum("ppm"), 6).alias("p"))
-        modal = F.min(F.struct((-F.col("p")).alias("v"), "e")).getField("e").alias("mode")
-        mode = by.groupBy("sample", "anno").agg(modal)
-        h = by.join(mode, ["sample", "anno"]).groupBy("sample", "anno").agg((F.sum(F.col("p") * F.abs(F.col("e") - F.col("mode"))) / F.sum("p")).alias(end.replace("e", "h")))
-        out = h if out is None else out.join(h, ["sample", "anno"])
-    return out
+    """ppm-weighted distance of 5' ends, 3' ends and 3' ends with their tails (h5, h3, h_tail) from the modal ends, by sample and annotation.
+
+    The modal end has the most ppm, and of such the lowest coordinate.
+    """
+    plus, tail = F.col("strand") == "+", F.length(F.coalesce("tail", F.lit("")))
+    end3 = F.when(plus, F.col("t_end")).otherwise(F.col("t_start"))
+    ends = {"h5": F.when(plus, F.col("t_start")).otherwise(F.col("t_end")), "h3": end3, "h_tail": F.when(plus, end3 + tail).otherwise(end3 - tail)}
+    each = F.explode(F.array(*(F.struct(F.lit(kind).alias("kind"), end.alias("e")) for kind, end in ends.items()))).alias("x")
+    by = annotated.select("sample", "anno", "ppm", each).groupBy("sample", "anno", "x.kind", "x.e").agg(F.round(F.sum("ppm"), 6).alias("p"))
+    w = Window.partitionBy("sample", "anno", "kind")
+    far = by.withColumn("mode", F.min(F.struct((-F.col("p")).alias("v"), "e")).over(w).getField("e"))
+    of = lambda kind: (F.sum(F.when(F.col("kind") == kind, F.col("p") * F.abs(F.col("e") - F.col("mode")))) / F.sum(F.when(F.col("kind") == kind, F.col("p")))).alias(kind)
+    return far.groupBy("sample", "anno").agg(*(of(kind) for kind in ends))
+
+
+def tail_profile(annotated: DataFrame, *level: str) -> DataFrame:
+    """ppm, mean tail length of tailed reads, their share, and the shares of tail classes among them, by sample, annotation and level (seed).
+
+    Without tailed reads all are 0.
+    """
+    tail = F.coalesce("tail", F.lit(""))
+    rows = annotated.withColumns({"_class": classify_tail(tail), "_tailed": F.when(tail != "", F.col("ppm")).otherwise(0.0)})
+    part = lambda kind: F.sum(F.when(F.col("_class") == kind, F.col("ppm")).otherwise(0.0)).alias(f"f_{kind.lower()}")
+    kinds = [k for k in TAIL_CLASSES if k != "GM"]
+    by = rows.groupBy("sample", "anno", *level).agg(F.sum("ppm").alias("gmpm"), F.sum("_tailed").alias("pm"), F.sum(F.length(tail) * F.col("ppm")).alias("mean_tail_len"), *(part(k) for k in kinds))
+    some = lambda value: F.when(F.col("pm") > 0, value).otherwise(0.0)
+    shares = [some(F.col(c) / F.col("pm")).alias(c) for c in ("mean_tail_len", *(f"f_{k.lower()}" for k in kinds))]
+    return by.select("sample", "anno", *level, some(F.col("gmpm")).alias("gmpm"), *shares, some(F.col("pm") / F.col("gmpm")).alias("tailing"))
+
+
+def tail_bases(annotated: DataFrame) -> DataFrame:
+    """ppm, untailed and tailed ppm, and tailed ppm by base, by sample, annotation and seed; a mixed tail counts by each base's share of it."""
+    tail = to_rna(F.coalesce("tail", F.lit("")))
+    tailed = lambda value: F.sum(F.when(F.length(tail) > 0, value).otherwise(0.0))
+    bases = [tailed(F.col("ppm") * (F.length(tail) - F.length(F.replace(tail, F.lit(b)))) / F.length(tail)).alias(b.lower()) for b in "ACGU"]
+    return annotated.groupBy("sample", "anno", "seed").agg(F.sum("ppm").alias("gmpm"), F.sum(F.when(F.length(tail) == 0, F.col("ppm")).otherwise(0.0)).alias("gm"), tailed(F.col("ppm")).alias("pm"), *bases)
 
 
-def tail_profile(annotated: DataFrame) -> DataFrame:
-    """ppm, mean tail length of tailed reads, and their share, by sample and annotation."""
-    tailed = F.length("tail") > 0
-    by = annotated.groupBy("sample", "anno").agg(F.sum("ppm").alias("gmpm"), F.sum(F.when(tailed, F.col("ppm")).otherwise(0.0)).alias("pm"), F.sum(F.length("tail") * F.col("ppm")).alias("l"))
-    return by.select("sample", "anno", "gmpm", F.when(F.col("pm") > 0, F.col("l") / F.col("pm")).otherwise(0.0).alias("mean_tail_len"), (F.col("pm") / F.col("gmpm")).alias("tailing"))
+def mismatch_kinds(tags: DataFrame) -> DataFrame:
+    """ppm of mismatches (MD) and of T to C conversions (TC) at each place from 1, by sample; of tags with md_tag and tc_tag."""
+    of = lambda tag, kind: tags.select("sample", F.lit(kind).alias("kind"), F.explode(tagged_places(tag, "base")).alias("m"), "ppm")
+    return of("md_tag", "MD").union(of("tc_tag", "TC")).groupBy("sample", "kind", (F.col("m.at") + 1).alias("pos")).agg(F.sum("ppm").alias("ppm"))
 
 
 def mismatch_positions(tags: DataFrame) -> DataFrame:
@@ -223,26 +259,110 @@ def positional_composition(tags: DataFrame, positions: int = 8) -> DataFrame:
     return tags.select("sample", "ppm", bases).groupBy("sample", "slot", F.translate("nt", "T", "U").alias("nt")).agg(F.sum("ppm").alias("ppm"))
 
 
+#: Slots of position_profile: 8 leading bases, the last 5 of tailed reads (from the end), and the 4 before the last of tailed and of untailed reads.
+LEADING, LAST, TAILED_4N, PLAIN_4N = 8, 5, 13, 14
+
+
+def position_profile(annotated: DataFrame) -> DataFrame:
+    """ppm by base (RNA) in each of 15 slots, by sample, annotation and seed, of tags with md_tag and tc_tag.
+
+    A read is its templated bases with its tail.  Mismatches show the read's base; a converted T stays U.
+    """
+    whole = to_rna(F.concat("seq", F.coalesce("tail", F.lit(""))))
+    rows = annotated.withColumns({"_read": whole, "_md": tagged_places("md_tag", "base"), "_tc": tagged_places("tc_tag", "base")})
+    n, tailed = F.length("_read"), F.length(F.coalesce("tail", F.lit(""))) > 0
+    slot = lambda number, at: F.struct(F.lit(number).alias("slot"), at.cast("int").alias("at"))
+    front = [slot(i, F.lit(i)) for i in range(LEADING)]
+    back = [slot(LEADING + i, n - 1 - i) for i in range(LAST)] + [slot(TAILED_4N, n - 5 + i) for i in range(4)]
+    each = F.concat(F.array(*front), F.when(tailed, F.array(*back)).otherwise(F.array(*(slot(PLAIN_4N, n - 5 + i) for i in range(4)))))
+    spread = rows.select("sample", "anno", "seed", "ppm", "_read", "_md", "_tc", F.explode(each).alias("x")).where((F.col("x.at") >= 0) & (F.col("x.at") < F.length("_read")))
+    here = lambda places: F.get(F.filter(places, lambda m: m["at"] == F.col("x.at")), F.lit(0))["base"]
+    nt = F.when(here("_tc").isNotNull(), "U").otherwise(F.coalesce(to_rna(here("_md")), F.substring("_read", F.col("x.at") + 1, F.lit(1))))
+    return spread.groupBy("sample", "anno", "seed", "x.slot", nt.alias("nt")).agg(F.sum("ppm").alias("ppm"))
+
+
 def merged_ranges(annotated: DataFrame, extend: int = 2) -> DataFrame:
     """Overlapping ranges (± extend) of an annotation merged; support is the number of distinct ranges."""
-    ranges = annotated.select("anno", "chrom", "strand", "t_start", "t_end").distinct()
     key = ["anno", "chrom", "strand"]
-    w = Window.partitionBy(*key).orderBy("t_start", "t_end")
-    before = F.max("t_end").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    new = F.when(F.col("t_start") - extend > F.coalesce(before, F.lit(-(10**12))) + extend, 1).otherwise(0)
-    island = ranges.withColumn("new", new).withColumn("island", F.sum("new").over(w))
-    return island.groupBy(*key, "island").agg(F.min("t_start").alias("m_start"), F.max("t_end").alias("m_end"), F.count("*").alias("support")).drop("island")
-
+    found = islands(annotated.select(*key, "t_start", "t_end").distinct(), key, 2 * extend)
+    return found.groupBy(*key, "island").agg(F.min("t_start").alias("m_start"), F.max("t_end").alias("m_end"), F.count("*").alias("support")).drop("island")
 
-def pileup_coverage(annotated: DataFrame) -> DataFrame:
-    """Sum of ppm at each position of each annotation."""
-    spread = annotated.select("anno", "ppm", F.explode(F.sequence("t_start", F.col("t_end") - 1)).alias("pos"))
-    return spread.groupBy("anno", "pos").agg(F.sum("ppm").alias("ppm"))
 
+def best_ranges(annotated: DataFrame, extend: int = 2) -> DataFrame:
+    """The merged range that most tags of an annotation support (the first on a tie), with seed_end.
 
-def dataset_overlap(rows: DataFrame) -> DataFrame:
-    """Annotations that several datasets hold, with the datasets."""
-    by = rows.groupBy("anno").agg(F.array_join(F.array_sort(F.collect_set("dataset")), ",").alias("datasets"), F.count_distinct("dataset").alias("n"))
+    Ranges are longer by ``extend`` at the 3' end, and merge where they meet.  seed_end lies 8 bases after the last 5' end.
+    """
+    key, plus = ["anno", "chrom", "strand"], F.col("strand") == "+"
+    start, end = F.when(plus, F.col("t_start")).otherwise(F.col("t_start") - extend), F.when(plus, F.col("t_end") + extend).otherwise(F.col("t_end"))
+    ranges = annotated.select(*key, start.alias("t_start"), end.alias("t_end")).groupBy(*key, "t_start", "t_end").agg(F.count("*").alias("n"))
+    found = islands(ranges, key).groupBy(*key, "island")
+    merged = found.agg(F.max("t_end").alias("r_end"), F.sum("n").alias("support"), (F.max("t_start") + 8).alias("after"), (F.min("t_end") - 8).alias("before"))
+    merged = merged.select(*key, F.col("island").alias("r_start"), "r_end", F.when(plus, F.col("after")).otherwise(F.col("before")).alias("seed_end"), "support")
+    best = F.min(F.struct((-F.col("support")).alias("v"), "chrom", "strand", "r_start", "r_end", "seed_end")).alias("b")
+    return merged.groupBy("anno").agg(best).select("anno", "b.chrom", "b.r_start", "b.r_end", "b.strand", "b.seed_end", (-F.col("b.v")).alias("support"))
+
+
+def seed_sequences(best: DataFrame, iso: DataFrame, genome: DataFrame, size: int) -> DataFrame:
+    """mir, mean ppm over samples, and the seeds of both arms at their best ranges (null where there is none), as RNA."""
+    plus = F.col("strand") == "+"
+    cut = best.withColumns({"at": F.when(plus, F.col("r_start")).otherwise(F.col("seed_end") - 1), "bases": F.when(plus, F.col("seed_end") - F.col("r_start")).otherwise(F.col("r_end") - F.col("seed_end")) - 1})
+    arms = cut.select("chrom", "strand", "at", "bases", precursor_of(F.col("anno")).alias("mir"), arm_of(F.col("anno")).alias("arm")).where(F.col("arm").isin("5p", "3p"))
+    found = extract_sequence(arms, genome, "at", "bases", size).withColumn("sequence", to_rna(F.col("sequence")))
+    of = lambda arm: F.max(F.when(F.col("arm") == arm, F.col("sequence")))
+    samples = iso.agg(F.count_distinct("sample").alias("samples"))  # one row
+    ppm = iso.groupBy(precursor_of(F.col("anno")).alias("mir")).agg(F.sum("ppm").alias("ppm")).crossJoin(F.broadcast(samples))
+    seeds = found.groupBy("mir").agg(of("5p").alias("seed5"), of("3p").alias("seed3"))
+    return seeds.join(ppm, "mir").select("mir", (F.col("ppm") / F.col("samples")).alias("mean_ppm"), "seed5", "seed3")
+
+
+def pileup_coverage(annotated: DataFrame, width: int = 1 << 12) -> DataFrame:
+    """ppm, templated ppm, and ppm by kind at each position of each annotation, chromosome and strand, of tags with md_tag and tc_tag.
+
+    ppm counts templated bases and tails, which run on past the 3' end.  a, c, g and u hold mismatches (mismatch), T to C
+    conversions (tc, as c) and tail bases; scaled is per cent of the annotation's highest ppm, and the shares of
+    templated and the four bases come to 1 (or all are 0, under a tail of unknown bases).  Reads give events at their ends, and their sum up to a position is its depth: within bins of
+    positions, in each of which a read that runs on has an event at its border.
+    """
+    key, plus, tail = ["anno", "chrom", "strand"], F.col("strand") == "+", to_rna(F.coalesce("tail", F.lit("")))
+    length = F.length(tail)
+    low, high = F.when(plus, F.col("t_start")).otherwise(F.col("t_start") - length), F.when(plus, F.col("t_end") + length).otherwise(F.col("t_end"))
+    names = ["ppm", "templated", "n", "mismatch", "tc", "a", "c", "g", "u"]
+
+    def event(at: Column, **values: Column) -> Column:
+        kinds = {"n": "long"}
+        return F.struct(at.cast("long").alias("pos"), *((values[c] if c in values else F.lit(0)).cast(kinds.get(c, "double")).alias(c) for c in names))
+
+    def ends(start: Column, end: Column, **values: Column) -> Column:
+        first, last = F.floor(start / width) + 1, F.floor(end / width)
+        borders = F.when(last >= first, F.transform(F.sequence(first, last), lambda b: event(b * width, **values))).otherwise(F.array().cast(events))
+        return F.concat(F.array(event(start, **values), event(end, **{k: -v for k, v in values.items()})), borders)
+
+    events = f"array<struct<pos:bigint,{','.join(f'{c}:{"bigint" if c == "n" else "double"}' for c in names)}>>"
+    value, one = F.col("ppm"), F.lit(1)
+    place = lambda i: F.when(plus, F.col("t_start") + i).otherwise(F.col("t_end") - 1 - i)
+    beyond = lambda i: F.when(plus, F.col("t_end") + i).otherwise(F.col("t_start") - 1 - i)
+    by_base = lambda base: {b.lower(): F.when(base == b, value).otherwise(0.0) for b in "ACGU"}
+    mismatches = F.transform(tagged_places("md_tag", "base"), lambda m: event(place(m["at"]), mismatch=value, **by_base(to_rna(m["base"]))))
+    conversions = F.transform(tagged_places("tc_tag", "base"), lambda m: event(place(m["at"]), tc=value, c=value))
+    tails = F.transform(F.filter(F.split(tail, ""), lambda x: x != ""), lambda x, i: event(beyond(i), **by_base(x)))
+    each = F.concat(ends(low, high, ppm=value, n=one), ends(F.col("t_start"), F.col("t_end"), templated=value), mismatches, conversions, tails)
+    rows = annotated.select(*key, F.explode(each).alias("e")).select(*key, "e.*").withColumn("bin", F.floor(F.col("pos") / width))
+    at = rows.groupBy(*key, "bin", "pos").agg(*(F.sum(c).alias(c) for c in names))
+    w = Window.partitionBy(*key, "bin").orderBy("pos")
+    runs = at.withColumns({c: F.sum(c).over(w) for c in ("ppm", "templated", "n")} | {"next": F.coalesce(F.lead("pos").over(w), (F.col("bin") + 1) * width)}).where("n > 0")
+    points = names[3:]
+    spread = runs.select(*key, "ppm", "templated", *points, F.col("pos").alias("first"), F.explode(F.sequence("pos", F.col("next") - 1)).alias("pos"))
+    depth = spread.select(*key, "pos", "ppm", "templated", *(F.when(F.col("pos") == F.col("first"), F.col(c)).otherwise(0.0).alias(c) for c in points))
+    most = runs.groupBy(*key).agg(F.max("ppm").alias("most"))
+    total = F.col("templated") + F.col("a") + F.col("c") + F.col("g") + F.col("u")
+    shares = [F.when(total > 1e-9, F.col(c) / total).otherwise(0.0).alias(f"share_{c}") for c in ("templated", "a", "c", "g", "u")]
+    return depth.join(most, key).select(*key, "pos", "ppm", "templated", *points, (F.col("ppm") * 100 / F.col("most")).alias("scaled"), *shares)
+
+
+def dataset_overlap(rows: DataFrame, *keys: str) -> DataFrame:
+    """Annotations (and other keys, such as sample or info) that several datasets hold, with the datasets."""
+    by = rows.groupBy("anno", *keys).agg(F.array_join(F.array_sort(F.collect_set("dataset")), ",").alias("datasets"), F.count_distinct("dataset").alias("n"))
     return by.where("n > 1")
 
 

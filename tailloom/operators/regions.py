@@ -7,38 +7,80 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import arm_of, precursor_of, seed, to_rna
+from ..storage import written
 
 SEED = 7
+#: Places of a bin: distinct reads that begin in one are bounded by it and by their lengths.
+BIN = 1 << 16
 
 
-def _greedy(frame: pd.DataFrame, max_merge: int) -> pd.DataFrame:
-    """Numbers the clusters of one stretch's islands, in order of their starts."""
-    frame = frame.sort_values("i_start", ignore_index=True)
-    heads, head = [], None
-    for start, end in zip(frame["i_start"].tolist(), frame["first_end"].tolist()):
-        head = start if head is None or end - head > max_merge else head
-        heads.append(head)
-    return frame.assign(head=pd.Series(heads, dtype="int64"))[["sample", "chrom", "i_start", "i_end", "ppm", "head"]]
+def running_max(rows: DataFrame, keys: list[str], order: list[str], value: str, name: str, width: int, before: bool = False) -> DataFrame:
+    """Adds the largest value up to each row (before: of the rows before it) among rows of the same keys.
 
+    order begins with a place; null values don't count.  Windows run within bins of that many places, and what the bins before hold
+    comes from a table of a row for each bin, so that no window runs over a chromosome's rows.
+    """
+    binned = rows.withColumn("_bin", F.floor(F.col(order[0]) / width))
+    top = binned.groupBy(*keys, "_bin").agg(F.max(value).alias("_top"))
+    carried = F.max("_top").over(Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1))
+    w = Window.partitionBy(*keys, "_bin").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1 if before else 0)
+    within = binned.withColumn("_within", F.max(value).over(w))
+    found = within.join(top.select(*keys, "_bin", carried.alias("_carried")), [*keys, "_bin"])
+    return found.withColumn(name, F.greatest("_within", "_carried")).drop("_bin", "_top", "_within", "_carried")
+
+
+def islands(regions: DataFrame, keys: list[str], gap: int = 0, width: int = BIN) -> DataFrame:
+    """Adds island to distinct regions: the first start of those that no gap (of more than ``gap``) parts."""
+    reached = running_max(regions, keys, ["t_start", "t_end"], "t_end", "_reach", width, before=True)
+    head = F.when(F.coalesce(F.col("t_start") > F.col("_reach") + gap, F.lit(True)), F.col("t_start"))
+    return running_max(reached.withColumn("_head", head), keys, ["t_start", "t_end"], "_head", "island", width).drop("_reach", "_head")
 
-def merge_regions(regions: DataFrame, max_merge: int) -> DataFrame:
+
+def _next_heads(found: DataFrame, keys: list[str], max_merge: int) -> DataFrame:
+    """The island that begins the next cluster after each island (i_start), if it begins one: the first whose first region ends more than max_merge after it.
+
+    Ends and the places they must lie past are put in one order, by bins of max_merge; past a bin, the next one's first end counts.
+    """
+    width = max(1, max_merge)
+    ends = found.select(*keys, F.col("first_end").alias("at"), F.struct("first_end", "i_start").alias("held"), F.lit(None).cast("long").alias("asks"))
+    asks = found.select(*keys, (F.col("i_start") + max_merge).alias("at"), F.lit(None).cast("struct<first_end:bigint,i_start:bigint>").alias("held"), F.col("i_start").alias("asks"))
+    both = ends.union(asks).withColumn("_bin", F.floor(F.col("at") / width))
+    first = both.groupBy(*keys, "_bin").agg(F.min("held").alias("_first"))
+    later = F.min("_first").over(Window.partitionBy(*keys).orderBy(F.desc("_bin")).rowsBetween(Window.unboundedPreceding, -1))
+    # at equal places an end doesn't lie past what asks, so what asks comes first in the order from the last
+    w = Window.partitionBy(*keys, "_bin").orderBy(F.desc("at"), F.col("asks").isNull()).rowsBetween(Window.unboundedPreceding, 0)
+    near = both.withColumn("_near", F.min("held").over(w)).where("asks is not null")
+    answered = near.join(first.select(*keys, "_bin", later.alias("_later")), [*keys, "_bin"])
+    return answered.select(*keys, F.col("asks").alias("i_start"), F.coalesce("_near", "_later").getField("i_start").alias("next")).where("next is not null")
+
+
+def merge_regions(regions: DataFrame, max_merge: int, width: int = BIN) -> DataFrame:
     """Regions of a sample and chromosome in clusters, with each cluster's extent and ppm.
 
     In order of start and end, a region begins a new cluster where a gap parts it from all before it and the
     cluster would come to be longer than ``max_merge`` with it.  Where two islands are cut depends on where their
-    cluster began, so islands are walked in order; a gap over ``max_merge`` always cuts, so each walk is over a
-    stretch without such a gap.  Gaps are found by windows, on distinct regions.
+    cluster began.  So each island first finds the one that would begin the next cluster after it; pointers are
+    then doubled, round by round, and reach every head from each chromosome's first island in as many rounds as
+    the logarithm of its clusters.  No window or group is larger than a bin.
     """
-    key = ["sample", "chrom"]
-    w = Window.partitionBy(*key).orderBy("t_start", "t_end")
-    distinct = regions.groupBy(*key, "t_start", "t_end").agg(F.sum("ppm").alias("ppm"))
-    rows = distinct.withColumn("gap", F.col("t_start") - F.max("t_end").over(w.rowsBetween(Window.unboundedPreceding, -1)))
-    count = lambda over: F.sum(F.when(F.coalesce(F.col("gap") > over, F.lit(True)), 1).otherwise(0)).over(w)
-    rows = rows.withColumns({"island": count(0), "stretch": count(max_merge)})
-    first = F.min(F.struct("t_start", "t_end"))
-    islands = rows.groupBy(*key, "stretch", "island").agg(first.getField("t_start").alias("i_start"), first.getField("t_end").alias("first_end"), F.max("t_end").alias("i_end"), F.sum("ppm").alias("ppm"))
-    dealt = islands.groupBy(*key, "stretch").applyInPandas(lambda f: _greedy(f, max_merge), "sample string, chrom string, i_start long, i_end long, ppm double, head long")
-    return dealt.groupBy(*key, "head").agg(F.min("i_start").alias("m_start"), F.max("i_end").alias("m_end"), F.sum("ppm").alias("ppm")).drop("head")
+    keys = ["sample", "chrom"]
+    distinct = written(regions.groupBy(*keys, "t_start", "t_end").agg(F.sum("ppm").alias("ppm")))
+    first = F.min(F.struct("t_start", "t_end")).getField("t_end")
+    found = islands(distinct, keys, 0, width).groupBy(*keys, F.col("island").alias("i_start")).agg(first.alias("first_end"), F.max("t_end").alias("i_end"), F.sum("ppm").alias("ppm"))
+    found = written(found)
+    jump = written(_next_heads(found, keys, max_merge))
+    heads = written(found.groupBy(*keys).agg(F.min("i_start").alias("i_start")))
+    held = heads.count()
+    while True:
+        heads = written(heads.union(heads.join(jump, [*keys, "i_start"]).select(*keys, "next")).distinct())
+        n = heads.count()
+        if n == held:
+            break
+        held = n
+        jump = written(jump.join(jump.toDF(*keys, "next", "after"), [*keys, "next"]).select(*keys, "i_start", F.col("after").alias("next")))
+    marked = found.join(heads.withColumn("head", F.col("i_start")), [*keys, "i_start"], "left")
+    placed = running_max(marked, keys, ["i_start"], "head", "cluster", width)
+    return placed.groupBy(*keys, "cluster").agg(F.min("i_start").alias("m_start"), F.max("i_end").alias("m_end"), F.sum("ppm").alias("ppm")).drop("cluster")
 
 
 def region_extents(reads: DataFrame, by: list[str], extend: int = 10) -> DataFrame:

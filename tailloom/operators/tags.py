@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import reverse_complement
 
 
 def filter_read_quality(reads: DataFrame, min_len: int = 15, max_len: int = 30) -> DataFrame:
@@ -19,27 +20,34 @@ def decode_alignment(alignments: DataFrame) -> DataFrame:
 
 
 def parse_mismatches(decoded: DataFrame, allow_t2c: bool = False) -> DataFrame:
-    """md_map (index to read base), md_tag (its text) and tc_pos from the MD tag; md_error for deletions.
+    """md_map (index to read base), tc_pos, md_tag and tc_tag (their texts), and templated, from the MD tag; md_error for deletions.
 
-    Indices are in read orientation: on the reverse strand they run from the end, bases complemented.
+    Indices are in read orientation: on the reverse strand they run from the end, bases complemented.  Only the
+    matched part of the read counts: its first gm_len bases, on the reverse strand its last.  With allow_t2c,
+    conversions of T to C (read orientation) are in tc_pos in place of md_map.  templated is the matched part as the
+    reference has it, in read orientation.
     """
-    lengths = F.transform(F.regexp_extract_all("md", F.lit(r"(\d+)([ACGT])"), F.lit(1)), lambda x: x.cast("int"))
+    reverse = F.col("flag") == 16
+    matched = F.when(reverse, F.expr("right(seq, gm_len)")).otherwise(F.expr("left(seq, gm_len)"))
+    steps = F.regexp_extract_all("md", F.lit(r"(\d+)([ACGT])"), F.lit(1)).cast("array<int>")
     refs = F.regexp_extract_all("md", F.lit(r"(\d+)([ACGT])"), F.lit(2))
-    df = decoded.withColumn("_n", lengths).withColumn("_ref", refs)
-    # each mismatch lies after the matches before it and the mismatches before it
-    at = F.transform("_n", lambda x, i: F.aggregate(F.slice("_n", 1, i + 1), F.lit(0), lambda a, y: a + y) + i)
-    df = df.withColumn("_at", at)
-    items = F.transform(F.arrays_zip("_at", "_ref"), lambda z: F.struct(z["_at"].alias("at"), z["_ref"].alias("ref"), F.substring("seq", z["_at"] + 1, F.lit(1)).alias("base")))
+    df = decoded.withColumns({"_n": steps, "_ref": refs, "_seq": matched})
+    # a walk along the tag: each mismatch lies a step and a base after the one before it
+    start = F.struct(F.lit(-1).alias("at"), F.array().cast("array<int>").alias("all"))
+    walked = F.aggregate("_n", start, lambda a, n: F.struct((a["at"] + n + 1).alias("at"), F.array_append(a["all"], a["at"] + n + 1).alias("all")))["all"]
+    items = F.transform(F.arrays_zip(walked.alias("at"), F.col("_ref").alias("ref")), lambda z: F.struct(z["at"].alias("at"), z["ref"].alias("ref"), F.substring("_seq", z["at"] + 1, F.lit(1)).alias("base")))
     df = df.withColumn("_m", items)
-    reverse = F.col("flag") == 16
     tc = lambda m: F.lit(allow_t2c) & ((~reverse & (m["ref"] == "T") & (m["base"] == "C")) | (reverse & (m["ref"] == "A") & (m["base"] == "G")))
     index = lambda m: F.when(reverse, F.col("gm_len") - 1 - m["at"]).otherwise(m["at"])
     base = lambda m: F.when(reverse, F.translate(m["base"], "ACGT", "TGCA")).otherwise(m["base"])
     kept = F.array_sort(F.transform(F.filter("_m", lambda m: ~tc(m)), lambda m: F.struct(index(m).alias("i"), base(m).alias("b"))))
-    df = df.withColumn("_kept", kept).withColumn("tc_pos", F.array_sort(F.transform(F.filter("_m", tc), index)))
+    df = df.withColumns({"_kept": kept, "tc_pos": F.array_sort(F.transform(F.filter("_m", tc), index))})
     text = F.array_join(F.transform("_kept", lambda k: F.concat(k["i"].cast("string"), k["b"])), "")
-    df = df.withColumn("md_map", F.map_from_entries("_kept")).withColumn("md_tag", text).withColumn("md_error", F.col("md").contains("^"))
-    return df.drop("_n", "_ref", "_at", "_m", "_kept")
+    converted = F.array_join(F.transform("tc_pos", lambda i: F.concat(i.cast("string"), F.lit("C"))), "")
+    restored = F.aggregate("_m", F.col("_seq"), lambda s, m: F.overlay(s, m["ref"], m["at"] + 1, F.lit(1)))
+    df = df.withColumn("templated", F.when(reverse, reverse_complement(restored)).otherwise(restored))
+    df = df.withColumns({"md_map": F.map_from_entries("_kept"), "md_tag": text, "tc_tag": converted, "md_error": F.col("md").contains("^")})
+    return df.drop("_n", "_ref", "_seq", "_m", "_kept")
 
 
 def seed_mismatch_tag(parsed: DataFrame) -> DataFrame:
@@ -53,9 +61,25 @@ def trim_long_tail(df: DataFrame, max_tail_len: int = 5, tail: str = "tl") -> Da
 
 
 def collapse_tags(parsed: DataFrame) -> DataFrame:
-    """Equal alignments of a sample as one tag with its number of reads."""
-    keys = ["sample", "strand", "chrom", "pos", "t_end", "md_tag", "tl"]
-    return parsed.groupBy(*keys).agg(F.count("*").alias("reads"), F.min("nh").alias("nh"))
+    """Equal alignments of a sample as one tag with its number of reads, and the name of its first record as tag_id.
+
+    Alignments are equal in place, mismatches, T to C conversions and tail (columns of parse_mismatches).  Their
+    other columns of a tag are equal too, so the largest stands for all.
+    """
+    keys = ["sample", "strand", "chrom", "pos", "t_end", "md_tag", "tc_tag", "tl"]
+    same = [F.max(c).alias(c) for c in ("gm_len", "templated", "seed_md") if c in parsed.columns]
+    return parsed.groupBy(*keys).agg(F.count("*").alias("reads"), F.min("nh").alias("nh"), F.min("qname").alias("tag_id"), *same)
+
+
+def tagged_places(tag: str, base: str) -> Column:
+    """The places and bases of a tag text such as 7T17C, as an array of structs of those names."""
+    parts = lambda group: F.regexp_extract_all(F.col(tag), F.lit(r"(\d+)([ACGT])"), F.lit(group))
+    return F.arrays_zip(parts(1).cast("array<int>").alias("at"), parts(2).alias(base))
+
+
+def tags_of(collapsed: DataFrame) -> DataFrame:
+    """Collapsed alignments in the shape of tags, ready for normalize_ppm: mismatches stay as md_tag, tc_tag and seed_md."""
+    return collapsed.select("sample", "tag_id", "chrom", "strand", F.col("pos").alias("t_start"), "t_end", "gm_len", F.col("tl").alias("tail"), "reads", "nh", F.col("templated").alias("seq"), "md_tag", "tc_tag", "seed_md")
 
 
 def normalize_ppm(tags: DataFrame) -> DataFrame:

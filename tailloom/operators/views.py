@@ -5,18 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import arm_of, gm, guarded_log, of_tail, pm, precursor_of
+from ..functions.columns import arm_of, gm, guarded_log, of_tail, pm, precursor_of, tailing
+from .regions import islands
 
 
-def two_sample_table(totals: DataFrame, first: str, second: str) -> DataFrame:
-    """Values x and y of two samples for each annotation that either has; one aggregation instead of an outer join."""
+def two_sample_table(totals: DataFrame, first: str, second: str, floor: float = 0.0, log: float | None = None) -> DataFrame:
+    """Values x and y of two samples for each annotation that either has, of at least ``floor`` in one of them; one aggregation instead of an outer join.
+
+    With log, values are logarithms to that base (0 for a value of 0), to two digits.
+    """
     of = lambda s: F.sum(F.when(F.col("sample") == s, F.col("ppm")).otherwise(0.0))
-    return totals.where(F.col("sample").isin(first, second)).groupBy("anno").agg(of(first).alias("x"), of(second).alias("y"))
+    by = totals.where(F.col("sample").isin(first, second)).groupBy("anno").agg(of(first).alias("x"), of(second).alias("y"))
+    by = by.where((F.col("x") >= floor) | (F.col("y") >= floor)) if floor else by
+    return by if log is None else by.withColumns({c: F.round(guarded_log(F.col(c), log), 2) for c in "xy"})
 
 
-def difference_histogram(table: DataFrame, bins: int = 10) -> DataFrame:
-    """Annotations by the size of x - y in bins of equal width, counted apart by its sign."""
-    rows = table.select(F.abs(F.col("x") - F.col("y")).alias("d"), F.signum(F.col("x") - F.col("y")).cast("int").alias("side")).where("d > 0")
+def difference_histogram(table: DataFrame, bins: int = 10, low: float = 0.0, high: float | None = None) -> DataFrame:
+    """Annotations by the size of x - y, from low to high if given, in bins of equal width, counted apart by its sign."""
+    rows = table.select(F.abs(F.col("x") - F.col("y")).alias("d"), F.signum(F.col("x") - F.col("y")).cast("int").alias("side")).where("d > 0").where(F.col("d") >= low)
+    rows = rows if high is None else rows.where(F.col("d") <= high)
     bounds = rows.agg(F.min("d").alias("lo"), F.max("d").alias("hi"))  # one row
     at = F.when(F.col("hi") > F.col("lo"), F.floor((F.col("d") - F.col("lo")) * bins / (F.col("hi") - F.col("lo")))).otherwise(0)
     return rows.crossJoin(F.broadcast(bounds)).groupBy(F.least(at, F.lit(bins - 1)).cast("int").alias("bin"), "side").agg(F.count("*").alias("n"))
@@ -25,21 +32,15 @@ def difference_histogram(table: DataFrame, bins: int = 10) -> DataFrame:
 def merge_regions(regions: DataFrame) -> DataFrame:
     """Regions of a sample and chromosome in clusters that a gap parts, with each cluster's extent and ppm."""
     key = ["sample", "chrom"]
-    w = Window.partitionBy(*key).orderBy("t_start", "t_end")
     distinct = regions.groupBy(*key, "t_start", "t_end").agg(F.sum("ppm").alias("ppm"))
-    before = F.max("t_end").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    cluster = distinct.withColumn("new", F.when(F.coalesce(before, F.lit(-1)) < F.col("t_start"), 1).otherwise(0)).withColumn("cluster", F.sum("new").over(w))
-    return cluster.groupBy(*key, "cluster").agg(F.min("t_start").alias("m_start"), F.max("t_end").alias("m_end"), F.sum("ppm").alias("ppm")).drop("cluster")
+    return islands(distinct, key).groupBy(*key, "island").agg(F.min("t_start").alias("m_start"), F.max("t_end").alias("m_end"), F.sum("ppm").alias("ppm")).drop("island")
 
 
 def pileup_segments(annotated: DataFrame) -> DataFrame:
     """The segment of overlapping reads with the most ppm of each annotation; the first on a tie."""
     key = ["anno", "chrom", "strand"]
-    w = Window.partitionBy(*key).orderBy("t_start", "t_end")
     reads = annotated.groupBy(*key, "t_start", "t_end").agg(F.sum("ppm").alias("ppm"))
-    before = F.max("t_end").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    island = reads.withColumn("new", F.when(F.coalesce(before, F.lit(-1)) < F.col("t_start"), 1).otherwise(0)).withColumn("island", F.sum("new").over(w))
-    segments = island.groupBy(*key, "island").agg(F.min("t_start").alias("s_start"), F.max("t_end").alias("s_end"), F.round(F.sum("ppm"), 6).alias("ppm"))
+    segments = islands(reads, key).groupBy(*key, "island").agg(F.min("t_start").alias("s_start"), F.max("t_end").alias("s_end"), F.round(F.sum("ppm"), 6).alias("ppm"))
     best = F.min(F.struct((-F.col("ppm")).alias("v"), "chrom", "strand", "s_start", "s_end"))
     return segments.groupBy("anno").agg(best.alias("b")).select("anno", "b.chrom", "b.strand", "b.s_start", "b.s_end", (-F.col("b.v")).alias("ppm"))
 
@@ -51,11 +52,13 @@ def pileup_seeds(annotated: DataFrame) -> DataFrame:
     return rows.groupBy("anno", "chrom", "strand", "distance").agg(gm().alias("gm"), pm().alias("pm"), F.count("*").alias("n"), F.max("read_len").alias("longest"))
 
 
-def seed_length_matrix(iso: DataFrame) -> DataFrame:
-    """Measures of each precursor arm by seed and length, with totals by seed and by length (the other one null)."""
+def seed_length_matrix(iso: DataFrame, log2: bool = False) -> DataFrame:
+    """Measures and tails of each precursor arm by seed and length (or their logarithms, 0 for 0), with totals by seed and by length (the other one null)."""
     rows = iso.select(precursor_of(F.col("anno")).alias("mir"), arm_of(F.col("anno")).alias("arm"), "seed", "read_len", "tail_class", "ppm").where(F.col("arm").isin("5p", "3p"))
     sets = [["mir", "arm", "seed", "read_len"], ["mir", "arm", "seed"], ["mir", "arm", "read_len"]]
-    return rows.groupingSets(sets, "mir", "arm", "seed", "read_len").agg(gm().alias("gm"), pm().alias("pm"), F.sum("ppm").alias("gmpm"))
+    tails = [of_tail(k).alias(f"{k.lower()}_tail") for k in ("A", "C", "G", "U", "Other")]
+    found = rows.groupingSets(sets, "mir", "arm", "seed", "read_len").agg(gm().alias("gm"), pm().alias("pm"), F.sum("ppm").alias("gmpm"), *tails)
+    return found.withColumns({c: guarded_log(F.col(c), 2.0) for c in found.columns[4:]}) if log2 else found
 
 
 def seed_heatmap(iso: DataFrame, width: int = 5) -> DataFrame:
@@ -81,6 +84,12 @@ def scale_to_max(table: DataFrame, value: str, *by: str) -> DataFrame:
     return table.withColumn("scaled", F.col(value) * 100 / F.max(value).over(Window.partitionBy(*by)))
 
 
+def length_by_tail(iso: DataFrame, anno: str, divisor: float = 1.0) -> DataFrame:
+    """ppm over the divisor of each tail class of one annotation, by sample and length."""
+    by = iso.where(F.col("anno") == anno).groupBy("sample", "read_len")
+    return by.agg(*((of_tail(k) / divisor).alias(k.lower()) for k in ("A", "C", "G", "U", "Other", "GM")))
+
+
 def tail_scatter(iso: DataFrame, tail: str, floor: float, arm: str | None = None) -> DataFrame:
     """log2 of ppm and the share of one tail class, of annotations with at least ``floor`` ppm."""
     by = iso.groupBy("sample", "anno").agg(F.sum("ppm").alias("all"), of_tail(tail).alias("tailed")).where(F.col("all") >= floor)
@@ -102,11 +111,22 @@ def stacked_cumulative(composition: DataFrame) -> DataFrame:
     return share.select("sample", "slot", "nt", "share", F.sum("share").over(w.orderBy("nt")).alias("top"))
 
 
-def ranked_bin_composition(iso: DataFrame, every: int = 10) -> DataFrame:
-    """Mean shares of tail classes of annotations in bins of ``every``, in order of their ppm in a sample."""
-    by = iso.groupBy("sample", "anno").agg(F.round(F.sum("ppm"), 6).alias("all"), *(of_tail(k).alias(k) for k in ("A", "C", "G", "U", "Other", "GM")))
-    ranked = by.where(F.col("all") > 0).withColumn("r", F.row_number().over(Window.partitionBy("sample").orderBy("all", "anno")))
-    mean = lambda k: F.avg(F.col(k) / F.col("all")).alias(k.lower())
+def ranked_bin_composition(iso: DataFrame, every: int = 10, rank_by: str = "gmpm", part: str = "all", n: int = 0, trim: int = 0, ratio: bool = True) -> DataFrame:
+    """Mean composition by tail classes of annotations in bins of ``every``, in order of a measure (gmpm, gm, pm or tailing) in a sample.
+
+    part takes the ``n`` lowest, the n highest, or all without ``trim`` per cent at both ends.  ratio gives each
+    annotation the same weight; without it their sums are brought to 1.
+    """
+    by = iso.groupBy("sample", "anno").agg(F.round(F.sum("ppm"), 6).alias("all"), gm().alias("gm"), pm().alias("pm"), *(of_tail(k).alias(f"_{k}") for k in ("A", "C", "G", "U", "Other", "GM")))
+    order = {"gmpm": F.col("all"), "gm": F.round("gm", 6), "pm": F.round("pm", 6), "tailing": F.round(tailing(F.col("gm"), F.col("pm")), 6)}[rank_by]
+    w = Window.partitionBy("sample")
+    ranked = by.where(F.col("all") > 0).withColumns({"r": F.row_number().over(w.orderBy(order, "anno")), "of": F.count("*").over(w)})
+    if part == "all":
+        ranked = ranked.where((F.col("r") > F.floor(F.col("of") * trim / 100)) & (F.col("r") <= F.col("of") - F.floor(F.col("of") * trim / 100)))
+    else:
+        ranked = ranked.where(F.col("r") <= n) if part == "lowest" else ranked.where(F.col("r") > F.col("of") - n)
+    ranked = ranked.withColumn("r", F.row_number().over(w.orderBy("r")))
+    mean = lambda k: (F.avg(F.col(f"_{k}") / F.col("all")) if ratio else F.sum(f"_{k}") / F.sum("all")).alias(k.lower())
     return ranked.groupBy("sample", F.floor((F.col("r") - 1) / every).cast("int").alias("bin")).agg(*map(mean, ("A", "C", "G", "U", "Other", "GM")))
 
 
@@ -117,8 +137,14 @@ def token_view(iso: DataFrame, token: str | int) -> DataFrame:
     return iso.where(F.col("read_len") == token) if isinstance(token, int) else iso.where(arm_of(F.col("anno")) == token)
 
 
-def filter_value_matrix(totals: DataFrame, low: float, high: float) -> DataFrame:
-    """Annotations without those at most ``low``, or at least ``high``, in all samples; a missing value is 0."""
+def filter_value_matrix(totals: DataFrame, low: float, high: float, log: float | None = None, arm: str | None = None, kept: DataFrame | None = None) -> DataFrame:
+    """Annotations without those at most ``low``, or at least ``high``, in all samples; a missing value is 0.
+
+    log compares logarithms to that base (0 for 0); arm takes names of one arm, and kept those in a table of anno (dominant isoforms, say).
+    """
+    totals = totals if arm is None else totals.where(arm_of(F.col("anno")) == arm)
+    totals = totals if kept is None else totals.join(kept.select("anno").distinct(), "anno", "left_semi")
+    totals = totals if log is None else totals.withColumn("ppm", guarded_log(F.col("ppm"), log))
     n = totals.agg(F.count_distinct("sample").alias("n"))  # one row
     by = totals.groupBy("anno").agg(F.max("ppm").alias("most"), F.min("ppm").alias("least"), F.count("*").alias("held"), F.sum("ppm").alias("total")).crossJoin(F.broadcast(n))
     least = F.when(F.col("held") < F.col("n"), F.least(F.col("least"), F.lit(0.0))).otherwise(F.col("least"))
@@ -141,10 +167,13 @@ def filter_fold_pvalue(rows: DataFrame, log2_fold: float = 1.0, p: float = 0.05)
     return rows.where((F.abs(F.log2("fold")) >= log2_fold) & (F.col("p") <= p))
 
 
-def volcano_points(rows: DataFrame, floor: float = 0.0) -> DataFrame:
-    """log2 of the fold and -log10 of p, of rows with a total over ``floor``."""
+def volcano_points(rows: DataFrame, floor: float = 0.0, colours: DataFrame | None = None) -> DataFrame:
+    """log2 of the fold and -log10 of p, of rows with a total over ``floor``; colours (sample, anno, colour) give each the colour of its first sample, or 0."""
     negative: Column = -F.log10(F.greatest(F.col("p"), F.lit(1e-300)))
-    return rows.where(F.col("total") > floor).select("anno", "s1", "s2", F.log2("fold").alias("log2_fold"), negative.alias("log10_p"))
+    points = rows.where(F.col("total") > floor).select("anno", "s1", "s2", F.log2("fold").alias("log2_fold"), negative.alias("log10_p"))
+    if colours is None:
+        return points
+    return points.join(colours.select(F.col("sample").alias("s1"), "anno", "colour"), ["s1", "anno"], "left").withColumn("colour", F.coalesce("colour", F.lit(0.0)))
 
 
 def differential_bars(filtered: DataFrame, lengths: DataFrame, k: int, mode: str = "ppm", measure: str = "gmpm") -> DataFrame:

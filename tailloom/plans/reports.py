@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import classify_tail, precursor_of
 from ..operators import counting, differential, folding, intervals, profiles, regions, sequences, tags as tag_ops, targets, views
+from ..storage import written
 from . import adapters
 
 #: Tags under so many parts per million are left out of the reports.  The views' tags are single rows, whose ppm falls as
@@ -18,19 +19,43 @@ SLOTS = {"gene": "miRNA", "mirtron": "mirtron", "trna": "tRNA", "linc": "lincRNA
 
 
 class Base:
-    """The stages that the reports share."""
+    """The stages that the reports share.
+
+    Tags with their ppm, annotated tags and the fact table are written once for a session, a folder and its
+    files' state, and all reports read them.
+    """
+
+    TABLES = ("lineitem", "part")
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark, self.sf_dir, self.kept = spark, sf_dir, {}
+
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> "Base":
+        """The session's stages over a folder, made anew if its files have changed."""
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load([f"{sf_dir}/{t}.parquet" for t in cls.TABLES])
+        state = sorted(tuple(r) for r in files.select("path", "modificationTime", "length").collect())  # a row for each file
+        stages = spark.__dict__.setdefault("_tailloom_stages", {})
+        if stages.get((cls, sf_dir), (None,))[0] != state:
+            stages[cls, sf_dir] = state, cls(spark, sf_dir)
+        return stages[cls, sf_dir][1]
+
+    def once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if name not in self.kept:
+            self.kept[name] = written(build())
+        return self.kept[name]
 
     def view(self, sql: str) -> DataFrame:
         return adapters.view(self.spark, self.sf_dir, sql)
 
-    def tags(self) -> DataFrame:
+    def source_tags(self) -> DataFrame:
         inside = F.col("mismatch_pos").between(1, 7)
         base = F.substring("seq", F.col("mismatch_pos") + 1, F.lit(1))
         marked = F.when(inside, F.concat((F.col("mismatch_pos") - 1).cast("string"), base)).otherwise("")
-        return tag_ops.normalize_ppm(self.view(adapters.TAGS).withColumn("seed_md", marked))
+        return self.view(adapters.TAGS).withColumn("seed_md", marked)
+
+    def tags(self) -> DataFrame:
+        return self.once("tags", lambda: tag_ops.normalize_ppm(self.source_tags()))
 
     def features(self) -> DataFrame:
         return self.view(adapters.FEATURES)
@@ -38,18 +63,34 @@ class Base:
     def hits(self) -> DataFrame:
         return intervals.assign_arm(intervals.annotate_intervals(self.tags(), self.features()))
 
+    def annotated(self) -> DataFrame:
+        """Tags with the biotype and name (anno) of each hit of their first biotype."""
+        kept = [*self.tags().columns, "biotype", "anno"]
+        return self.once("annotated", lambda: counting.prime_hits(self.hits()).select(*kept)).where(F.col("ppm") >= FLOOR)
+
     def prime(self) -> DataFrame:
-        ranked = counting.prioritize_biotype(self.tags(), self.hits().select("tag_id", "biotype", "name"))
-        return ranked.where("biotype <> 'un_annotated'")
+        return self.annotated().select("tag_id", "biotype", F.col("anno").alias("name"))
+
+    def prioritized(self) -> DataFrame:
+        """prime with the tags that have no hit, as un_annotated."""
+        return counting.prioritize_biotype(self.tags(), self.hits().select("tag_id", "biotype", "name"))
 
     def iso(self) -> DataFrame:
-        return counting.isoform_counts(self.tags(), self.prime(), FLOOR)
+        return self.once("iso", lambda: counting.isoform_facts(self.annotated()))
 
     def counts(self) -> DataFrame:
-        return counting.biotype_counts(self.tags(), self.prime(), FLOOR)
+        return self.once("counts", lambda: counting.biotype_counts(self.tags(), self.prioritized(), FLOOR))
 
-    def annotated(self) -> DataFrame:
-        return self.tags().where(F.col("ppm") >= FLOOR).join(self.prime().select("tag_id", F.col("name").alias("anno")), "tag_id")
+    def flagged(self) -> DataFrame:
+        return counting.flag_isoform(self.annotated(), counting.label_rules(self.hits(), [("rmsk", True, "exact")]))
+
+    def marks(self) -> DataFrame:
+        return counting.isoform_marks(self.iso(), self.flagged())
+
+    def seeded(self) -> DataFrame:
+        """annotated, with the marked seed."""
+        rows = self.annotated()
+        return rows.withColumn("seed", counting.marked_seed(rows))
 
     def totals(self) -> DataFrame:
         return profiles.annotation_totals(self.iso())
@@ -74,6 +115,9 @@ class Base:
     def folds(self) -> DataFrame:
         return differential.with_p(profiles.pairwise_fold(self.totals()))
 
+    def iso_folds(self) -> DataFrame:
+        return differential.with_p(profiles.pairwise_fold(self.iso_totals()))
+
     def tails(self) -> DataFrame:
         """annotated, with tail_class and read_len."""
         return self.annotated().withColumns({"tail_class": classify_tail(F.col("tail")), "read_len": F.col("gm_len")})
@@ -97,12 +141,16 @@ class Base:
         return self.view(adapters.FOLDS).select("name", F.col("pre_start").alias("start"), F.col("pre_end").alias("end"), digits.alias("entropy"))
 
     def precursor_reads(self) -> DataFrame:
-        named = self.prime().where(F.col("biotype").isin("miRNA", "mirtron")).select("tag_id", F.col("name").alias("anno"))
-        return self.tags().where(F.col("ppm") >= FLOOR).join(named, "tag_id")
+        return self.annotated().where(F.col("biotype").isin("miRNA", "mirtron")).drop("biotype")
 
     def genome(self) -> DataFrame:
         return self.view(adapters.GENOME)
 
+    def genome_reads(self) -> DataFrame:
+        """The tags' reads as the genome has them, with their tails."""
+        at = self.tags().withColumn("at", F.col("t_start") - 1)
+        return sequences.extract_sequence(at, self.genome(), "at", "gm_len", adapters.CHUNK, "tail").select(F.col("sequence").alias("seq"))
+
     def alignments(self) -> DataFrame:
         return self.view(adapters.ALIGNMENTS)
 
@@ -119,32 +167,35 @@ _CTES = {
     "ranked": "SELECT *, CASE biotype WHEN 'miRNA' THEN 1 WHEN 'mirtron' THEN 2 WHEN 'tRNA' THEN 3 WHEN 'lincRNA' THEN 4 END AS rk FROM hits",
     "prime": "SELECT tag_id, biotype, name FROM (SELECT *, min(rk) OVER (PARTITION BY tag_id) AS best FROM ranked WHERE rk IS NOT NULL) x WHERE rk = best",
     "annotated": f"SELECT t.*, p.biotype, p.name AS anno, translate(substring(t.seq, 2, 7), 'T', 'U') AS seed, t.gm_len AS read_len, CASE WHEN tail = '' THEN 'GM' WHEN tail = 'A' THEN 'A' WHEN tail = 'C' THEN 'C' WHEN tail = 'G' THEN 'G' WHEN tail = 'TT' THEN 'U' ELSE 'Other' END AS tail_class FROM tags t JOIN prime p ON t.tag_id = p.tag_id WHERE t.ppm >= {FLOOR}",
-    "iso": "SELECT sample, biotype, anno, seed || CASE WHEN mismatch_pos BETWEEN 1 AND 7 THEN '|' || CAST(mismatch_pos - 1 AS VARCHAR) || substring(seq, mismatch_pos + 1, 1) ELSE '' END AS seed, tail_class, read_len, sum(ppm) AS ppm FROM annotated GROUP BY ALL",
-    "counts": "SELECT sample, biotype, tail_class, read_len, sum(ppm) AS ppm FROM annotated GROUP BY ALL",
+    "iso": "SELECT sample, biotype, anno, seed || CASE WHEN mismatch_pos BETWEEN 1 AND 7 THEN '|' || CAST(mismatch_pos - 1 AS VARCHAR) || translate(substring(seq, mismatch_pos + 1, 1), 'T', 'U') ELSE '' END AS seed, tail_class, read_len, sum(ppm) AS ppm FROM annotated GROUP BY ALL",
+    "counts": f"SELECT sample, biotype, tail_class, read_len, sum(ppm) AS ppm FROM (SELECT sample, biotype, tail_class, read_len, ppm FROM annotated UNION ALL SELECT sample, 'un_annotated', CASE WHEN tail = '' THEN 'GM' WHEN tail = 'A' THEN 'A' WHEN tail = 'C' THEN 'C' WHEN tail = 'G' THEN 'G' WHEN tail = 'TT' THEN 'U' ELSE 'Other' END, gm_len, ppm FROM tags t WHERE ppm >= {FLOOR} AND NOT EXISTS (SELECT 1 FROM hits h WHERE h.tag_id = t.tag_id)) x GROUP BY ALL",
     "targets": adapters.TARGETS,
     "folds": adapters.FOLDS,
     "isototals": "SELECT sample, anno || '_' || seed AS anno, round(sum(ppm), 6) AS ppm FROM iso GROUP BY ALL",
     "mirhits": f"SELECT *, regexp_replace(name, '-[35]p$', '') AS mir FROM (SELECT *, bool_or(biotype = 'rmsk') OVER (PARTITION BY tag_id) AS is_flagged FROM hits) x WHERE biotype IN ('miRNA', 'mirtron') AND ppm >= {FLOOR}",
+    "genomereads": f"SELECT CASE WHEN strand = '-' THEN reverse(translate(bases, 'ACGT', 'TGCA')) ELSE bases END || tail AS seq FROM (SELECT strand, tail, substring(chunk, CAST((t_start - 1) % {adapters.CHUNK} + 1 AS INT), gm_len) AS bases FROM tags0 t JOIN genome g ON g.chrom = t.chrom AND g.chunk_id = (t_start - 1) // {adapters.CHUNK}) x",
+    "windows": f"SELECT chrom, chunk_id * {adapters.CHUNK} + i AS ofs, substring(chunk, CAST(i AS INT) + 1, {sequences.LONGEST}) AS w FROM (SELECT *, unnest(range({adapters.CHUNK})) AS i FROM genome) x UNION ALL SELECT chrom, 0, left(chunk, CAST(i AS INT)) FROM (SELECT *, unnest(range(12, {sequences.LONGEST})) AS i FROM genome WHERE chunk_id = 0) y",
+    "sites": f"SELECT *, left(template, 12) AS kmer FROM (SELECT chrom, ofs, '+' AS strand, w AS template FROM windows WHERE length(w) = {sequences.LONGEST} UNION ALL SELECT chrom, ofs, '-', reverse(translate(w, 'ACGT', 'TGCA')) FROM windows) x WHERE length(template) >= 12",
     "predictions": "SELECT DISTINCT mir AS anno, translate(seed, 'U', 'T') AS seed, gene, pct FROM targets WHERE mir IN (SELECT anno FROM totals)",
     "folded": "SELECT a.*, pre_start, pre_end, entropy, CASE WHEN strand = '-' THEN pre_end + 1 - t_end ELSE t_start - pre_start - 1 END AS place FROM annotated a JOIN folds f ON f.name = regexp_replace(a.anno, '-[35]p$', '') WHERE biotype IN ('miRNA', 'mirtron') AND t_start >= pre_start + 1 AND t_end <= pre_end + 1",
     "totals": "SELECT sample, anno, round(sum(ppm), 6) AS ppm FROM iso GROUP BY ALL",
 }
-_NEEDS = {"tags": ["tags0"], "hits0": ["tags", "features"], "hits": ["hits0"], "ranked": ["hits"], "prime": ["ranked"], "annotated": ["tags", "prime"], "iso": ["annotated"], "counts": ["annotated"], "totals": ["iso"], "isototals": ["iso"], "mirhits": ["hits"], "predictions": ["targets", "totals"], "folded": ["annotated", "folds"]}
+_NEEDS = {"genomereads": ["tags0", "genome"], "windows": ["genome"], "sites": ["windows"], "tags": ["tags0"], "hits0": ["tags", "features"], "hits": ["hits0"], "ranked": ["hits"], "prime": ["ranked"], "annotated": ["tags", "prime"], "iso": ["annotated"], "counts": ["annotated", "hits"], "totals": ["iso"], "isototals": ["iso"], "mirhits": ["hits"], "predictions": ["targets", "totals"], "folded": ["annotated", "folds"]}
 
 
-def _with(sql: str, *names: str) -> str:
+def _with(sql: str, names: tuple[str, ...], ctes: dict[str, str] = _CTES, needs: dict[str, list[str]] = _NEEDS) -> str:
     """sql over the named common table expressions and those they need."""
     order: list[str] = []
 
     def add(name: str) -> None:
-        for n in _NEEDS.get(name, []):
+        for n in needs.get(name, []):
             add(n)
         if name not in order:
             order.append(name)
 
     for name in names:
         add(name)
-    return "WITH " + ", ".join(f"{n} AS ({_CTES[n].strip()})" for n in order) + " " + sql
+    return "WITH " + ", ".join(f"{n} AS ({ctes[n].strip()})" for n in order) + " " + sql
 
 
 #: Added before rounding to four digits: values such as 62.03125 lie on a boundary, where engines may differ.
@@ -183,7 +234,20 @@ _ISLANDS = "SELECT *, sum(new) OVER (PARTITION BY {by} ORDER BY t_start, t_end)
 _XY = "SELECT anno, sum(CASE WHEN sample = 'AF' THEN ppm ELSE 0 END) AS x, sum(CASE WHEN sample = 'RF' THEN ppm ELSE 0 END) AS y FROM totals WHERE sample IN ('AF', 'RF') GROUP BY anno"
 _SEQUENCE = "CASE WHEN strand = '-' THEN reverse(translate({s}, 'ACGT', 'TGCA')) ELSE {s} END"
 
-_ENDS = "SELECT a.sample, a.anno, sum(p * abs(e - mode)) / sum(p) AS h FROM (SELECT *, first_value(e) OVER (PARTITION BY sample, anno ORDER BY p DESC, e) AS mode FROM (SELECT sample, anno, CASE WHEN (strand = '+') = {five} THEN t_start ELSE t_end END AS e, round(sum(ppm), 6) AS p FROM annotated GROUP BY ALL) x) a GROUP BY a.sample, a.anno"
+_ENDS = "SELECT a.sample, a.anno, sum(p * abs(e - mode)) / sum(p) AS h FROM (SELECT *, first_value(e) OVER (PARTITION BY sample, anno ORDER BY p DESC, e) AS mode FROM (SELECT sample, anno, {end} AS e, round(sum(ppm), 6) AS p FROM annotated GROUP BY ALL) x) a GROUP BY a.sample, a.anno"
+
+_FIVE, _THREE = "CASE WHEN strand = '+' THEN t_start ELSE t_end END", "CASE WHEN strand = '+' THEN t_end ELSE t_start END"
+_TAIL_END = "CASE WHEN strand = '+' THEN t_end + length(tail) ELSE t_start - length(tail) END"
+
+_RANKS = "SELECT token, {keys}, CAST(s AS BIGINT) AS rank_sum, row_number() OVER (PARTITION BY token ORDER BY s DESC, {back}) AS place FROM (SELECT token, {keys}, sum(r) AS s FROM (SELECT *, row_number() OVER (PARTITION BY token, sample ORDER BY v, {keys}) AS r FROM (" + " UNION ALL ".join(
+    f"SELECT '{t}' AS token, sample, {{keys}}, {v} AS v FROM iso GROUP BY sample, {{keys}}"
+    for t, v in [("gmpm", "round(sum(ppm), 6)"), ("gm", "round(sum(CASE WHEN tail_class = 'GM' THEN ppm ELSE 0 END), 6)"), ("pm", "round(sum(CASE WHEN tail_class <> 'GM' THEN ppm ELSE 0 END), 6)"), ("tailing", "CASE WHEN sum(ppm) < 1 THEN 0 ELSE round(sum(CASE WHEN tail_class <> 'GM' THEN ppm ELSE 0 END) * 100 / sum(ppm), 6) END")]
+) + ") x) y GROUP BY token, {keys}) z"
+_MARKED = "seed || CASE WHEN mismatch_pos BETWEEN 1 AND 7 THEN '|' || CAST(mismatch_pos - 1 AS VARCHAR) || translate(substring(seq, mismatch_pos + 1, 1), 'T', 'U') ELSE '' END"
+_TAIL_PROFILE = (
+    ", ".join(f"round(CASE WHEN sum(pm) > 0 THEN {value} ELSE 0 END, 4) AS {name}" for name, value in [("gmpm", "sum(ppm)"), ("mean_tail_len", "sum(length(tail) * ppm) / sum(pm)"), ("tailing", "sum(pm) / sum(ppm)"), *((f"f_{k.lower()}", f"sum(CASE WHEN tail_class = '{k}' THEN ppm ELSE 0 END) / sum(pm)") for k in ("A", "C", "G", "U", "Other"))])
+    + " FROM (SELECT *, CASE WHEN tail <> '' THEN ppm ELSE 0 END AS pm FROM annotated) x"
+)
 
 _PREFERENCES = f"SELECT anno, sample, kind FROM (SELECT anno, s1 AS sample, CASE WHEN count(*) FILTER (WHERE fold >= 1.2) = (SELECT count(DISTINCT sample) - 1 FROM totals) THEN 'UniLike' WHEN count(*) FILTER (WHERE fold <= 1 / 1.2) = (SELECT count(DISTINCT sample) - 1 FROM totals) THEN 'DisLike' END AS kind FROM ({_FOLDS}) f GROUP BY anno, s1) x WHERE kind IS NOT NULL"
 _WHEN = {"GMPM": "TRUE", "GM": "tail_class = 'GM'", "PM": "tail_class <> 'GM'", **{k: f"tail_class = '{k}'" for k in ("A", "C", "G", "U", "Other")}}
@@ -208,6 +272,24 @@ def _under(at: str, n: int) -> str:
     return "(" + " + ".join(f"CAST(substring(entropy, CAST(least({at}, length(entropy) - {n}) AS INT) + {i}, 1) AS DOUBLE)" for i in range(1, n + 1)) + f") / {n}"
 
 
+def _with_p(folds: str) -> str:
+    """folds with p: the continued fraction of the incomplete beta function, from its last term to the first."""
+    hi_lo = f"SELECT *, 3.26 + ln(hi) AS a0, 1.63 + ln(lo) AS b0, hi / lo / (1 + hi / lo) AS x0 FROM (SELECT *, greatest(x, y) + 1 AS hi, least(x, y) + 1 AS lo FROM ({folds}) p1) p2"
+    picked = f"SELECT *, CASE WHEN swap THEN b0 ELSE a0 END AS a, CASE WHEN swap THEN a0 ELSE b0 END AS b, CASE WHEN swap THEN 1 - x0 ELSE x0 END AS z FROM (SELECT *, x0 > (a0 + 1) / (a0 + b0 + 2) AS swap FROM ({hi_lo}) p3) p4"
+    m = "floor(k / 2)"
+    term = f"CASE WHEN k % 2 = 0 THEN {m} * (b - {m}) * z / ((a + 2 * {m} - 1) * (a + 2 * {m})) ELSE -(a + {m}) * (a + b + {m}) * z / ((a + 2 * {m}) * (a + 2 * {m} + 1)) END"
+    fraction = f"list_reduce(list_transform(range({differential.TERMS}), lambda i: CAST({differential.TERMS} - i AS DOUBLE)), lambda after, k: ({term}) / (1 + after), CAST(0 AS DOUBLE))"
+    part = f"exp(lgamma(a + b) - lgamma(a) - lgamma(b) + a * ln(z) + b * ln(1 - z)) / a / (1 + {fraction})"
+    return f"SELECT * EXCLUDE (part), CASE WHEN swap THEN part ELSE 1 - part END AS p FROM (SELECT *, {part} AS part FROM ({picked}) p5) p6"
+
+
+_FOLDS_P, _ISO_FOLDS_P, _MEASURE_FOLDS_P = _with_p(_FOLDS), _with_p(_FOLDS.replace("totals", "isototals")), _with_p(_MEASURE_FOLDS)
+_SIGNIFICANT = f"SELECT anno, sample, kind FROM (SELECT anno, s1 AS sample, CASE WHEN count(*) FILTER (WHERE fold >= 2 AND p <= 0.05) = (SELECT count(DISTINCT sample) - 1 FROM isototals) THEN 'UniLike' WHEN count(*) FILTER (WHERE fold <= 0.5 AND p <= 0.05) = (SELECT count(DISTINCT sample) - 1 FROM isototals) THEN 'DisLike' END AS kind FROM ({_ISO_FOLDS_P}) f GROUP BY anno, s1) x WHERE kind IS NOT NULL"
+
+_CLASSES = ", ".join(f"round(sum(CASE WHEN tail_class = '{k}' THEN ppm ELSE 0 END), 4) AS {k.lower()}" for k in ("A", "C", "G", "U", "Other", "GM"))
+_BAND = "SELECT anno FROM (SELECT anno, t, row_number() OVER (ORDER BY t, anno) AS r, count(*) OVER () AS n, min(t) OVER () AS least FROM (SELECT anno, round(sum(ppm), 6) AS t FROM iso GROUP BY anno) x) y WHERE r > n * 15 // 100 AND r <= n * 85 // 100 AND t > least"
+_MARKS = f"SELECT sample, anno, seed, CASE WHEN bool_or(hit) THEN '!' ELSE '' END || CASE WHEN row_number() OVER (PARTITION BY sample, anno ORDER BY round(sum(ppm), 6) DESC, seed) = 1 THEN '*' ELSE '' END AS mark FROM (SELECT sample, anno, {_MARKED} AS seed, ppm, tag_id IN (SELECT tag_id FROM hits WHERE biotype = 'rmsk') AS hit FROM annotated) x GROUP BY sample, anno, seed"
+
 _KEPT = "FROM (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY ppm, anno) - 1 AS i, count(*) OVER (PARTITION BY sample) AS n, sum(ppm) OVER (PARTITION BY sample) AS whole FROM totals WHERE ppm > 0) x"
 _TMM = f"SELECT *, i >= n * 30.0 / 100 AND i <= n - n * 30.0 / 100 AS kept, log2(ppm / whole) / log2(1.0 / n) AS m, (whole - ppm) / (whole * ppm) + CAST(n - 1 AS DOUBLE) / n AS w {_KEPT}"
 _REGION = "SELECT *, greatest(min(t_start) OVER k - 10, 1) AS r_start, max(t_end) OVER k + 10 AS r_end FROM mirhits WINDOW k AS (PARTITION BY mir, chrom, strand, f_start)"
@@ -236,11 +318,6 @@ REPORTS: dict[str, tuple[Build, str, tuple[str, ...]]] = {
         "SELECT sample, count(*) AS n FROM alignments WHERE length(seq) BETWEEN 20 AND 23 AND regexp_full_match(seq, '[ACGT]+') GROUP BY sample",
         ("alignments",),
     ),
-    "collapse_tags": (
-        lambda b: tag_ops.collapse_tags(tag_ops.decode_alignment(b.alignments()).withColumn("md_tag", F.col("md"))),
-        "SELECT sample, CASE WHEN flag = 0 THEN '+' ELSE '-' END AS strand, 'chr' || rname AS chrom, pos, pos + CAST(regexp_extract(cigar, '(\\d+)M', 1) AS INT) AS t_end, md AS md_tag, tl, count(*) AS reads, min(nh) AS nh FROM alignments GROUP BY ALL",
-        ("alignments",),
-    ),
     "normalize_ppm": (lambda b: b.tags().select("tag_id", "sample", "weight", "ppm"), "SELECT tag_id, sample, round(weight, 4) AS weight, round(ppm, 4) AS ppm FROM tags", ("tags",)),
     "mappability": (
         lambda b: tag_ops.mappability(b.alignments().withColumnRenamed("qname", "read_id"), b.alignments().where("nh = 1")),
@@ -269,20 +346,20 @@ REPORTS: dict[str, tuple[Build, str, tuple[str, ...]]] = {
         ("hits",),
     ),
     "prioritize_biotype": (
-        lambda b: counting.prioritize_biotype(b.tags(), b.hits().select("tag_id", "biotype", "name")),
+        lambda b: b.prioritized(),
         "SELECT tag_id, biotype, name FROM prime UNION ALL SELECT tag_id, 'un_annotated', chrom || ':' || CAST(t_start AS STRING) || '-' || CAST(t_end AS STRING) FROM tags t WHERE NOT EXISTS (SELECT 1 FROM hits h WHERE h.tag_id = t.tag_id)",
         ("prime",),
     ),
-    "biotype_statistics": (lambda b: counting.biotype_statistics(b.hits()), "SELECT sample, biotype, round(sum(weight) / count(*), 4) AS value FROM hits GROUP BY ALL", ("hits",)),
+    "biotype_statistics": (lambda b: counting.biotype_statistics(b.hits()), "SELECT coalesce(sample, 'Total') AS sample, coalesce(biotype, 'Total') AS biotype, round(sum(v), 4) AS value FROM (SELECT sample, biotype, sum(weight) / count(*) AS v FROM hits GROUP BY ALL) x GROUP BY CUBE (sample, biotype)", ("hits",)),
     "isoform_counts": (lambda b: b.iso(), "SELECT sample, biotype, anno, seed, tail_class, read_len, round(ppm, 4) AS ppm FROM iso", ("iso",)),
     "isoform_counts_floor": (
         lambda b: counting.isoform_counts(b.tags(), b.prime(), 15.0),
-        "SELECT sample, biotype, anno, seed || CASE WHEN mismatch_pos BETWEEN 1 AND 7 THEN '|' || CAST(mismatch_pos - 1 AS VARCHAR) || substring(seq, mismatch_pos + 1, 1) ELSE '' END AS seed, tail_class, read_len, round(sum(ppm), 4) AS ppm FROM annotated WHERE ppm >= 15 GROUP BY ALL",
+        "SELECT sample, biotype, anno, seed || CASE WHEN mismatch_pos BETWEEN 1 AND 7 THEN '|' || CAST(mismatch_pos - 1 AS VARCHAR) || translate(substring(seq, mismatch_pos + 1, 1), 'T', 'U') ELSE '' END AS seed, tail_class, read_len, round(sum(ppm), 4) AS ppm FROM annotated WHERE ppm >= 15 GROUP BY ALL",
         ("annotated",),
     ),
     "flag_isoform": (
-        lambda b: counting.flag_isoform(b.tags(), b.prime(), counting.label_rules(b.hits(), [("rmsk", True, "exact")]), FLOOR),
-        "SELECT sample, anno, seed || CASE WHEN mismatch_pos BETWEEN 1 AND 7 THEN '|' || CAST(mismatch_pos - 1 AS VARCHAR) || substring(seq, mismatch_pos + 1, 1) ELSE '' END AS seed, bool_or(tag_id IN (SELECT tag_id FROM hits WHERE biotype = 'rmsk')) AS is_flagged FROM annotated GROUP BY ALL",
+        lambda b: b.flagged(),
+        "SELECT sample, anno, seed || CASE WHEN mismatch_pos BETWEEN 1 AND 7 THEN '|' || CAST(mismatch_pos - 1 AS VARCHAR) || translate(substring(seq, mismatch_pos + 1, 1), 'T', 'U') ELSE '' END AS seed, bool_or(tag_id IN (SELECT tag_id FROM hits WHERE biotype = 'rmsk')) AS is_flagged FROM annotated GROUP BY ALL",
         ("annotated", "hits"),
     ),
     "densify": (
@@ -312,6 +389,22 @@ REPORTS: dict[str, tuple[Build, str, tuple[str, ...]]] = {
         "SELECT sample, read_len, coalesce(anno, 'All') AS anno, " + ", ".join(f"round(sum(CASE WHEN tail_class = '{k}' THEN ppm ELSE 0 END), 4) AS {k.lower()}" for k in ("A", "C", "G", "U", "Other", "GM")) + " FROM iso GROUP BY GROUPING SETS ((sample, read_len, anno), (sample, read_len))",
         ("iso",),
     ),
+    "length_distribution_isoform": (
+        lambda b: counting.length_distribution(b.iso(), "seed", trimmed=profiles.trim_rank_band(b.iso())),
+        f"SELECT sample, read_len, anno, seed, {_CLASSES} FROM iso GROUP BY sample, read_len, anno, seed UNION ALL SELECT sample, read_len, 'All', '', {_CLASSES} FROM iso GROUP BY sample, read_len UNION ALL SELECT sample, read_len, 'Alltrim', '', {_CLASSES} FROM iso WHERE anno IN ({_BAND}) GROUP BY sample, read_len",
+        ("iso",),
+    ),
+    "isoform_marks": (lambda b: b.marks(), f"SELECT sample, anno, seed, mark FROM ({_MARKS}) m WHERE mark <> ''", ("annotated", "hits", "iso")),
+    "token_table_marked": (
+        lambda b: counting.labelled(counting.token_table(b.iso(), "anno", "seed"), b.marks(), wide=True),
+        f"SELECT sample, t.anno, t.seed, t.anno || '_' || t.seed || coalesce(mark, '') AS label, gm, pm, gmpm, tailing FROM (SELECT sample, anno, seed, {_MEASURES} FROM iso GROUP BY sample, anno, seed) t LEFT JOIN (SELECT anno, seed, mark FROM ({_MARKS}) m WHERE sample = (SELECT min(sample) FROM iso)) m ON m.anno = t.anno AND m.seed = t.seed",
+        ("annotated", "hits", "iso"),
+    ),
+    "tail_breakdown_isoform": (
+        lambda b: counting.labelled(counting.tail_breakdown(b.iso(), "anno", "seed"), b.marks()).drop("anno", "seed"),
+        f"SELECT t.* EXCLUDE (anno, seed), t.anno || '_' || t.seed || coalesce(mark, '') AS label FROM (SELECT sample, anno, seed, {_MEASURES}, {_TAILS} FROM iso GROUP BY sample, anno, seed) t LEFT JOIN ({_MARKS}) m ON m.sample = t.sample AND m.anno = t.anno AND m.seed = t.seed",
+        ("annotated", "hits", "iso"),
+    ),
     "length_tables": (
         lambda b: counting.length_tables(b.iso()),
         "SELECT anno, read_len, sample, round(sum(CASE WHEN tail_class = 'GM' THEN ppm ELSE 0 END), 4) AS gm, round(sum(CASE WHEN tail_class <> 'GM' THEN ppm ELSE 0 END), 4) AS pm, round(sum(ppm), 4) AS gmpm, round(sum(sum(ppm)) OVER (PARTITION BY anno, read_len), 4) AS total FROM iso GROUP BY anno, read_len, sample",
@@ -374,15 +467,77 @@ REPORTS: dict[str, tuple[Build, str, tuple[str, ...]]] = {
         "SELECT sample, round(min(ppm), 4) AS lo, " + ", ".join(f"round(max(CASE WHEN r = CAST(floor((n - 1) * {q}) AS BIGINT) + 1 THEN ppm END), 4) AS q{i}" for i, q in ((1, 0.25), (2, 0.5), (3, 0.75))) + ", round(max(ppm), 4) AS hi FROM (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY ppm, anno) AS r, count(*) OVER (PARTITION BY sample) AS n FROM totals WHERE ppm > 0) x GROUP BY sample",
         ("totals",),
     ),
+    "boxplot_stats_trimmed": (
+        lambda b: profiles.boxplot_stats(b.totals(), 0.1),
+        "SELECT sample, " + ", ".join(f"round(max(CASE WHEN r = CAST(floor((n - 1) * CAST({q} AS DOUBLE)) AS BIGINT) + 1 THEN ppm END), 4) AS {c}" for c, q in (("lo", 0.1), ("q1", 0.25), ("q2", 0.5), ("q3", 0.75), ("hi", 0.9))) + " FROM (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY ppm, anno) AS r, count(*) OVER (PARTITION BY sample) AS n FROM totals WHERE ppm > 0) x GROUP BY sample",
+        ("totals",),
+    ),
+    "trim_rank_band_isoform": (
+        lambda b: profiles.trim_rank_band(b.iso(), keys=("anno", "seed")).select("anno", "seed").distinct(),
+        "SELECT anno, seed FROM (SELECT anno, seed, t, row_number() OVER (ORDER BY t, anno, seed) AS r, count(*) OVER () AS n, min(t) OVER () AS least FROM (SELECT anno, seed, round(sum(ppm), 6) AS t FROM iso GROUP BY anno, seed) x) y WHERE r > n * 15 // 100 AND r <= n * 85 // 100 AND t > least",
+        ("iso",),
+    ),
+    "rank_sum_tokens": (lambda b: profiles.rank_sum_tokens(counting.token_table(b.iso(), "anno"), "anno"), _RANKS.format(keys="anno", back="anno DESC"), ("iso",)),
+    "rank_sum_tokens_isoform": (lambda b: profiles.rank_sum_tokens(counting.token_table(b.iso(), "anno", "seed"), "anno", "seed"), _RANKS.format(keys="anno, seed", back="anno DESC, seed DESC"), ("iso",)),
+    "dataset_overlap_info": (
+        lambda b: profiles.dataset_overlap(counting.dominant_isoform(b.iso()).select("anno", F.col("seed").alias("info"), F.col("sample").alias("dataset")), "info"),
+        "SELECT anno, seed AS info, string_agg(sample, ',' ORDER BY sample) AS datasets, count(*) AS n FROM (SELECT sample, anno, seed, row_number() OVER (PARTITION BY sample, anno ORDER BY round(sum(ppm), 6) DESC, seed) AS r FROM iso GROUP BY sample, anno, seed) x WHERE r = 1 GROUP BY anno, seed HAVING count(*) > 1",
+        ("iso",),
+    ),
+    "two_sample_table_log": (
+        lambda b: views.two_sample_table(b.totals(), "AF", "RF", 50.0, 2.0),
+        f"SELECT anno, CASE WHEN x > 0 THEN round(log2(x), 2) ELSE 0 END AS x, CASE WHEN y > 0 THEN round(log2(y), 2) ELSE 0 END AS y FROM ({_XY}) t WHERE x >= 50 OR y >= 50",
+        ("totals",),
+    ),
+    "difference_histogram_bounded": (
+        lambda b: views.difference_histogram(views.two_sample_table(b.totals(), "AF", "RF"), 5, 20.0, 5000.0),
+        f"SELECT CAST(least(CASE WHEN hi > lo THEN floor((d - lo) * 5 / (hi - lo)) ELSE 0 END, 4) AS INT) AS bin, side, count(*) AS n FROM (SELECT *, min(d) OVER () AS lo, max(d) OVER () AS hi FROM (SELECT abs(x - y) AS d, CAST(sign(x - y) AS INT) AS side FROM ({_XY}) t) u WHERE d BETWEEN 20 AND 5000) v GROUP BY ALL",
+        ("totals",),
+    ),
+    "seed_length_matrix_log": (
+        lambda b: views.seed_length_matrix(b.iso(), log2=True),
+        "SELECT mir, arm, seed, read_len, " + ", ".join(f"round(CASE WHEN {c} > 0 THEN log2({c}) ELSE 0 END, 4) AS {c}" for c in ("gm", "pm", "gmpm", "a_tail", "c_tail", "g_tail", "u_tail", "other_tail")) + f" FROM (SELECT mir, arm, seed, read_len, sum(CASE WHEN tail_class = 'GM' THEN ppm ELSE 0 END) AS gm, sum(CASE WHEN tail_class <> 'GM' THEN ppm ELSE 0 END) AS pm, sum(ppm) AS gmpm, {_TAILS.replace('round(', '').replace(', 4)', '')} FROM (SELECT *, {_PRE} AS mir, {_ARM} AS arm FROM iso) x WHERE arm <> '' GROUP BY GROUPING SETS ((mir, arm, seed, read_len), (mir, arm, seed), (mir, arm, read_len))) y",
+        ("iso",),
+    ),
+    "length_by_tail": (
+        lambda b: views.length_by_tail(b.iso(), "mir-1-3p", 10.0),
+        "SELECT sample, read_len, " + ", ".join(f"round(sum(CASE WHEN tail_class = '{k}' THEN ppm ELSE 0 END) / 10, 4) AS {k.lower()}" for k in ("A", "C", "G", "U", "Other", "GM")) + " FROM iso WHERE anno = 'mir-1-3p' GROUP BY sample, read_len",
+        ("iso",),
+    ),
+    "ranked_bins_highest": (
+        lambda b: views.ranked_bin_composition(b.iso(), 5, "tailing", "highest", 20, ratio=False),
+        "SELECT sample, CAST((r - 1) // 5 AS INT) AS bin, " + ", ".join(f"round(sum(t_{k}) / sum(t), 4) AS {k}" for k in ("a", "c", "g", "u", "other", "gm")) + f" FROM (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY q) AS r FROM (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY v, anno) AS q, count(*) OVER (PARTITION BY sample) AS n FROM (SELECT *, CASE WHEN t_gm + t_pm < 1 THEN 0 ELSE round(t_pm * 100 / (t_gm + t_pm), 6) END AS v FROM (SELECT sample, anno, round(sum(ppm), 6) AS t, sum(CASE WHEN tail_class <> 'GM' THEN ppm ELSE 0 END) AS t_pm, {_SHARES} FROM iso GROUP BY sample, anno) x WHERE t > 0) y) z WHERE q > n - 20) w GROUP BY ALL",
+        ("iso",),
+    ),
+    "ranked_bins_trimmed": (
+        lambda b: views.ranked_bin_composition(b.iso(), 10, trim=10),
+        f"SELECT sample, CAST((r - 1) // 10 AS INT) AS bin, {_AVERAGES} FROM (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY q) AS r FROM (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY t, anno) AS q, count(*) OVER (PARTITION BY sample) AS n FROM (SELECT sample, anno, round(sum(ppm), 6) AS t, {_SHARES} FROM iso GROUP BY sample, anno) x WHERE t > 0) y WHERE q > n * 10 // 100 AND q <= n - n * 10 // 100) z GROUP BY ALL",
+        ("iso",),
+    ),
+    "filter_value_matrix_log": (
+        lambda b: views.filter_value_matrix(b.totals(), 8.0, 11.0, 2.0, "5p", counting.dominant_isoform(b.iso()).where("seed LIKE '%A'")),
+        f"SELECT anno, round(sum(p), 4) AS total FROM (SELECT sample, anno, CASE WHEN ppm > 0 THEN log2(ppm) ELSE 0 END AS p FROM totals WHERE {_ARM} = '5p' AND anno IN (SELECT anno FROM (SELECT anno, seed, row_number() OVER (PARTITION BY sample, anno ORDER BY round(sum(ppm), 6) DESC, seed) AS r FROM iso GROUP BY sample, anno, seed) d WHERE r = 1 AND seed LIKE '%A')) x GROUP BY anno HAVING max(p) > 8 AND (min(p) < 11 OR count(*) < (SELECT count(DISTINCT sample) FROM totals WHERE {_ARM} = '5p'))",
+        ("totals", "iso"),
+    ),
     "loading_trend": (lambda b: profiles.loading_trend(b.totals()), "SELECT sample, anno, round(ppm / sum(ppm) OVER (PARTITION BY anno), 4) AS share FROM totals", ("totals",)),
     "end_heterogeneity": (
         lambda b: profiles.end_heterogeneity(b.annotated()),
-        f"SELECT sample, anno, round(f.h, 4) AS h5, round(t.h, 4) AS h3 FROM ({_ENDS.format(five='true')}) f JOIN ({_ENDS.format(five='false')}) t USING (sample, anno)",
+        f"SELECT sample, anno, round(f.h, 4) AS h5, round(t.h, 4) AS h3, round(g.h, 4) AS h_tail FROM ({_ENDS.format(end=_FIVE)}) f JOIN ({_ENDS.format(end=_THREE)}) t USING (sample, anno) JOIN ({_ENDS.format(end=_TAIL_END)}) g USING (sample, anno)",
         ("annotated",),
     ),
     "tail_profile": (
         lambda b: profiles.tail_profile(b.annotated()),
-        "SELECT sample, anno, round(sum(ppm), 4) AS gmpm, round(CASE WHEN sum(CASE WHEN tail <> '' THEN ppm ELSE 0 END) > 0 THEN sum(length(tail) * ppm) / sum(CASE WHEN tail <> '' THEN ppm ELSE 0 END) ELSE 0 END, 4) AS mean_tail_len, round(sum(CASE WHEN tail <> '' THEN ppm ELSE 0 END) / sum(ppm), 4) AS tailing FROM annotated GROUP BY sample, anno",
+        f"SELECT sample, anno, {_TAIL_PROFILE} GROUP BY sample, anno",
+        ("annotated",),
+    ),
+    "tail_profile_isoform": (
+        lambda b: profiles.tail_profile(b.seeded(), "seed"),
+        f"SELECT sample, anno, {_MARKED} AS seed, {_TAIL_PROFILE} GROUP BY sample, anno, {_MARKED}",
+        ("annotated",),
+    ),
+    "tail_bases": (
+        lambda b: profiles.tail_bases(b.seeded()),
+        f"SELECT sample, anno, {_MARKED} AS seed, round(sum(ppm), 4) AS gmpm, round(sum(CASE WHEN tail = '' THEN ppm ELSE 0 END), 4) AS gm, round(sum(CASE WHEN tail <> '' THEN ppm ELSE 0 END), 4) AS pm, " + ", ".join(f"round(sum(CASE WHEN tail <> '' THEN ppm * len(list_filter(string_split(translate(tail, 'T', 'U'), ''), lambda x: x = '{b}')) / length(tail) ELSE 0 END), 4) AS {b.lower()}" for b in "ACGU") + f" FROM annotated GROUP BY sample, anno, {_MARKED}",
         ("annotated",),
     ),
     "mismatch_positions": (lambda b: profiles.mismatch_positions(b.tags()), "SELECT sample, mismatch_pos AS pos, round(sum(ppm), 4) AS ppm FROM tags WHERE mismatch_pos IS NOT NULL GROUP BY ALL", ("tags",)),
@@ -396,11 +551,6 @@ REPORTS: dict[str, tuple[Build, str, tuple[str, ...]]] = {
         "SELECT anno, chrom, strand, min(t_start) AS m_start, max(t_end) AS m_end, count(*) AS support FROM (SELECT *, sum(new) OVER (PARTITION BY anno, chrom, strand ORDER BY t_start, t_end) AS island FROM (SELECT *, CASE WHEN t_start - 2 > coalesce(max(t_end) OVER (PARTITION BY anno, chrom, strand ORDER BY t_start, t_end ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1000000000000) + 2 THEN 1 ELSE 0 END AS new FROM (SELECT DISTINCT anno, chrom, strand, t_start, t_end FROM annotated) x) y) z GROUP BY anno, chrom, strand, island",
         ("annotated",),
     ),
-    "pileup_coverage": (
-        lambda b: profiles.pileup_coverage(b.annotated()),
-        "SELECT anno, pos, round(sum(ppm), 4) AS ppm FROM (SELECT anno, ppm, unnest(range(t_start, t_end)) AS pos FROM annotated) x GROUP BY ALL",
-        ("annotated",),
-    ),
     "feature_type_counts": (lambda b: b.features().groupBy("biotype").agg(F.count("*").alias("n")), "SELECT biotype, count(*) AS n FROM features GROUP BY biotype", ("features",)),
     "dataset_overlap_detail": (
         lambda b: profiles.dataset_overlap(b.totals().where("ppm > 500").withColumn("dataset", F.col("sample"))),
@@ -435,7 +585,7 @@ REPORTS: dict[str, tuple[Build, str, tuple[str, ...]]] = {
     ),
     "seed_length_matrix": (
         lambda b: views.seed_length_matrix(b.iso()),
-        f"SELECT mir, arm, seed, read_len, round(sum(CASE WHEN tail_class = 'GM' THEN ppm ELSE 0 END), 4) AS gm, round(sum(CASE WHEN tail_class <> 'GM' THEN ppm ELSE 0 END), 4) AS pm, round(sum(ppm), 4) AS gmpm FROM (SELECT *, {_PRE} AS mir, {_ARM} AS arm FROM iso) x WHERE arm <> '' GROUP BY GROUPING SETS ((mir, arm, seed, read_len), (mir, arm, seed), (mir, arm, read_len))",
+        f"SELECT mir, arm, seed, read_len, round(sum(CASE WHEN tail_class = 'GM' THEN ppm ELSE 0 END), 4) AS gm, round(sum(CASE WHEN tail_class <> 'GM' THEN ppm ELSE 0 END), 4) AS pm, round(sum(ppm), 4) AS gmpm, {_TAILS} FROM (SELECT *, {_PRE} AS mir, {_ARM} AS arm FROM iso) x WHERE arm <> '' GROUP BY GROUPING SETS ((mir, arm, seed, read_len), (mir, arm, seed), (mir, arm, read_len))",
         ("iso",),
     ),
     "seed_heatmap": (
@@ -501,6 +651,11 @@ REPORTS: dict[str, tuple[Build, str, tuple[str, ...]]] = {
         f"SELECT name, f_start, f_end, {_SEQUENCE.format(s=f'substring(chunk, CAST(f_start % {adapters.CHUNK} + 1 AS INT), CAST(f_end - f_start AS INT))')} AS sequence FROM features f JOIN genome g ON g.chrom = f.chrom AND g.chunk_id = f_start // {adapters.CHUNK} WHERE biotype IN ('miRNA', 'mirtron')",
         ("features", "genome"),
     ),
+    "seed_map_reads": (
+        lambda b: sequences.seed_map_reads(b.genome_reads(), b.genome(), adapters.CHUNK),
+        f"SELECT seq, chrom, strand, start, matched, substring(seq, matched + 1) AS tail, nh FROM (SELECT *, count(*) OVER (PARTITION BY seq) AS nh FROM (SELECT *, max(matched) OVER (PARTITION BY seq) AS most FROM (SELECT DISTINCT seq, chrom, strand, matched, CASE WHEN strand = '+' THEN ofs ELSE ofs + width - matched END AS start FROM (SELECT r.seq, s.chrom, s.strand, s.ofs, length(s.template) AS width, CAST(list_max(list_filter(range(12, least(length(r.seq), length(s.template)) + 1), lambda k: left(r.seq, CAST(k AS INT)) = left(s.template, CAST(k AS INT)))) AS INT) AS matched FROM (SELECT DISTINCT seq FROM genomereads WHERE length(seq) >= 12) r JOIN sites s ON left(r.seq, 12) = s.kmer) a) b) c WHERE matched = most) d WHERE nh <= 10",
+        ("genomereads", "sites"),
+    ),
     "join_targets": (lambda b: b.predictions(), "SELECT anno, seed, gene, round(pct, 4) AS pct FROM predictions", ("predictions",)),
     "preference_targets": (
         lambda b: targets.preference_targets(profiles.preference_sets(profiles.pairwise_fold(b.iso_totals()), 1.2, None), b.predictions()),
@@ -626,26 +781,47 @@ REPORTS: dict[str, tuple[Build, str, tuple[str, ...]]] = {
         f"SELECT anno, round(t, 4) AS total, round(diff, 4) AS diff, max_sample, min_sample, row_number() OVER (ORDER BY t DESC, anno) AS place FROM (SELECT *, round(total, 6) AS t FROM ({_LOADING.format(rows='totals')}) y) x",
         ("totals",),
     ),
+    "pairwise_differential": (
+        lambda b: b.folds(),
+        f"SELECT anno, s1, s2, round(x, 4) AS x, round(y, 4) AS y, round(fold, 4) AS fold, round(x + y, 4) AS total, round(p, 4) AS p FROM ({_FOLDS_P}) f",
+        ("totals",),
+    ),
+    "preference_significant": (lambda b: profiles.preference_sets(b.iso_folds()), _SIGNIFICANT, ("isototals",)),
+    "preference_targets_significant": (
+        lambda b: targets.preference_targets(profiles.preference_sets(b.iso_folds()), b.predictions()),
+        f"SELECT DISTINCT sample, kind, gene, round(pct, 4) AS pct FROM ({_SIGNIFICANT}) p JOIN predictions t ON split_part(p.anno, '|', 1) = t.anno || '_' || translate(t.seed, 'T', 'U')",
+        ("isototals", "predictions"),
+    ),
+    "differential_filter": (
+        lambda b: views.filter_fold_pvalue(b.iso_folds()),
+        f"SELECT anno, s1, s2, round(x, 4) AS x, round(y, 4) AS y, round(fold, 4) AS fold, round(x + y, 4) AS total, round(p, 4) AS p FROM ({_ISO_FOLDS_P}) f WHERE abs(log2(fold)) >= 1 AND p <= 0.05",
+        ("isototals",),
+    ),
+    "volcano_points": (
+        lambda b: views.volcano_points(b.folds(), 10.0, profiles.tail_profile(b.annotated()).select("sample", "anno", F.col("mean_tail_len").alias("colour"))),
+        f"SELECT f.anno, s1, s2, round(log2(fold), 4) AS log2_fold, round(-log10(greatest(p, 1e-300)), 4) AS log10_p, round(coalesce(colour, 0), 4) AS colour FROM ({_FOLDS_P}) f LEFT JOIN (SELECT sample, anno, CASE WHEN sum(CASE WHEN tail <> '' THEN ppm ELSE 0 END) > 0 THEN sum(length(tail) * ppm) / sum(CASE WHEN tail <> '' THEN ppm ELSE 0 END) ELSE 0 END AS colour FROM annotated GROUP BY sample, anno) c ON c.sample = s1 AND c.anno = f.anno WHERE x + y > 10",
+        ("totals",),
+    ),
+    "differential_summary": (
+        lambda b: differential.differential_summary(differential.with_p(b.measure_folds()), b.measures(), ("measure", "anno")),
+        f"SELECT measure, anno, round(t, 4) AS total, round(p, 4) AS min_p, row_number() OVER (ORDER BY t DESC, p, anno DESC, measure DESC) AS place FROM (SELECT measure, anno, round(sum(ppm), 6) AS t FROM ({_BY_MEASURE.format(keys='anno')}) m GROUP BY ALL) a JOIN (SELECT measure, anno, min(p) AS p FROM ({_MEASURE_FOLDS_P}) f GROUP BY ALL) b USING (measure, anno)",
+        ("iso",),
+    ),
     "region_expression": (
         lambda b: regions.region_expression(b.mir_hits(), _PLACE),
         "SELECT sample, mir, chrom, strand, f_start, round(sum(ppm), 4) AS ppm FROM mirhits GROUP BY ALL",
         ("mirhits",),
     ),
 }
-#: Queries that SQL can't express: an incomplete beta function, and chaining of strings.
+#: Queries that SQL can't express: chaining of strings.
 UNSQL: dict[str, Build] = {
     "seed_chain": lambda b: regions.seed_chain(b.iso()),
-    "pairwise_differential": lambda b: b.folds(),
-    "preference_significant": lambda b: profiles.preference_sets(b.folds(), 1.2, 0.9),
-    "differential_filter": lambda b: views.filter_fold_pvalue(b.folds(), 0.2, 0.9),
-    "volcano_points": lambda b: views.volcano_points(b.folds()),
-    "differential_summary": lambda b: differential.differential_summary(differential.with_p(b.measure_folds()), b.measures(), ("measure", "anno")),
 }
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: (lambda spark, sf_dir, build=build: rounded(build(Base(spark, sf_dir)))) for name, build in ({n: r[0] for n, r in REPORTS.items()} | UNSQL).items()}
+    return {name: (lambda spark, sf_dir, build=build: rounded(build(Base.of(spark, sf_dir)))) for name, build in ({n: r[0] for n, r in REPORTS.items()} | UNSQL).items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: _with(_shifted(sql), *needs) for name, (_, sql, needs) in REPORTS.items()}
+    return {name: _with(_shifted(sql), needs) for name, (_, sql, needs) in REPORTS.items()}

@@ -160,15 +160,65 @@ def read_tags(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+#: Bases of a piece of a sequence on its way to its chunks.
+PIECE = 1 << 16
+
+
+def _sequence_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pieces of the runs of sequence lines in each block of a file, each with its place in the run; a header begins a run, and names it."""
+    schema = pa.schema([("path", pa.string()), ("block", pa.int64()), ("run", pa.int32()), ("name", pa.string()), ("at", pa.int64()), ("bases", pa.string())])
+    place, run, name, at, held, size, rows = None, 0, None, 0, [], 0, []
+
+    def piece() -> None:
+        nonlocal at, held, size
+        if place is not None:
+            rows.append((*place, run, name, at, "".join(held)))
+            at, held, size = at + size, [], 0
+
+    def batch() -> Iterator[pa.RecordBatch]:
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+            rows.clear()
+
+    for lines in batches:
+        for path, block, value in zip(*(c.to_pylist() for c in lines.columns)):
+            if place != (path, block):
+                piece()
+                place, run, name, at = (path, block), 0, None, 0
+            if value.startswith(">"):
+                piece()
+                run, name, at = run + 1, (value[1:].split() or [""])[0], 0
+            else:
+                held.append("".join(value.split()).upper())
+                size += len(held[-1])
+                if size >= PIECE:
+                    piece()
+        yield from batch()
+    piece()
+    yield from batch()
+
+
 def read_genome(spark: SparkSession, path: str, size: int = 1 << 16, beyond: int = 128) -> DataFrame:
     """chrom, chunk_id and chunk of FASTA files: ``size`` bases, and ``beyond`` of the next chunk.
 
-    A chromosome is read as one row, so it must have under 2 GB of text; its chunks are many rows.
+    A chromosome is read in as many blocks as its file has.  Runs of its lines in the blocks (one for each block
+    and header) get their places by a running sum, and pieces of them go to the chunks that they touch.
     """
-    raw = spark.read.option("lineSep", ">").text(path).where(F.length("value") > 0).select(F.split("value", "\n", 2).alias("l"))
-    seq = raw.select(F.regexp_extract(F.col("l")[0], r"^\S+", 0).alias("chrom"), F.upper(F.regexp_replace(F.col("l")[1], r"\s", "")).alias("seq")).where("seq <> ''")
-    chunks = seq.withColumn("chunk_id", F.explode(F.sequence(F.lit(0), F.floor((F.length("seq") - 1) / size).cast("int"))))
-    return chunks.select("chrom", F.col("chunk_id").cast("long"), F.substring(F.col("seq"), F.col("chunk_id") * size + 1, F.lit(size + beyond)).alias("chunk"))
+    lines = spark.read.text(path).select("_metadata.file_path", "_metadata.file_block_start", "value")
+    pieces = lines.mapInArrow(_sequence_pieces, "path string, block long, run int, name string, at long, bases string")
+    runs = pieces.groupBy("path", "block", "run").agg(F.max("name").alias("name"), F.max(F.col("at") + F.length("bases")).alias("n"))
+    order = Window.partitionBy("path").orderBy("block", "run")
+    named = runs.withColumns({"chrom": F.last("name", ignorenulls=True).over(order), "nth": F.count("name").over(order)})
+    before = Window.partitionBy("path", "nth").orderBy("block", "run").rowsBetween(Window.unboundedPreceding, -1)
+    starts = named.select("path", "block", "run", "chrom", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")).where("chrom is not null")
+    placed = pieces.where("bases <> ''").join(starts, ["path", "block", "run"]).select("chrom", (F.col("start") + F.col("at")).alias("low"), "bases")
+    first, last = F.greatest(F.floor((F.col("low") - beyond) / size), F.lit(0)), F.floor((F.col("low") + F.length("bases") - 1) / size)
+    dealt = placed.withColumn("chunk_id", F.explode(F.sequence(first, last)))
+    skipped = F.greatest(F.col("chunk_id") * size - F.col("low"), F.lit(0))
+    place = F.col("low") + skipped
+    part = F.substring(F.col("bases"), (skipped + 1).cast("int"), F.greatest(F.col("chunk_id") * size + size + beyond - place, F.lit(0)).cast("int"))
+    parts = F.array_sort(F.collect_list(F.struct(place.alias("place"), part.alias("part"))))  # as long as a chunk
+    return dealt.groupBy("chrom", "chunk_id").agg(parts.alias("parts")).select("chrom", "chunk_id", F.array_join("parts.part", "").alias("chunk"))
 
 
 def read_targets(spark: SparkSession, path: str, species: str = "hsa", least_pct: float | None = None) -> DataFrame:

@@ -19,13 +19,23 @@ def write_wide_report(long: DataFrame, path: str, samples: list[str], digits: in
 
 
 def write_annobed(tags: DataFrame, hits: DataFrame, path: str) -> None:
-    """One row for each hit of a tag; tags without a hit have dots."""
-    rows = tags.join(hits.select("tag_id", "biotype", "name"), "tag_id", "left").fillna(".", ["biotype", "name"])
-    columns = ["chrom", "t_start", "t_end", "strand", "sample", "reads", "nh", "ppm", "gm_len", "tail", "seq", "biotype", "name"]
-    rows.select(*columns).write.mode("overwrite").option("sep", "\t").csv(path)
+    """One row for each hit of a tag, in 16 columns under a header; dots for no tail, no mismatch, and a tag without a hit.
+
+    tags has seq (with the tail), md_tag, tc_tag and seed_md (texts).
+    """
+    rows = tags.join(hits.select("tag_id", "biotype", "name"), "tag_id", "left")
+    shown = lambda c: F.when(F.coalesce(F.col(c), F.lit("")) == "", ".").otherwise(F.col(c))
+    marked = F.when(F.coalesce(F.col("seed_md"), F.lit("")) == "", "").otherwise(F.concat(F.lit("|"), "seed_md"))
+    values = [
+        "chrom", "t_start", "t_end", "strand", "nh", "reads", F.col("reads") / F.col("nh"), "ppm", "gm_len", F.length(F.coalesce("tail", F.lit(""))), "seq", shown("tail"), shown("md_tag"), shown("tc_tag"),
+        F.coalesce("biotype", F.lit(".")), F.coalesce(F.concat("name", F.lit("_"), F.substring("seq", 2, 7), marked), F.lit(".")),
+    ]
+    columns = [(F.col(v) if isinstance(v, str) else v).alias(name) for v, name in zip(values, ANNO_BED, strict=True)]
+    rows.select(*columns).write.mode("overwrite").options(sep="\t", header=True).csv(path)
 
 
 #: Headers of reports: fixed values.
+ANNO_BED = ["Chr", "Start", "End", "Strand", "AlignCounts", "RawCounts", "ReadCounts", "PPM", "Length", "TailLen", "Seq", "Tail", "MM", "T2C", "Type", "AnnoSeedMD"]
 ANALYZED_BED = ["Chr", "Start", "End", "Strand", "AlignCounts", "RawCounts", "ReadCounts", "PPM", "RMSK", "Length", "TailLen", "Seq", "Tail", "MM", "T2C", "Type", "AnnoSeedMD"]
 VCF_REPORT = {"chrom": "Chr", "pos": "Pos", "ref": "Ref", "alt": "Alt", "qual": "Qul"}
 VCF_SLOTS = {
