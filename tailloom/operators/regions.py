@@ -37,13 +37,13 @@ def islands(regions: DataFrame, keys: list[str], gap: int = 0, width: int = BIN)
 
 
 def _next_heads(found: DataFrame, keys: list[str], max_merge: int) -> DataFrame:
-    """The island that begins the next cluster after each island (i_start), if it begins one: the first whose first region ends more than max_merge after it.
+    """The island that begins the next cluster after each island (i_start), if it begins one: the first after it whose first region ends more than max_merge past its start.
 
     Ends and the places they must lie past are put in one order, by bins of max_merge; past a bin, the next one's first end counts.
     """
     width = max(1, max_merge)
     ends = found.select(*keys, F.col("first_end").alias("at"), F.struct("first_end", "i_start").alias("held"), F.lit(None).cast("long").alias("asks"))
-    asks = found.select(*keys, (F.col("i_start") + max_merge).alias("at"), F.lit(None).cast("struct<first_end:bigint,i_start:bigint>").alias("held"), F.col("i_start").alias("asks"))
+    asks = found.select(*keys, F.greatest(F.col("i_start") + max_merge, "first_end").alias("at"), F.lit(None).cast("struct<first_end:bigint,i_start:bigint>").alias("held"), F.col("i_start").alias("asks"))
     both = ends.union(asks).withColumn("_bin", F.floor(F.col("at") / width))
     first = both.groupBy(*keys, "_bin").agg(F.min("held").alias("_first"))
     later = F.min("_first").over(Window.partitionBy(*keys).orderBy(F.desc("_bin")).rowsBetween(Window.unboundedPreceding, -1))

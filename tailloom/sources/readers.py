@@ -164,7 +164,7 @@ def read_tags(spark: SparkSession, path: str) -> DataFrame:
 PIECE = 1 << 16
 
 
-def _sequence_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sequence_pieces(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     """Pieces of the runs of sequence lines in each block of a file, each with its place in the run; a header begins a run, and names it."""
     schema = pa.schema([("path", pa.string()), ("block", pa.int64()), ("run", pa.int32()), ("name", pa.string()), ("at", pa.int64()), ("bases", pa.string())])
     place, run, name, at, held, size, rows = None, 0, None, 0, [], 0, []
@@ -191,21 +191,21 @@ def _sequence_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             else:
                 held.append("".join(value.split()).upper())
                 size += len(held[-1])
-                if size >= PIECE:
+                if size >= most:
                     piece()
         yield from batch()
     piece()
     yield from batch()
 
 
-def read_genome(spark: SparkSession, path: str, size: int = 1 << 16, beyond: int = 128) -> DataFrame:
+def read_genome(spark: SparkSession, path: str | list[str], size: int = 1 << 16, beyond: int = 128, piece: int = PIECE) -> DataFrame:
     """chrom, chunk_id and chunk of FASTA files: ``size`` bases, and ``beyond`` of the next chunk.
 
     A chromosome is read in as many blocks as its file has.  Runs of its lines in the blocks (one for each block
     and header) get their places by a running sum, and pieces of them go to the chunks that they touch.
     """
     lines = spark.read.text(path).select("_metadata.file_path", "_metadata.file_block_start", "value")
-    pieces = lines.mapInArrow(_sequence_pieces, "path string, block long, run int, name string, at long, bases string")
+    pieces = lines.mapInArrow(lambda batches: _sequence_pieces(batches, piece), "path string, block long, run int, name string, at long, bases string")
     runs = pieces.groupBy("path", "block", "run").agg(F.max("name").alias("name"), F.max(F.col("at") + F.length("bases")).alias("n"))
     order = Window.partitionBy("path").orderBy("block", "run")
     named = runs.withColumns({"chrom": F.last("name", ignorenulls=True).over(order), "nth": F.count("name").over(order)})

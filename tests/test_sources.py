@@ -52,7 +52,7 @@ def test_annobed(spark, tmp_path):
 
 @pytest.mark.parametrize("block", ["128m", "211", "37"])
 @pytest.mark.parametrize("piece", [1 << 16, 5])
-def test_genome_in_blocks(spark, tmp_path, monkeypatch, block, piece):
+def test_genome_in_blocks(spark, tmp_path, block, piece):
     """A chromosome over many blocks and files of several chromosomes give the chunks of the whole text."""
     rng = random.Random(4)
     whole = {f"chr{k}": "".join(rng.choices("ACGTNacgt", k=n)) for k, n in enumerate([700, 1, 64, 333, 0])}
@@ -60,10 +60,9 @@ def test_genome_in_blocks(spark, tmp_path, monkeypatch, block, piece):
     (tmp_path / "g.fa").write_text(body)
     (tmp_path / "h.fa").write_text("\n>other\nACGT\n\nAC\n")
     whole["other"] = "ACGTAC"
-    monkeypatch.setattr(readers, "PIECE", piece)
     spark.conf.set("spark.sql.files.maxPartitionBytes", block)
     try:
-        got = {(r.chrom, r.chunk_id): r.chunk for r in readers.read_genome(spark, [str(tmp_path / "g.fa"), str(tmp_path / "h.fa")], 64, 10).collect()}
+        got = {(r.chrom, r.chunk_id): r.chunk for r in readers.read_genome(spark, [str(tmp_path / "g.fa"), str(tmp_path / "h.fa")], 64, 10, piece).collect()}
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert got == {(c, i // 64): seq[i : i + 74].upper() for c, seq in whole.items() for i in range(0, len(seq), 64)}
