@@ -17,7 +17,7 @@ hold at least half of the content, all that is outside them.  An element is mark
 by its kind, its role, or a class or id of nothing but such words (``comment-list``).  A class
 with other words in it (``menu-design``), or a word that may also name a part of an article
 (WEAK, outside article and main only), leaves it to the ratios: the element goes
-if its paths' are under the threshold.  Lists of links in article and main stay.
+if its paths' are far under the mean.  Lists of links in article and main stay.
 
 Defined results: null html counts as empty; a page without content gives an
 empty text; character references are decoded, white space within a block is one
@@ -41,8 +41,9 @@ from pyspark.sql import DataFrame
 from .common import arrow_rows, small_batches
 
 #: Share of the mean score (weighted by length) that makes a content path; what is left of a score one step down the
-#: tree; share of the content that the element passing its score down holds; link share that makes a block of links.
-THRESHOLD, STEP, HOLDS, LINKS = 0.4, 0.9, 0.8, 0.5
+#: tree; share of the content that the element passing its score down holds; link share that makes a block of links; share of the
+#: mean ratio under which an element goes whose mark isn't certain (one sentence has more, a menu's words have less).
+THRESHOLD, STEP, HOLDS, LINKS, UNSURE = 0.4, 0.9, 0.8, 0.5, 0.1
 #: Ends of tags that are looked for within an unfinished quotation.
 LOOK = 16
 
@@ -341,7 +342,7 @@ def main_text(page: str | None) -> str:
         chars = np.array([max(0, len(t) - b.linked) for b, t in kept], float)
         ratio = path_ratios(path, len(parsed.up), chars, np.array([len(_PUNCTUATION.findall(t)) for _, t in kept], float))[path]
         of_mark = np.bincount(soft + 1, chars * ratio) / np.maximum(1e-9, np.bincount(soft + 1, chars))
-        stays = (soft < 0) | (of_mark >= THRESHOLD * (chars * ratio).sum() / max(1e-9, chars.sum()))[soft + 1]
+        stays = (soft < 0) | (of_mark >= UNSURE * (chars * ratio).sum() / max(1e-9, chars.sum()))[soft + 1]
         kept = [k for k, s in zip(kept, stays) if s] or kept
     marked = np.array([elements[b.element].article for b, _ in kept])
     content, chars = measured(kept, set())
