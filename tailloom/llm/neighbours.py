@@ -149,16 +149,15 @@ def _search(index: pa.Table, queries: pa.Table, k: int) -> pa.Table:
         owner = np.repeat(np.arange(len(q)), visits.value_lengths().to_numpy())
         visited = visits.flatten().to_numpy()
         order, by = np.argsort(bucket, kind="stable"), np.argsort(visited, kind="stable")
-        found: dict[int, list[tuple]] = {}
+        found: dict[int, dict[int, tuple]] = {}  # an entry that several tables give counts once
         for b in np.intersect1d(bucket, visited):
             members = order[slice(*np.searchsorted(bucket[order], [b, b + 1]))]
             asking = owner[by[slice(*np.searchsorted(visited[by], [b, b + 1]))]]
             part = (entry[0][members], [entry[1][i] for i in members])
             for row in _best(queries["cid"].to_numpy()[asking], q[asking], part, x[members], k):
-                found.setdefault(row[0], []).append(row)
+                found.setdefault(row[0], {})[row[1]] = row
         for near in found.values():
-            near.sort(key=lambda r: (r[3], r[1]))
-            rows += near[: k + 1]
+            rows += sorted(near.values(), key=lambda r: (r[3], r[1]))[: k + 1]
     columns = list(zip(*rows)) or [[], [], [], []]
     return pa.table({"cid": pa.array(columns[0], pa.int64()), "near": pa.array(columns[1], pa.int64()), "ids": pa.array(columns[2], pa.list_(pa.int64())), "score": pa.array(columns[3], pa.float64())})
 
