@@ -6,17 +6,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import precursor_of
+from .intervals import BIN
 
 
 def join_fold(annotated: DataFrame, folds: DataFrame) -> DataFrame:
     """Reads with the precursor of their annotation's name (arm left off) that they lie in.
 
     Adds pre_start, pre_end (0-based start, as in the fold table), entropy, and offset: the place of the read's
-    5' end in the precursor, from 0.
+    5' end in the precursor, from 0.  A name may stand for very many precursors, so the join is by name and bin:
+    that of the read's start, which is one of those that its precursor touches.
     """
-    pre = folds.select(F.col("name").alias("mir"), F.col("start").alias("pre_start"), F.col("end").alias("pre_end"), "entropy")
+    bins = F.explode(F.sequence(F.floor(F.col("start") / BIN), F.floor(F.greatest("start", "end") / BIN))).alias("_bin")
+    pre = folds.select(F.col("name").alias("mir"), F.col("start").alias("pre_start"), F.col("end").alias("pre_end"), "entropy", bins)
     inside = (F.col("t_start") >= F.col("pre_start") + 1) & (F.col("t_end") <= F.col("pre_end") + 1)
-    rows = annotated.withColumn("mir", precursor_of(F.col("anno"))).join(pre, "mir").where(inside)
+    reads = annotated.withColumns({"mir": precursor_of(F.col("anno")), "_bin": F.floor((F.col("t_start") - 1) / BIN)})
+    rows = reads.join(pre, ["mir", "_bin"]).where(inside).drop("_bin")
     return rows.withColumn("offset", F.when(F.col("strand") == "-", F.col("pre_end") + 1 - F.col("t_end")).otherwise(F.col("t_start") - F.col("pre_start") - 1))
 
 
