@@ -2,7 +2,7 @@
 
 import random
 
-from tailloom.operators import folding, intervals
+from tailloom.operators import folding, intervals, sequences
 
 
 def _plan(df):
@@ -20,3 +20,20 @@ def test_fold_join_by_name_and_bin(spark):
     assert want and sorted(tuple(r) for r in got.select("tag_id", "pre_start", "pre_end", "offset").collect()) == want
     (join,) = [line for line in _plan(got).splitlines() if "Join Inner" in line]
     assert "_bin" in join
+
+
+def test_reads_meet_sites_by_a_long_prefix_first(spark):
+    """Reads that have 18 bases of the genome never meet the sites that share 12 by chance; those that have fewer are still mapped."""
+    rng = random.Random(5)
+    shared, bases = "ACGTTGCAAGTC", lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    text = "".join(shared + bases(38) for _ in range(40))  # forty sites of the same twelve bases
+    size = 100
+    genome = spark.createDataFrame([("chr1", i // size, text[i : i + size + 64]) for i in range(0, len(text), size)], "chrom string, chunk_id long, chunk string")
+    long = text[100:122] + "A"
+    few = text[515:530] + ("C" if text[530] != "C" else "G") + "TTTTT"  # fifteen bases, then others
+    got = {r.seq: (r.start, r.matched, r.nh) for r in sequences.seed_map_reads(spark.createDataFrame([(long,), (few,), (text[100:112],)], "seq string"), genome, size).collect()}
+    whole = len(long) if text[122] == "A" else 22
+    assert got == {long: (100, whole, 1), few: (515, 15, 1)}  # the twelve bases alone have forty places
+    pairs = sequences._longest_sites(spark.createDataFrame([(long,)], "seq string"), genome, size, 18)
+    assert [(r.start, r.matched, r.nh) for r in pairs.collect()] == [(100, whole, 1)]
+    assert "RepartitionByExpression [chrom" in _plan(pairs)  # one small file of chunks is not one task of all their sites
