@@ -85,8 +85,8 @@ def tags_of(collapsed: DataFrame) -> DataFrame:
 def normalize_ppm(tags: DataFrame) -> DataFrame:
     """weight (reads by sites) and ppm (weight per million of its sample)."""
     weighted = tags.withColumn("weight", F.col("reads") / F.col("nh"))
-    total = weighted.groupBy("sample").agg(F.sum("weight").alias("_total"))  # a row for each sample
-    return weighted.join(total, "sample").withColumn("ppm", F.col("weight") * 1e6 / F.col("_total")).drop("_total")
+    total = weighted.groupBy("sample").agg(F.sum("weight").alias("_total"))  # a row for each sample: a join by it would deal all tags to so many tasks
+    return weighted.join(F.broadcast(total), "sample").withColumn("ppm", F.col("weight") * 1e6 / F.col("_total")).drop("_total")
 
 
 def mappability(reads: DataFrame, aligned: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 import random
 
-from tailloom.operators import folding, intervals, sequences
+from tailloom.operators import folding, intervals, sequences, tags
 
 
 def _plan(df):
@@ -37,3 +37,16 @@ def test_reads_meet_sites_by_a_long_prefix_first(spark):
     pairs = sequences._longest_sites(spark.createDataFrame([(long,)], "seq string"), genome, size, 18)
     assert [(r.start, r.matched, r.nh) for r in pairs.collect()] == [(100, whole, 1)]
     assert "RepartitionByExpression [chrom" in _plan(pairs)  # one small file of chunks is not one task of all their sites
+
+
+def test_tags_are_not_dealt_by_sample(spark):
+    """Totals of the few samples go to the tags: a join by sample deals all tags to as many tasks as there are samples."""
+    rows = spark.createDataFrame([("s", 1, 6, 2), ("s", 2, 1, 1), ("t", 3, 5, 1)], "sample string, tag_id long, reads long, nh int")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = tags.normalize_ppm(rows)
+        assert "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
+        assert {r.tag_id: (r.weight, r.ppm) for r in found.collect()} == {1: (3.0, 750000.0), 2: (1.0, 250000.0), 3: (5.0, 1e6)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
