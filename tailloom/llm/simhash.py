@@ -76,23 +76,6 @@ def fingerprints(docs: DataFrame, words_each: int = 3) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
 
 
-def text_links(docs: DataFrame, words_each: int = 3, max_bits: int = 3) -> DataFrame:
-    """Pairs (a, b) of MD5 digests (binary) of texts that connect texts as their fingerprints' links do; null texts are in none."""
-    small_batches(docs.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = np.array([fingerprint(x.as_py(), words_each) for x in batch.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["key", "fp"])
-
-    keyed = docs.where("text is not null").select(F.unhex(F.md5("text")).alias("key"), "text")
-    prints = written(keyed.mapInArrow(run, "key binary, fp long").distinct())
-    nodes = written(prints.groupBy("fp").agg(F.min("key").alias("low")))
-    same = prints.join(nodes, "fp").where("key <> low").select(F.col("low").alias("a"), F.col("key").alias("b"))
-    near = links(nodes.select("fp"), max_bits)
-    return same.union(near.join(nodes.toDF("a", "x"), "a").join(nodes.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b")))
-
-
 def blocks_of(max_bits: int) -> list[tuple[int, int]]:
     """(first bit, bits) of the max_bits + 1 blocks."""
     cuts = np.linspace(0, 64, max_bits + 2).astype(int)
