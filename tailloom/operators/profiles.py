@@ -266,19 +266,23 @@ LEADING, LAST, TAILED_4N, PLAIN_4N = 8, 5, 13, 14
 def position_profile(annotated: DataFrame) -> DataFrame:
     """ppm by base (RNA) in each of 15 slots, by sample, annotation and seed, of tags with md_tag and tc_tag.
 
-    A read is its templated bases with its tail.  Mismatches show the read's base; a converted T stays U.
+    A read is its templated bases with its tail.  Mismatches show the read's base; a converted T stays U.  Reads are
+    dealt by sample, annotation and seed, and spread to their slots there, so that no slots are shuffled.
     """
-    whole = to_rna(F.concat("seq", F.coalesce("tail", F.lit(""))))
-    rows = annotated.withColumns({"_read": whole, "_md": tagged_places("md_tag", "base"), "_tc": tagged_places("tc_tag", "base")})
-    n, tailed = F.length("_read"), F.length(F.coalesce("tail", F.lit(""))) > 0
+    whole, n = to_rna(F.concat("seq", F.coalesce("tail", F.lit("")))), F.length("_read")
+    rows = annotated.select("sample", "anno", "seed", "ppm", whole.alias("_read"), "md_tag", "tc_tag", (F.length(F.coalesce("tail", F.lit(""))) > 0).alias("_tailed"))
+    rows = rows.repartition("sample", "anno", "seed")
+    at_most = lambda tag: F.coalesce(F.filter(tagged_places(tag, "base"), lambda m: m["at"] < n), F.array().cast("array<struct<at:int,base:string>>"))
+    shown = lambda text, tag, base: F.aggregate(at_most(tag), text, lambda s, m: F.overlay(s, base(m), m["at"] + 1, F.lit(1)))
+    # what the tags change is laid over the read
+    changed = shown(F.col("_read"), "md_tag", lambda m: to_rna(m["base"]))
+    rows = rows.withColumn("_shown", shown(changed, "tc_tag", lambda m: F.lit("U")))
     slot = lambda number, at: F.struct(F.lit(number).alias("slot"), at.cast("int").alias("at"))
     front = [slot(i, F.lit(i)) for i in range(LEADING)]
     back = [slot(LEADING + i, n - 1 - i) for i in range(LAST)] + [slot(TAILED_4N, n - 5 + i) for i in range(4)]
-    each = F.concat(F.array(*front), F.when(tailed, F.array(*back)).otherwise(F.array(*(slot(PLAIN_4N, n - 5 + i) for i in range(4)))))
-    spread = rows.select("sample", "anno", "seed", "ppm", "_read", "_md", "_tc", F.explode(each).alias("x")).where((F.col("x.at") >= 0) & (F.col("x.at") < F.length("_read")))
-    here = lambda places: F.get(F.filter(places, lambda m: m["at"] == F.col("x.at")), F.lit(0))["base"]
-    nt = F.when(here("_tc").isNotNull(), "U").otherwise(F.coalesce(to_rna(here("_md")), F.substring("_read", F.col("x.at") + 1, F.lit(1))))
-    return spread.groupBy("sample", "anno", "seed", "x.slot", nt.alias("nt")).agg(F.sum("ppm").alias("ppm"))
+    each = F.when(F.col("_tailed"), F.array(*front, *back)).otherwise(F.array(*front, *(slot(PLAIN_4N, n - 5 + i) for i in range(4))))
+    spread = rows.select("sample", "anno", "seed", "ppm", "_shown", F.explode(each).alias("x")).where((F.col("x.at") >= 0) & (F.col("x.at") < F.length("_shown")))
+    return spread.groupBy("sample", "anno", "seed", "x.slot", F.substring("_shown", F.col("x.at") + 1, F.lit(1)).alias("nt")).agg(F.sum("ppm").alias("ppm"))
 
 
 def merged_ranges(annotated: DataFrame, extend: int = 2) -> DataFrame:

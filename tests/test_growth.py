@@ -2,13 +2,18 @@
 
 import random
 
-from tailloom.operators import folding, intervals, sequences, tags
+from tailloom.operators import folding, intervals, profiles, sequences, tags
 
 
 def _plan(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def _shuffles(df):
+    """Lines of the plan's shuffles, under a threshold that broadcasts no given table."""
+    return [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if " Exchange " in line]
+
+
 def test_fold_join_by_name_and_bin(spark):
     """Precursors of one name meet the reads near them only, also over the borders of bins; the pairs are those of all compared with all."""
     rng = random.Random(3)
@@ -50,3 +55,16 @@ def test_tags_are_not_dealt_by_sample(spark):
         assert {r.tag_id: (r.weight, r.ppm) for r in found.collect()} == {1: (3.0, 750000.0), 2: (1.0, 250000.0), 3: (5.0, 1e6)}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+READS = "sample string, tag_id long, anno string, chrom string, strand string, t_start long, t_end long, seq string, seed string, tail string, ppm double, md_tag string, tc_tag string"
+
+
+def test_profile_shuffles_reads_alone(spark):
+    """Reads go to their annotation and seed and are spread over their slots there; what the tags change is at its slots."""
+    rows = [("s", 1, "m", "c", "+", 1, 9, "ACGTTTTT", "x", "A", 1.0, "1G", "3C"), ("s", 2, "m", "c", "+", 1, 9, "ACGTTTTT", "x", "", 2.0, "", "")]
+    found = profiles.position_profile(spark.createDataFrame(rows, READS))
+    (shuffle,) = _shuffles(found)
+    assert "slot" not in shuffle
+    got = {(r.slot, r.nt): r.ppm for r in found.collect()}
+    assert got[1, "G"] == 1.0 and got[1, "C"] == 2.0 and got[3, "U"] == 3.0 and (3, "C") not in got and got[8, "A"] == 1.0 and got[14, "U"] == 8.0
