@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import TAIL_CLASSES, arm_of, classify_tail, precursor_of, to_rna
+from ..storage import written
 from .regions import islands
 from .sequences import extract_sequence
 from .tags import tagged_places
@@ -320,45 +321,56 @@ def seed_sequences(best: DataFrame, iso: DataFrame, genome: DataFrame, size: int
     return seeds.join(ppm, "mir").select("mir", (F.col("ppm") / F.col("samples")).alias("mean_ppm"), "seed5", "seed3")
 
 
+def _depths(reads: DataFrame, key: list[str], width: int, points: Column | None = None) -> DataFrame:
+    """Runs of positions (first to next) of equal depth, with ppm and templated, and with the sums of points at their first position.
+
+    reads have key, the places that they cover (low, high) and their templated ones (t_start, t_end).  They are dealt by
+    key and bin of positions, and give events at their ends, or at the bin's, there: neither events nor positions are shuffled.
+    """
+    bins = F.sequence(F.floor(F.col("low") / width), F.greatest(F.floor(F.col("low") / width), F.floor((F.col("high") - 1) / width)))
+    dealt = reads.withColumn("bin", F.explode(bins)).repartition(*key, "bin")
+    begin, border = F.col("bin") * width, (F.col("bin") + 1) * width
+    event = lambda at, kind, n, v: F.struct(at.cast("long").alias("pos"), F.lit(kind).alias("kind"), F.lit(n).alias("n"), v.alias("v"))
+    none = F.array().cast("array<struct<pos:bigint,kind:string,n:int,v:double>>")
+    some = lambda when, *events: F.when(when, F.array(*events)).otherwise(none)
+
+    def ends(start: str, end: str, kind: str, n: int) -> list[Column]:
+        here = (F.col(start) < border) & (F.col(end) > begin)
+        return [some(here, event(F.greatest(F.col(start), begin), kind, n, F.col("ppm"))), some(here & (F.col(end) < border), event(F.col(end), kind, -n, -F.col("ppm")))]
+
+    each = F.concat(*ends("low", "high", "ppm", 1), *ends("t_start", "t_end", "templated", 0), *([] if points is None else [F.filter(points, lambda e: (e["pos"] >= begin) & (e["pos"] < border))]))
+    rows = dealt.select(*key, "bin", F.explode(each).alias("e")).select(*key, "bin", "e.*")
+    of = lambda *kinds: F.sum(F.when(F.col("kind").isin(*kinds), F.col("v")).otherwise(0.0))
+    sums = {"mismatch": of("mA", "mC", "mG", "mU"), "tc": of("tc"), "a": of("A", "mA"), "c": of("C", "mC", "tc"), "g": of("G", "mG"), "u": of("U", "mU")} if points is not None else {}
+    at = rows.groupBy(*key, "bin", "pos").agg(of("ppm").alias("ppm"), of("templated").alias("templated"), F.sum("n").alias("n"), *(v.alias(c) for c, v in sums.items()))
+    w = Window.partitionBy(*key, "bin").orderBy("pos")
+    runs = at.withColumns({c: F.sum(c).over(w) for c in ("ppm", "templated", "n")} | {"next": F.coalesce(F.lead("pos").over(w), (F.col("bin") + 1) * width)})
+    return runs.where("n > 0").select(*key, "ppm", "templated", *sums, F.col("pos").alias("first"), "next")
+
+
 def pileup_coverage(annotated: DataFrame, width: int = 1 << 12) -> DataFrame:
     """ppm, templated ppm, and ppm by kind at each position of each annotation, chromosome and strand, of tags with md_tag and tc_tag.
 
     ppm counts templated bases and tails, which run on past the 3' end.  a, c, g and u hold mismatches (mismatch), T to C
     conversions (tc, as c) and tail bases; scaled is per cent of the annotation's highest ppm, and the shares of
-    templated and the four bases come to 1 (or all are 0, under a tail of unknown bases).  Reads give events at their ends, and their sum up to a position is its depth: within bins of
-    positions, in each of which a read that runs on has an event at its border.
+    templated and the four bases come to 1 (or all are 0, under a tail of unknown bases).  The depth at a position is the
+    sum of the events up to it, in bins of positions (see _depths).
     """
     key, plus, tail = ["anno", "chrom", "strand"], F.col("strand") == "+", to_rna(F.coalesce("tail", F.lit("")))
     length = F.length(tail)
     low, high = F.when(plus, F.col("t_start")).otherwise(F.col("t_start") - length), F.when(plus, F.col("t_end") + length).otherwise(F.col("t_end"))
-    names = ["ppm", "templated", "n", "mismatch", "tc", "a", "c", "g", "u"]
-
-    def event(at: Column, **values: Column) -> Column:
-        kinds = {"n": "long"}
-        return F.struct(at.cast("long").alias("pos"), *((values[c] if c in values else F.lit(0)).cast(kinds.get(c, "double")).alias(c) for c in names))
-
-    def ends(start: Column, end: Column, **values: Column) -> Column:
-        first, last = F.floor(start / width) + 1, F.floor(end / width)
-        borders = F.when(last >= first, F.transform(F.sequence(first, last), lambda b: event(b * width, **values))).otherwise(F.array().cast(events))
-        return F.concat(F.array(event(start, **values), event(end, **{k: -v for k, v in values.items()})), borders)
-
-    events = f"array<struct<pos:bigint,{','.join(f'{c}:{"bigint" if c == "n" else "double"}' for c in names)}>>"
-    value, one = F.col("ppm"), F.lit(1)
+    reads = annotated.select(*key, low.alias("low"), high.alias("high"), "t_start", "t_end", "ppm", tail.alias("tail"), "md_tag", "tc_tag")
     place = lambda i: F.when(plus, F.col("t_start") + i).otherwise(F.col("t_end") - 1 - i)
     beyond = lambda i: F.when(plus, F.col("t_end") + i).otherwise(F.col("t_start") - 1 - i)
-    by_base = lambda base: {b.lower(): F.when(base == b, value).otherwise(0.0) for b in "ACGU"}
-    mismatches = F.transform(tagged_places("md_tag", "base"), lambda m: event(place(m["at"]), mismatch=value, **by_base(to_rna(m["base"]))))
-    conversions = F.transform(tagged_places("tc_tag", "base"), lambda m: event(place(m["at"]), tc=value, c=value))
-    tails = F.transform(F.filter(F.split(tail, ""), lambda x: x != ""), lambda x, i: event(beyond(i), **by_base(x)))
-    each = F.concat(ends(low, high, ppm=value, n=one), ends(F.col("t_start"), F.col("t_end"), templated=value), mismatches, conversions, tails)
-    rows = annotated.select(*key, F.explode(each).alias("e")).select(*key, "e.*").withColumn("bin", F.floor(F.col("pos") / width))
-    at = rows.groupBy(*key, "bin", "pos").agg(*(F.sum(c).alias(c) for c in names))
-    w = Window.partitionBy(*key, "bin").orderBy("pos")
-    runs = at.withColumns({c: F.sum(c).over(w) for c in ("ppm", "templated", "n")} | {"next": F.coalesce(F.lead("pos").over(w), (F.col("bin") + 1) * width)}).where("n > 0")
-    points = names[3:]
-    spread = runs.select(*key, "ppm", "templated", *points, F.col("pos").alias("first"), F.explode(F.sequence("pos", F.col("next") - 1)).alias("pos"))
+    point = lambda at, kind: F.struct(at.cast("long").alias("pos"), kind.alias("kind"), F.lit(0).alias("n"), F.col("ppm").alias("v"))
+    mismatches = F.transform(tagged_places("md_tag", "base"), lambda m: point(place(m["at"]), F.concat(F.lit("m"), to_rna(m["base"]))))
+    conversions = F.transform(tagged_places("tc_tag", "base"), lambda m: point(place(m["at"]), F.lit("tc")))
+    tails = F.transform(F.filter(F.split("tail", ""), lambda x: x != ""), lambda x, i: point(beyond(i), x))
+    runs = _depths(reads, key, width, F.concat(mismatches, conversions, tails))
+    most = written(_depths(reads.select(*key, "low", "high", "t_start", "t_end", "ppm"), key, width).groupBy(*key).agg(F.max("ppm").alias("most")))  # Spark knows a table's size
+    points = ["mismatch", "tc", "a", "c", "g", "u"]
+    spread = runs.select("*", F.explode(F.sequence("first", F.col("next") - 1)).alias("pos"))
     depth = spread.select(*key, "pos", "ppm", "templated", *(F.when(F.col("pos") == F.col("first"), F.col(c)).otherwise(0.0).alias(c) for c in points))
-    most = runs.groupBy(*key).agg(F.max("ppm").alias("most"))
     total = F.col("templated") + F.col("a") + F.col("c") + F.col("g") + F.col("u")
     shares = [F.when(total > 1e-9, F.col(c) / total).otherwise(0.0).alias(f"share_{c}") for c in ("templated", "a", "c", "g", "u")]
     return depth.join(most, key).select(*key, "pos", "ppm", "templated", *points, (F.col("ppm") * 100 / F.col("most")).alias("scaled"), *shares)

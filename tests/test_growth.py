@@ -60,6 +60,15 @@ def test_tags_are_not_dealt_by_sample(spark):
 READS = "sample string, tag_id long, anno string, chrom string, strand string, t_start long, t_end long, seq string, seed string, tail string, ppm double, md_tag string, tc_tag string"
 
 
+def test_pileup_shuffles_reads_alone(spark):
+    """Reads go to their bins, where they become events and positions: neither are shuffled."""
+    rows = [("s", i, "m", "c", "+-"[i % 2], 10 + i, 30 + i, "A" * 20, "x", "", 1.0, "", "") for i in range(8)]
+    found = profiles.pileup_coverage(spark.createDataFrame(rows, READS), 16)
+    (shuffle,) = _shuffles(found)
+    assert "bin" in shuffle and "pos" not in shuffle
+    assert sum(r.ppm for r in found.collect()) == 160
+
+
 def test_profile_shuffles_reads_alone(spark):
     """Reads go to their annotation and seed and are spread over their slots there; what the tags change is at its slots."""
     rows = [("s", 1, "m", "c", "+", 1, 9, "ACGTTTTT", "x", "A", 1.0, "1G", "3C"), ("s", 2, "m", "c", "+", 1, 9, "ACGTTTTT", "x", "", 2.0, "", "")]
