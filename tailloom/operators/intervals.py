@@ -46,6 +46,18 @@ def annotate_intervals(tags: DataFrame, features: DataFrame, stranded: bool = Tr
     return overlap_join(tags, features, (F.col("t_start") - 1, F.col("t_end") - 1), (F.col("f_start"), F.col("f_end")), keys, size)
 
 
+def annotate_starts(tags: DataFrame, features: DataFrame, longest: int, size: int = BIN) -> DataFrame:
+    """annotate_intervals by strand for tags of at most ``longest``, with the bin of each tag's start (_bin).
+
+    A tag is in that bin alone, and features are in those of all tags that may meet them.  So a tag's hits come from one
+    partition of the join, and steps by chrom, strand, _bin and tag need no shuffle after it.
+    """
+    low = F.floor((F.col("f_start") - longest + 1) / size)
+    spread = features.withColumn("_bin", F.explode(F.sequence(low, F.greatest(low, F.floor((F.col("f_end") - 1) / size)))))
+    meets = (F.col("t_start") - 1 < F.col("f_end")) & (F.col("t_end") - 1 > F.col("f_start"))
+    return tags.withColumn("_bin", F.floor((F.col("t_start") - 1) / size)).join(spread, ["chrom", "strand", "_bin"]).where(meets)
+
+
 def assign_arm(hits: DataFrame) -> DataFrame:
     """Names of miRNA and mirtron hits without an arm get one by the midpoints; each hit uses its own feature."""
     right = F.col("t_start") + F.col("t_end") > F.col("f_start") + F.col("f_end")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import TAIL_CLASSES, arm_of, classify_tail, precursor_of, to_rna
-from ..storage import written
+from ..storage import parts, written
 from .regions import islands
 from .sequences import extract_sequence
 from .tags import tagged_places
@@ -246,8 +246,9 @@ def tail_bases(annotated: DataFrame) -> DataFrame:
 
 def mismatch_kinds(tags: DataFrame) -> DataFrame:
     """ppm of mismatches (MD) and of T to C conversions (TC) at each place from 1, by sample; of tags with md_tag and tc_tag."""
-    of = lambda tag, kind: tags.select("sample", F.lit(kind).alias("kind"), F.explode(tagged_places(tag, "base")).alias("m"), "ppm")
-    return of("md_tag", "MD").union(of("tc_tag", "TC")).groupBy("sample", "kind", (F.col("m.at") + 1).alias("pos")).agg(F.sum("ppm").alias("ppm"))
+    of = lambda tag, kind: F.coalesce(F.transform(tagged_places(tag, "base"), lambda m: F.struct(F.lit(kind).alias("kind"), m["at"].alias("at"))), F.array().cast("array<struct<kind:string,at:int>>"))
+    each = tags.select("sample", F.explode(F.concat(of("md_tag", "MD"), of("tc_tag", "TC"))).alias("m"), "ppm")
+    return each.groupBy("sample", "m.kind", (F.col("m.at") + 1).alias("pos")).agg(F.sum("ppm").alias("ppm"))
 
 
 def mismatch_positions(tags: DataFrame) -> DataFrame:
@@ -272,7 +273,7 @@ def position_profile(annotated: DataFrame) -> DataFrame:
     """
     whole, n = to_rna(F.concat("seq", F.coalesce("tail", F.lit("")))), F.length("_read")
     rows = annotated.select("sample", "anno", "seed", "ppm", whole.alias("_read"), "md_tag", "tc_tag", (F.length(F.coalesce("tail", F.lit(""))) > 0).alias("_tailed"))
-    rows = rows.repartition("sample", "anno", "seed")
+    rows = rows.repartition(parts(annotated), "sample", "anno", "seed")
     at_most = lambda tag: F.coalesce(F.filter(tagged_places(tag, "base"), lambda m: m["at"] < n), F.array().cast("array<struct<at:int,base:string>>"))
     shown = lambda text, tag, base: F.aggregate(at_most(tag), text, lambda s, m: F.overlay(s, base(m), m["at"] + 1, F.lit(1)))
     # what the tags change is laid over the read
@@ -321,14 +322,14 @@ def seed_sequences(best: DataFrame, iso: DataFrame, genome: DataFrame, size: int
     return seeds.join(ppm, "mir").select("mir", (F.col("ppm") / F.col("samples")).alias("mean_ppm"), "seed5", "seed3")
 
 
-def _depths(reads: DataFrame, key: list[str], width: int, points: Column | None = None) -> DataFrame:
+def _depths(reads: DataFrame, key: list[str], width: int, n: int, points: Column | None = None) -> DataFrame:
     """Runs of positions (first to next) of equal depth, with ppm and templated, and with the sums of points at their first position.
 
     reads have key, the places that they cover (low, high) and their templated ones (t_start, t_end).  They are dealt by
-    key and bin of positions, and give events at their ends, or at the bin's, there: neither events nor positions are shuffled.
+    key and bin of positions to n partitions, and give events at their ends, or at the bin's, there: neither events nor positions are shuffled.
     """
     bins = F.sequence(F.floor(F.col("low") / width), F.greatest(F.floor(F.col("low") / width), F.floor((F.col("high") - 1) / width)))
-    dealt = reads.withColumn("bin", F.explode(bins)).repartition(*key, "bin")
+    dealt = reads.withColumn("bin", F.explode(bins)).repartition(n, *key, "bin")
     begin, border = F.col("bin") * width, (F.col("bin") + 1) * width
     event = lambda at, kind, n, v: F.struct(at.cast("long").alias("pos"), F.lit(kind).alias("kind"), F.lit(n).alias("n"), v.alias("v"))
     none = F.array().cast("array<struct<pos:bigint,kind:string,n:int,v:double>>")
@@ -366,8 +367,9 @@ def pileup_coverage(annotated: DataFrame, width: int = 1 << 12) -> DataFrame:
     mismatches = F.transform(tagged_places("md_tag", "base"), lambda m: point(place(m["at"]), F.concat(F.lit("m"), to_rna(m["base"]))))
     conversions = F.transform(tagged_places("tc_tag", "base"), lambda m: point(place(m["at"]), F.lit("tc")))
     tails = F.transform(F.filter(F.split("tail", ""), lambda x: x != ""), lambda x, i: point(beyond(i), x))
-    runs = _depths(reads, key, width, F.concat(mismatches, conversions, tails))
-    most = written(_depths(reads.select(*key, "low", "high", "t_start", "t_end", "ppm"), key, width).groupBy(*key).agg(F.max("ppm").alias("most")))  # Spark knows a table's size
+    n = parts(annotated)
+    runs = _depths(reads, key, width, n, F.concat(mismatches, conversions, tails))
+    most = written(_depths(reads.select(*key, "low", "high", "t_start", "t_end", "ppm"), key, width, n).groupBy(*key).agg(F.max("ppm").alias("most")))  # Spark knows a table's size
     points = ["mismatch", "tc", "a", "c", "g", "u"]
     spread = runs.select("*", F.explode(F.sequence("first", F.col("next") - 1)).alias("pos"))
     depth = spread.select(*key, "pos", "ppm", "templated", *(F.when(F.col("pos") == F.col("first"), F.col(c)).otherwise(0.0).alias(c) for c in points))

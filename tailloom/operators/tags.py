@@ -82,10 +82,15 @@ def tags_of(collapsed: DataFrame) -> DataFrame:
     return collapsed.select("sample", "tag_id", "chrom", "strand", F.col("pos").alias("t_start"), "t_end", "gm_len", F.col("tl").alias("tail"), "reads", "nh", F.col("templated").alias("seq"), "md_tag", "tc_tag", "seed_md")
 
 
-def normalize_ppm(tags: DataFrame) -> DataFrame:
-    """weight (reads by sites) and ppm (weight per million of its sample)."""
+def sample_weights(tags: DataFrame) -> DataFrame:
+    """Sum of reads by sites of each sample (_total)."""
+    return tags.groupBy("sample").agg(F.sum(F.col("reads") / F.col("nh")).alias("_total"))
+
+
+def normalize_ppm(tags: DataFrame, total: DataFrame | None = None) -> DataFrame:
+    """weight (reads by sites) and ppm (weight per million of its sample); total: sample_weights of the tags, if they are there already."""
     weighted = tags.withColumn("weight", F.col("reads") / F.col("nh"))
-    total = weighted.groupBy("sample").agg(F.sum("weight").alias("_total"))  # a row for each sample: a join by it would deal all tags to so many tasks
+    total = sample_weights(tags) if total is None else total  # a row for each sample: a join by it would deal all tags to so many tasks
     return weighted.join(F.broadcast(total), "sample").withColumn("ppm", F.col("weight") * 1e6 / F.col("_total")).drop("_total")
 
 

@@ -2,7 +2,11 @@
 
 import random
 
-from tailloom.operators import folding, intervals, profiles, sequences, tags
+import pytest
+from pyspark.sql import functions as F
+
+from tailloom.operators import counting, folding, intervals, profiles, sequences, tags
+from tailloom.plans import aligned, reports
 
 
 def _plan(df):
@@ -14,6 +18,14 @@ def _shuffles(df):
     return [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if " Exchange " in line]
 
 
+@pytest.fixture
+def nothing_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_fold_join_by_name_and_bin(spark):
     """Precursors of one name meet the reads near them only, also over the borders of bins; the pairs are those of all compared with all."""
     rng = random.Random(3)
@@ -65,7 +77,7 @@ def test_pileup_shuffles_reads_alone(spark):
     rows = [("s", i, "m", "c", "+-"[i % 2], 10 + i, 30 + i, "A" * 20, "x", "", 1.0, "", "") for i in range(8)]
     found = profiles.pileup_coverage(spark.createDataFrame(rows, READS), 16)
     (shuffle,) = _shuffles(found)
-    assert "bin" in shuffle and "pos" not in shuffle
+    assert "pos" not in shuffle and "RepartitionByExpression [anno" in _plan(found)
     assert sum(r.ppm for r in found.collect()) == 160
 
 
@@ -77,3 +89,46 @@ def test_profile_shuffles_reads_alone(spark):
     assert "slot" not in shuffle
     got = {(r.slot, r.nt): r.ppm for r in found.collect()}
     assert got[1, "G"] == 1.0 and got[1, "C"] == 2.0 and got[3, "U"] == 3.0 and (3, "C") not in got and got[8, "A"] == 1.0 and got[14, "U"] == 8.0
+
+
+def test_prime_hits_of_one_join(spark, nothing_broadcast):
+    """The hits of tags in bins of their starts are those of all bins, and their first biotype takes no further shuffle."""
+    rng = random.Random(9)
+    spots = [0, 1, intervals.BIN - 25, intervals.BIN - 1, intervals.BIN, *(rng.randrange(3 * intervals.BIN) for _ in range(80))]
+    tag_rows = [(i, "c", "+-"[i % 2], s + 1, s + 1 + rng.randrange(15, 26)) for i, s in enumerate(spots)]
+    features = [("c", s, s + rng.choice([0, 1, 20, 900]), rng.choice("+-"), rng.choice(["miRNA", "tRNA", "rmsk"]), f"f{i}") for i, s in enumerate(spots)]
+    reads = spark.createDataFrame(tag_rows, "tag_id long, chrom string, strand string, t_start long, t_end long")
+    of = spark.createDataFrame(features, "chrom string, f_start long, f_end long, strand string, biotype string, name string")
+    want = counting.prime_hits(intervals.annotate_intervals(reads, of)).select("tag_id", "anno").collect()
+    found = counting.prime_hits(intervals.annotate_starts(reads, of, 25), dealt=("chrom", "strand", "_bin"))
+    assert len(_shuffles(found)) == 2  # the join's own
+    assert want and sorted(map(tuple, found.select("tag_id", "anno").collect())) == sorted(map(tuple, want))
+
+
+def test_tags_are_made_once(spark, tmp_path):
+    """What makes the tags runs once, and not again for the samples' weights."""
+    seen = spark.sparkContext.accumulator(0)
+
+    class Counted(reports.Base):
+        def source_tags(self):
+            def count(row):
+                seen.add(1)
+                return row
+
+            rows = spark.createDataFrame([("s", i, "chr1", "+", i, i + 20, 2, 1) for i in range(1, 6)], "sample string, tag_id long, chrom string, strand string, t_start long, t_end long, reads long, nh int")
+            return spark.createDataFrame(rows.rdd.map(count), rows.schema)
+
+    base = Counted(spark, str(tmp_path))
+    assert [r.ppm for r in base.tags().collect()] == [200000.0] * 5 and base.tags().count() == 5
+    assert seen.value == 5
+
+
+def test_mismatches_move_the_biotypes_tags_alone(spark, nothing_broadcast):
+    """A tag with two hits counts once, and no join deals all tags by their ids."""
+    base = aligned.Aligned(spark, "")
+    rows = [("s", 1, "a", "c", "+", 1, 9, "", "x", "", 1.0, "1G", "3C"), ("s", 1, "b", "c", "+", 1, 9, "", "x", "", 1.0, "1G", "3C"), ("s", 2, "a", "c", "+", 1, 9, "", "x", "", 2.0, "1G", "")]
+    df = spark.createDataFrame(rows, READS)
+    base.kept = {"annotated": df.withColumn("biotype", F.lit("miRNA")), "tags": df.drop("ppm", "anno").distinct().withColumn("reads", F.lit(1)).withColumn("nh", F.lit(1)), "weights": spark.createDataFrame([("s", 2.0)], "sample string, _total double")}
+    found = profiles.mismatch_kinds(base.of_biotype("miRNA_mirtron"))
+    assert "Join" not in _plan(found)
+    assert sorted(map(tuple, found.collect())) == [("s", "MD", 2, 3.0), ("s", "TC", 4, 1.0)]
