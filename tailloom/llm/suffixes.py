@@ -53,6 +53,8 @@ CHUNK = 1 << 19
 GROUP = 64
 #: Records that a task combines at once, and rows of a bucket, about.
 COMBINE, BUCKET = 1 << 18, 1 << 17
+#: Bytes of short texts or spans that are hashed as one, about; at most CHUNK.
+BLOCK = 1 << 16
 _LOW = np.int64(-(2**63))
 
 
@@ -159,25 +161,66 @@ def _firsts(r: Records, *names: str) -> tuple[Records, np.ndarray, np.ndarray]:
     return r, new, ~same_place
 
 
+def _spans(part: np.ndarray, length: int, gram: int, valid: np.ndarray | None = None) -> Records:
+    """Records of the windows of part, or of those that start at the valid places: gram, span and more, pos, n."""
+    width = length - gram + 1
+    grams, windows = _hashes(part, length, gram)
+    key = (grams & ~np.uint64(0xFFFFF)) | np.arange(len(grams), dtype=np.uint64)
+    size = 1
+    while 2 * size <= width:
+        key = np.minimum(key[: len(key) - size], key[size:])
+        size *= 2
+    if size < width:
+        key = np.minimum(key[: len(key) - (width - size)], key[width - size :])
+    anchor = (key & np.uint64(0xFFFFF)).astype(np.int64)
+    at = np.arange(len(anchor)) if valid is None else valid
+    anchor = anchor[at]
+    first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
+    n, start, anchor = np.diff(np.append(first, len(anchor))), at[first], anchor[first]
+    span = _mix(_mix(windows[start], windows[start + n - 1]), ((anchor - start) * 1024 + n).astype(np.uint64))
+    return Records(gram=grams[anchor], span=span, more=_polynomials(part, start, n + length - 1), pos=start, n=n.astype(np.int64))
+
+
 def windows_by_anchor(text: bytes, length: int = LENGTH, gram: int = GRAM) -> Iterator[Records]:
     """Records of a text: gram, span and more (hashes), pos (first window), n (windows)."""
     data = np.frombuffer(text, np.uint8)
-    width = length - gram + 1
     for begin in range(0, len(data) - length + 1, CHUNK):
-        part = data[begin : begin + CHUNK + length - 1]
-        grams, windows = _hashes(part, length, gram)
-        key = (grams & ~np.uint64(0xFFFFF)) | np.arange(len(grams), dtype=np.uint64)
-        size = 1
-        while 2 * size <= width:
-            key = np.minimum(key[: len(key) - size], key[size:])
-            size *= 2
-        if size < width:
-            key = np.minimum(key[: len(key) - (width - size)], key[width - size :])
-        anchor = (key & np.uint64(0xFFFFF)).astype(np.int64)
-        start = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
-        n = np.diff([*start, len(anchor)])
-        span = _mix(_mix(windows[start], windows[start + n - 1]), ((anchor[start] - start) * 1024 + n).astype(np.uint64))
-        yield Records(gram=grams[anchor[start]], span=span, more=_polynomials(part, start, n + length - 1), pos=start + begin, n=n.astype(np.int64))
+        r = _spans(data[begin : begin + CHUNK + length - 1], length, gram)
+        r.columns["pos"] = r.pos + begin
+        yield r
+
+
+def windows_of_texts(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> Iterator[Records]:
+    """windows_by_anchor of each text, with the text's place in the list (of).
+
+    Texts up to BLOCK are hashed many as one: a window's hashes and anchor come from its own bytes only, and windows that
+    cross from one text into the next are left out.
+    """
+    held, total = [], 0
+
+    def flush() -> Iterator[Records]:
+        if held:
+            size = np.array([len(texts[i]) for i in held])
+            first = np.cumsum(size) - size
+            n = size - length + 1
+            of = np.repeat(np.arange(len(held)), n)
+            valid = first[of] + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            r = _spans(np.frombuffer(b"".join(texts[i] for i in held), np.uint8), length, gram, valid)
+            which = np.searchsorted(first, r.pos, side="right") - 1
+            r.columns |= {"pos": r.pos - first[which], "of": np.array(held)[which]}
+            yield r
+
+    for i, text in enumerate(texts):
+        if len(text) > BLOCK:
+            for r in windows_by_anchor(text, length, gram):
+                yield Records(**r.columns, of=np.full(len(r), i))
+        elif len(text) >= length:
+            if total + len(text) > BLOCK:
+                yield from flush()
+                held, total = [], 0
+            held.append(i)
+            total += len(text)
+    yield from flush()
 
 
 RECORD = "kind int, gram long, span long, more long, doc long, tie long, pos long, n long"
@@ -229,9 +272,11 @@ def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
 def _records(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
     """Step 1 in a task: records of its texts, combined."""
     held, count = [], 0
-    for doc, tie, text in _texts(batches):
-        for r in windows_by_anchor(text.encode(), length, gram):
-            r.columns |= {"doc": np.full(len(r), doc, np.int64), "tie": np.full(len(r), tie, np.int64)}
+    for batch in batches:
+        doc, tie = (batch.column(i).to_numpy() for i in (0, 1))
+        for r in windows_of_texts([t.encode() for t in batch.column(2).to_pylist()], length, gram):
+            of = r.columns.pop("of")
+            r.columns |= {"doc": doc[of], "tie": tie[of]}
             held.append(r)
             count += len(r)
             if count >= COMBINE:
@@ -266,6 +311,15 @@ def _windows(data: np.ndarray, pos: np.ndarray, length: int) -> tuple[np.ndarray
     return lead, _hashes(data, length, GRAM)[1][pos], _polynomials(data, pos, length)
 
 
+def _span_windows(spans: list[bytes], doc: np.ndarray, tie: np.ndarray, pos: np.ndarray, n: np.ndarray, length: int) -> Records:
+    """All windows of spans of n windows: the spans are hashed as one text, and only windows within a span are taken."""
+    size = n + length - 1
+    first = np.cumsum(size) - size
+    k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    lead, rest, more = _windows(np.frombuffer(b"".join(spans), np.uint8), np.repeat(first, n) + k, length)
+    return Records(lead=lead, rest=rest, more=more, doc=np.repeat(doc, n), tie=np.repeat(tie, n), pos=np.repeat(pos, n) + k)
+
+
 def _stretches(r: Records) -> tuple[np.ndarray, ...]:
     """doc, tie, pos and n of the runs of consecutive windows."""
     order = np.lexsort((r.pos, r.tie, r.doc))
@@ -283,8 +337,14 @@ def _suffixes(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Rec
     A row with n = 0 is a single window, one with n > 0 and no span is a stretch of repeats.
     """
     held, count, spans = [], 0, []
+    raws, size, of = [], 0, []  # spans whose windows are not hashed yet
 
-    def flush():
+    def hash_spans() -> None:
+        if raws:
+            doc, tie, pos, n = (np.array(c, np.int64) for c in zip(*of))
+            held.append(_span_windows(raws, doc, tie, pos, n, length))
+
+    def flush() -> Iterator[pa.RecordBatch]:
         if held:
             r, new, repeat = _firsts(Records.join(held), "lead", "rest", "more")
             x = r.take(new)
@@ -292,23 +352,37 @@ def _suffixes(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Rec
             doc, tie, pos, n = _stretches(r.take(repeat))
             yield _batch(_SUFFIX, doc, pos, pos, doc, tie, pos, n, pa.nulls(len(doc), pa.binary()))
 
-    for doc, tie, text, opened in _texts(batches):
-        raw = text.encode()
-        for s in opened:
-            pos, n = s["pos"], s["n"]
-            span = raw[pos : pos + n + length - 1]
-            if s["kind"] == FEW:
-                spans.append((s["gram"], 0, 0, doc, tie, pos, n, span))
-                continue
-            lead, rest, more = _windows(np.frombuffer(span, np.uint8), np.arange(n), length)
-            held.append(Records(lead=lead, rest=rest, more=more, pos=pos + np.arange(n), doc=np.full(n, doc, np.int64), tie=np.full(n, tie, np.int64)))
-            count += n
-        if count >= COMBINE:
-            yield from flush()
-            held, count = [], 0
-        if len(spans) > 8192:
-            yield from arrow_rows(_SUFFIX, spans)
-            spans = []
+    for batch in batches:
+        opened = batch.column(3)
+        ends = opened.value_lengths().fill_null(0).to_numpy().cumsum().tolist()
+        fields = opened.flatten()
+        kinds, grams, places, ns = (fields.field(c).to_pylist() for c in ("kind", "gram", "pos", "n"))
+        begin = 0
+        for doc, tie, text, end in zip(*(batch.column(i).to_pylist() for i in range(3)), ends):
+            raw = text.encode()
+            for i in range(begin, end):
+                pos, n = places[i], ns[i]
+                span = raw[pos : pos + n + length - 1]
+                if kinds[i] == FEW:
+                    spans.append((grams[i], 0, 0, doc, tie, pos, n, span))
+                    continue
+                raws.append(span)
+                of.append((doc, tie, pos, n))
+                size += len(span)
+                count += n
+            begin = end
+            if size >= BLOCK:
+                hash_spans()
+                raws, size, of = [], 0, []
+            if count >= COMBINE:
+                hash_spans()
+                raws, size, of = [], 0, []
+                yield from flush()
+                held, count = [], 0
+            if len(spans) > 8192:
+                yield from arrow_rows(_SUFFIX, spans)
+                spans = []
+    hash_spans()
     yield from flush()
     yield from arrow_rows(_SUFFIX, spans)
 
@@ -323,15 +397,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.R
         whole = batch.filter(pa.array(~single))
         if not whole.num_rows:
             continue
-        # the spans are hashed as one text, and only windows within a span are taken
-        n = whole.column("n").to_numpy()
-        size = n + length - 1
-        first = np.cumsum(size) - size
-        k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        data = np.frombuffer(b"".join(whole.column("span").to_pylist()), np.uint8)
-        lead, rest, more = _windows(data, np.repeat(first, n) + k, length)
-        of = {c: np.repeat(whole.column(c).to_numpy(), n) for c in ("doc", "tie", "pos")}
-        held.append(Records(lead=lead, rest=rest, more=more, doc=of["doc"], tie=of["tie"], pos=of["pos"] + k))
+        held.append(_span_windows(whole.column("span").to_pylist(), *(whole.column(c).to_numpy() for c in ("doc", "tie", "pos", "n")), length))
     if held:
         r, _, repeat = _firsts(Records.join(held), "lead", "rest", "more")
         yield _batch(_STRETCH, *_stretches(r.take(repeat)))

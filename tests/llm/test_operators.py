@@ -198,6 +198,24 @@ def test_suffixes_with_colliding_hashes(monkeypatch):
             assert (len(t.encode()) - len(kept), runs, kept) == want[d]
 
 
+def test_short_texts_and_spans_are_hashed_together(monkeypatch):
+    """Texts hashed as one give each text's own records, and neither texts nor spans are hashed one by one."""
+    rng = random.Random(12)
+    texts = [bytes(rng.choices(b"abc ", k=rng.choice([0, 5, 99, 100, 101, 400]))) for _ in range(60)] + [b"a" * 300, bytes(rng.choices(b"ab", k=suffixes.BLOCK + 500)), PASSAGE.encode()]
+    want = sorted((i, *row) for i, t in enumerate(texts) for r in suffixes.windows_by_anchor(t) for row in zip(*(r.columns[c].tolist() for c in ("gram", "span", "more", "pos", "n"))))
+    hashes, calls = suffixes._hashes, []
+    monkeypatch.setattr(suffixes, "_hashes", lambda *a: calls.append(a) or hashes(*a))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array([0] * len(texts)), pa.array([t.decode() for t in texts])], ["doc", "tie", "text"])
+    found = pa.Table.from_batches(list(suffixes._records(iter([batch]), 100, 32)))
+    assert len(calls) <= 4
+    opened = [{"kind": suffixes.MANY, "gram": 1, "pos": 3 * i, "n": 3} for i in range(90)]
+    calls.clear()
+    spans = pa.RecordBatch.from_arrays([pa.array([7]), pa.array([0]), pa.array([bytes(rng.choices(b"abcdefgh ", k=400)).decode()]), pa.array([opened])], ["doc", "tie", "text", "open"])
+    assert sorted(x["pos"] for b in suffixes._suffixes(iter([spans]), 100) for x in b.to_pylist()) == list(range(270)) and len(calls) == 1
+    got = sorted((int(r.of[j]), *(int(r.columns[c][j]) for c in ("gram", "span", "more", "pos", "n"))) for r in suffixes.windows_of_texts(texts) for j in range(len(r)))
+    assert got == want and found.num_rows > 0
+
+
 def test_strip_clashing_names(spark):
     rows = [(1, PASSAGE, "a", 7, [1]), (2, "x " + PASSAGE, "b", 8, [2]), (None, None, "c", 9, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, doc string, tie int, gone array<int>")
