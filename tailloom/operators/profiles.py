@@ -213,8 +213,10 @@ def end_heterogeneity(annotated: DataFrame) -> DataFrame:
     plus, tail = F.col("strand") == "+", F.length(F.coalesce("tail", F.lit("")))
     end3 = F.when(plus, F.col("t_end")).otherwise(F.col("t_start"))
     ends = {"h5": F.when(plus, F.col("t_start")).otherwise(F.col("t_end")), "h3": end3, "h_tail": F.when(plus, end3 + tail).otherwise(end3 - tail)}
-    each = F.explode(F.array(*(F.struct(F.lit(kind).alias("kind"), end.alias("e")) for kind, end in ends.items()))).alias("x")
-    by = annotated.select("sample", "anno", "ppm", each).groupBy("sample", "anno", "x.kind", "x.e").agg(F.round(F.sum("ppm"), 6).alias("p"))
+    each = F.explode(F.array(*(F.struct(F.lit(kind).alias("kind"), F.col(kind).alias("e")) for kind in ends))).alias("x")
+    reads = annotated.groupBy("sample", "anno", *(end.alias(kind) for kind, end in ends.items())).agg(F.sum("ppm").alias("ppm"))
+    dealt = reads.repartition(parts(annotated), "sample", "anno")  # each place once; its three ends are made there
+    by = dealt.select("sample", "anno", "ppm", each).groupBy("sample", "anno", "x.kind", "x.e").agg(F.round(F.sum("ppm"), 6).alias("p"))
     w = Window.partitionBy("sample", "anno", "kind")
     far = by.withColumn("mode", F.min(F.struct((-F.col("p")).alias("v"), "e")).over(w).getField("e"))
     of = lambda kind: (F.sum(F.when(F.col("kind") == kind, F.col("p") * F.abs(F.col("e") - F.col("mode")))) / F.sum(F.when(F.col("kind") == kind, F.col("p")))).alias(kind)

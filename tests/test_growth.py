@@ -91,6 +91,21 @@ def test_profile_shuffles_reads_alone(spark):
     assert got[1, "G"] == 1.0 and got[1, "C"] == 2.0 and got[3, "U"] == 3.0 and (3, "C") not in got and got[8, "A"] == 1.0 and got[14, "U"] == 8.0
 
 
+def test_ends_are_made_after_the_shuffles(spark):
+    """Reads of equal places are one row before they move, and a read's three ends are made where its annotation is."""
+    rows = [("s", i, "m", "c", "+-"[i % 4 == 3], 10 + i % 2, 30, "A" * 20, "x", "AA"[: i % 3], 1.0 + i, "", "") for i in range(12)]
+    found = profiles.end_heterogeneity(spark.createDataFrame(rows, READS))
+    shuffles = _shuffles(found)
+    assert len(shuffles) == 2 and not any("kind" in line for line in shuffles)
+    want = []
+    for ends in ([b if s == "+" else e for *_, s, b, e, _, _, _, _, _, _ in rows], [e if s == "+" else b for *_, s, b, e, _, _, _, _, _, _ in rows], [e + len(t) if s == "+" else b - len(t) for *_, s, b, e, _, _, t, _, _, _ in rows]):
+        weight = {at: sum(r[10] for r, e in zip(rows, ends) if e == at) for at in ends}
+        mode = min(weight, key=lambda at: (-weight[at], at))
+        want.append(sum(w * abs(at - mode) for at, w in weight.items()) / sum(weight.values()))
+    ((_, _, *got),) = found.collect()
+    assert got == pytest.approx(want)
+
+
 def test_prime_hits_of_one_join(spark, nothing_broadcast):
     """The hits of tags in bins of their starts are those of all bins, and their first biotype takes no further shuffle."""
     rng = random.Random(9)
