@@ -56,6 +56,20 @@ def test_reads_meet_sites_by_a_long_prefix_first(spark):
     assert "RepartitionByExpression [chrom" in _plan(pairs)  # one small file of chunks is not one task of all their sites
 
 
+def test_sites_and_chunks_are_not_broadcast(spark):
+    """Sites are far more than Spark guesses from the chunks that it explodes: neither go through the driver."""
+    text = "".join(random.Random(7).choices("ACGT", k=400))
+    genome = spark.createDataFrame([("chr1", i // 100, text[i : i + 164]) for i in range(0, 400, 100)], "chrom string, chunk_id long, chunk string")
+    turned = text[100:122][::-1].translate(str.maketrans("ACGT", "TGCA"))
+    reads = spark.createDataFrame([(text[290:312],), (turned,), (text[390:],)], "seq string")
+    found = sequences._longest_sites(reads, genome, 100, 18)
+    assert {(r.seq, r.strand, r.start, r.matched, r.nh) for r in found.where("chrom is not null").collect()} == {(text[290:312], "+", 290, 22, 1), (turned, "-", 100, 22, 1)}
+    rows = spark.createDataFrame([("chr1", "+", 290, 22)], "chrom string, strand string, at long, n int")
+    cut = sequences.extract_sequence(rows, genome, "at", "n", 100)
+    assert [r.sequence for r in cut.collect()] == [text[290:312]]
+    assert not any("Broadcast" in df._jdf.queryExecution().executedPlan().toString() for df in (found, cut))
+
+
 def test_tags_are_not_dealt_by_sample(spark):
     """Totals of the few samples go to the tags: a join by sample deals all tags to as many tasks as there are samples."""
     rows = spark.createDataFrame([("s", 1, 6, 2), ("s", 2, 1, 1), ("t", 3, 5, 1)], "sample string, tag_id long, reads long, nh int")
